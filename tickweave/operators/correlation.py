@@ -14,12 +14,10 @@ from pyspark.sql import functions as F
 
 from tickweave.functions.cells import Cells, from_micros, interval_micros, micros
 from tickweave.functions.ordered import explode_range, following, previous, row_numbers, running_sums
-from tickweave.operators.pairs import block_sides, blocks_for, member_pairs
+from tickweave.operators.pairs import block_sides, blocks_for, member_pairs, pair_tasks
 from tickweave.session import materialize
 
 WINDOWS_PER_CELL = 1_000_000
-PAIRS_PER_TASK = 20_000_000
-MAX_PAIR_TASKS = 50_000
 
 
 def kind_keys(df: DataFrame) -> list[str]:
@@ -70,12 +68,6 @@ def number_interval_ends(intervals: DataFrame) -> DataFrame:
     return intervals.join(begins, "begin_ts").join(ends, "end_ts")
 
 
-def pair_tasks(spark, rows: int, symbols: int) -> int:
-    """Tasks for work that grows with rows * symbols."""
-    floor = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return min(MAX_PAIR_TASKS, max(floor, rows * symbols // PAIRS_PER_TASK))
-
-
 def overlap_join(
     intervals: DataFrame,
     symbols: int | None = None,
@@ -260,7 +252,8 @@ def hy_correlation_sliding(
             *keys, "sid", F.col("level.ss").alias("ss"), F.col("k").alias("_k0"),
             (F.col("next.k") - 1).alias("_k1")),
         F.col("_k0"), F.col("_k1"), "k").drop("_k0", "_k1")
-    grid_rows = member_pairs(dense, [*keys, "k"], "sid", ["ss"], blocks_for(members)).select(
+    grid_rows = member_pairs(
+        dense, [*keys, "k"], "sid", ["ss"], blocks_for(members), rows=members * windows).select(
         *keys, F.col("id0").alias("s0"), F.col("id1").alias("s1"), "k", F.lit(0.0).alias("num"), (F.sqrt("ss0") * F.sqrt("ss1")).alias("norm"))
 
     overlaps = overlap_join(held, members, carry=("k_lo", "k_hi"), rows=rows, member="sid")

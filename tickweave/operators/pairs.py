@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 BLOCK_MEMBERS = 128
+PAIRS_PER_TASK = 20_000_000
+MAX_PAIR_TASKS = 50_000
 
 
 def blocks_for(members: int) -> int:
@@ -15,6 +17,12 @@ def blocks_for(members: int) -> int:
     return max(1, -(-members // BLOCK_MEMBERS))
 
 
+def pair_tasks(spark, rows: int, symbols: int) -> int:
+    """Tasks for work that grows with rows * symbols."""
+    floor = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return min(MAX_PAIR_TASKS, max(floor, rows * symbols // PAIRS_PER_TASK))
+
+
 def block_sides(df: DataFrame, member: Column, blocks: int) -> tuple[DataFrame, DataFrame]:
     """The left and right inputs of a block-pair join.
 
@@ -33,13 +41,18 @@ def block_sides(df: DataFrame, member: Column, blocks: int) -> tuple[DataFrame,
 
 
 def member_pairs(
-    df: DataFrame, keys: Sequence[str], member: str, carry: Sequence[str], blocks: int
+    df: DataFrame, keys: Sequence[str], member: str, carry: Sequence[str], blocks: int, rows: int = 0
 ) -> DataFrame:
     """Every unordered pair of members with equal keys, once.
 
-    Columns: keys, ``id0 < id1``, and ``carry`` suffixed 0 and 1 in the same order.
+    Columns: keys, ``id0 < id1``, and ``carry`` suffixed 0 and 1 in the same order. ``rows`` is the
+    input size when the pairs are many more than the rows; it sizes the tasks.
     """
     left, right = block_sides(df.select(*keys, member, *carry), F.col(member), blocks)
+    if rows:
+        home = ["_bl", "_br", *keys]
+        tasks = pair_tasks(df.sparkSession, rows, min(rows, blocks * BLOCK_MEMBERS))
+        left, right = left.repartition(tasks, *home), right.repartition(tasks, *home)
     left, right = left.alias("l"), right.alias("r")
     a, b = F.col(f"l.{member}"), F.col(f"r.{member}")
     condition = (F.col("l._bl") == F.col("r._bl")) & (F.col("l._br") == F.col("r._br"))
