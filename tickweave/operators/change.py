@@ -44,7 +44,7 @@ def emit_on_change(
     position = micros(order) if df.schema[order].dataType.typeName().startswith("timestamp") else F.col(order)
     cells = cells or Cells.fit(df, position)
     chunked = df.withColumn("_cell", cells.of(position).cast("int"))
-    groups = [*keys, "_cell"]
+    groups, columns, schema = [*keys, "_cell"], df.columns, df.schema
 
     def filtered(with_start: DataFrame) -> DataFrame:
         def keep(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -53,9 +53,9 @@ def emit_on_change(
             moved, _ = moved_positions(
                 pdf[value].to_numpy(), None if pd.isna(start) else float(start), rel)
             out = pdf.iloc[moved]
-            return out[out[value] != 0][df.columns]
+            return out[out[value] != 0][columns]
 
-        return with_start.groupBy(*groups).applyInPandas(keep, df.schema)
+        return with_start.groupBy(*groups).applyInPandas(keep, schema)
 
     if cells.single:
         return filtered(chunked.withColumn("_start", F.lit(None).cast("double")))

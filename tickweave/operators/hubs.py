@@ -11,6 +11,7 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tickweave.functions.sizing import BROADCAST_ROWS
 from tickweave.session import materialize
 
 EDGES_PER_SALT = 100_000
@@ -68,10 +69,13 @@ def expected_visits(
         adjacency.select("src", "salt", "dst", (F.lit(1.0 - stop) / F.col("degree")).alias("w"))
         .repartition("src", "salt").persist(StorageLevel.MEMORY_AND_DISK)
     )
+    small = nodes.agg(F.sum("salts").alias("n")).first()["n"] or 0
     base = nodes.select(F.col("node").alias("dst"), F.lit(1.0).alias("v"), "salts")
     x = nodes.select("node", "salts", F.lit(1.0).alias("x"))
     for i in range(1, iters + 1):
         spread = x.select(F.col("node").alias("src"), "x", every_salt().alias("salt"))
+        if small <= BROADCAST_ROWS:
+            spread = F.broadcast(spread)
         moved = weighted.join(spread, ["src", "salt"]).select(
             "dst", (F.col("x") * F.col("w")).alias("v"), F.lit(None).cast("int").alias("salts"))
         x = (

@@ -153,7 +153,7 @@ SNAPSHOT = f"""{NATION_SPANS}, q AS (SELECT DISTINCT date_trunc('quarter', o_ord
 snap AS (SELECT strftime(start_ts, '%Y-%m') AS query_id, start_ts, v0, v1 FROM q JOIN spans
   ON valid_from <= start_ts AND (valid_to IS NULL OR start_ts < valid_to)),
 snapj AS (SELECT query_id, start_ts, 'snapshots:[{{"time":"' || strftime(start_ts, '%m/%d/%Y,%H:%M:%S') || '","edges":[' ||
-    string_agg('{{"v0":"' || v0 || '","v1":"' || v1 || '"}}', ',' ORDER BY v0, v1) || ']}}]' AS snapshot FROM snap GROUP BY ALL)"""
+    string_agg('{{"v0":"' || v0 || '","v1":"' || v1 || '"}}', ',' ORDER BY v0, v1) || ']}}]' AS snapshot FROM snap GROUP BY query_id, start_ts)"""
 
 PATHS = f"""{NATION_SPANS}, pq AS (SELECT s_suppkey AS query_id, 'NATION_' || s_nationkey AS source,
     'NATION_' || ((s_nationkey + 1 + s_suppkey % 24) % 25) AS target,
@@ -162,13 +162,13 @@ PATHS = f"""{NATION_SPANS}, pq AS (SELECT s_suppkey AS query_id, 'NATION_' || s_
     CASE WHEN s_suppkey % 5 = 0 THEN INTERVAL 0 MONTH ELSE INTERVAL 3 MONTH END AS len FROM supplier),
 pq2 AS (SELECT *, s + len AS e, CASE WHEN s_suppkey_instant THEN s + INTERVAL 1 MICROSECOND ELSE s + len END AS e2
   FROM (SELECT *, query_id % 5 = 0 AS s_suppkey_instant FROM pq)),
-both AS (SELECT v0 AS src, v1 AS dst, valid_from, coalesce(valid_to, TIMESTAMP '9999-01-01') AS valid_to FROM spans
+ways AS (SELECT v0 AS src, v1 AS dst, valid_from, coalesce(valid_to, TIMESTAMP '9999-01-01') AS valid_to FROM spans
          UNION ALL SELECT v1, v0, valid_from, coalesce(valid_to, TIMESTAMP '9999-01-01') FROM spans),
 walks AS (
   SELECT query_id, source AS node, [source] AS path, s AS lo, e2 AS hi, 0 AS hops FROM pq2
   UNION ALL
   SELECT query_id, dst, list_append(path, dst), greatest(lo, valid_from), least(hi, valid_to), hops + 1
-  FROM walks JOIN both ON src = node AND NOT list_contains(path, dst)
+  FROM walks JOIN ways ON src = node AND NOT list_contains(path, dst)
     AND greatest(lo, valid_from) < least(hi, valid_to) WHERE hops < 3),
 hits AS (SELECT w.*, type, s, e FROM walks w JOIN pq2 p ON p.query_id = w.query_id AND w.node = p.target
   WHERE hops > 0 AND (type <> 'CONTINUOUS' OR (lo = s AND hi = e2))),
