@@ -136,7 +136,7 @@ def row_numbers(df, keys, order, position, cells, out) -> DataFrame:
 
 def explode_range(df, low, high, out, piece: int = 4096) -> DataFrame:
     """One row per integer in ``[low, high]``; two steps, so no row holds a huge array."""
-    outer = df.withColumn("_piece", F.explode(F.sequence(
+    outer = df.filter(low <= high).withColumn("_piece", F.explode(F.sequence(
         F.floor(low / piece), F.floor(high / piece))))
     first = F.greatest(low, F.col("_piece") * piece)
     last = F.least(high, F.col("_piece") * piece + (piece - 1))

@@ -42,6 +42,7 @@ def emit_on_change(
     of one sequential pass.
     """
     position = micros(order) if df.schema[order].dataType.typeName().startswith("timestamp") else F.col(order)
+    df = materialize(df)
     cells = cells or Cells.fit(df, position)
     chunked = df.withColumn("_cell", cells.of(position).cast("int"))
     groups, columns, schema = [*keys, "_cell"], df.columns, df.schema

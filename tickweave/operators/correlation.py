@@ -167,6 +167,7 @@ def hy_correlation(
     ``ticks`` are clamped and de-duplicated. Pairs without any overlap get 0.
     """
     keys = kind_keys(ticks)
+    ticks = materialize(ticks.select(*keys, "symbol", "ts", "value"))
     intervals, symbols, rows, members = _numbered_intervals(ticks, cells, scale)
     pair = [*keys, "s0", "s1"]
     numerators = overlap_join(intervals, members, rows=rows, member="sid").select(
@@ -215,6 +216,7 @@ def hy_correlation_sliding(
     however many windows it lives in.
     """
     keys = kind_keys(ticks)
+    ticks = materialize(ticks.select(*keys, "symbol", "ts", "value"))
     t0, size_us, advance_us, windows = grid or window_grid(ticks, size, advance)
     intervals, symbols, rows, members = _numbered_intervals(ticks, cells, scale)
 

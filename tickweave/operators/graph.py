@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tickweave.functions.cells import Cells, micros
 from tickweave.functions.ordered import following, previous
+from tickweave.session import materialize
 
 
 def canonical_edge(a: str | Column, b: str | Column) -> tuple[Column, Column]:
@@ -30,6 +31,7 @@ def edge_changes(
     flags = results.filter(F.col("value").isNotNull()).select(
         v0.alias("v0"), v1.alias("v1"), F.col(time).alias("ts"),
         (F.abs("value") >= limit).alias("is_add"))
+    flags = materialize(flags)  # the results behind it are computed once, not per consumer
     position = micros("ts")
     cells = cells or Cells.fit(flags, position)
     marked = previous(flags, ["v0", "v1"], ["ts"], ["is_add"], position, cells)
@@ -44,9 +46,10 @@ def edge_intervals(events: DataFrame, cells: Cells | None = None) -> DataFrame:
     Repeated adds and deletes change nothing. ``seq`` breaks ties in time when present.
     """
     order = ["ts", "seq"] if "seq" in events.columns else ["ts"]
+    edge = ["v0", "v1"]
+    events = materialize(events.select(*edge, *order, "is_add"))
     position = micros("ts")
     cells = cells or Cells.fit(events, position)
-    edge = ["v0", "v1"]
     marked = previous(events, edge, order, ["is_add"], position, cells)
     turns = marked.filter(
         F.col("is_add") != F.coalesce(F.col("prev.is_add"), F.lit(False))
