@@ -112,3 +112,9 @@ def test_many_blocks_give_the_same_correlation(spark, monkeypatch):
 def test_unknown_measure(spark):
     with pytest.raises(ValueError):
         C.pairwise_measure(ticks_frame(spark, [("a", 0, 1)]), "nope")
+
+
+def test_no_ticks(spark):
+    empty = ticks_frame(spark, [("a", 0, 1)]).filter("false")
+    assert C.hy_correlation(empty).count() == 0
+    assert C.hy_correlation_sliding(empty, "30 seconds", "1 second").count() == 0

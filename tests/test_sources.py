@@ -10,10 +10,10 @@ def lines(spark, *values):
 def test_parse_ticks_golden(spark):
     ticks, rejects = S.parse_ticks(lines(
         spark, "1,04/15/2016,10:48:16,123.45,x", "1,15/04/2016,10:48:16,1,1", "1,04/15/2016,10:48:16,abc,1",
-        "1,04/15/2016", ""))
+        "1,04/15/2016", "", "1,4/5/2016,1:2:3,1,1"))
     row = ticks.first()
     assert (row["symbol"], str(row["ts"]), row["value"], row["volume"]) == ("1", "2016-04-15 10:48:16", 123.45, 0)
-    assert ticks.count() == 1 and rejects.count() == 4
+    assert ticks.count() == 1 and rejects.count() == 5
 
 
 def test_profile_line_with_arrival(spark):

@@ -110,3 +110,34 @@ def test_dedup_stream(spark, tmp_path):
     write_files(tmp_path / "in", rows, 2)
     run(ST.write_stream(ST.dedup_stream(tick_stream(spark, tmp_path / "in")), str(tmp_path / "out"), str(tmp_path / "ck")))
     assert spark.read.parquet(str(tmp_path / "out")).count() == 3
+
+
+def test_focus_stream_equals_batch(spark, tmp_path):
+    from tickweave.operators.ordering import filter_focus_players
+
+    schema = "symbol string, ts timestamp, value double"
+    ticks = spark.createDataFrame([(s, at(t), 1.0 * t) for t in range(12) for s in "ab"], schema)
+    commands = spark.createDataFrame(
+        [("a", at(2), True), ("a", at(5), False), ("b", at(7), True), ("a", at(9), True)],
+        "symbol string, ts timestamp, is_add boolean")
+    for lo, hi in ((0, 4), (4, 8), (8, 12)):
+        for df, name in ((ticks, "ticks"), (commands, "commands")):
+            df.filter((F.col("ts") >= F.lit(at(lo))) & (F.col("ts") < F.lit(at(hi)))).coalesce(1) \
+                .write.mode("append").parquet(str(tmp_path / name))
+    read = lambda df, name: spark.readStream.schema(df.schema).option(
+        "maxFilesPerTrigger", 1).parquet(str(tmp_path / name))
+    passed = keyed.filter_members_stream(read(ticks, "ticks"), read(commands, "commands"), ["symbol"])
+    run(ST.write_stream(passed, str(tmp_path / "out"), str(tmp_path / "ck")))
+    want = filter_focus_players(ticks, commands.withColumnRenamed("symbol", "player"))
+    assert sorted(map(tuple, spark.read.parquet(str(tmp_path / "out")).collect())) == sorted(
+        tuple(r) for r in want.select("symbol", "ts", "value").collect())
+
+
+def test_batch_operator_per_micro_batch(spark, tmp_path):
+    from tickweave.operators.results import format_web
+
+    rows = [("a", t, t) for t in range(9)]
+    write_files(tmp_path / "in", rows, 3)
+    run(ST.apply_per_batch(tick_stream(spark, tmp_path / "in"), format_web, str(tmp_path / "out"), str(tmp_path / "ck")))
+    got = [r["line"] for r in spark.read.parquet(str(tmp_path / "out")).collect()]
+    assert len(got) == 9 and "w,a,01/01/2024,00:00:03,3.0" in got

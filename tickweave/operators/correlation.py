@@ -59,13 +59,17 @@ def tick_intervals(
 
 
 def number_interval_ends(intervals: DataFrame) -> DataFrame:
-    """Add ``begin_ord``/``end_ord`` to intervals that come without ticks."""
+    """Add ``begin_ord``/``end_ord`` to intervals that come without ticks.
+
+    Written once: both sides of the overlap join read it.
+    """
+    intervals = materialize(intervals)
     instants = intervals.select(F.explode(F.array("begin_ts", "end_ts")).alias("ts")).distinct()
     position = micros("ts")
     numbered = row_numbers(instants, [], ["ts"], position, Cells.fit(instants, position), "ord")
     begins = numbered.select(F.col("ts").alias("begin_ts"), F.col("ord").alias("begin_ord"))
     ends = numbered.select(F.col("ts").alias("end_ts"), F.col("ord").alias("end_ord"))
-    return intervals.join(begins, "begin_ts").join(ends, "end_ts")
+    return materialize(intervals.join(begins, "begin_ts").join(ends, "end_ts"))
 
 
 def overlap_join(

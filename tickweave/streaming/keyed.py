@@ -74,6 +74,35 @@ def emit_on_change_stream(
         outputMode="Append", timeMode="None")
 
 
+class _Member(StatefulProcessor):
+    """Keeps whether the key is a member; passes rows that arrive while it is."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.state = handle.getValueState("member", T.StructType([T.StructField("member", T.BooleanType())]))
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timer_values) -> Iterator[pd.DataFrame]:
+        batch = pd.concat(list(rows))
+        batch = batch.assign(_row=batch["is_add"].isna()).sort_values(["ts", "_row"], kind="stable")
+        first = bool(self.state.get()[0]) if self.state.exists() else False
+        member = batch["is_add"].ffill().fillna(first).astype(bool)
+        self.state.update((bool(member.iloc[-1]),))
+        yield batch[batch["_row"] & member].drop(columns=["_row", "is_add"])
+
+    def close(self) -> None:
+        pass
+
+
+def filter_members_stream(rows: DataFrame, commands: DataFrame, keys: list[str]) -> DataFrame:
+    """Stream rows whose key is a member, from a stream of ``(keys, ts, is_add)`` commands.
+
+    A command takes part in the micro-batch it arrives in and in all later ones.
+    """
+    both = rows.withColumn("is_add", F.lit(None).cast("boolean")).unionByName(
+        commands.select(*keys, "ts", "is_add"), allowMissingColumns=True)
+    return both.groupBy(*keys).transformWithStateInPandas(
+        statefulProcessor=_Member(), outputStructType=rows.schema, outputMode="Append", timeMode="None")
+
+
 def top_hubs_stream(updates: DataFrame, every: str = "10 seconds", lateness: str = "10 seconds") -> DataFrame:
     """The latest count of every node per closed period.
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -55,6 +57,24 @@ def write_stream(df: DataFrame, path: str, checkpoint: str, fmt: str = "parquet"
     )
 
 
+def apply_per_batch(
+    df: DataFrame, operator: Callable[[DataFrame], DataFrame], out: str, checkpoint: str, **trigger
+) -> StreamingQuery:
+    """Run a batch operator on every micro-batch; each batch owns one output folder.
+
+    For operators that need no state of earlier batches, and for those whose state is a stored
+    table they read themselves (a parameter log, an edge history, stored walks).
+    """
+
+    def run(batch: DataFrame, number: int) -> None:
+        operator(batch).write.mode("overwrite").parquet(f"{out}/batch={number}")
+
+    return (
+        df.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
+        .trigger(**(trigger or {"availableNow": True})).start()
+    )
+
+
 class VersionedState:
     """A small table per batch, so that a batch that runs again starts from the same state.
 
