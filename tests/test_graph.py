@@ -196,13 +196,16 @@ P_TYPES = ("SHORTEST", "CONTINUOUS", "EARLIEST", "REACHABILITY")
 
 
 def test_snapshots_with_many_points(spark, monkeypatch):
-    monkeypatch.setattr(snapshots, "POINTS_PER_CELL", 3)
     monkeypatch.setattr(snapshots, "BROADCAST_ROWS", 0)
     rng = random.Random(5)
     rows = [(f"n{i}", "z", f, f + rng.randrange(1, 30)) for i in range(30) for f in [rng.randrange(50)]]
     q = spark.createDataFrame([(i, at(i)) for i in range(60)], "query_id bigint, start_ts timestamp_ntz")
-    got = {(r["query_id"], r["v0"]) for r in snapshots.snapshot_at(spans(spark, rows), q).collect()}
-    assert got == {(t, n) for n, _, f, e in rows for t in range(60) if f <= t < e}
+    rows = [(n, z, f, None if i % 5 == 0 else e) for i, (n, z, f, e) in enumerate(rows)]
+    want = {(t, n) for n, _, f, e in rows for t in range(60) if f <= t and (e is None or t < e)}
+    for per_cell in (3, 1, 1000):
+        monkeypatch.setattr(snapshots, "POINTS_PER_CELL", per_cell)
+        got = [(r["query_id"], r["v0"]) for r in snapshots.snapshot_at(spans(spark, rows), q).collect()]
+        assert len(got) == len(set(got)) and set(got) == want
 
 
 def test_snapshot_states_and_json_parts(spark):

@@ -65,7 +65,7 @@ class Cells:
         return value // self.width if self.width else bisect_right(self.cuts, value)
 
     def of(self, value: Column) -> Column:
-        """The cell of a BIGINT column: search the block heads, then one block."""
+        """The cell of a BIGINT column (0 for null): search the block heads, then one block."""
         if self.width is not None:
             return F.floor(value / F.lit(self.width)).cast("int")
         if not self.cuts:

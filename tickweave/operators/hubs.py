@@ -253,8 +253,7 @@ def update_walks(
     kept = kept.withColumn("ending", F.when(F.col("step") == F.col("cut"), F.lit(None)).otherwise(F.col("ending")))
 
     # a redraw picks among all edges left, a reroute among the new ones
-    new_edges = added.withColumn(
-        "j", F.row_number().over(Window.partitionBy("src").orderBy("dst")) - 1)
+    new_edges = indexed_adjacency(added).select("src", F.col("i").alias("j"), "dst")
     sized = heads.join(touched, "node")
     any_edge = F.floor(_uniform(seed, F.lit("edge"), "walk_id", "gen", "step") * F.col("new_degree"))
     new_edge = F.floor(_uniform(seed, F.lit("edge"), "walk_id", "gen", "step") * F.col("gained"))
@@ -307,16 +306,21 @@ def top_hubs_windowed(updates: DataFrame, k: int | str = 10, every: str = "10 se
     ``k`` is a number or a column of ``updates`` (see ``with_parameter``); the largest k of the
     period holds.
     """
-    size = F.col(k) if isinstance(k, str) else F.lit(k)
     latest = updates.groupBy(F.window("ts", every).alias("w"), "node").agg(
-        F.max_by("visits", "seq").alias("visits"), F.max(size).alias("_k"))
-    ranked = latest.withColumn("rank", F.row_number().over(
-        Window.partitionBy("w").orderBy(F.desc("visits"), "node")))
+        F.max_by("visits", "seq").alias("visits"),
+        *([F.max(k).alias("_k")] if isinstance(k, str) else []))
+    most = k
     if isinstance(k, str):
-        ranked = ranked.withColumn("_k", F.max("_k").over(Window.partitionBy("w")))
-    return ranked.filter(F.col("rank") <= (F.col("_k") if isinstance(k, str) else k)).select(
-        F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
-        "rank", "node", "visits")
+        latest = materialize(latest)
+        sizes = latest.groupBy("w").agg(F.max("_k").alias("_k"))
+        most = sizes.agg(F.max("_k")).first()[0]
+    # a constant limit on the rank is applied before the shuffle as well
+    order = Window.partitionBy("w").orderBy(F.desc("visits"), "node")
+    ranked = latest.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= F.lit(int(most or 0)))
+    if isinstance(k, str):
+        ranked = ranked.drop("_k").join(sizes, "w").filter(F.col("rank") <= F.col("_k"))
+    return ranked.select(
+        F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "rank", "node", "visits")
 
 
 def hub_list(ranked: DataFrame, keys: list[str]) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickweave.functions.cells import Cells, from_micros, micros
-from tickweave.functions.ordered import as_of, previous, running_max
+from tickweave.functions.ordered import as_of, following, previous, running_max
 from tickweave.functions.sizing import BROADCAST_ROWS, at_most, broadcast_if_small
 
 
@@ -45,25 +45,21 @@ def filter_known_symbols(ticks: DataFrame, symbols: DataFrame) -> DataFrame:
     return ticks.join(broadcast_if_small(symbols.select("symbol")), "symbol", "left_semi")
 
 
+def settled_commands(commands: DataFrame, keys: list[str]) -> DataFrame:
+    """One command per key and instant: the last by ``seq``, or a removal when there is no order."""
+    newest = F.max_by("is_add", "seq") if "seq" in commands.columns else F.bool_and("is_add")
+    return commands.groupBy(*keys, "ts").agg(newest.alias("is_add"))
+
+
 def membership_ranges(commands: DataFrame, keys: list[str]) -> DataFrame:
     """Add/remove commands as half-open ranges ``[from_ts, to_ts)`` of membership."""
-    changes = commands.groupBy(*keys, "ts").agg(
-        F.max_by("is_add", "seq").alias("is_add") if "seq" in commands.columns
-        else F.bool_and("is_add").alias("is_add"))
+    changes = settled_commands(commands, keys)
     position = micros("ts")
     cells = Cells.fit(changes, position)
-    ranged = changes.transform(
-        lambda df: _with_next(df, keys, position, cells))
-    return ranged.filter("is_add").select(
+    return following(changes, keys, ["ts"], ["ts"], position, cells).filter("is_add").select(
         *keys, F.col("ts").alias("from_ts"), F.col("next.ts").alias("to_ts"))
 
 
-def _with_next(df, keys, position, cells):
-    from tickweave.functions.ordered import following
-
-    return following(df, keys, ["ts"], ["ts"], position, cells)
-
-
 def filter_members(
     rows: DataFrame, commands: DataFrame, keys: list[str], broadcast_rows: int = BROADCAST_ROWS
 ) -> DataFrame:
@@ -80,10 +76,7 @@ def filter_members(
         for key in keys:
             condition &= F.col(f"l.{key}") == F.col(f"r.{key}")
         return left.join(ranges, condition, "left_semi")
-    settled = commands.groupBy(*keys, "ts").agg(
-        F.max_by("is_add", "seq").alias("is_add") if "seq" in commands.columns
-        else F.bool_and("is_add").alias("is_add"))
-    known = as_of(rows, settled, keys, ["ts"], "is_add", micros("ts"), out="_member")
+    known = as_of(rows, settled_commands(commands, keys), keys, ["ts"], "is_add", micros("ts"), out="_member")
     return known.filter("_member").select(*rows.columns)
 
 

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-BLOCK_MEMBERS = 128
+BLOCK_MEMBERS = 256
 PAIRS_PER_TASK = 20_000_000
 MAX_PAIR_TASKS = 50_000
 

@@ -10,7 +10,7 @@ from tickweave.functions.ordered import explode_range
 from tickweave.functions.sizing import BROADCAST_ROWS
 from tickweave.functions.text import format_instant
 
-POINTS_PER_CELL = 64
+POINTS_PER_CELL = 1
 EDGES_PER_PART = 100_000
 
 
@@ -19,18 +19,23 @@ def points_in_spans(
 ) -> DataFrame:
     """Join points to the half-open spans ``[low, high)`` that hold them (null high = open).
 
-    Cells are cut at the quantiles of the points, so each holds about the same number of them; a
-    span goes to the cells it reaches and meets the points there by an equi-join. Few points are
-    broadcast, after the count that fitted the cells.
+    Cells are cut at the quantiles of the points, so each holds about the same number of them (one
+    instant, while there are no more instants than cells); a span goes to the cells it reaches and
+    meets the points there by an equi-join. Few points are broadcast, after the count that fitted
+    the cells.
     """
     cells = Cells.fit(points, at, rows_per_cell=POINTS_PER_CELL)
+    if cells.single:
+        first = points.agg(F.min(at).alias("at")).first()["at"]
+        cells = Cells((first or 0,), cells.rows)
     placed = points.withColumns({"_at": at, "_cell": cells.of(at).cast("bigint")})
     if cells.rows <= BROADCAST_ROWS:
         placed = F.broadcast(placed)
     reached = explode_range(
         spans.withColumns({"_low": low, "_high": high}),
         cells.of(F.col("_low")).cast("bigint"),
-        F.coalesce(cells.of(F.col("_high") - 1), F.lit(cells.count - 1)).cast("bigint"),
+        F.when(F.col("_high").isNull(), F.lit(cells.count - 1))
+        .otherwise(cells.of(F.col("_high") - 1)).cast("bigint"),
         "_cell")
     return (
         reached.join(placed, "_cell")
