@@ -92,6 +92,7 @@ def discretize(
     Columns ``(id0, id1, g, x, y)``, x for id0 and y for id1.
     """
     keys = kind_keys(ticks)
+    ticks = materialize(ticks.select(*keys, "symbol", "ts", "seq", "value"))
     samples = materialize(sample_basic_windows(ticks, interval))
     ranges = pair_ranges(ticks, multiplier)
     size = samples.groupBy(*keys, "symbol").count().agg(

@@ -27,6 +27,7 @@ def salted_adjacency(edges: DataFrame, edges_per_salt: int = EDGES_PER_SALT) ->
     ``nodes(node, degree, salts)`` lists every node; adjacency rows carry the salt of their
     source, its degree, and the ``salts`` of their target. Other edge columns are kept.
     """
+    edges = materialize(edges)
     degrees = edges.groupBy("src").agg(F.count(F.lit(1)).alias("degree"))
     nodes = materialize(
         _nodes(edges)
@@ -169,6 +170,7 @@ def walk_table(
     edges: DataFrame, walks: int = 10, stop: float = 0.2, seed: int = 7, cut_every: int = 8
 ) -> DataFrame:
     """Simulated walks ``(walk_id, gen, step, node, ending)``; ``gen`` counts re-draws."""
+    edges = materialize(edges.select("src", "dst").distinct())
     indexed = materialize(indexed_adjacency(edges))
     degrees = indexed.groupBy("src").agg(F.count(F.lit(1)).alias("degree"))
     starts = (
@@ -207,8 +209,8 @@ def update_walks(
     such step and walked on from there. Walks that meet no changed node are only copied. Give
     every update its own ``seed``, or its draws repeat those of the one before.
     """
-    before = edges_before.select("src", "dst").distinct()
-    wanted = changes.select("src", "dst", "is_add")
+    before = materialize(edges_before.select("src", "dst").distinct())
+    wanted = materialize(changes.select("src", "dst", "is_add"))
     added = wanted.filter("is_add").select("src", "dst").distinct().join(before, ["src", "dst"], "left_anti")
     removed = wanted.filter(~F.col("is_add")).select("src", "dst").distinct().join(
         before, ["src", "dst"], "left_semi")
