@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 BLOCK_MEMBERS = 256
 PAIRS_PER_TASK = 20_000_000
+WORTH_A_TASK = 100_000
 MAX_PAIR_TASKS = 50_000
 
 
@@ -19,8 +20,9 @@ def blocks_for(members: int) -> int:
 
 def pair_tasks(spark, rows: int, symbols: int) -> int:
     """Tasks for work that grows with rows * symbols."""
-    floor = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return min(MAX_PAIR_TASKS, max(floor, rows * symbols // PAIRS_PER_TASK))
+    pairs = rows * symbols
+    spread = min(int(spark.conf.get("spark.sql.shuffle.partitions")), pairs // WORTH_A_TASK + 1)
+    return min(MAX_PAIR_TASKS, max(spread, pairs // PAIRS_PER_TASK))
 
 
 def block_sides(df: DataFrame, member: Column, blocks: int) -> tuple[DataFrame, DataFrame]:

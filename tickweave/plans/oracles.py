@@ -331,7 +331,8 @@ def all_oracles() -> dict[str, str]:
               ON c.ts >= s AND c.ts < s + INTERVAL 2 MONTH)
             SELECT strftime(s, '%Y-%m') AS query_id, ts, v0, v1 FROM pts LEFT JOIN spans
               ON valid_from <= ts AND (valid_to IS NULL OR ts < valid_to)""",
-        "snapshot_json": f"WITH {SNAPSHOT} SELECT query_id, start_ts, 0 AS part, 1 AS parts, snapshot FROM snapj",
+        "snapshot_json": f"""WITH {SNAPSHOT} SELECT query_id, start_ts, CAST(0 AS BIGINT) AS part,
+            CAST(1 AS BIGINT) AS parts, snapshot FROM snapj""",
         "paths": f"WITH RECURSIVE {PATHS} SELECT query_id, path_found, path, start_ts, end_ts FROM ans",
         "format_correlation": f"""WITH {TYPE_WINDOWS} SELECT 'f,' || id0 || ',' || id1 || ',' ||
             strftime(window_end, '%m/%d/%Y,%H:%M:%S') || ',' || {_decimals('value')} AS line FROM win""",
