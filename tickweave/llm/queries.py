@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickweave.llm import winnowing
+from tickweave.llm import language_id, secrets, winnowing
 from tickweave.llm.frames import table
 
 
@@ -17,8 +17,26 @@ def op7_decontamination(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), "contaminated")
 
 
+def op1_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    base = secrets.KINDS[:3]
+    found = secrets.find_secrets(table(spark, folder, "documents"))
+    return found.select(
+        "doc_id", *[secrets.count_of("spans", k).alias(f"n_{k}") for k in base],
+        F.sha2(secrets.spans_text("spans", base), 256).alias("base_sha256"),
+        secrets.spans_text("spans").alias("spans"))
+
+
+def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text", "lang")
+    network = language_id.fit(docs)
+    return language_id.predict(docs.select("doc_id", "text"), network).select(
+        "doc_id", language_id.held_out("doc_id").alias("held_out"), "lang_pred", "score")
+
+
 QUERIES = {
+    "op1_secret_scan": op1_secret_scan,
     "op7_decontamination": op7_decontamination,
+    "op10_language_id": op10_language_id,
 }
 
 ORACLES: dict[str, str] = {}
