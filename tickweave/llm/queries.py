@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickweave.llm import language_id, secrets, winnowing
+from tickweave.llm import language_id, pieces, secrets, winnowing
 from tickweave.llm.frames import table
 
 
@@ -26,6 +26,10 @@ def op1_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
         secrets.spans_text("spans").alias("spans"))
 
 
+def op9_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    return pieces.encode_documents(table(spark, folder, "documents"))
+
+
 def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text", "lang")
     network = language_id.fit(docs)
@@ -36,6 +40,7 @@ def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
     "op7_decontamination": op7_decontamination,
+    "op9_sentencepiece": op9_sentencepiece,
     "op10_language_id": op10_language_id,
 }
 
