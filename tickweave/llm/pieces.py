@@ -31,7 +31,7 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁".encode()
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 BPE = 2
-KEPT_STRETCHES = 600_000   # stretches a worker remembers
+KEPT_STRETCHES = 800_000   # stretches a worker remembers
 SHORT = 64                 # bytes
 SLICE = 8 << 20
 
@@ -93,6 +93,12 @@ class Model:
         #: ASCII characters that no piece holds stand alone
         self.alone = np.array([b < 0x80 and chr(b) not in self.used for b in range(256)])
         self.alone[0x20] = False
+        self.endings: dict = {}
+        for piece, i in self.ids.items():
+            node = self.endings
+            for char in reversed(piece.decode()):
+                node = node.setdefault(char, {})
+            node[0] = i
         self.mark_inside = any(SPACE in p.lstrip(SPACE) for p in self.ids)
 
     @classmethod
@@ -148,17 +154,23 @@ class Model:
             known = self.pairs[key] = self.merged(left + right) == [left, right]
         return known
 
-    def short_path(self, raw: bytes) -> list[int]:
-        """The BPE path of a stretch that is shorter than the window, so nothing is committed early."""
-        get, pairs, longest = self.ids.get, self.id_pairs, self.longest
-        size = len(raw)
+    def short_path(self, text: str) -> list[int]:
+        """The BPE path of a stretch that is shorter than the window, so nothing is committed early.
+
+        Pieces that end at a position are found by walking a trie of reversed pieces backwards.
+        """
+        root, pairs = self.endings, self.id_pairs
+        size = len(text)
         origin, piece_at = [0] * (size + 1), [-1] * (size + 1)
-        start = -1
         for end in range(1, size + 1):
-            if end < size and raw[end] & 0xC0 == 0x80:
-                continue               # inside a character
-            for start in range(end - longest if end > longest else 0, end):
-                piece = get(raw[start:end])
+            node, start = root, end
+            while start:
+                start -= 1
+                node = node.get(text[start])
+                if node is None:
+                    origin[end] = end - 1          # a character without a piece
+                    break
+                piece = node.get(0)
                 if piece is None:
                     continue
                 before = piece_at[start]
@@ -166,33 +178,30 @@ class Model:
                     key = before << 20 | piece
                     fits = pairs.get(key)
                     if fits is None:
-                        if len(pairs) > 4 * KEPT_STRETCHES:
+                        if len(pairs) > 2 * KEPT_STRETCHES:
                             pairs.clear()
-                        fits = pairs[key] = self.follows(raw[origin[start]:start], raw[start:end])
+                        fits = pairs[key] = self.follows(
+                            text[origin[start]:start].encode(), text[start:end].encode())
                     if not fits:
                         continue
                 origin[end], piece_at[end] = start, piece
                 break
-            else:                      # a character without a piece
-                start = end - 1
-                while start and raw[start] & 0xC0 == 0x80:
-                    start -= 1
-                origin[end] = start
+            else:
+                origin[end] = end - 1
         parts, end = [], size
         while end:
-            start = origin[end]
             if piece_at[end] >= 0:
                 parts.append(piece_at[end])
             else:
-                parts += reversed(self.fallback(raw[start:end]))
-            end = start
+                parts += reversed(self.fallback(text[end - 1:end].encode()))
+            end = origin[end]
         parts.reverse()
         return parts
 
     def search(self, raw: bytes) -> list[int]:
         """Ids of a stretch of text whose spaces are space marks."""
         if self.bpe and len(raw) <= SHORT:
-            return self.short_path(raw)
+            return self.short_path(raw.decode())
         return self.stream(raw)
 
     def stream(self, raw: bytes) -> list[int]:
@@ -269,8 +278,28 @@ class Model:
         return np.frombuffer(b"".join(words), np.uint8), borders
 
 
+class Remembered:
+    """Ids of the stretches used lately: two generations, the older one is dropped when full."""
+
+    def __init__(self, size: int = KEPT_STRETCHES):
+        self.size, self.young, self.old = size // 2, {}, {}
+
+    def get(self, stretch: bytes) -> bytes | None:
+        ids = self.young.get(stretch)
+        if ids is None:
+            ids = self.old.get(stretch)
+            if ids is not None:
+                self.put(stretch, ids)
+        return ids
+
+    def put(self, stretch: bytes, ids: bytes) -> None:
+        if len(self.young) >= self.size:
+            self.old, self.young = self.young, {}
+        self.young[stretch] = ids
+
+
 _loaded: dict[str, Model] = {}
-_stretches: dict[str, dict[bytes, bytes]] = {}
+_stretches: dict[str, Remembered] = {}
 
 
 def model_of(path: str) -> Model:
@@ -279,7 +308,7 @@ def model_of(path: str) -> Model:
     return _loaded[path]
 
 
-def encode_slice(model: Model, known: dict[bytes, bytes], data: np.ndarray, offsets: np.ndarray):
+def encode_slice(model: Model, known: Remembered, data: np.ndarray, offsets: np.ndarray):
     """Ids of all texts of a slice, and the borders of the texts.
 
     Returns also the marked texts: the bytes that decoding must give back.
@@ -310,9 +339,7 @@ def encode_slice(model: Model, known: dict[bytes, bytes], data: np.ndarray, offs
         if ids is None:
             ids = np.array(model.search(stretch.replace(b" ", SPACE)), np.int32).tobytes()
             if high - low <= SHORT:
-                if len(known) >= KEPT_STRETCHES:
-                    known.clear()
-                known[stretch] = ids
+                known.put(stretch, ids)
         stretches.append(ids)
     flat = np.frombuffer(b"".join(stretches), np.int32)
     sizes = np.array([len(s) // 4 for s in stretches])
@@ -337,7 +364,7 @@ def encode(docs: DataFrame, text_col: str = "text", model_path: str = MODEL) ->
 
     def run(stream):
         model = model_of(model_path)
-        known = _stretches.setdefault(model_path, {})
+        known = _stretches.setdefault(model_path, Remembered())
         words, word_borders = model.table()
         for batch in stream:
             names = [f"c{i}" for i in range(batch.num_columns)]
