@@ -306,3 +306,15 @@ def to_binary(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.Arra
     content = data[ragged(starts, sizes)]
     return pa.Array.from_buffers(pa.binary(), len(sizes), [
         None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(content))])
+
+
+def minimiser_cuts(grams: np.ndarray, first: np.ndarray, k: int, window: int):
+    """Like ``minimiser_runs``, cut by the place of the minimiser instead of its value.
+
+    The leftmost of equal grams (by their upper 32 bits) is the minimiser, so the place is a matter
+    of the window's content alone; a run has at most ``window - k + 1`` windows.
+    """
+    place = np.arange(len(grams), dtype=U64)
+    key = (grams & U64(0xFFFFFFFF00000000)) | place
+    row, start, count, least = minimiser_runs(key, first, k, window)
+    return row, start, count, grams[(least & U64(0xFFFFFFFF)).astype(np.int64)]

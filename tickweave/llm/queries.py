@@ -5,10 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickweave.llm import language_id, pieces, secrets, winnowing
+from tickweave.llm import language_id, pieces, secrets, suffixes, superkmers, winnowing
 from tickweave.llm.frames import table
 
 
+def op2_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return suffixes.remove_repeats(table(spark, folder, "documents"), digest=True)
+
+
+def op8_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return superkmers.remove_repeats(table(spark, folder, "documents")).select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op7_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     found = winnowing.contamination(
         table(spark, folder, "documents"), table(spark, folder, "benchmark"))
@@ -39,7 +48,9 @@ def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
+    "op2_suffix_dedup": op2_suffix_dedup,
     "op7_decontamination": op7_decontamination,
+    "op8_substring_dedup": op8_substring_dedup,
     "op9_sentencepiece": op9_sentencepiece,
     "op10_language_id": op10_language_id,
 }
