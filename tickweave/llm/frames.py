@@ -37,6 +37,7 @@ def keyed_texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     ``(_id, _h)`` tells rows apart; rows that agree in both id and text are one document to the
     operators and get equal results. Columns of other names are left out, so none can clash.
     """
+    ship_code(docs.sparkSession)
     ident = F.col(f"`{id_col}`").cast("long")
     text = F.col(f"`{text_col}`").cast("string")
     return docs.select(

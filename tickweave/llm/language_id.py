@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickweave.llm import batches as B
-from tickweave.llm.frames import quoted
+from tickweave.llm.frames import quoted, ship_code
 
 WINDOW = 256
 WIDTHS = (2, 3, 4)
@@ -217,6 +217,7 @@ def predict(docs: DataFrame, network: Network | None, text_col: str = "text",
     Every window of the whole text counts with its share of the bytes. A null text or one without a
     letter is ``und``; so is everything when nothing could be learned.
     """
+    ship_code(docs.sparkSession)
     has_letter = F.coalesce(quoted(text_col).rlike(r"\p{L}"), F.lit(False))
     kept = [c for c in docs.columns if c not in (lang_out, score_out)]
     source = docs.select(*[quoted(c) for c in kept], has_letter.alias("_letter"))

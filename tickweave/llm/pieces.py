@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickweave.llm import batches as B
-from tickweave.llm.frames import quoted
+from tickweave.llm.frames import quoted, ship_code
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁".encode()
@@ -357,6 +357,7 @@ def encode(docs: DataFrame, text_col: str = "text", model_path: str = MODEL) ->
     is a space to the model; such a text comes back with spaces. All other columns are kept, but a
     column named ``ids`` or ``round_trip`` is replaced.
     """
+    ship_code(docs.sparkSession)
     kept = [c for c in docs.columns if c not in ("ids", "round_trip")]
     source = docs.select(*[quoted(c) for c in kept])
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema.fields)
@@ -422,6 +423,7 @@ def decodes(ids, borders, words, word_borders, marked, places) -> np.ndarray:
 def decode(encoded: DataFrame, ids_col: str = "ids", out: str = "decoded",
            model_path: str = MODEL) -> DataFrame:
     """Append the text that ``ids`` stand for (null ids give null; broken UTF-8 is replaced)."""
+    ship_code(encoded.sparkSession)
     kept = [c for c in encoded.columns if c != out]
     source = encoded.select(*[quoted(c) for c in kept])
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema.fields)

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickweave.llm import language_id, pieces, secrets, suffixes, superkmers, winnowing
+from tickweave.llm import (
+    language_id, lsh_forest, pieces, secrets, suffixes, superkmers, winnowing,
+)
 from tickweave.llm.frames import table
 
 
@@ -13,6 +15,10 @@ def op2_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return suffixes.remove_repeats(table(spark, folder, "documents"), digest=True)
 
 
+def op3_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return lsh_forest.jaccard_join(table(spark, folder, "documents"))
+
+
 def op8_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return superkmers.remove_repeats(table(spark, folder, "documents")).select(
         "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
@@ -49,6 +55,7 @@ def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
     "op2_suffix_dedup": op2_suffix_dedup,
+    "op3_jaccard_join": op3_jaccard_join,
     "op7_decontamination": op7_decontamination,
     "op8_substring_dedup": op8_substring_dedup,
     "op9_sentencepiece": op9_sentencepiece,
