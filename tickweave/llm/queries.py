@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickweave.llm import (
-    language_id, lsh_forest, pieces, secrets, suffixes, superkmers, winnowing,
+    language_id, line_templates, lsh_forest, pieces, secrets, suffixes, superkmers, winnowing,
 )
 from tickweave.llm.frames import table
 
@@ -24,6 +24,11 @@ def op8_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op5_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return line_templates.drop_recurring_lines(docs)
+
+
 def op7_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     found = winnowing.contamination(
         table(spark, folder, "documents"), table(spark, folder, "benchmark"))
@@ -56,6 +61,7 @@ QUERIES = {
     "op1_secret_scan": op1_secret_scan,
     "op2_suffix_dedup": op2_suffix_dedup,
     "op3_jaccard_join": op3_jaccard_join,
+    "op5_line_dedup": op5_line_dedup,
     "op7_decontamination": op7_decontamination,
     "op8_substring_dedup": op8_substring_dedup,
     "op9_sentencepiece": op9_sentencepiece,
