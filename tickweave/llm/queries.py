@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickweave.llm import (
-    language_id, line_templates, lsh_forest, pieces, secrets, suffixes, superkmers, winnowing,
+    curves, language_id, line_templates, lsh_forest, pieces, secrets, suffixes, superkmers, winnowing,
 )
 from tickweave.llm.frames import table
 
@@ -29,6 +29,12 @@ def op5_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return line_templates.drop_recurring_lines(docs)
 
 
+def op6_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = table(spark, folder, "embeddings")
+    asked = vectors.filter("vec_id % 100 = 0").select(F.col("vec_id").alias("query_id"))
+    return curves.nearest_neighbours(vectors, asked)
+
+
 def op7_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     found = winnowing.contamination(
         table(spark, folder, "documents"), table(spark, folder, "benchmark"))
@@ -62,6 +68,7 @@ QUERIES = {
     "op2_suffix_dedup": op2_suffix_dedup,
     "op3_jaccard_join": op3_jaccard_join,
     "op5_line_dedup": op5_line_dedup,
+    "op6_nearest_neighbours": op6_nearest_neighbours,
     "op7_decontamination": op7_decontamination,
     "op8_substring_dedup": op8_substring_dedup,
     "op9_sentencepiece": op9_sentencepiece,
