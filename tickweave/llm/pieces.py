@@ -31,9 +31,9 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁".encode()
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 BPE = 2
-KEPT_STRETCHES = 800_000   # stretches a worker remembers
+KEPT_STRETCHES = 500_000   # stretches a worker remembers
 SHORT = 64                 # bytes
-SLICE = 8 << 20
+SLICE = 4 << 20
 
 
 def proto_fields(data: bytes):
@@ -75,7 +75,6 @@ class Model:
     byte_ids: dict[int, int] = field(default_factory=dict)
     unknown: int = 0
     longest: int = 1
-    pairs: dict[tuple[bytes, bytes], bool] = field(default_factory=dict)
     id_pairs: dict[int, bool] = field(default_factory=dict)
 
     def __post_init__(self):
@@ -146,13 +145,7 @@ class Model:
 
     def follows(self, left: bytes, right: bytes) -> bool:
         """Whether merging the characters of two neighbours anew gives the same two."""
-        key = (left, right)
-        known = self.pairs.get(key)
-        if known is None:
-            if len(self.pairs) > KEPT_STRETCHES:
-                self.pairs.clear()
-            known = self.pairs[key] = self.merged(left + right) == [left, right]
-        return known
+        return self.merged(left + right) == [left, right]
 
     def short_path(self, text: str) -> list[int]:
         """The BPE path of a stretch that is shorter than the window, so nothing is committed early.
@@ -178,7 +171,7 @@ class Model:
                     key = before << 20 | piece
                     fits = pairs.get(key)
                     if fits is None:
-                        if len(pairs) > 2 * KEPT_STRETCHES:
+                        if len(pairs) > KEPT_STRETCHES:
                             pairs.clear()
                         fits = pairs[key] = self.follows(
                             text[origin[start]:start].encode(), text[start:end].encode())
