@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickweave.llm import (
-    curves, language_id, line_templates, lsh_forest, pieces, secrets, suffixes, superkmers, winnowing,
+    curves, language_id, line_templates, lm_scoring, lsh_forest, pieces, secrets, suffixes, superkmers, winnowing,
 )
 from tickweave.llm.frames import table
 
@@ -24,6 +24,11 @@ def op8_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op4_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    return lm_scoring.score_documents(
+        table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 def op5_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return line_templates.drop_recurring_lines(docs)
@@ -63,10 +68,17 @@ def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", language_id.held_out("doc_id").alias("held_out"), "lang_pred", "score")
 
 
+def pipeline(spark: SparkSession, folder: str) -> DataFrame:
+    import corpus_pipeline
+    return corpus_pipeline.run(spark, folder)
+
+
 QUERIES = {
+    "pipeline": pipeline,
     "op1_secret_scan": op1_secret_scan,
     "op2_suffix_dedup": op2_suffix_dedup,
     "op3_jaccard_join": op3_jaccard_join,
+    "op4_lm_scoring": op4_lm_scoring,
     "op5_line_dedup": op5_line_dedup,
     "op6_nearest_neighbours": op6_nearest_neighbours,
     "op7_decontamination": op7_decontamination,

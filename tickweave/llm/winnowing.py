@@ -109,16 +109,9 @@ def document_windows(docs: DataFrame, sizes: list[int], bits: np.ndarray) -> Dat
         run, f"_id long, _h long, doc_id long, n_words long, wins {WINS_DDL}")
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
-                  text_col: str = "text", item_col: str = "item_id") -> DataFrame:
-    """Per document: words, words inside benchmark windows, items met, and the verdict.
-
-    Words are maximal runs of ASCII letters and digits and all non-ASCII characters, A-Z lowered.
-    ``n_hit`` counts document words inside any occurrence of an item's window, ``items`` lists the
-    items with such a window (sorted as strings), ``contaminated`` is ``n_hit > 0`` and at least a
-    twentieth of the words. A null or empty text has no words and is clean; rows with equal id and
-    text get equal results, a null id is kept. Items without id, text or words match nothing.
-    """
+def judged_rows(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
+                text_col: str = "text", item_col: str = "item_id") -> DataFrame:
+    """The rows of ``contamination`` with the keys ``_id, _h`` of ``keyed_texts``."""
     wins = materialize(benchmark_windows(benchmark, item_col, text_col))
     sizes = sorted(r["size"] for r in wins.select("size").distinct().collect())  # at most 13
     found = materialize(document_windows(
@@ -143,6 +136,19 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     out = found.select(*key, "doc_id", "n_words").join(words, key, "left").join(items, key, "left")
     n_hit = F.coalesce("n_hit", F.lit(0)).cast("long")
     return out.select(
-        "doc_id", "n_words", n_hit.alias("n_hit"),
+        *key, "doc_id", "n_words", n_hit.alias("n_hit"),
         F.coalesce("items", no_items).alias("items"),
         ((n_hit > 0) & (n_hit * 20 >= F.col("n_words"))).alias("contaminated"))
+
+
+def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
+                  text_col: str = "text", item_col: str = "item_id") -> DataFrame:
+    """Per document: words, words inside benchmark windows, items met, and the verdict.
+
+    Words are maximal runs of ASCII letters and digits and all non-ASCII characters, A-Z lowered.
+    ``n_hit`` counts document words inside any occurrence of an item's window, ``items`` lists the
+    items with such a window (sorted as strings), ``contaminated`` is ``n_hit > 0`` and at least a
+    twentieth of the words. A null or empty text has no words and is clean; rows with equal id and
+    text get equal results, a null id is kept. Items without id, text or words match nothing.
+    """
+    return judged_rows(docs, benchmark, id_col, text_col, item_col).drop("_id", "_h")
