@@ -15,7 +15,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickweave.llm import batches as B
@@ -189,25 +189,22 @@ def held_out(id_col: str) -> Column:
 
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         lang_col: str = "lang") -> Network | None:
-    """Train on at most SAMPLE_PER_LANGUAGE documents of each of at most MAX_LANGUAGES languages.
+    """Train on about SAMPLE_PER_LANGUAGE documents of each of at most MAX_LANGUAGES languages.
 
-    Only rows that are not held out, with text and language, are eligible. The sample takes the
-    smallest hashes of the ids; first ids alone are ranked, then only their texts are fetched.
+    Only rows that are not held out, with id, text and language, are eligible. A row is in the
+    sample if the hash of its id falls below the share that its language needs, so no language
+    has to come together anywhere; the sample's size is bounded by the two parameters.
     """
-    ids = docs.filter(~held_out(id_col) & quoted(lang_col).isNotNull() & quoted(id_col).isNotNull())
-    rank = F.xxhash64(quoted(id_col).cast("long"))
-    rows = ids.select(quoted(id_col).cast("long").alias("id"), quoted(lang_col).alias("lang"),
-                      rank.alias("rank")).dropDuplicates(["id"])
-    place = F.row_number().over(Window.partitionBy("lang").orderBy("rank", "id"))
-    common = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES)
-    chosen = rows.withColumn("place", place).filter(F.col("place") <= SAMPLE_PER_LANGUAGE).join(
-        F.broadcast(common.select("lang")), "lang", "left_semi")
-    texts = ids.select(quoted(id_col).cast("long").alias("id"), quoted(text_col).alias("text"),
-                       quoted(lang_col).alias("lang")).filter("text is not null")
-    # the sample's size is bounded by the two parameters, so are the broadcast and what comes back
-    sample = texts.join(F.broadcast(chosen.select("id")), "id", "left_semi").distinct().collect()
-    sample.sort(key=lambda r: (r["id"], r["lang"], r["text"]))
-    return train([r["text"] for r in sample], [r["lang"] for r in sample])
+    rows = docs.filter(~held_out(id_col)).select(
+        quoted(id_col).cast("long").alias("id"), quoted(text_col).alias("text"),
+        quoted(lang_col).alias("lang")).filter("id is not null and lang is not null")
+    counts = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES)
+    share = counts.select("lang", (F.lit(SAMPLE_PER_LANGUAGE) / F.col("count")).alias("share"))
+    place = F.pmod(F.xxhash64("id"), F.lit(1 << 30)) / F.lit(1 << 30)
+    sample = rows.filter("text is not null").join(F.broadcast(share), "lang").filter(
+        place < F.col("share")).select("id", "lang", "text").collect()
+    sample = sorted({(r["id"], r["lang"], r["text"]) for r in sample})
+    return train([text for _, _, text in sample], [lang for _, lang, _ in sample])
 
 
 def predict(docs: DataFrame, network: Network | None, text_col: str = "text",
