@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickweave.llm import batches as B
-from tickweave.llm.frames import quoted, ship_code
+from tickweave.llm.frames import fresh, quoted, ship_code
 
 WINDOW = 256
 WIDTHS = (2, 3, 4)
@@ -29,6 +29,7 @@ SAMPLE_PER_LANGUAGE = 400  # labelled documents the network is fitted on, per la
 WINDOWS_PER_DOCUMENT = 4   # training windows of each of them, spread over the whole text
 MAX_LANGUAGES = 200        # bound of the output layer
 EPOCHS = 6
+MIN_STEPS = 400            # small samples are gone over more often
 UNKNOWN = "und"
 
 
@@ -147,9 +148,10 @@ def train(texts: list[str], labels: list[str], seed: int = 7) -> Network | None:
     first = {k: np.zeros_like(v) for k, v in params.items()}
     second = {k: np.zeros_like(v) for k, v in params.items()}
     step = 0
-    for _ in range(EPOCHS):
+    batches = max(1, len(windows) // 64)
+    for _ in range(max(EPOCHS, -(-MIN_STEPS // batches))):
         order = rng.permutation(len(windows))
-        for part in np.array_split(order, max(1, len(order) // 64)):
+        for part in np.array_split(order, batches):
             step += 1
             grads = gradients(net, windows[part], target[part], weight[part])
             for name, value in params.items():
@@ -217,7 +219,7 @@ def predict(docs: DataFrame, network: Network | None, text_col: str = "text",
     ship_code(docs.sparkSession)
     has_letter = F.coalesce(quoted(text_col).rlike(r"\p{L}"), F.lit(False))
     kept = [c for c in docs.columns if c not in (lang_out, score_out)]
-    source = docs.select(*[quoted(c) for c in kept], has_letter.alias("_letter"))
+    source = docs.select(*[quoted(c) for c in kept], has_letter.alias(*fresh(kept, "_letter")))
     fields = source.schema.fields[:-1]
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
     where = kept.index(text_col)
