@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickweave.llm import language_id, line_templates, lsh_forest, pieces, winnowing
-from tickweave.llm.frames import NO_ID, materialize, table
+from tickweave.llm.frames import NO_ID, fresh, materialize, table
 
 #: the least averaged probability of the predicted language that is accepted
 MIN_LANGUAGE_SCORE = 0.5
@@ -22,9 +22,10 @@ COPY_SHARE = 0.5
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without a letter or without a clear language go."""
     network = language_id.fit(docs)
-    predicted = language_id.predict(docs, network, lang_out="_lang", score_out="_score")
-    clear = (F.col("_lang") != language_id.UNKNOWN) & (F.col("_score") >= MIN_LANGUAGE_SCORE)
-    return predicted.filter(clear).select(*docs.columns)
+    lang, score = fresh(docs.columns, "_lang", "_score")
+    predicted = language_id.predict(docs, network, lang_out=lang, score_out=score)
+    clear = (F.col(lang) != language_id.UNKNOWN) & (F.col(score) >= MIN_LANGUAGE_SCORE)
+    return predicted.filter(clear).drop(lang, score)
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,10 +45,12 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a twentieth of their words inside benchmark windows go."""
     judged = winnowing.judged_rows(docs, table(spark, sf_dir, "benchmark"))
-    bad = judged.filter("contaminated").select("_id", "_h").distinct()
+    key_id, key_h = fresh(docs.columns, "_id", "_h")
+    bad = judged.filter("contaminated").select(
+        F.col("_id").alias(key_id), F.col("_h").alias(key_h)).distinct()
     ident = F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))
-    return docs.join(bad, (ident == bad["_id"]) & (
-        F.xxhash64(F.col("text").cast("string")) == bad["_h"]), "left_anti")
+    return docs.join(bad, (ident == F.col(key_id)) & (
+        F.xxhash64(F.col("text").cast("string")) == F.col(key_h)), "left_anti")
 
 
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

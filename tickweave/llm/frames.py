@@ -64,9 +64,21 @@ def sha256(data: bytes) -> str:
     return hashlib.sha256(data).hexdigest()
 
 
+def fresh(names, *wanted: str) -> list[str]:
+    """The wanted column names, lengthened where ``names`` already has them."""
+    taken = {n.lower() for n in names}
+    out = []
+    for name in wanted:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def quoted(name: str) -> Column:
     return F.col(f"`{name}`")
 
 
-__all__ = ["NO_ID", "arrow_schema", "keyed_texts", "list_array", "materialize", "quoted", "sha256",
+__all__ = ["NO_ID", "arrow_schema", "fresh", "keyed_texts", "list_array", "materialize", "quoted", "sha256",
            "table"]

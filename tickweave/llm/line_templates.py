@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickweave.llm import batches as B
-from tickweave.llm.frames import NO_ID, arrow_schema, keyed_texts, materialize
+from tickweave.llm.frames import NO_ID, arrow_schema, fresh, keyed_texts, materialize
 
 DEPTH = 3          # leading tokens
 OPEN_FROM = 8      # tokens a line needs for a template with an open quarter
@@ -131,15 +131,16 @@ def drop_recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str
     found = recurring_lines(keyed_texts(docs, id_col, text_col), min_documents, leave_copies)
     text = F.col(f"`{text_col}`").cast("string")
     ident = F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(NO_ID))
-    found = found.select(F.col("_id").alias("_key_id"), F.col("_h").alias("_key_h"),
-                         F.col("lines").alias("_drop"))
+    key_id, key_h, drop = fresh(docs.columns, "_key_id", "_key_h", "_drop")
+    found = found.select(F.col("_id").alias(key_id), F.col("_h").alias(key_h),
+                         F.col("lines").alias(drop))
     joined = docs.drop("n_lines", "n_dropped").join(
-        found, (ident == F.col("_key_id")) & (F.xxhash64(text) == F.col("_key_h")), "left")
+        found, (ident == F.col(key_id)) & (F.xxhash64(text) == F.col(key_h)), "left")
     parts = F.split(text, "\n", -1)
     kept = F.array_join(F.filter(
-        parts, lambda _, i: ~F.array_contains("_drop", i)), "\n")
-    columns = [F.when(F.col("_drop").isNull(), text).otherwise(kept).alias(c) if c == text_col
+        parts, lambda _, i: ~F.array_contains(drop, i)), "\n")
+    columns = [F.when(F.col(drop).isNull(), text).otherwise(kept).alias(c) if c == text_col
                else F.col(f"`{c}`") for c in docs.columns if c not in ("n_lines", "n_dropped")]
     return joined.select(
         *columns, F.when(text.isNull(), 0).otherwise(F.size(parts)).cast("long").alias("n_lines"),
-        F.when(F.col("_drop").isNull(), 0).otherwise(F.size("_drop")).cast("long").alias("n_dropped"))
+        F.when(F.col(drop).isNull(), 0).otherwise(F.size(drop)).cast("long").alias("n_dropped"))

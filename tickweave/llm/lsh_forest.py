@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickweave.llm import batches as B
-from tickweave.llm.frames import NO_ID, arrow_schema, keyed_texts, materialize
+from tickweave.llm.frames import NO_ID, arrow_schema, fresh, keyed_texts, materialize
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -315,10 +315,13 @@ def one_per_class(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     id and text are one document and stay or go together. Texts without words stay.
     """
     linked = linked_rows(docs, id_col, text_col, THRESHOLD, TARGET_RECALL, BLOCK_MEMBERS)
-    gone = linked.filter(~F.col("stays")).select("_id", "_h").distinct()
+    key_id, key_h = fresh(docs.columns, "_id", "_h")
+    gone = linked.filter(~F.col("stays")).select(
+        F.col("_id").alias(key_id), F.col("_h").alias(key_h)).distinct()
     text = F.col(f"`{text_col}`").cast("string")
     ident = F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(NO_ID))
-    return docs.join(gone, (ident == gone["_id"]) & (F.xxhash64(text) == gone["_h"]), "left_anti")
+    return docs.join(gone, (ident == F.col(key_id)) & (F.xxhash64(text) == F.col(key_h)),
+                     "left_anti")
 
 
 def set_codes(source: DataFrame, sets: DataFrame) -> DataFrame:
