@@ -2,13 +2,14 @@
 
 1. Each text is cut into runs of consecutive windows that share a minimiser. Equal windows have
    equal minimisers, so they meet in one bucket. A run carries a 128-bit hash of its content.
-2. Only minimisers that occur more than once go on (counts are summed before the shuffle).
+2. Only runs whose minimiser occurs more than once go on: minimisers are counted first, and a
+   bitmap of fixed size thins the runs inside the second scan.
 3. Equal runs become one string with a count and its first occurrence, so a hot text travels once.
 4. Where a bucket holds different strings, their content is fetched from the first occurrence and
    travels as one packed string to the bucket, which finds the windows they share. A bucket too
    large for one task is split: its windows are spread by their own hash.
 5. What was found about a string holds for all its occurrences; runs of windows return to the
-   documents, which are shuffled once for both fetching and marking.
+   documents.
 """
 
 from __future__ import annotations
@@ -21,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickweave.llm import batches as B
+from tickweave.llm.bitmaps import bitmap_of
 from tickweave.llm.frames import arrow_schema, materialize
 
 RUN_DDL = "_id long, _h long, start int, size int, least long, s1 long, s2 long"
@@ -28,8 +30,11 @@ NAME = ["least", "s1", "s2"]
 BUCKET_WINDOWS = 200_000   # beyond it a bucket's windows are spread by their own hash
 SPANS = pa.list_(pa.struct([("start", pa.int32()), ("size", pa.int32())]))
 SPANS_DDL = "array<struct<start:int,size:int>>"
-STRING_DDL = f"{RUN_DDL}, content binary"
-WINDOW_DDL = f"{RUN_DDL}, place int, w1 long, w2 long"
+#: a packed string has content; a window of a large bucket has a place and its own hash instead
+SENT_DDL = f"{RUN_DDL}, content binary, place int, w1 long, w2 long"
+MINIMISER_SLOTS = 1 << 27  # 16 MB
+DOCUMENT_SLOTS = 1 << 24   # 2 MB
+BUCKET_ROWS = 1024         # packed strings resolved together
 
 
 def span_lists(owner: np.ndarray, start: np.ndarray, size: np.ndarray, count: int) -> pa.Array:
@@ -87,43 +92,34 @@ def repeated_windows(
     ``resolve(table)`` takes packed strings of whole buckets and gives flags, owners and places of
     their windows.
     """
-    run_schema = arrow_schema(RUN_DDL)
-
-    def cut_runs(stream):
-        for piece in B.text_slices(stream):
-            row, start, size, least, s1, s2 = cut(piece)
-            at = pa.array(row)
-            yield B.batch_of(run_schema, piece.rows.column(0).take(at),
-                             piece.rows.column(1).take(at), start.astype(np.int32),
-                             size.astype(np.int32), B.longs(least), B.longs(s1), B.longs(s2))
-
-    runs = docs.mapInArrow(cut_runs, RUN_DDL)
-    often = runs.groupBy("least").count().filter("count > 1").select("least")
-    runs = materialize(runs.join(often, "least", "left_semi").select(*RUN_COLUMNS))
+    spark = docs.sparkSession
+    often = docs.mapInArrow(minimisers(cut), "least long").groupBy("least").count().filter(
+        "count > 1")
+    shared = spark.sparkContext.broadcast(bitmap_of(often, "least", MINIMISER_SLOTS))
+    runs = materialize(docs.mapInArrow(shared_runs(cut, shared), RUN_DDL))
 
     first = F.min(F.struct("_id", "_h", "start")).alias("first")
-    strings = runs.groupBy(*NAME).agg(F.count(F.lit(1)).alias("times"), first,
-                                      F.first("size").alias("size"))
-    strings = materialize(strings)
+    strings = materialize(runs.groupBy(*NAME).agg(
+        F.count(F.lit(1)).alias("times"), first, F.first("size").alias("size")))
     buckets = strings.groupBy("least").agg(
         F.count(F.lit(1)).alias("different"), F.sum("size").alias("windows"))
-    shared = strings.join(buckets.filter("different > 1"), "least")
-    wanted = shared.select("first._id", "first._h", F.struct(
-        F.col("first.start").alias("start"), "size", *NAME,
-        (F.col("windows") > bucket_windows).alias("large")).alias("run"))
-    wanted = wanted.groupBy("_id", "_h").agg(F.collect_list("run").alias("runs"))
-
-    dealt = docs.repartition("_id", "_h")
-    fetched = dealt.join(wanted, ["_id", "_h"], "left")
-    resolved_strings = fetched.mapInArrow(fetch_strings(content), STRING_DDL).repartition(
-        "least").sortWithinPartitions("least", "s1", "s2").mapInArrow(
+    wanted = strings.join(buckets.filter("different > 1"), "least").select(
+        "first._id", "first._h", F.struct(
+            F.col("first.start").alias("start"), "size", *NAME,
+            (F.col("windows") > bucket_windows).alias("large")).alias("run"))
+    wanted = materialize(wanted.groupBy("_id", "_h").agg(F.collect_list("run").alias("runs")))
+    holders = spark.sparkContext.broadcast(bitmap_of(wanted, "_h", DOCUMENT_SLOTS))
+    texts = docs.mapInArrow(rows_held(holders, "_h"), docs.schema)
+    sent = materialize(texts.join(wanted, ["_id", "_h"]).mapInArrow(
+        fetch(content, window_hashes), SENT_DDL))
+
+    packed = sent.filter("content is not null").drop("place", "w1", "w2")
+    resolved_strings = packed.repartition("least").sortWithinPartitions(
+        "least", "s1", "s2").mapInArrow(
         in_buckets(resolve), f"least long, s1 long, s2 long, spans {SPANS_DDL}")
-
-    has_large = bool(buckets.filter(
-        (F.col("different") > 1) & (F.col("windows") > bucket_windows)).take(1))
-    if has_large:
-        spread = fetched.mapInArrow(fetch_windows(window_hashes), WINDOW_DDL)
-        resolved_strings = resolved_strings.unionByName(by_window_hash(spread, keep_first))
+    windows = sent.filter("content is null").drop("content")
+    if windows.take(1):
+        resolved_strings = resolved_strings.unionByName(by_window_hash(windows, keep_first))
 
     found = strings.join(resolved_strings, NAME, "left").filter("times > 1 or spans is not null")
     marks = runs.join(found.select(*NAME, "times", "first", "spans"), NAME)
@@ -137,10 +133,44 @@ def repeated_windows(
     spans = marks.select("_id", "_h", shifted.alias("spans")).filter(
         F.size("spans") > 0).groupBy("_id", "_h").agg(
         F.flatten(F.collect_list("spans")).alias("spans"))
-    return dealt.join(spans, ["_id", "_h"], "left")
+    return docs.join(spans, ["_id", "_h"], "left")
+
+
+def minimisers(cut):
+    schema = arrow_schema("least long")
+
+    def run(stream):
+        for piece in B.text_slices(stream):
+            yield B.batch_of(schema, B.longs(cut(piece, hashes=False)[3]))
 
+    return run
 
-RUN_COLUMNS = ["_id", "_h", "start", "size", *NAME]
+
+def shared_runs(cut, shared):
+    schema = arrow_schema(RUN_DDL)
+
+    def run(stream):
+        for piece in B.text_slices(stream):
+            row, start, size, least, s1, s2 = cut(piece)
+            kept = shared.value.holds(least)
+            row, start, size = row[kept], start[kept], size[kept]
+            at = pa.array(row)
+            yield B.batch_of(schema, piece.rows.column(0).take(at), piece.rows.column(1).take(at),
+                             start.astype(np.int32), size.astype(np.int32), B.longs(least[kept]),
+                             B.longs(s1[kept]), B.longs(s2[kept]))
+
+    return run
+
+
+def rows_held(holders, column: str):
+    """Pass on the rows whose value in ``column`` may be in the bitmap."""
+    def run(stream):
+        for batch in stream:
+            if batch.num_rows:
+                values = batch.column(batch.schema.get_field_index(column)).to_numpy()
+                yield batch.filter(pa.array(holders.value.holds(values)))
+
+    return run
 
 
 def wanted_runs(piece: B.Slice, large: bool):
@@ -155,46 +185,36 @@ def wanted_runs(piece: B.Slice, large: bool):
     return row[chosen], flat
 
 
-def fetch_strings(content):
-    schema = arrow_schema(STRING_DDL)
+def fetch(content, window_hashes):
+    """Packed strings of the wanted runs; of large buckets the hashes of their windows."""
+    schema = arrow_schema(SENT_DDL)
 
-    def run(stream):
-        for piece in B.text_slices(stream):
-            row, flat = wanted_runs(piece, large=False)
-            if not len(row):
-                continue
-            start, size = flat.field("start").to_numpy(), flat.field("size").to_numpy()
-            at = pa.array(row)
-            yield B.batch_of(
-                schema, piece.rows.column(0).take(at), piece.rows.column(1).take(at), start, size,
-                *[flat.field(name) for name in NAME], content(piece, row, start, size))
-
-    return run
-
-
-def fetch_windows(window_hashes):
-    schema = arrow_schema(WINDOW_DDL)
+    def columns(piece, row, flat):
+        at = pa.array(row)
+        return [piece.rows.column(0).take(at), piece.rows.column(1).take(at),
+                *[flat.field(n) for n in ("start", "size", *NAME)]]
 
     def run(stream):
         for piece in B.text_slices(stream):
+            row, flat = wanted_runs(piece, large=False)
+            if len(row):
+                start, size = flat.field("start").to_numpy(), flat.field("size").to_numpy()
+                nothing = [pa.nulls(len(row), f.type) for f in list(schema)[-3:]]
+                yield B.batch_of(schema, *columns(piece, row, flat),
+                                 content(piece, row, start, size), *nothing)
             row, flat = wanted_runs(piece, large=True)
-            if not len(row):
-                continue
-            start, size = flat.field("start").to_numpy(), flat.field("size").to_numpy()
-            each, place = np.repeat(np.arange(len(row)), size), B.ramp(size)
-            flat = flat.take(pa.array(each))
-            row, start = row[each], start[each]
-            w1, w2 = window_hashes(piece, row, start + place)
-            at = pa.array(row)
-            yield B.batch_of(
-                schema, piece.rows.column(0).take(at), piece.rows.column(1).take(at), start,
-                flat.field("size"), *[flat.field(name) for name in NAME], place.astype(np.int32),
-                B.longs(w1), B.longs(w2))
+            if len(row):
+                start, size = flat.field("start").to_numpy(), flat.field("size").to_numpy()
+                each, place = np.repeat(np.arange(len(row)), size), B.ramp(size)
+                w1, w2 = window_hashes(piece, row[each], start[each] + place)
+                yield B.batch_of(schema, *columns(piece, row[each], flat.take(pa.array(each))),
+                                 pa.nulls(len(each), pa.binary()), place.astype(np.int32),
+                                 B.longs(w1), B.longs(w2))
 
     return run
 
 
-def in_buckets(resolve, rows: int = 4096):
+def in_buckets(resolve, rows: int = BUCKET_ROWS):
     schema = pa.schema([("least", pa.int64()), ("s1", pa.int64()), ("s2", pa.int64()),
                         ("spans", SPANS)])
 

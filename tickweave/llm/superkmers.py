@@ -1,6 +1,6 @@
 """Substring dedup over words: windows of 20 words that occurred before are removed.
 
-Consecutive windows that share a minimiser (the smallest hash of their 2-word grams) travel as one
+Consecutive windows that share a minimiser (the smallest hash of their 5-word grams) travel as one
 packed string of words to the minimiser's bucket; there the windows of all strings are sorted, so
 equal windows lie side by side and the first occurrence of each is known exactly.
 """
@@ -16,17 +16,20 @@ from tickweave.llm.frames import arrow_schema, keyed_texts
 from tickweave.llm.repeats import BUCKET_WINDOWS, covered, repeated_windows
 
 WINDOW = 20
-GRAM = 2
+GRAM = 5
 
 
 def rolls(codes: np.ndarray) -> tuple[B.Rolling, B.Rolling]:
     return B.Rolling(codes, 0), B.Rolling(B.mix(codes), 1)
 
 
-def cut(piece: B.Slice):
+def cut(piece: B.Slice, hashes: bool = True):
     words = B.find_words(piece.data, piece.offsets)
-    one, two = rolls(words.code)
+    one = B.Rolling(words.code, 0)
     row, start, size, least = B.minimiser_cuts(one.grams(GRAM), words.first, GRAM, WINDOW)
+    if not hashes:
+        return row, start, size, least
+    two = B.Rolling(B.mix(words.code), 1)
     end = start + size + WINDOW - 1
     return row, start - words.first[row], size, least, one.ranges(start, end), two.ranges(start, end)
 
