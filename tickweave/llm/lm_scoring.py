@@ -108,7 +108,7 @@ class Models:
         """Negative log2 probability of each token."""
         single = (self.words[model][word] + 1.0) / (self.total[model] + WORDS)
         chance = (self.bigrams[model][bigram] + MU * single) / (self.heads[model][before] + MU)
-        return -np.log2(np.minimum(chance, 1.0))
+        return -np.log2(np.minimum(chance, 1.0))  # bigrams may share a cell
 
 
 def fit(marked: DataFrame) -> Models:
