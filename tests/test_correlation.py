@@ -75,9 +75,8 @@ def test_hot_symbol_and_burst(spark):
 
 
 @pytest.mark.parametrize("seed,size,advance", [(5, 30, 10), (6, 20, 7)])
-def test_sliding_matches_per_tick_model(spark, monkeypatch, seed, size, advance):
+def test_sliding_matches_per_tick_model(spark, seed, size, advance):
     rows = random_rows(seed, symbols=4, ticks=120)
-    monkeypatch.setattr(C, "WINDOWS_PER_CELL", 3)
     got = C.hy_correlation_sliding(clean_frame(spark, rows), f"{size} seconds", f"{advance} seconds")
     got = {(r["id0"], r["id1"], secs(r["window_start"])): r["value"] for r in got.collect()}
     want = sliding(clean_rows(rows), size, advance)
@@ -85,6 +84,23 @@ def test_sliding_matches_per_tick_model(spark, monkeypatch, seed, size, advance)
     assert all(got[k] == pytest.approx(want[k], abs=1e-9) for k in want)
 
 
+@pytest.mark.parametrize("scale,high", [(None, 1_000_000.3), (None, 1e9), (4, 1e9), (100, 1e12)])
+def test_a_spike_leaves_nothing_behind(spark, scale, high):
+    """After a huge move has left the window, small moves count exactly again."""
+    moves = [0.0, 0.25, -0.5, 0.75, 0.25, -0.25, 0.5]
+    rows = []
+    for t in range(0, 90):
+        rows.append(("a", t, high if t == 5 else 100 + moves[t % 7]))
+        rows.append(("b", t + 0.5, 100 + moves[(t * 3) % 7]))
+        if t % 2:
+            rows.append(("c", t + 0.25, 100 + moves[(t * 5) % 7]))
+    got = C.hy_correlation_sliding(ticks_frame(spark, rows), "30 seconds", "1 second", scale=scale)
+    got = {(r["id0"], r["id1"], secs(r["window_start"])): r["value"] for r in got.collect()}
+    want = sliding(rows, 30, 1)
+    assert got.keys() == want.keys()
+    assert all(got[k] == pytest.approx(want[k], abs=1e-9) for k in want)
+
+
 def test_no_window_before_the_first_one_closes(spark):
     frame = ticks_frame(spark, [("a", 0, 1), ("b", 1, 2), ("a", 2, 3), ("b", 3, 1)])
     assert C.hy_correlation_sliding(frame, "30 seconds", "1 second").count() == 0

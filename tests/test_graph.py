@@ -238,3 +238,69 @@ def test_replay_lists_a_result_once_per_ticket(spark):
                                   "ticket int, start_ts timestamp_ntz, end_ts timestamp_ntz, players array<string>")
     got = sorted((r["ticket"], r["id1"]) for r in results.replay_selection(df, asked).collect())
     assert got == [(1, "b"), (2, "c")]
+
+
+def test_ties_do_not_depend_on_row_order(spark):
+    import itertools
+    rows = [("a", "b", at(1), 0.9), ("b", "a", at(1), 0.1), ("a", "b", at(2), 0.2), ("b", "a", at(2), 0.1)]
+    seen = set()
+    for order in itertools.permutations(rows):
+        frame = spark.createDataFrame(list(order), "id0 string, id1 string, window_end timestamp_ntz, value double")
+        seen.add(tuple(map(tuple, graph.edge_changes(frame, 0.7).orderBy("ts").collect())))
+        if len(seen) > 1:
+            break
+    assert seen == {(("a", "b", at(1), True), ("a", "b", at(2), False))}
+    events = [("a", "b", at(1), True), ("a", "b", at(3), False), ("a", "b", at(3), True), ("a", "b", at(5), True)]
+    for order in (events, events[::-1]):
+        frame = spark.createDataFrame(order, "v0 string, v1 string, ts timestamp_ntz, is_add boolean")
+        got = sorted((r["valid_from"], r["valid_to"] or at(99)) for r in graph.edge_intervals(frame).collect())
+        assert got == [(at(1), at(3)), (at(5), at(99))]
+
+
+def test_paths_of_any_length(spark):
+    edges = [(f"n{i}", f"n{i + 1}", 0, None) for i in range(9)]
+    q = spark.createDataFrame(
+        [(1, at(1), at(9), "n0", "n9", "REACHABILITY"), (2, at(1), at(9), "n0", "n9", "EARLIEST"),
+         (3, at(1), at(9), "n0", "x", "SHORTEST")],
+        "query_id int, start_ts timestamp_ntz, end_ts timestamp_ntz, source string, target string, type string")
+    got = {r["query_id"]: r["path"] for r in P.paths(spans(spark, edges), q).collect()}
+    assert got == {1: [f"n{i}" for i in range(10)], 2: [f"n{i}" for i in range(10)], 3: None}
+
+
+def test_returning_node_starts_no_second_walks(spark):
+    edges = undirected(spark, [("a", "b"), ("b", "c"), ("c", "d")])
+    walks = hubs.walk_table(edges, walks=10)
+    log = "src string, dst string, is_add boolean"
+    both = lambda x, y, add: spark.createDataFrame([(x, y, add), (y, x, add)], log)
+    walks = hubs.update_walks(walks, edges, both("a", "b", False), seed=21)
+    walks = hubs.update_walks(walks, undirected(spark, [("b", "c"), ("c", "d")]), both("a", "b", True), seed=22)
+    walks = hubs.update_walks(walks, edges, both("e", "a", True), seed=23)
+    now = undirected(spark, [("a", "b"), ("b", "c"), ("c", "d"), ("a", "e")])
+    got = {r["node"]: tuple(r)[1:] for r in hubs.walk_checks(walks, now).collect()}
+    assert got == {n: (10, 0, 0) for n in "abcde"}
+
+
+def test_empty_snapshot_has_an_answer(spark):
+    q = spark.createDataFrame([("early", at(1)), ("late", at(6))], "query_id string, start_ts timestamp_ntz")
+    found = snapshots.snapshot_at(spans(spark, [("a", "b", 5, None)]), q)
+    texts = snapshots.snapshot_json(found, ["query_id"], "start_ts").collect()
+    assert {r["query_id"]: r["snapshot"].count("v0") for r in texts} == {"early": 0, "late": 1}
+
+
+def test_null_parameter_is_no_change(spark):
+    from tickweave.operators import params
+    rows = spark.createDataFrame([(at(t),) for t in (0, 2, 4)], "ts timestamp_ntz")
+    log = spark.createDataFrame([("k", 5.0, at(1)), ("k", None, at(3))], "name string, value double, ts timestamp_ntz")
+    for steps in (4096, 0):
+        got = params.with_parameter(rows, log, "k", 1.0, step_changes=steps).orderBy("ts").collect()
+        assert [r["k"] for r in got] == [1.0, 5.0, 5.0]
+
+
+def test_list_size_at_the_end_of_the_period(spark):
+    updates = spark.createDataFrame(
+        [(f"n{i}", 10 - i, at(t), t * 10 + i) for t in (1, 11) for i in range(4)],
+        "node string, visits bigint, ts timestamp_ntz, seq bigint")
+    log = spark.createDataFrame([("hubListSize", 3.0, at(2)), ("hubListSize", 1.0, at(5)),
+                                 ("hubListSize", 2.0, at(19))], "name string, value double, ts timestamp_ntz")
+    got = hubs.top_hubs_windowed(updates, 4, "10 seconds", log).groupBy("window_start").count()
+    assert [r["count"] for r in got.orderBy("window_start").collect()] == [1, 2]

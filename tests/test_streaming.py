@@ -70,6 +70,24 @@ def result_stream(spark, folder):
     return df, stream
 
 
+def test_correlation_stream_keeps_kinds_apart(spark, tmp_path):
+    """The last tick before the open windows is kept for each kind of a symbol."""
+    rows = random_rows(23, symbols=2, ticks=90)
+    write_files(tmp_path / "in", rows, 15)
+    ticks = tick_stream(spark, tmp_path / "in")
+    both = ticks.withColumn("kind", F.explode(F.array(F.lit("f"), F.lit("w")))).withColumn(
+        "value", F.when(F.col("kind") == "f", F.col("value")).otherwise(200 - F.col("value"))).withColumn(
+        "seq", F.col("seq") * 2 + (F.col("kind") == "w").cast("bigint"))
+    out = str(tmp_path / "out")
+    run(SC.hy_correlation_stream(both, out, str(tmp_path / "ck"), "30 seconds", "10 seconds"))
+    want = sliding(clean_rows(rows), 30, 10)
+    for kind in "fw":
+        got = {(r["id0"], r["id1"], secs(r["window_start"])): r["value"]
+               for r in spark.read.parquet(out).filter(F.col("kind") == kind).collect()}
+        assert got.keys() == want.keys() and len(want) > 5
+        assert all(got[k] == pytest.approx(want[k], abs=1e-9) for k in want)
+
+
 def test_edge_changes_and_change_filter_streams_equal_batch(spark, tmp_path):
     df, stream = result_stream(spark, tmp_path / "in")
     run(ST.write_stream(keyed.edge_changes_stream(stream), str(tmp_path / "edges"), str(tmp_path / "ck1")))

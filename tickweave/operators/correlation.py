@@ -9,16 +9,14 @@ candidate pairs stays proportional to the number of real overlaps.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickweave.functions.cells import Cells, from_micros, interval_micros, micros
-from tickweave.functions.ordered import explode_range, following, previous, row_numbers, running_sums
+from tickweave.functions.ordered import explode_range, previous, row_numbers
 from tickweave.operators.pairs import block_sides, blocks_for, member_pairs, pair_tasks
 from tickweave.session import materialize
 
-WINDOWS_PER_CELL = 1_000_000
-
 
 def kind_keys(df: DataFrame) -> list[str]:
     """Streams of different kinds never pair; without the column there is one kind."""
@@ -138,13 +136,16 @@ def _numbered_intervals(
     """``(intervals, symbols, interval count, symbol count)``.
 
     Both tables are written once because several consumers read them. The symbol table numbers the
-    symbols in lexicographic order: pair sums then group by two integers instead of two strings.
+    symbols: pair sums then group by two integers instead of two strings.
     """
     intervals = materialize(tick_intervals(ticks, cells, scale, numbered=True))
     keys = kind_keys(intervals)
     per_symbol = intervals.groupBy(*keys, "symbol").agg(F.count(F.lit(1)).alias("n"))
-    symbols = materialize(per_symbol.withColumn(
-        "sid", F.row_number().over(Window.partitionBy(*(keys or [F.lit(0)])).orderBy("symbol"))))
+    # all kinds share one numbering; its cells split a large symbol list over tasks
+    per_symbol = materialize(per_symbol.withColumn("_at", F.xxhash64("symbol")))
+    symbols = materialize(row_numbers(
+        per_symbol, [], ["_at", "symbol", *keys], F.col("_at"),
+        Cells.fit(per_symbol, F.col("_at")), "sid").drop("_at"))
     size = symbols.agg(F.sum("n").alias("rows"), F.count(F.lit(1)).alias("symbols")).first()
     return (
         intervals.join(symbols.drop("n"), [*keys, "symbol"]),
@@ -155,12 +156,12 @@ def _numbered_intervals(
 
 
 def _named(df: DataFrame, symbols: DataFrame) -> DataFrame:
-    """Replace the symbol numbers ``s0``/``s1`` by ``id0``/``id1``."""
+    """Replace the symbol numbers ``s0``/``s1`` by the names ``id0 < id1``."""
     keys = kind_keys(df)
     for i in (0, 1):
         names = symbols.withColumnsRenamed({"sid": f"s{i}", "symbol": f"id{i}"})
         df = df.join(names, [*keys, f"s{i}"])
-    return df
+    return df.withColumns({"id0": F.least("id0", "id1"), "id1": F.greatest("id0", "id1")})
 
 
 def hy_correlation(
@@ -179,7 +180,7 @@ def hy_correlation(
         (F.col("delta0") * F.col("delta1")).alias("num"), F.lit(None).cast("double").alias("norm"))
     squares = intervals.groupBy(*keys, "sid").agg(
         F.sum(F.col("delta") * F.col("delta")).alias("ss")).filter("ss > 0")
-    grid = member_pairs(squares, keys, "sid", ["ss"], max(8, blocks_for(members))).select(
+    grid = member_pairs(squares, keys, "sid", ["ss"], max(8, blocks_for(members)), rows=members).select(
         *keys, F.col("id0").alias("s0"), F.col("id1").alias("s1"),
         F.lit(0.0).alias("num"), (F.sqrt("ss0") * F.sqrt("ss1")).alias("norm"))
     summed = (
@@ -215,9 +216,9 @@ def hy_correlation_sliding(
 ) -> DataFrame:
     """Correlation per sliding window: ``(id0, id1, window_start, window_end, value)``.
 
-    Window W uses the intervals with ``W <= end < W + size``. Each overlap adds its product at the
-    first window that holds both ends and takes it back after the last one, so it costs two rows
-    however many windows it lives in.
+    Window W uses the intervals with ``W <= end < W + size``. The windows that hold an overlap are
+    a range; its product goes to the aligned parts of that range, and a window adds up the parts
+    that hold it.
     """
     keys = kind_keys(ticks)
     ticks = materialize(ticks.select(*keys, "symbol", "ts", "value"))
@@ -232,58 +233,61 @@ def hy_correlation_sliding(
     }).filter("k_lo <= k_hi")
 
     pair = [*keys, "s0", "s1"]
-    k_cells = Cells.uniform(WINDOWS_PER_CELL, windows)
-    k = F.col("k")
-
-    def edges(low, high, names, amounts):
-        """+amount at the first window, -amount after the last."""
-        return F.explode(F.array(
-            F.struct(low.alias("k"), *[F.col(a).alias(n) for n, a in zip(names, amounts)]),
-            F.struct((high + 1).alias("k"), *[(-F.col(a)).alias(n) for n, a in zip(names, amounts)])))
-
-    squares = (
-        held.select(
-            *keys, "sid", "k_lo", "k_hi",
-            (F.col("delta") * F.col("delta")).alias("sq"),
-            (F.col("delta") != 0).cast("bigint").alias("moved"))
-        .filter("moved = 1")
-        .select(*keys, "sid", edges(F.col("k_lo"), F.col("k_hi"), ["ss", "nz"], ["sq", "moved"]).alias("e"))
-        .select(*keys, "sid", "e.*")
-        .groupBy(*keys, "sid", "k").agg(F.sum("ss").alias("ss"), F.sum("nz").alias("nz"))
-    )
-    level = running_sums(squares, [*keys, "sid"], ["k"], ["ss", "nz"], k, k_cells, "level")
-    level = following(level, [*keys, "sid"], ["k"], ["k"], k, k_cells)
-    dense = explode_range(
-        level.filter("level.nz > 0").select(
-            *keys, "sid", F.col("level.ss").alias("ss"), F.col("k").alias("_k0"),
-            (F.col("next.k") - 1).alias("_k1")),
-        F.col("_k0"), F.col("_k1"), "k").drop("_k0", "_k1")
+    levels = (size_us // advance_us + 2).bit_length()
+    squares = per_window(
+        held.filter("delta != 0").select(
+            *keys, "sid", "k_lo", "k_hi", (F.col("delta") * F.col("delta")).alias("ss")),
+        [*keys, "sid"], "k_lo", "k_hi", "ss", levels).groupBy(*keys, "sid", "k").agg(
+        F.sum("ss").alias("ss")).filter("ss > 0")
     grid_rows = member_pairs(
-        dense, [*keys, "k"], "sid", ["ss"], blocks_for(members), rows=members * windows).select(
-        *keys, F.col("id0").alias("s0"), F.col("id1").alias("s1"), "k", F.lit(0.0).alias("num"), (F.sqrt("ss0") * F.sqrt("ss1")).alias("norm"))
-
-    overlaps = overlap_join(held, members, carry=("k_lo", "k_hi"), rows=rows, member="sid")
-    changes = (
-        overlaps.select(
-            *keys, F.col("id0").alias("s0"), F.col("id1").alias("s1"),
-            (F.col("delta0") * F.col("delta1")).alias("c"),
-            F.greatest("k_lo0", "k_lo1").alias("lo"),
-            F.least("k_hi0", "k_hi1").alias("hi"))
-        .filter("lo <= hi AND c != 0")
-        .select(*pair, edges(F.col("lo"), F.col("hi"), ["num"], ["c"]).alias("e"))
-        .select(*pair, "e.*", F.lit(None).cast("double").alias("norm"))
-    )
-    summed = changes.unionByName(grid_rows).groupBy(*pair, "k").agg(
-        F.sum("num").alias("num"), F.max("norm").alias("norm"))
-    running = running_sums(summed, pair, ["k"], ["num"], k, k_cells, "total")
-    return _named(running.filter("norm IS NOT NULL"), symbols).select(
+        squares, [*keys, "k"], "sid", ["ss"], blocks_for(members), rows=members * windows).select(
+        *keys, F.col("id0").alias("s0"), F.col("id1").alias("s1"), "k",
+        F.lit(0.0).alias("num"), (F.sqrt("ss0") * F.sqrt("ss1")).alias("norm"))
+
+    overlaps = overlap_join(held, members, carry=("k_lo", "k_hi"), rows=rows, member="sid").select(
+        *keys, F.col("id0").alias("s0"), F.col("id1").alias("s1"),
+        (F.col("delta0") * F.col("delta1")).alias("num"),
+        F.greatest("k_lo0", "k_lo1").alias("lo"), F.least("k_hi0", "k_hi1").alias("hi"))
+    products = per_window(overlaps.filter("lo <= hi AND num != 0"), pair, "lo", "hi", "num", levels)
+    summed = products.withColumn("norm", F.lit(None).cast("double")).unionByName(grid_rows).groupBy(
+        *pair, "k").agg(F.sum("num").alias("num"), F.max("norm").alias("norm"))
+    return _named(summed.filter("norm IS NOT NULL"), symbols).select(
         *keys, "id0", "id1",
-        from_micros(F.lit(t0) + k * advance_us).alias("window_start"),
-        from_micros(F.lit(t0 + size_us) + k * advance_us).alias("window_end"),
-        _correlation(F.col("total.num"), F.col("norm")).alias("value"),
+        from_micros(F.lit(t0) + F.col("k") * advance_us).alias("window_start"),
+        from_micros(F.lit(t0 + size_us) + F.col("k") * advance_us).alias("window_end"),
+        _correlation(F.col("num"), F.col("norm")).alias("value"),
     )
 
 
+def aligned_ranges(low: str, high: str, levels: int):
+    """``[low, high]`` as disjoint ranges ``node * 2**level`` to ``(node + 1) * 2**level - 1``.
+
+    At most two for each level, so a row costs two per doubling of the windows it lives in.
+    """
+    nodes = []
+    for level in range(levels):
+        left = F.shiftright(F.col(low) + ((1 << level) - 1), level)
+        right = F.shiftright(F.col(high) + 1, level)
+        for odd, node in ((left, left), (right, right - 1)):
+            nodes.append(F.when((left < right) & (odd % 2 == 1), F.struct(
+                F.lit(level).alias("level"), node.alias("node"))))
+    return F.array_compact(F.array(*nodes))
+
+
+def per_window(rows: DataFrame, keys: list[str], low: str, high: str, amount: str, levels: int):
+    """Partial sums of ``amount`` by ``(keys, k)`` for every window k in ``[low, high]`` of a row.
+
+    Amounts are only ever added, never taken back, so a large one leaves no rounding error in the
+    windows after it.
+    """
+    nodes = rows.select(*keys, amount, F.explode(aligned_ranges(low, high, levels)).alias("_at")).select(
+        *keys, amount, "_at.level", "_at.node").groupBy(*keys, "level", "node").agg(
+        F.sum(amount).alias(amount))
+    first = F.expr("shiftleft(node, level)")
+    return explode_range(nodes, first, first + F.expr("shiftleft(1L, level)") - 1, "k").select(
+        *keys, "k", amount)
+
+
 def pairwise_measure(ticks: DataFrame, method: str, **options) -> DataFrame:
     """Any pairwise measure as ``(id0, id1, window_start, window_end, value)``."""
     from tickweave.operators.entropy import transfer_entropy, transfer_entropy_sliding

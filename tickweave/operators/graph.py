@@ -24,17 +24,20 @@ def edge_changes(
     """Pairwise results -> ``(v0, v1, ts, is_add)`` events when abs(value) crosses the threshold.
 
     ``threshold`` is a number or the name of a column (see ``with_parameter``). A pair without a
-    result keeps its state.
+    result keeps its state. Several results of a pair at one time (both directions of a directed
+    measure) count in the order of ``seq`` when there is one, else as one: above if any is.
     """
     limit = F.col(threshold) if isinstance(threshold, str) else F.lit(threshold)
     v0, v1 = canonical_edge("id0", "id1")
+    order = ["ts", "seq"] if "seq" in results.columns else ["ts"]
     flags = results.filter(F.col("value").isNotNull()).select(
-        v0.alias("v0"), v1.alias("v1"), F.col(time).alias("ts"),
+        v0.alias("v0"), v1.alias("v1"), F.col(time).alias("ts"), *order[1:],
         (F.abs("value") >= limit).alias("is_add"))
+    flags = flags.groupBy("v0", "v1", *order).agg(F.bool_or("is_add").alias("is_add"))
     flags = materialize(flags)  # the results behind it are computed once, not per consumer
     position = micros("ts")
     cells = cells or Cells.fit(flags, position)
-    marked = previous(flags, ["v0", "v1"], ["ts"], ["is_add"], position, cells)
+    marked = previous(flags, ["v0", "v1"], order, ["is_add"], position, cells)
     return marked.filter(
         F.col("is_add") != F.coalesce(F.col("prev.is_add"), F.lit(False))
     ).select("v0", "v1", "ts", "is_add")
@@ -43,11 +46,12 @@ def edge_changes(
 def edge_intervals(events: DataFrame, cells: Cells | None = None) -> DataFrame:
     """Add/delete events -> ``(v0, v1, valid_from, valid_to)``; open edges have a null end.
 
-    Repeated adds and deletes change nothing. ``seq`` breaks ties in time when present.
+    Repeated adds and deletes change nothing. ``seq`` breaks ties in time when present; without it
+    an edge that is both added and deleted at one time is deleted.
     """
     order = ["ts", "seq"] if "seq" in events.columns else ["ts"]
     edge = ["v0", "v1"]
-    events = materialize(events.select(*edge, *order, "is_add"))
+    events = materialize(events.groupBy(*edge, *order).agg(F.bool_and("is_add").alias("is_add")))
     position = micros("ts")
     cells = cells or Cells.fit(events, position)
     marked = previous(events, edge, order, ["is_add"], position, cells)

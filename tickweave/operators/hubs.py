@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickweave.functions.sizing import BROADCAST_ROWS
+from tickweave.operators.params import with_parameter
 from tickweave.session import materialize
 
 EDGES_PER_SALT = 100_000
@@ -110,8 +111,14 @@ def indexed_adjacency(edges: DataFrame, edges_per_salt: int = EDGES_PER_SALT) ->
 
 
 def _uniform(seed: int, *parts) -> Column:
-    """A uniform draw in [0, 1) that depends on the key only, not on the partitioning."""
-    return F.shiftrightunsigned(F.xxhash64(F.lit(seed), *parts), 11) / F.lit(float(1 << 53))
+    """A uniform draw in [0, 1) that depends on the key only, not on the partitioning.
+
+    The first 52 bits of the MD5 of the comma-joined key, which any SQL engine can compute too.
+    """
+    names = [p if isinstance(p, Column) else F.col(p) for p in parts]
+    text = F.concat_ws(",", F.lit(str(seed)), *[n.cast("string") for n in names])
+    digits = F.conv(F.substring(F.md5(text.cast("binary")), 1, 13), 16, 10)
+    return digits.cast("bigint") / F.lit(float(1 << 52))
 
 
 def _extend(frontier: DataFrame, indexed: DataFrame, stop: float, seed: int, cut_every: int) -> DataFrame:
@@ -132,7 +139,9 @@ def _extend(frontier: DataFrame, indexed: DataFrame, stop: float, seed: int, cut
 
     state = frontier.withColumn("ending", judged(F.col("step"), F.col("degree")))
     state = state.withColumn("trail", F.array(row(F.col("step"), F.col("node"), F.col("ending"))))
-    hops = indexed.withColumnRenamed("src", "node")
+    # dealt once by (node, i), the key of every step's join
+    hops = indexed.withColumnRenamed("src", "node").repartition("node", "i").persist(
+        StorageLevel.DISK_ONLY)
     segments: list[DataFrame] = []
     while True:
         for _ in range(cut_every):
@@ -160,6 +169,7 @@ def _extend(frontier: DataFrame, indexed: DataFrame, stop: float, seed: int, cut
         if alive.isEmpty():
             break
         state = alive.withColumn("trail", F.slice("trail", 1, 0))
+    hops.unpersist()
     out = segments[0]
     for segment in segments[1:]:
         out = out.unionByName(segment)
@@ -206,8 +216,9 @@ def update_walks(
     A stored hop from a node that gained g of its now d edges is rerouted with probability g/d
     through one of the new edges; a hop over a removed edge is redrawn among the edges that are
     left; a walk that dangled at a node with new edges resumes. Each walk is cut at its first
-    such step and walked on from there. Walks that meet no changed node are only copied. Give
-    every update its own ``seed``, or its draws repeat those of the one before.
+    such step and walked on from there. Walks that meet no changed node are only copied. A node
+    without live edges keeps its ``walks`` starts, each a walk of one visit. Give every update its
+    own ``seed``, or its draws repeat those of the one before.
     """
     before = materialize(edges_before.select("src", "dst").distinct())
     wanted = materialize(changes.select("src", "dst", "is_add"))
@@ -274,8 +285,9 @@ def update_walks(
         F.col("dst").alias("node"), F.col("dst_degree").alias("degree"))
 
     # nodes that appear with the change start their own walks
-    old_nodes, new_nodes = _nodes(before), _nodes(added)
-    newcomers = new_nodes.join(old_nodes, "node", "left_anti").join(
+    # a node that lost all its edges keeps its walks and starts none when it comes back
+    started = walk_rows.filter("step = 0").select("node").distinct()
+    newcomers = _nodes(added).join(started, "node", "left_anti").join(
         degree.withColumnRenamed("src", "node"), "node", "left").select(
         "node", F.coalesce("degree", F.lit(0)).alias("degree"),
         F.explode(F.sequence(F.lit(0), F.lit(walks - 1))).alias("_r")).select(
@@ -289,6 +301,20 @@ def update_walks(
     return materialize(settled.select(*columns).unionByName(tail.select(*columns)))
 
 
+def walk_checks(walk_rows: DataFrame, edges: DataFrame) -> DataFrame:
+    """Per node: ``starts`` of its own walks, ``duplicates`` of a step and ``dead_hops``, hops from
+    it over an edge that is not in ``edges``. Sound walks have the same starts and zeros."""
+    steps = walk_rows.groupBy("walk_id", "step").agg(
+        F.count(F.lit(1)).alias("rows"), F.min("node").alias("node"))
+    following = steps.select("walk_id", (F.col("step") - 1).alias("step"), F.col("node").alias("dst"))
+    live = edges.select(F.col("src").alias("node"), "dst", F.lit(0).alias("dead")).distinct()
+    hops = steps.join(following, ["walk_id", "step"], "left").join(live, ["node", "dst"], "left")
+    dead = F.col("dst").isNotNull() & F.col("dead").isNull()
+    return hops.groupBy("node").agg(
+        F.sum((F.col("step") == 0).cast("bigint")).alias("starts"),
+        F.sum(F.col("rows") - 1).alias("duplicates"), F.sum(dead.cast("bigint")).alias("dead_hops"))
+
+
 def latest_visits(updates: DataFrame) -> DataFrame:
     """Updates overwrite: the newest count of every node."""
     return updates.groupBy("node").agg(F.max_by("visits", "seq").alias("visits"))
@@ -302,25 +328,28 @@ def top_hubs(visits: DataFrame, k: int = 10) -> DataFrame:
         "node", "visits")
 
 
-def top_hubs_windowed(updates: DataFrame, k: int | str = 10, every: str = "10 seconds") -> DataFrame:
+def top_hubs_windowed(
+    updates: DataFrame, k: int = 10, every: str = "10 seconds", k_log: DataFrame | None = None,
+    name: str = "hubListSize",
+) -> DataFrame:
     """The k best nodes per period among the nodes updated in it.
 
-    ``k`` is a number or a column of ``updates`` (see ``with_parameter``); the largest k of the
-    period holds.
+    With a parameter log ``k_log(name, value, ts)`` a list has the size in force at the end of its
+    period, and ``k`` holds before the first change.
     """
     latest = updates.groupBy(F.window("ts", every).alias("w"), "node").agg(
-        F.max_by("visits", "seq").alias("visits"),
-        *([F.max(k).alias("_k")] if isinstance(k, str) else []))
+        F.max_by("visits", "seq").alias("visits"))
     most = k
-    if isinstance(k, str):
+    if k_log is not None:
         latest = materialize(latest)
-        sizes = latest.groupBy("w").agg(F.max("_k").alias("_k"))
+        ends = latest.select("w", F.col("w.end").alias("ts")).distinct()
+        sizes = materialize(with_parameter(ends, k_log, name, k).select("w", F.col(name).alias("_k")))
         most = sizes.agg(F.max("_k")).first()[0]
     # a constant limit on the rank is applied before the shuffle as well
     order = Window.partitionBy("w").orderBy(F.desc("visits"), "node")
     ranked = latest.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= F.lit(int(most or 0)))
-    if isinstance(k, str):
-        ranked = ranked.drop("_k").join(sizes, "w").filter(F.col("rank") <= F.col("_k"))
+    if k_log is not None:
+        ranked = ranked.join(sizes, "w").filter(F.col("rank") <= F.col("_k"))
     return ranked.select(
         F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "rank", "node", "visits")
 

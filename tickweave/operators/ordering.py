@@ -41,7 +41,14 @@ def dedup_same_timestamp(ticks: DataFrame) -> DataFrame:
 
 
 def filter_known_symbols(ticks: DataFrame, symbols: DataFrame) -> DataFrame:
-    """Drop ticks of symbols outside the list."""
+    """Drop ticks of symbols outside the list.
+
+    A list with the time ``ts`` of its arrival also drops all ticks before the first arrival.
+    """
+    if "ts" in symbols.columns:
+        first = symbols.agg(F.min("ts").alias("first")).first()["first"]
+        ticks = ticks.filter(F.col("ts") >= F.lit(first).cast("timestamp_ntz"))
+        symbols = symbols.select("symbol").distinct()
     return ticks.join(broadcast_if_small(symbols.select("symbol")), "symbol", "left_semi")
 
 

@@ -22,11 +22,11 @@ def with_parameter(
 ) -> DataFrame:
     """Add column ``name`` with the value in force at each row's time.
 
-    ``param_log(name, value, ts)`` holds for rows at or after a change. A log of few changes
+    ``param_log(name, value, ts)`` holds for rows at or after a change; a null value is no change. A log of few changes
     becomes a constant step function evaluated in place, without a shuffle; a longer one is merged
     with the rows in time order.
     """
-    changes = param_log.filter(F.col("name") == name).groupBy("ts").agg(
+    changes = param_log.filter((F.col("name") == name) & F.col("value").isNotNull()).groupBy("ts").agg(
         F.max_by("value", "seq").alias("value") if "seq" in param_log.columns
         else F.max("value").alias("value"))
     if at_most(changes, step_changes):

@@ -13,6 +13,8 @@ static, and the second pass keeps the smallest path per query and node while it
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -38,42 +40,58 @@ def _undominated(rows: DataFrame) -> DataFrame:
     return best.withColumn("_ahead", ahead).filter("_ahead IS NULL OR _ahead < hi").drop("_ahead")
 
 
-def _first_instants(asked: DataFrame, adjacency: DataFrame, max_hops: int) -> DataFrame:
-    """``(query_id, at)``: when the wanted path starts to exist."""
+def _union(parts: list[DataFrame]) -> DataFrame:
+    out = parts[0]
+    for more in parts[1:]:
+        out = out.unionByName(more)
+    return out
+
+
+def _hops(max_hops: int | None):
+    return count(1) if max_hops is None else range(1, max_hops + 1)
+
+
+def _first_instants(asked: DataFrame, adjacency: DataFrame, max_hops: int | None) -> DataFrame:
+    """``(query_id, at)``: when the wanted path starts to exist.
+
+    A query leaves the front when more hops cannot better its answer: at its first hit, or for
+    EARLIEST as far as its lifespans start no earlier than the best hit. The loop ends when the
+    front is empty; dominated lifespans are dropped, so it does on any graph.
+    """
     reached = asked.select(
         "query_id", "node", "salts", F.col("lo0").alias("lo"), F.col("hi0").alias("hi"), F.lit(0).alias("hops"))
     front = reached
     goals = asked.select("query_id", "target", "type")
-    hits = []
-    for hop in range(1, max_hops + 1):
+    hits: list[DataFrame] = []
+    for hop in _hops(max_hops):
         stepped = _expand(front.drop("hops"), adjacency).select(
             "query_id", F.col("dst").alias("node"), F.col("dst_salts").alias("salts"),
             F.greatest("lo", "from_us").alias("lo"), F.least("hi", "to_us").alias("hi"),
             F.lit(hop).alias("hops"),
         ).filter("lo < hi")
         reached = materialize(_undominated(reached.unionByName(stepped)))
-        front = reached.filter(F.col("hops") == hop)
-        hits.append(front.join(goals, "query_id").filter("node = target").select(
-            "query_id", "type", "hops", "lo"))
+        fresh = reached.filter(F.col("hops") == hop)
+        hits.append(materialize(fresh.join(goals, "query_id").filter("node = target").select(
+            "query_id", "type", "hops", "lo")))
+        settled = _union(hits).groupBy("query_id", "type").agg(F.min("lo").alias("_best"))
+        front = fresh.join(settled, "query_id", "left").filter(
+            "_best IS NULL OR (type = 'EARLIEST' AND lo < _best)").select(*reached.columns)
         if front.isEmpty():
             break
-    found = hits[0]
-    for more in hits[1:]:
-        found = found.unionByName(more)
     rank = F.when(F.col("type") == "EARLIEST", F.struct(F.col("lo").alias("a"), F.col("hops").cast("bigint").alias("b"))) \
         .otherwise(F.struct(F.col("hops").cast("bigint").alias("a"), F.col("lo").alias("b")))
-    return found.groupBy("query_id").agg(F.min_by("lo", rank).alias("at"))
+    return _union(hits).groupBy("query_id").agg(F.min_by("lo", rank).alias("at"))
 
 
-def _smallest_paths(asked: DataFrame, adjacency: DataFrame, max_hops: int) -> DataFrame:
+def _smallest_paths(asked: DataFrame, adjacency: DataFrame, max_hops: int | None) -> DataFrame:
     """Fewest-hop, then smallest path per query among edges alive over ``[need_lo, need_hi)``."""
     front = asked.select(
         "query_id", "node", "salts", "need_lo", "need_hi", F.col("lo0").alias("lo"),
         F.col("hi0").alias("hi"), F.array("node").alias("path"))
     visited = front.select("query_id", "node")
     goals = asked.select("query_id", "target")
-    hits = []
-    for _ in range(max_hops):
+    hits: list[DataFrame] = []
+    for _ in _hops(max_hops):
         stepped = (
             _expand(front, adjacency)
             .filter("from_us <= need_lo AND to_us >= need_hi")
@@ -86,23 +104,22 @@ def _smallest_paths(asked: DataFrame, adjacency: DataFrame, max_hops: int) -> Da
         smallest = stepped.groupBy("query_id", "node").agg(
             F.min(F.struct("path", "lo", "hi", "need_lo", "need_hi", "salts")).alias("s")
         ).select("query_id", "node", "s.*")
-        front = materialize(smallest.join(visited, ["query_id", "node"], "left_anti"))
-        visited = visited.unionByName(front.select("query_id", "node"))
-        hits.append(front.join(goals, "query_id").filter("node = target").select(
-            "query_id", "path", "lo", "hi"))
+        fresh = materialize(smallest.join(visited, ["query_id", "node"], "left_anti"))
+        visited = materialize(visited.unionByName(fresh.select("query_id", "node")))
+        hits.append(materialize(fresh.join(goals, "query_id").filter("node = target").select(
+            "query_id", "path", "lo", "hi")))
+        front = fresh.join(hits[-1].select("query_id"), "query_id", "left_anti")
         if front.isEmpty():
             break
-    found = hits[0]
-    for more in hits[1:]:
-        found = found.unionByName(more)
-    return found
+    return _union(hits)
 
 
-def paths(edge_intervals: DataFrame, queries: DataFrame, max_hops: int = 6, **salting) -> DataFrame:
+def paths(edge_intervals: DataFrame, queries: DataFrame, max_hops: int | None = None, **salting) -> DataFrame:
     """Answer path queries ``(query_id, start_ts, end_ts, source, target, type)`` in one job.
 
     Returns ``(query_id, path_found, path, start_ts, end_ts)``; a query without an answer keeps a
-    row with ``path_found = 0``. ``start_ts = end_ts`` asks for an instant.
+    row with ``path_found = 0``. ``start_ts = end_ts`` asks for an instant. Paths have any length
+    unless ``max_hops`` is given.
     """
     directed = symmetrize(edge_intervals).filter("src != dst")
     adjacency, nodes = salted_adjacency(directed, **salting)

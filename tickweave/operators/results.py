@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 from tickweave.functions.sizing import broadcast_if_small
 from tickweave.functions.text import format_instant, six_decimals
 
+# fixed values: the prefixes of the result lines (``f``, ``w``, ``te``, ``hubList``, ``focusPip``,
+# ``snapshots`` and their second fields) and the text "No path" are the wire format
+
 
 def _line(df: DataFrame, *parts: Column | str) -> DataFrame:
     """One ``line`` per row; a null part (no ticket) is left out."""
@@ -55,8 +58,9 @@ def format_focus_suggestions(df: DataFrame, text: str = "value") -> DataFrame:
 
 
 def format_snapshots(df: DataFrame) -> DataFrame:
-    """``snapshots,snapshot_response,[ticket,]json``."""
-    return _line(df, "snapshots", "snapshot_response", _ticket(df), F.col("snapshot"))
+    """``snapshots,snapshot_response,[ticket,]part/parts,json``; parts count from 1."""
+    place = F.concat_ws("/", (F.col("part") + 1).cast("string"), F.col("parts").cast("string"))
+    return _line(df, "snapshots", "snapshot_response", _ticket(df), place, F.col("snapshot"))
 
 
 def format_paths(df: DataFrame) -> DataFrame:

@@ -9,6 +9,7 @@ from tickweave.functions.cells import MAX_CELLS, Cells, micros
 from tickweave.functions.ordered import explode_range
 from tickweave.functions.sizing import BROADCAST_ROWS
 from tickweave.functions.text import format_instant
+from tickweave.session import materialize
 
 POINTS_PER_CELL = 1
 EDGES_PER_PART = 100_000
@@ -45,11 +46,17 @@ def points_in_spans(
 
 
 def snapshot_at(edge_intervals: DataFrame, queries: DataFrame, at: str = "start_ts") -> DataFrame:
-    """Edges alive at each query's instant: ``(query columns, v0, v1)``."""
+    """Edges alive at each query's instant: ``(query columns, v0, v1)``.
+
+    A query whose graph is empty has one row with null ids.
+    """
     asked = [c for c in queries.columns]
-    return points_in_spans(
+    alive = materialize(points_in_spans(
         queries, micros(at), edge_intervals, micros("valid_from"), micros("valid_to")
-    ).select(*asked, "v0", "v1")
+    ).select(*asked, "v0", "v1"))
+    nothing = [F.lit(None).cast(alive.schema[v].dataType).alias(v) for v in ("v0", "v1")]
+    empty = queries.join(alive.select(*asked).distinct(), asked, "left_anti")
+    return alive.unionByName(empty.select(*asked, *nothing))
 
 
 def snapshots_between(edge_intervals: DataFrame, queries: DataFrame) -> DataFrame:
@@ -63,10 +70,9 @@ def snapshots_between(edge_intervals: DataFrame, queries: DataFrame) -> DataFram
     within = points_in_spans(
         changes, micros("ts"), queries.select("query_id", "start_ts", "end_ts"),
         micros("start_ts"), micros("end_ts")).select("query_id", "ts")
-    states = within.unionByName(
-        queries.select("query_id", F.col("start_ts").alias("ts"))).distinct()
-    alive = snapshot_at(edge_intervals, states, "ts")
-    return states.join(alive, ["query_id", "ts"], "left").select("query_id", "ts", "v0", "v1")
+    states = materialize(within.unionByName(
+        queries.select("query_id", F.col("start_ts").alias("ts"))).distinct())
+    return snapshot_at(edge_intervals, states, "ts").select("query_id", "ts", "v0", "v1")
 
 
 def snapshot_json(
@@ -74,8 +80,9 @@ def snapshot_json(
 ) -> DataFrame:
     """One ``snapshots:[{...}]`` text per state, in parts when it has many edges.
 
-    A state of up to ``edges_per_part`` edges is one part. Larger ones are split by a hash of the
-    edge, so no row has to hold a whole large graph; the parts of a state list disjoint edges.
+    Every line says which part of how many it is, so a reader can join them. A state of up to
+    ``edges_per_part`` edges is one part; larger ones are split by a hash of the edge, so no row has
+    to hold a whole large graph. The parts of a state list disjoint edges.
     """
     group = [*keys, at]
     sizes = snapshots.groupBy(*group).agg(F.count("v0").alias("_n")).withColumn(

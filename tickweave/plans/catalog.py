@@ -15,6 +15,7 @@ from tickweave.plans import views as v
 from tickweave.session import materialize, pin_utc, shared_folder
 from tickweave.sources import logs
 from tickweave.sources import ticks as tick_source
+from tickweave.streaming.correlation import hy_correlation_stream as hy_correlation_stream_of
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -71,7 +72,7 @@ def parse_ticks_rejects(spark, folder):
 @query
 def parse_ticks_with_arrival(spark, folder):
     lines = v.tick_lines(spark, folder).select(
-        F.concat_ws(",", (F.col("seq") + 1460704495108).cast("string"), F.concat("value", F.lit("\r"))).alias("value"))
+        F.concat_ws(",", (F.col("seq") + 1700000000123).cast("string"), F.concat("value", F.lit("\r"))).alias("value"))
     return tick_source.parse_ticks(lines, with_arrival_ms=True)[0].select(
         "arrival_ms", "symbol", "ts", "value", "volume")
 
@@ -175,6 +176,15 @@ def filter_known_symbols(spark, folder):
     return ordering.filter_known_symbols(v.ticks_user(spark, folder), symbols).select("seq", "symbol", "ts", "value")
 
 
+@query
+def filter_known_symbols_from_arrival(spark, folder):
+    """The first symbol list arrives after some ticks; those are dropped."""
+    symbols = v.table(spark, folder, "customer").filter("c_acctbal > 0").select(
+        F.col("c_custkey").cast("string").alias("symbol"),
+        F.expr("TIMESTAMP_NTZ '2024-01-05 00:00:00' + make_dt_interval(CAST(c_custkey % 20 AS INT))").alias("ts"))
+    return ordering.filter_known_symbols(v.ticks_user(spark, folder), symbols).select("seq", "symbol", "ts", "value")
+
+
 @query
 def filter_focus_players(spark, folder):
     commands = logs.parse_player_commands(v.command_log(spark, folder))
@@ -256,6 +266,24 @@ def hy_correlation_sliding(spark, folder):
     return _type_windows(spark, folder)
 
 
+@query
+def hy_correlation_sliding_spike(spark, folder):
+    """Prices with rare spikes and no scale: a spike must leave nothing behind in later windows."""
+    windows = _rounded(correlation.hy_correlation_sliding(
+        _clean(v.spiked_ticks(spark, folder)), SIZE, ADVANCE))
+    return windows.withColumn("value", F.when(F.col("value") == 0, F.lit(0.0)).otherwise(F.col("value")))
+
+
+@query
+def hy_correlation_stream(spark, folder):
+    """The events as a stream of ticks, windows written as they close."""
+    work = f"{shared_folder(spark)}/tickweave/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
+    v.ticks_type(spark, folder).write.parquet(f"{work}/in")
+    ticks = spark.readStream.schema(v.ticks_type(spark, folder).schema).parquet(f"{work}/in")
+    hy_correlation_stream_of(ticks, f"{work}/out", f"{work}/checkpoint", SIZE, ADVANCE, scale=100).awaitTermination()
+    return _rounded(spark.read.parquet(f"{work}/out").drop("batch"))
+
+
 @query
 def hy_correlation_late(spark, folder):
     """Clamp, de-duplicate and correlate a stream with late ticks."""
@@ -311,6 +339,13 @@ def edge_changes(spark, folder):
     return graph.edge_changes(_type_windows(spark, folder), 0.08)
 
 
+@query
+def edge_changes_transfer(spark, folder):
+    """Both directions of a directed measure at one time make one state of the edge."""
+    windows = _rounded(entropy.transfer_entropy_sliding(v.ticks_type(spark, folder), "6 hours"))
+    return graph.edge_changes(windows, 0.5)
+
+
 @query
 def edge_changes_with_parameter(spark, folder):
     """The threshold follows the parameter log."""
@@ -356,6 +391,23 @@ def update_walks(spark, folder):
     return hubs.visit_counts(hubs.update_walks(walks, edges, changes, seed=8))
 
 
+@query
+def update_walks_checks(spark, folder):
+    """Per node after two updates (the last month's changes, then undone): its walks' starts,
+    duplicated steps and hops over edges that are gone."""
+    events = v.nation_events(spark, folder)
+    last = events.agg(F.max("ts").alias("ts")).first()["ts"]
+    before = graph.edge_intervals(events.filter(F.col("ts") < last)).filter("valid_to IS NULL")
+    edges = materialize(graph.symmetrize(before).select("src", "dst"))
+    changes = graph.symmetrize(events.filter(F.col("ts") == last)).select("src", "dst", "is_add")
+    walks = hubs.update_walks(hubs.walk_table(edges), edges, changes, seed=8)
+    gone = changes.filter("NOT is_add").select("src", "dst")
+    after = materialize(edges.join(gone, ["src", "dst"], "left_anti").unionByName(
+        changes.filter("is_add").select("src", "dst")).distinct())
+    undone = changes.withColumn("is_add", ~F.col("is_add"))
+    return hubs.walk_checks(hubs.update_walks(walks, after, undone, seed=9), edges)
+
+
 @query
 def latest_visits(spark, folder):
     return hubs.latest_visits(v.visit_updates(spark, folder))
@@ -373,9 +425,8 @@ def top_hubs_windowed(spark, folder):
 
 @query
 def top_hubs_windowed_with_parameter(spark, folder):
-    updates = params.with_parameter(
-        v.visit_updates(spark, folder), v.param_log(spark, folder), "hubListSize", 10)
-    return hubs.top_hubs_windowed(updates, "hubListSize", "6 hours")
+    return hubs.top_hubs_windowed(
+        v.visit_updates(spark, folder), 10, "6 hours", v.param_log(spark, folder))
 
 
 # --- time travel ---------------------------------------------------------------------------------
@@ -389,6 +440,14 @@ def snapshot_at(spark, folder):
     return snapshots.snapshot_at(_nation_history(spark, folder), v.instant_queries(spark, folder))
 
 
+@query
+def snapshot_before_history(spark, folder):
+    """Instants before the first edge have an answer too: the empty graph."""
+    early = v.instant_queries(spark, folder).withColumn(
+        "start_ts", F.col("start_ts") - F.expr("INTERVAL 3 YEAR"))
+    return snapshots.snapshot_at(_nation_history(spark, folder), early)
+
+
 @query
 def snapshots_between(spark, folder):
     return snapshots.snapshots_between(_nation_history(spark, folder), v.period_queries(spark, folder))
@@ -402,7 +461,7 @@ def snapshot_json(spark, folder):
 
 @query
 def paths(spark, folder):
-    answers = path_ops.paths(_nation_history(spark, folder), v.path_queries(spark, folder), max_hops=3)
+    answers = path_ops.paths(_nation_history(spark, folder), v.path_queries(spark, folder))
     return answers.withColumn("path", F.array_join("path", ">"))
 
 
@@ -450,7 +509,7 @@ def format_snapshots(spark, folder):
 @query
 def format_paths(spark, folder):
     return results.format_paths(
-        path_ops.paths(_nation_history(spark, folder), v.path_queries(spark, folder), max_hops=3))
+        path_ops.paths(_nation_history(spark, folder), v.path_queries(spark, folder)))
 
 
 @query

@@ -101,6 +101,12 @@ WINDOWED_VISITS = f"""{VISITS}, latest AS (
 ranked AS (SELECT *, row_number() OVER (PARTITION BY w ORDER BY visits DESC, node) AS rank FROM latest)"""
 
 
+def _draw(use: str) -> str:
+    """The walk's uniform draw: 52 bits of an MD5."""
+    return (f"(CAST('0x' || md5('7,{use},' || walk_id || ',0,' || step)[1:13] AS BIGINT) "
+            "/ 4503599627370496.0::DOUBLE)")
+
+
 def _samples(interval: str, end: str) -> str:
     """Basic windows of a whole number of hours, carried forward."""
     hours = int(interval.split()[0])
@@ -145,15 +151,25 @@ tr AS (SELECT id0, id1, to_timestamp(g0 * 3600)::TIMESTAMP AS window_start,
     to_timestamp((g1 + 1) * 3600)::TIMESTAMP AS window_end, round(value, 6) AS value
   FROM te JOIN span USING (id0, id1) WHERE m + 1 >= 30 AND abs(value) > 1e-9)"""
 
+SLIDING_TE = f"""{TYPE_TICKS}, {_samples('6 hours', '')}, {RANGES}, {DIRECTED},
+ends AS (SELECT id0, id1, min(g) AS g0, max(g) AS g1 FROM binned GROUP BY ALL),
+wins AS (SELECT d.*, w FROM dir d JOIN (SELECT least(id0, id1) AS a, greatest(id0, id1) AS b,
+unnest(generate_series(g0 + 29, g1)) AS w FROM ends) e
+ON least(d.id0, d.id1) = a AND greatest(d.id0, d.id1) = b AND d.g BETWEEN w - 28 AND w),
+{_textbook('wins', 'w')},
+slid AS (SELECT id0, id1, to_timestamp((w - 29) * 21600)::TIMESTAMP AS window_start,
+  to_timestamp((w + 1) * 21600)::TIMESTAMP AS window_end, round(value, 6) AS value
+  FROM te WHERE abs(value) > 1e-9)"""
+
 REQUESTS = """req AS (SELECT s_suppkey AS ticket, TIMESTAMP '1996-01-01' + to_months(CAST(s_suppkey % 24 AS INTEGER)) AS start_ts,
     TIMESTAMP '1996-01-01' + to_months(CAST(s_suppkey % 24 AS INTEGER)) + INTERVAL 12 MONTH AS end_ts,
     ['NATION_' || s_nationkey, 'NATION_' || ((s_nationkey + 7) % 25)] AS players FROM supplier)"""
 
 SNAPSHOT = f"""{NATION_SPANS}, q AS (SELECT DISTINCT date_trunc('quarter', o_orderdate)::TIMESTAMP AS start_ts FROM orders),
-snap AS (SELECT strftime(start_ts, '%Y-%m') AS query_id, start_ts, v0, v1 FROM q JOIN spans
+snap AS (SELECT strftime(start_ts, '%Y-%m') AS query_id, start_ts, v0, v1 FROM q LEFT JOIN spans
   ON valid_from <= start_ts AND (valid_to IS NULL OR start_ts < valid_to)),
 snapj AS (SELECT query_id, start_ts, 'snapshots:[{{"time":"' || strftime(start_ts, '%m/%d/%Y,%H:%M:%S') || '","edges":[' ||
-    string_agg('{{"v0":"' || v0 || '","v1":"' || v1 || '"}}', ',' ORDER BY v0, v1) || ']}}]' AS snapshot FROM snap GROUP BY query_id, start_ts)"""
+    coalesce(string_agg('{{"v0":"' || v0 || '","v1":"' || v1 || '"}}', ',' ORDER BY v0, v1), '') || ']}}]' AS snapshot FROM snap GROUP BY query_id, start_ts)"""
 
 PATHS = f"""{NATION_SPANS}, pq AS (SELECT s_suppkey AS query_id, 'NATION_' || s_nationkey AS source,
     'NATION_' || ((s_nationkey + 1 + s_suppkey % 24) % 25) AS target,
@@ -164,16 +180,29 @@ pq2 AS (SELECT *, s + len AS e, CASE WHEN s_suppkey_instant THEN s + INTERVAL 1
   FROM (SELECT *, query_id % 5 = 0 AS s_suppkey_instant FROM pq)),
 ways AS (SELECT v0 AS src, v1 AS dst, valid_from, coalesce(valid_to, TIMESTAMP '9999-01-01') AS valid_to FROM spans
          UNION ALL SELECT v1, v0, valid_from, coalesce(valid_to, TIMESTAMP '9999-01-01') FROM spans),
-walks AS (
-  SELECT query_id, source AS node, [source] AS path, s AS lo, e2 AS hi, 0 AS hops FROM pq2
+-- instants at which a lifespan inside a query's period can start; the graph is static at each
+moments AS (SELECT query_id, type, source, target, s, e2, s AS lo FROM pq2 WHERE source <> target
+  UNION SELECT query_id, type, source, target, s, e2, valid_from FROM pq2 JOIN ways ON valid_from > s AND valid_from < e2
+  WHERE type <> 'CONTINUOUS' AND source <> target),
+live AS (SELECT query_id, lo, src, dst, greatest(s, valid_from) AS a, least(e2, valid_to) AS b
+  FROM moments JOIN ways ON CASE WHEN type = 'CONTINUOUS' THEN valid_from <= s AND valid_to >= e2
+    ELSE valid_from <= lo AND valid_to > lo END),
+flood AS (SELECT query_id, lo, source AS node, 0 AS hops FROM moments
+  UNION
+  SELECT f.query_id, f.lo, dst, hops + 1 FROM flood f JOIN live l ON l.query_id = f.query_id AND l.lo = f.lo AND src = node
+  WHERE hops < 25),
+near AS (SELECT query_id, lo, node, min(hops) AS hops FROM flood GROUP BY ALL),
+chosen AS (SELECT n.query_id, n.lo, n.hops, m.source, m.target, m.s, m.e2 FROM near n JOIN moments m
+  ON m.query_id = n.query_id AND m.lo = n.lo AND m.target = n.node
+  QUALIFY row_number() OVER (PARTITION BY n.query_id ORDER BY CASE WHEN type = 'EARLIEST' THEN n.lo END, n.hops, n.lo) = 1),
+trails AS (SELECT query_id, lo AS at, source AS node, [source] AS path, s AS lo, e2 AS hi, 0 AS k FROM chosen
   UNION ALL
-  SELECT query_id, dst, list_append(path, dst), greatest(lo, valid_from), least(hi, valid_to), hops + 1
-  FROM walks JOIN ways ON src = node AND NOT list_contains(path, dst)
-    AND greatest(lo, valid_from) < least(hi, valid_to) WHERE hops < 3),
-hits AS (SELECT w.*, type, s, e FROM walks w JOIN pq2 p ON p.query_id = w.query_id AND w.node = p.target
-  WHERE hops > 0 AND (type <> 'CONTINUOUS' OR (lo = s AND hi = e2))),
-best AS (SELECT * FROM hits QUALIFY row_number() OVER (PARTITION BY query_id
-  ORDER BY CASE WHEN type = 'EARLIEST' THEN lo END, hops, lo, path) = 1),
+  SELECT t.query_id, t.at, dst, list_append(path, dst), greatest(t.lo, l.a), least(t.hi, l.b), k + 1 FROM trails t
+  JOIN live l ON l.query_id = t.query_id AND l.lo = t.at AND l.src = t.node
+  JOIN near n ON n.query_id = t.query_id AND n.lo = t.at AND n.node = l.dst AND n.hops = k + 1
+  JOIN chosen c ON c.query_id = t.query_id WHERE k < c.hops),
+best AS (SELECT t.* FROM trails t JOIN chosen c ON c.query_id = t.query_id AND t.node = c.target
+  QUALIFY row_number() OVER (PARTITION BY t.query_id ORDER BY path) = 1),
 ans AS (SELECT pq2.query_id, CAST(best.path IS NOT NULL AS INTEGER) AS path_found,
     array_to_string(best.path, '>') AS path, array_to_string(best.path, ',') AS listed, best.lo AS start_ts,
     CASE WHEN s_suppkey_instant THEN best.lo ELSE best.hi END AS end_ts
@@ -192,7 +221,7 @@ def all_oracles() -> dict[str, str]:
             CAST(CASE WHEN event_id % 50 = 13 THEN 0 ELSE event_id % 90 END AS INTEGER) AS volume
             FROM events WHERE {accepted}""",
         "parse_ticks_rejects": f"WITH {LINES} SELECT value AS line FROM lines WHERE seq % 50 IN (7, 11)",
-        "parse_ticks_with_arrival": f"""SELECT event_id + 1460704495108 AS arrival_ms, event_type AS symbol,
+        "parse_ticks_with_arrival": f"""SELECT event_id + 1700000000123 AS arrival_ms, event_type AS symbol,
             {known_time} AS ts, value,
             CAST(CASE WHEN event_id % 50 = 13 THEN 0 ELSE event_id % 90 END AS INTEGER) AS volume
             FROM events WHERE {accepted}""",
@@ -231,6 +260,10 @@ def all_oracles() -> dict[str, str]:
         "dedup_same_timestamp": f"WITH {LATE_TICKS} SELECT seq, symbol, ts, value FROM ticks",
         "filter_known_symbols": f"""WITH {USER_TICKS} SELECT seq, symbol, ts, value FROM ticks
             WHERE symbol IN (SELECT CAST(c_custkey AS VARCHAR) FROM customer WHERE c_acctbal > 0)""",
+        "filter_known_symbols_from_arrival": f"""WITH {USER_TICKS} SELECT seq, symbol, ts, value FROM ticks
+            WHERE symbol IN (SELECT CAST(c_custkey AS VARCHAR) FROM customer WHERE c_acctbal > 0)
+            AND ts >= (SELECT min(TIMESTAMP '2024-01-05' + to_days(CAST(c_custkey % 20 AS INTEGER)))
+              FROM customer WHERE c_acctbal > 0)""",
         **dict.fromkeys(("filter_focus_players", "filter_focus_players_merged"), f"""WITH {USER_TICKS}, {COMMANDS}
             SELECT seq, symbol, t.ts FROM ticks t ASOF JOIN cmd c ON t.symbol = c.player AND t.ts >= c.ts
             WHERE c.is_add"""),
@@ -268,20 +301,16 @@ def all_oracles() -> dict[str, str]:
         "hy_correlation_users": f"""WITH {USER_TICKS}, {INTERVALS}, {OVERLAPS}, {CORRELATION}
             SELECT id0, id1, round(value, 6) AS value FROM corr""",
         "hy_correlation_sliding": f"WITH {TYPE_WINDOWS} SELECT * FROM win",
+        "hy_correlation_sliding_spike": f"""WITH ticks AS (SELECT event_type AS symbol, ts, event_id AS seq,
+              CASE WHEN event_id % 509 = 7 THEN value * 1e6 ELSE value END AS cents FROM events),
+            {INTERVALS}, {OVERLAPS}, {_windows('1 day', '6 hours')} SELECT * REPLACE (CASE WHEN value = 0 THEN 0.0::DOUBLE ELSE value END AS value) FROM win""",
+        "hy_correlation_stream": f"WITH {TYPE_WINDOWS} SELECT * FROM win",
         "hy_correlation_late": f"WITH {LATE_TICKS}, {INTERVALS}, {OVERLAPS}, {_windows('2 days', '12 hours')} SELECT * FROM win",
         "pairwise_measure": f"WITH {TYPE_TICKS}, {INTERVALS}, {OVERLAPS}, {_windows('5 days', '1 day')} SELECT * FROM win",
         "sample_basic_windows": f"WITH {USER_TICKS}, {_samples('6 hours', '')} SELECT symbol, g, value FROM smp",
         "discretize": f"WITH {TYPE_TICKS}, {_samples('1 hour', '')}, {RANGES} SELECT * FROM binned",
         "transfer_entropy": f"WITH {HOURLY_TE} SELECT * FROM tr",
-        "transfer_entropy_sliding": f"""WITH {TYPE_TICKS}, {_samples('6 hours', '')}, {RANGES}, {DIRECTED},
-            ends AS (SELECT id0, id1, min(g) AS g0, max(g) AS g1 FROM binned GROUP BY ALL),
-            wins AS (SELECT d.*, w FROM dir d JOIN (SELECT least(id0, id1) AS a, greatest(id0, id1) AS b,
-              unnest(generate_series(g0 + 29, g1)) AS w FROM ends) e
-              ON least(d.id0, d.id1) = a AND greatest(d.id0, d.id1) = b AND d.g BETWEEN w - 28 AND w),
-            {_textbook('wins', 'w')}
-            SELECT id0, id1, to_timestamp((w - 29) * 21600)::TIMESTAMP AS window_start,
-              to_timestamp((w + 1) * 21600)::TIMESTAMP AS window_end, round(value, 6) AS value
-            FROM te WHERE abs(value) > 1e-9""",
+        "transfer_entropy_sliding": f"WITH {SLIDING_TE} SELECT * FROM slid",
         "emit_on_change": f"""WITH RECURSIVE {TYPE_WINDOWS},
             num_rows AS (SELECT id0, id1, window_end, value,
               row_number() OVER (PARTITION BY id0, id1 ORDER BY window_end) AS rn FROM win),
@@ -295,6 +324,9 @@ def all_oracles() -> dict[str, str]:
         "canonical_edge": """SELECT event_id, least(event_type, CAST(user_id AS VARCHAR)) AS v0,
             greatest(event_type, CAST(user_id AS VARCHAR)) AS v1 FROM events""",
         "edge_changes": f"WITH {TYPE_WINDOWS}, {_changes('win', '0.08', 'ev')} SELECT * FROM ev",
+        "edge_changes_transfer": f"""WITH {SLIDING_TE}, one AS (SELECT least(id0, id1) AS id0, greatest(id0, id1) AS id1,
+              window_end, max(abs(value)) AS value FROM slid GROUP BY ALL),
+            {_changes('one', '0.5', 'ev')} SELECT * FROM ev""",
         "edge_changes_with_parameter": f"""WITH {TYPE_WINDOWS}, {PARAMS}, lim AS (
             SELECT win.*, coalesce(p.value, 0.7) AS t FROM win ASOF LEFT JOIN
               (SELECT ts, value FROM plog WHERE name = 'correlationThreshold') p ON win.window_end >= p.ts),
@@ -311,19 +343,39 @@ def all_oracles() -> dict[str, str]:
               UNION ALL
               SELECT k + 1, dst, 1.0 + sum(v * p) FROM x JOIN w ON w.src = node WHERE k < 50 GROUP BY k, dst)
             SELECT node, round(v * 10, 4) AS visits FROM x WHERE k = 50""",
+        "visit_counts_mc": f"""WITH RECURSIVE {NATION_GRAPH},
+            idx AS (SELECT src, dst, row_number() OVER (PARTITION BY src ORDER BY dst) - 1 AS i,
+              count(*) OVER (PARTITION BY src) AS d FROM adj),
+            deg AS (SELECT DISTINCT src, d FROM idx),
+            walk AS (SELECT src || '#' || r AS walk_id, 0 AS step, src AS node, d FROM deg, range(10) t(r)
+              UNION ALL
+              SELECT walk_id, step + 1, dst, deg.d FROM walk JOIN idx ON idx.src = node
+                AND i = least(CAST(floor({_draw('edge')} * walk.d) AS BIGINT), walk.d - 1)
+              JOIN deg ON deg.src = dst WHERE {_draw('stop')} >= 0.2)
+            SELECT node, count(*) AS visits FROM walk GROUP BY node""",
+        "update_walks_checks": f"""WITH {NATION_SPANS}, last_ts AS (SELECT max(ts) AS t FROM ev)
+            SELECT DISTINCT v AS node, CAST(10 AS BIGINT) AS starts, CAST(0 AS BIGINT) AS duplicates,
+              CAST(0 AS BIGINT) AS dead_hops FROM (
+              SELECT unnest([v0, v1]) AS v FROM ev, last_ts WHERE ts = t
+              UNION ALL SELECT unnest([v0, v1]) FROM spans, last_ts WHERE valid_from < t AND (valid_to IS NULL OR valid_to >= t))""",
         "latest_visits": f"WITH {VISITS} SELECT node, max_by(visits, seq) AS visits FROM upd GROUP BY node",
         "top_hubs": f"""WITH {VISITS}, l AS (SELECT node, max_by(visits, seq) AS visits FROM upd GROUP BY node)
             SELECT CAST(row_number() OVER (ORDER BY visits DESC, node) AS INTEGER) AS rank, node, visits
             FROM l ORDER BY rank LIMIT 10""",
         "top_hubs_windowed": f"""WITH {WINDOWED_VISITS} SELECT w AS window_start, w + INTERVAL 6 HOUR AS window_end,
             CAST(rank AS INTEGER) AS rank, node, visits FROM ranked WHERE rank <= 3""",
-        "top_hubs_windowed_with_parameter": f"""WITH {WINDOWED_VISITS}, {PARAMS}, sized AS (
-            SELECT upd.ts, coalesce(p.value, 10) AS k FROM upd ASOF LEFT JOIN
-              (SELECT ts, value FROM plog WHERE name = 'hubListSize') p ON upd.ts >= p.ts),
-            ks AS (SELECT time_bucket(INTERVAL '6 hours', ts, TIMESTAMP '2024-01-01') AS w, max(k) AS k FROM sized GROUP BY 1)
+        "top_hubs_windowed_with_parameter": f"""WITH {WINDOWED_VISITS}, {PARAMS}, periods AS (
+            SELECT DISTINCT w, w + INTERVAL 6 HOUR AS closes FROM latest),
+            sized AS (SELECT w, coalesce(p.value, 10) AS k FROM periods ASOF LEFT JOIN
+              (SELECT ts, value FROM plog WHERE name = 'hubListSize') p ON closes >= p.ts),
+            ks AS (SELECT w, k FROM sized)
             SELECT w AS window_start, w + INTERVAL 6 HOUR AS window_end,
             CAST(rank AS INTEGER) AS rank, node, visits FROM ranked JOIN ks USING (w) WHERE rank <= k""",
         "snapshot_at": f"WITH {SNAPSHOT} SELECT query_id, start_ts, v0, v1 FROM snap",
+        "snapshot_before_history": f"""WITH {NATION_SPANS}, q AS (SELECT DISTINCT
+              date_trunc('quarter', o_orderdate)::TIMESTAMP AS s FROM orders)
+            SELECT strftime(s, '%Y-%m') AS query_id, s - INTERVAL 3 YEAR AS start_ts, v0, v1 FROM q LEFT JOIN spans
+              ON valid_from <= s - INTERVAL 3 YEAR AND (valid_to IS NULL OR s - INTERVAL 3 YEAR < valid_to)""",
         "snapshots_between": f"""WITH {NATION_SPANS},
             q AS (SELECT DISTINCT date_trunc('quarter', o_orderdate)::TIMESTAMP AS s FROM orders),
             pts AS (SELECT s, s AS ts FROM q UNION SELECT s, c.ts FROM q JOIN (
@@ -347,7 +399,7 @@ def all_oracles() -> dict[str, str]:
         "format_focus_suggestions": f"""SELECT 'focusPip,suggestion_response,' || user_id || ',' || value || ',' || {_T}
             || ',kw;' || event_type || ',' || user_id || ';' || ((user_id + 1) % 15) AS line
             FROM events WHERE event_type <> 'error'""",
-        "format_snapshots": f"WITH {SNAPSHOT} SELECT 'snapshots,snapshot_response,' || snapshot AS line FROM snapj",
+        "format_snapshots": f"WITH {SNAPSHOT} SELECT 'snapshots,snapshot_response,1/1,' || snapshot AS line FROM snapj",
         "format_paths": f"""WITH RECURSIVE {PATHS} SELECT 'snapshots,path_response,' || CASE WHEN path_found = 1
             THEN '1,' || strftime(start_ts, '%m/%d/%Y,%H:%M:%S') || ',' || strftime(end_ts, '%m/%d/%Y,%H:%M:%S')
               || ',' || listed ELSE 'No path' END AS line FROM ans""",

@@ -29,6 +29,12 @@ def ticks_user(spark, folder) -> DataFrame:
     return _ticks(spark, folder, F.col("user_id").cast("string"))
 
 
+def spiked_ticks(spark, folder) -> DataFrame:
+    """Ticks by event type, a few of them a million times as high."""
+    value = F.when(F.col("seq") % 509 == 7, F.col("value") * 1e6).otherwise(F.col("value"))
+    return ticks_type(spark, folder).withColumn("value", value)
+
+
 def late_ticks(spark, folder) -> DataFrame:
     """Ticks whose arrival numbers are shuffled locally, so that some come late."""
     return _ticks(spark, folder, F.col("event_type")).withColumn(

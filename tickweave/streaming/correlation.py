@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tickweave.functions.cells import interval_micros, micros
-from tickweave.operators.correlation import hy_correlation_sliding
+from tickweave.operators.correlation import hy_correlation_sliding, kind_keys
 from tickweave.operators.ordering import clamp_out_of_order, dedup_same_timestamp
 from tickweave.streaming.ticks import VersionedState
 
@@ -24,7 +24,7 @@ def hy_correlation_stream(
     """Write the correlation of every window that closed since the last micro-batch.
 
     Ticks are clamped and de-duplicated per batch. The state is the ticks the open windows still
-    need: those since the first open window plus each symbol's last tick before it, where the
+    need: those since the first open window plus the last tick of each symbol and kind before it, where the
     first interval begins. One small row keeps the window count.
     """
     spark = ticks.sparkSession
@@ -39,8 +39,10 @@ def hy_correlation_stream(
         held = recent.before(number)
         clean = clamp_out_of_order(batch, floor_micros=row["newest"] if row else None)
         merged = dedup_same_timestamp(clean if held is None else held.unionByName(clean))
-        merged.write.mode("overwrite").parquet(f"{checkpoint}/work/batch={number}")
-        merged = spark.read.parquet(f"{checkpoint}/work/batch={number}")
+        # two folders take turns, so the work of old batches does not pile up
+        work = f"{checkpoint}/work/{number % 2}"
+        merged.write.mode("overwrite").parquet(work)
+        merged = spark.read.parquet(work)
 
         span = merged.agg(F.min(micros("ts")).alias("lo"), F.max(micros("ts")).alias("hi")).first()
         t0 = row["t0"] if row else span["lo"]
@@ -54,9 +56,10 @@ def hy_correlation_stream(
 
         open_from = t0 + windows * advance_us
         position = micros("ts")
-        before = merged.filter(position < open_from).groupBy("symbol").agg(
-            F.max_by(F.struct(*[c for c in merged.columns if c != "symbol"]), "ts").alias("last"))
-        needed = merged.filter(position >= open_from).unionByName(before.select("symbol", "last.*"))
+        series = [*kind_keys(merged), "symbol"]
+        before = merged.filter(position < open_from).groupBy(*series).agg(
+            F.max_by(F.struct(*[c for c in merged.columns if c not in series]), "ts").alias("last"))
+        needed = merged.filter(position >= open_from).unionByName(before.select(*series, "last.*"))
         recent.save(number, needed)
         progress.save(number, spark.range(1).select(
             F.lit(t0).alias("t0"), F.lit(windows).alias("windows"), F.lit(span["hi"]).alias("newest")))

@@ -21,7 +21,9 @@ class _Crossing(StatefulProcessor):
         self.state = handle.getValueState("present", T.StructType([T.StructField("present", T.BooleanType())]))
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timer_values) -> Iterator[pd.DataFrame]:
-        batch = pd.concat(list(rows)).sort_values("ts", kind="stable")
+        # several results of one time count as one: above if any is
+        batch = pd.concat(list(rows)).groupby("ts", sort=True, as_index=False).agg(
+            {"v0": "first", "v1": "first", "is_add": "max"})
         present = bool(self.state.get()[0]) if self.state.exists() else False
         before = batch["is_add"].shift(1, fill_value=present)
         self.state.update((bool(batch["is_add"].iloc[-1]),))

@@ -96,8 +96,10 @@ class VersionedState:
         for slot in range(self.SLOTS):
             try:
                 state = self.spark.read.parquet(self._path(slot))
-            except AnalysisException:  # not written yet
-                continue
+            except AnalysisException as missing:
+                if missing.getCondition() != "PATH_NOT_FOUND":
+                    raise
+                continue  # not written yet
             row = state.select("_batch").first()
             if row and newest < row["_batch"] < batch:
                 newest, found, self._slot = row["_batch"], state.drop("_batch"), slot
