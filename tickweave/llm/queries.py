@@ -9,6 +9,7 @@ from tickweave.llm import (
     curves, language_id, line_templates, lm_scoring, lsh_forest, pieces, secrets, suffixes, superkmers, winnowing,
 )
 from tickweave.llm.frames import table
+from tickweave.llm.oracles import ORACLES
 
 
 def op2_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
@@ -87,9 +88,6 @@ QUERIES = {
     "op10_language_id": op10_language_id,
 }
 
-ORACLES: dict[str, str] = {}
-
-
 def all_queries() -> dict:
     return dict(QUERIES)
 
