@@ -106,7 +106,9 @@ def recurring_lines(docs: DataFrame, min_documents: int, leave_copies: float | N
     # every document counts once
     templates = uses.select(*key, "template").distinct().groupBy("template").agg(
         F.count(F.lit(1)).alias("documents"), F.min(F.struct(*key)).alias("first"))
-    templates = templates.filter(F.col("documents") >= min_documents).select("template", "first")
+    # written, so that both sides of the next join are shuffled for it and a hot template is split
+    templates = materialize(
+        templates.filter(F.col("documents") >= min_documents).select("template", "first"))
     drops = uses.join(templates, "template").filter(F.struct(*key) != F.col("first")).select(
         *key, "line", "tokens", "total").distinct()
     found = drops.groupBy(*key).agg(F.array_sort(F.collect_set("line")).alias("lines"),

@@ -121,7 +121,9 @@ def repeated_windows(
     if windows.take(1):
         resolved_strings = resolved_strings.unionByName(by_window_hash(windows, keep_first))
 
-    found = strings.join(resolved_strings, NAME, "left").filter("times > 1 or spans is not null")
+    # written, so that both sides of the next join are shuffled for it and a hot string is split
+    found = materialize(strings.join(resolved_strings, NAME, "left").filter(
+        "times > 1 or spans is not null"))
     marks = runs.join(found.select(*NAME, "times", "first", "spans"), NAME)
     whole = F.array(F.struct(F.lit(0).alias("start"), F.col("size").alias("size")))
     is_first = ((F.col("_id") == F.col("first._id")) & (F.col("_h") == F.col("first._h"))
