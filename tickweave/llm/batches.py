@@ -254,11 +254,10 @@ def sorted_groups(batches: Iterator[pa.RecordBatch], keys: list[str],
     """
     held: list[pa.RecordBatch] = []
     rows = 0
-    for batch in batches:
-        if batch.num_rows == 0:
-            continue
-        held.append(batch)
-        rows += batch.num_rows
+    pieces = (b.slice(low, limit) for b in batches for low in range(0, b.num_rows, limit))
+    for piece in pieces:
+        held.append(piece)
+        rows += piece.num_rows
         if rows < limit:
             continue
         table = pa.Table.from_batches(held)
