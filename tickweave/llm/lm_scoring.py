@@ -133,8 +133,9 @@ def score_documents(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
     source = keyed_texts(docs, id_col, text_col)
     good = labels.filter(F.col(f"`{label_col}`") == 1).select(
         F.col(f"`{id_col}`").cast("long").alias("_id")).filter(F.col("_id") > NO_ID).distinct()
+    # the same plan for few labels and many: both sides are shuffled once
     marked = source.select("_id", "text").join(
-        good.withColumn("good", F.lit(True)), "_id", "left").select(
+        good.withColumn("good", F.lit(True)).hint("merge"), "_id", "left").select(
         "text", F.coalesce("good", F.lit(False)).alias("good"))
     models = fit(marked)
     shared = docs.sparkSession.sparkContext.broadcast(models)  # fixed size, see above
