@@ -241,14 +241,11 @@ def test_replay_lists_a_result_once_per_ticket(spark):
 
 
 def test_ties_do_not_depend_on_row_order(spark):
-    import itertools
     rows = [("a", "b", at(1), 0.9), ("b", "a", at(1), 0.1), ("a", "b", at(2), 0.2), ("b", "a", at(2), 0.1)]
     seen = set()
-    for order in itertools.permutations(rows):
-        frame = spark.createDataFrame(list(order), "id0 string, id1 string, window_end timestamp_ntz, value double")
+    for order in (rows, rows[::-1], rows[1::-1] + rows[:1:-1]):
+        frame = spark.createDataFrame(order, "id0 string, id1 string, window_end timestamp_ntz, value double")
         seen.add(tuple(map(tuple, graph.edge_changes(frame, 0.7).orderBy("ts").collect())))
-        if len(seen) > 1:
-            break
     assert seen == {(("a", "b", at(1), True), ("a", "b", at(2), False))}
     events = [("a", "b", at(1), True), ("a", "b", at(3), False), ("a", "b", at(3), True), ("a", "b", at(5), True)]
     for order in (events, events[::-1]):
