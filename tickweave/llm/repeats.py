@@ -101,9 +101,10 @@ def repeated_windows(
     first = F.min(F.struct("_id", "_h", "start")).alias("first")
     strings = materialize(runs.groupBy(*NAME).agg(
         F.count(F.lit(1)).alias("times"), first, F.first("size").alias("size")))
-    buckets = strings.groupBy("least").agg(
-        F.count(F.lit(1)).alias("different"), F.sum("size").alias("windows"))
-    wanted = strings.join(buckets.filter("different > 1"), "least").select(
+    # written for the same reason as ``found`` below
+    buckets = materialize(strings.groupBy("least").agg(
+        F.count(F.lit(1)).alias("different"), F.sum("size").alias("windows")).filter("different > 1"))
+    wanted = strings.join(buckets, "least").select(
         "first._id", "first._h", F.struct(
             F.col("first.start").alias("start"), "size", *NAME,
             (F.col("windows") > bucket_windows).alias("large")).alias("run"))
