@@ -173,6 +173,36 @@ def test_lm_scoring(spark):
     assert lm_scoring.score_documents(frame(spark, []), labels).count() == 0
 
 
+def test_lm_scoring_counts_every_word_and_bigram_alone(spark, monkeypatch):
+    import math
+    rng = __import__("random").Random(6)
+    rows = [(i, " ".join(f"w{rng.randrange(60000)} the of" for _ in range(3000))) for i in range(24)]
+    rows += [(None, "the of"), (30, None)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(24)], "doc_id long, quality int")
+    monkeypatch.setattr(lm_scoring, "PART_BYTES", 1 << 16)
+    got = {r["doc_id"]: r for r in lm_scoring.score_documents(frame(spark, rows), labels).collect()}
+    counts = [(Counter(), Counter(), Counter()) for _ in range(2)]
+    for ident, text in rows:
+        for model in ((0, 1) if ident in range(1, 24, 2) else (0,)):
+            w = words(text)
+            for own, found in zip(counts[model], (w, [None, *w][:-1] if w else [], zip([None, *w], w))):
+                own.update(found)
+    size = max(lm_scoring.WORDS, len(counts[0][0]))
+    for ident, text in rows:
+        w, losses = words(text), []
+        for single, heads, pairs in counts[::-1]:
+            n = sum(single.values())
+            losses.append(sum(-math.log2(
+                (pairs[v, x] + lm_scoring.MU * (single[x] + 1) / (n + size)) / (heads[v] + lm_scoring.MU))
+                for v, x in zip([None, *w], w)) / max(1, len(w)))
+        if not w:
+            assert got[ident]["score"] is None and got[ident]["n_tokens"] == 0
+        else:
+            assert abs(got[ident]["target_loss"] - losses[0]) < 1e-9
+            assert abs(got[ident]["background_loss"] - losses[1]) < 1e-9
+    assert len(got) == len(rows)
+
+
 # -------------------------------------------------------------------------------- 5 lines
 def template_keys(line):
     tokens = ["<*>" if re.search("[0-9@]", w) else w for w in spaced(line)]

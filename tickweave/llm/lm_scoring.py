@@ -1,15 +1,20 @@
 """Cross-entropy difference scoring with matched n-gram models.
 
 A target model (documents labelled good) and a background model (all documents) are word bigram
-models of the same form over one vocabulary: words are hashed to ``WORDS`` ids and bigrams to
-``BIGRAMS`` cells, and a bigram's estimate is smoothed with the unigram's,
+models of the same form over one vocabulary, and a bigram's estimate is smoothed with the unigram's,
 
-    p(w | v) = (c(v, w) + MU * p(w)) / (c(v) + MU),    p(w) = (c(w) + 1) / (n + WORDS).
+    p(w | v) = (c(v, w) + MU * p(w)) / (c(v) + MU),    p(w) = (c(w) + 1) / (n + V),
 
-Every token's loss under the target less its loss under the background is averaged over a document:
-low scores look like the target. Counts are taken over all documents, every task adds up its own
-share before the shuffle, and the tables have the same fixed size for any corpus, which bounds what
-is sent to the tasks that score.
+where V is the number of distinct words of all documents, ``WORDS`` at least. Every token's loss
+under the target less its loss under the background is averaged over a document: low scores look
+like the target.
+
+Counts are exact: words, words as predecessors and bigrams are keys of 64 bits, and no two share a
+count but by a collision of whole hashes. Documents are dealt by id into parts of about
+``PART_BYTES`` of text. A part sends each distinct key once with its own counts, so a bigram that
+every document has is one entry a part; keys meet in shards, a range of hashes each, and every part
+gets the sums of its keys back, in their order. No table of counts passes through the driver or is
+held whole by a task: what comes back are three totals.
 """
 
 from __future__ import annotations
@@ -20,104 +25,178 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickweave.llm import batches as B
-from tickweave.llm.frames import NO_ID, arrow_schema, keyed_texts
+from tickweave.llm.frames import NO_ID, arrow_schema, keyed_texts, materialize
 
-WORDS = 1 << 17
-BIGRAMS = 1 << 19
+WORDS = 1 << 17           # the least size of the vocabulary
 MU = 16.0
-CHUNK = 1 << 12          # cells of one row that travels
+PART_BYTES = 4 << 20      # text of one part
+SHARDS = 1 << 10          # hash ranges for each SHARDS_BYTES of text
+SHARDS_BYTES = 64 << 30
 U64 = np.uint64
 BOUNDARY = U64(0x51ED270B9F1C7A35)   # the word before the first of a document
+BIGRAM, WORD, HEAD = range(3)        # the lowest two bits of a key
+STEP = U64(0x9E3779B97F4A7C15)
 
 
-def tokens(piece: B.Slice):
-    """Row, word id, id of the word before and bigram cell of every token of a slice."""
+def token_keys(piece: B.Slice):
+    """Row and keys (word, word before, bigram) of every token of a slice."""
     words = B.find_words(piece.data, piece.offsets, B.ALPHANUMERIC, lower=True)
     row = np.repeat(np.arange(len(words.counts)), words.counts)
     before = np.empty_like(words.code)
     before[1:] = words.code[:-1]
     before[words.first[:-1][words.counts > 0]] = BOUNDARY
-    cell = B.mix(before * U64(0x9E3779B97F4A7C15) + words.code)
-    return (row, (words.code & U64(WORDS - 1)).astype(np.int64),
-            (before & U64(WORDS - 1)).astype(np.int64),
-            (cell & U64(BIGRAMS - 1)).astype(np.int64))
+    return (row, kind_key(B.mix(words.code + U64(1)), WORD), kind_key(B.mix(before + U64(2)), HEAD),
+            kind_key(B.mix(before * STEP + words.code), BIGRAM))
 
 
-def count_cells(marked: DataFrame) -> DataFrame:
-    """``model, chunk, counts``: cell counts of each task, added up within the task.
+def kind_key(code: np.ndarray, kind: int) -> np.ndarray:
+    return code & ~U64(3) | U64(kind)
 
-    Cells are the words, the words as predecessors, then the bigrams; model 1 is the target.
-    """
-    ddl = "model int, chunk int, counts binary"
+
+def shard_of(keys: np.ndarray, shards: int) -> np.ndarray:
+    """Shards are ranges: keys in their order are in the order of shards."""
+    return ((keys >> U64(32)) * U64(shards) >> U64(32)).astype(np.int64)
+
+
+def planes(values: np.ndarray) -> bytes:
+    """64-bit values with all first bytes before all second ones, which compresses well."""
+    return np.ascontiguousarray(values, U64).view(np.uint8).reshape(-1, 8).T.tobytes()
+
+
+def from_planes(data: bytes) -> np.ndarray:
+    raw = np.frombuffer(data, np.uint8).reshape(8, -1)
+    return np.ascontiguousarray(raw.T).view(U64).ravel()
+
+
+def added(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys in their order and the sums of their two counts."""
+    order = np.argsort(keys, kind="stable")
+    keys = keys[order]
+    fresh = np.ones(len(keys), bool)
+    fresh[1:] = keys[1:] != keys[:-1]
+    at = np.flatnonzero(fresh)
+    sums = np.add.reduceat(counts[:, order], at, axis=1) if len(at) else counts
+    return keys[at], sums
+
+
+def runs(stream, column: str):
+    """The value and the batches of each run of equal values of a column of longs."""
+    held, value = [], None
+    for batch in stream:
+        if not batch.num_rows:
+            continue
+        own = batch.column(batch.schema.get_field_index(column)).to_numpy()
+        cuts = [0, *(np.flatnonzero(own[1:] != own[:-1]) + 1), len(own)]
+        for low, high in zip(cuts, cuts[1:]):
+            if held and value != own[low]:
+                yield int(value), held
+                held = []
+            value = own[low]
+            held.append(batch.slice(low, high - low))
+    if held:
+        yield int(value), held
+
+
+def count_parts(texts: DataFrame, shards: int) -> DataFrame:
+    """``shard, part, keys, all, good``: distinct keys of each part with its counts."""
+    ddl = "shard long, part long, keys binary, all binary, good binary"
     schema = arrow_schema(ddl)
 
     def run(stream):
-        sums = np.zeros((2, 2 * WORDS + BIGRAMS), np.int64)
-        for piece in B.text_slices(stream):
-            row, word, before, bigram = tokens(piece)
-            cells = np.concatenate([word, before + WORDS, bigram + 2 * WORDS])
-            sums[0] += np.bincount(cells, minlength=sums.shape[1])
-            good = np.asarray(piece.rows.column(1).to_numpy(zero_copy_only=False), bool)[row]
-            cells = cells[np.concatenate([good, good, good])]
-            sums[1] += np.bincount(cells, minlength=sums.shape[1])
-        yield from chunks(sums, schema)
-
-    return marked.mapInArrow(run, ddl)
-
-
-def chunks(sums: np.ndarray, schema: pa.Schema):
-    """The chunks of the count tables that are not zero."""
-    for model, table in enumerate(sums):
-        parts = table.reshape(-1, CHUNK)
-        used = np.flatnonzero(parts.any(axis=1))
-        for low in range(0, len(used), 32):
-            some = used[low:low + 32]
-            yield B.batch_of(schema, np.full(len(some), model), some,
-                             [parts[i].astype(np.int64).tobytes() for i in some])
+        for part, held in runs(stream, "part"):
+            keys, counts, waiting, size = np.zeros(0, U64), np.zeros((2, 0), np.int64), [], 0
+            labelled = np.concatenate([
+                np.asarray(b.column(2))[np.asarray(b.column(1)) == 0] for b in held])
+            for piece in B.text_slices(held):
+                row, *found = token_keys(piece)
+                good = np.isin(np.asarray(piece.rows.column(2)), labelled)[row]
+                found = np.concatenate(found)
+                waiting.append(added(found, np.stack(
+                    [np.ones(len(found), np.int64), np.tile(good, 3).astype(np.int64)])))
+                size += len(waiting[-1][0])
+                if size > 1 << 20:   # a part of very long texts
+                    keys, counts = together([(keys, counts), *waiting])
+                    waiting, size = [], 0
+            keys, counts = together([(keys, counts), *waiting])
+            own = shard_of(keys, shards)
+            borders = np.concatenate([[0], np.flatnonzero(own[1:] != own[:-1]) + 1, [len(own)]])
+            spans = list(zip(borders[:-1], borders[1:])) if len(keys) else []
+            for first in range(0, len(spans), 256):
+                some = spans[first:first + 256]
+                yield B.batch_of(
+                    schema, [int(own[a]) for a, _ in some], [part] * len(some),
+                    [planes(keys[a:b]) for a, b in some],
+                    *([planes(counts[m, a:b]) for a, b in some] for m in range(2)))
+
+    return texts.mapInArrow(run, ddl)
+
+
+def together(several) -> tuple[np.ndarray, np.ndarray]:
+    return added(np.concatenate([k for k, _ in several]),
+                 np.concatenate([c for _, c in several], axis=1))
 
 
 def add_up(counted: DataFrame) -> DataFrame:
-    """One row per model and chunk; a task holds at most the whole fixed-size table."""
-    ddl = "model int, chunk int, counts binary"
+    """``part, shard, all, good``: the sums over all parts of each part's keys, in their order.
+
+    One more row per shard, of part -1, has the shard's distinct words and tokens of both models.
+    """
+    ddl = "part long, shard long, all binary, good binary"
     schema = arrow_schema(ddl)
 
     def run(stream):
-        sums: dict[tuple[int, int], np.ndarray] = {}
-        for batch in stream:
-            for model, chunk, counts in zip(*(c.to_pylist() for c in batch.columns)):
-                own = np.frombuffer(counts, np.int64)
-                key = (model, chunk)
-                sums[key] = sums[key] + own if key in sums else own
-        if sums:
-            yield B.batch_of(schema, [k[0] for k in sums], [k[1] for k in sums],
-                             [v.tobytes() for v in sums.values()])
+        for shard, held in runs(stream, "shard"):
+            table = pa.Table.from_batches(held)
+            parts = table.column("part").to_pylist()
+            packed = [from_planes(x.as_buffer()) for x in table.column("keys")]
+            borders = np.concatenate([[0], np.cumsum([len(x) for x in packed])])
+            own = np.concatenate(packed)
+            counts = np.stack([np.concatenate([from_planes(x.as_buffer()) for x in table.column(c)])
+                               for c in ("all", "good")]).astype(np.int64)
+            del table, packed, held
+            keys, sums = added(own, counts)
+            del counts
+            word = keys & U64(3) == U64(WORD)
+            tokens = sums[:, word].sum(axis=1)
+            yield B.batch_of(schema, [-1], [shard], [planes(np.array([word.sum(), tokens[0]]))],
+                             [planes(tokens[1:])])
+            for first in range(0, len(parts), 256):
+                spans = [(p, borders[i], borders[i + 1])
+                         for i, p in enumerate(parts[first:first + 256], first)]
+                at = [np.searchsorted(keys, own[a:b]) for _, a, b in spans]
+                yield B.batch_of(schema, [p for p, _, _ in spans], [shard] * len(spans),
+                                 *([planes(sums[m, i]) for i in at] for m in range(2)))
 
-    # salted first: many tasks add up for one chunk, then one per chunk adds those
-    salted = counted.repartition("model", "chunk", F.pmod(F.spark_partition_id(), F.lit(16)))
-    return salted.mapInArrow(run, ddl).repartition("model", "chunk").mapInArrow(run, ddl)
+    return counted.repartition("shard").sortWithinPartitions("shard").mapInArrow(run, ddl)
 
 
 class Models:
-    """Both models as flat tables."""
+    """Vocabulary size and tokens of both models, and the loss of a token from its counts."""
 
-    def __init__(self, tables: np.ndarray):
-        self.words, self.heads = tables[:, :WORDS], tables[:, WORDS:2 * WORDS]
-        self.bigrams, self.total = tables[:, 2 * WORDS:], tables[:, :WORDS].sum(axis=1)
+    def __init__(self, words: int, tokens: tuple[int, int]):
+        self.words, self.tokens = max(WORDS, words), tokens
 
-    def losses(self, model: int, word, before, bigram) -> np.ndarray:
+    def losses(self, model: int, word, head, bigram) -> np.ndarray:
         """Negative log2 probability of each token."""
-        single = (self.words[model][word] + 1.0) / (self.total[model] + WORDS)
-        chance = (self.bigrams[model][bigram] + MU * single) / (self.heads[model][before] + MU)
-        return -np.log2(np.minimum(chance, 1.0))  # bigrams may share a cell
+        single = (word + 1.0) / (self.tokens[model] + self.words)
+        return -np.log2((bigram + MU * single) / (head + MU))
 
 
-def fit(marked: DataFrame) -> Models:
-    """Count over all rows of ``text, good``; what comes back has the tables' fixed size."""
-    tables = np.zeros((2, 2 * WORDS + BIGRAMS), np.float64)
-    for row in add_up(count_cells(marked)).toLocalIterator():
-        low = row["chunk"] * CHUNK
-        tables[row["model"], low:low + CHUNK] = np.frombuffer(row["counts"], np.int64)
-    return Models(tables.astype(np.float32) if tables.max() < 1 << 24 else tables)
+def totals(sums: DataFrame) -> Models:
+    """Distinct words and the tokens of both models, added up over the shards."""
+    ddl = "words long, tokens long, good long"
+    schema = arrow_schema(ddl)
+
+    def run(stream):
+        for batch in stream:
+            first = [from_planes(x.as_buffer()) for x in batch.column(0)]
+            good = [from_planes(x.as_buffer()) for x in batch.column(1)]
+            yield B.batch_of(schema, [int(x[0]) for x in first], [int(x[1]) for x in first],
+                             [int(x[0]) for x in good])
+
+    found = sums.filter("part = -1").select("all", "good").mapInArrow(run, ddl).agg(
+        *(F.coalesce(F.sum(c), F.lit(0)) for c in ("words", "tokens", "good"))).first()
+    return Models(found[0], (found[1], found[2]))
 
 
 def score_documents(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
@@ -131,29 +210,54 @@ def score_documents(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
     is uniform and scores only mirror the background.
     """
     source = keyed_texts(docs, id_col, text_col)
+    size = source.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    parts, shards = size // PART_BYTES + 1, SHARDS * (size // SHARDS_BYTES + 1)
+    dealt = lambda value: F.pmod(F.xxhash64(value), F.lit(parts)).alias("part")
+    # a null id has no label, so such rows need not meet
+    source = source.select(dealt(F.when(F.col("_id") == NO_ID, F.col("_h")).otherwise(
+        F.col("_id"))), "_id", "doc_id", "text")
+    texts = source.select("part", F.lit(1).alias("kind"), "_id", "text")
     good = labels.filter(F.col(f"`{label_col}`") == 1).select(
         F.col(f"`{id_col}`").cast("long").alias("_id")).filter(F.col("_id") > NO_ID).distinct()
-    # the same plan for few labels and many: both sides are shuffled once
-    marked = source.select("_id", "text").join(
-        good.withColumn("good", F.lit(True)).hint("merge"), "_id", "left").select(
-        "text", F.coalesce("good", F.lit(False)).alias("good"))
-    models = fit(marked)
-    shared = docs.sparkSession.sparkContext.broadcast(models)  # fixed size, see above
+    marks = good.select(dealt(F.col("_id")), F.lit(0), "_id", F.lit(None).cast("string"))
+    meeting = texts.union(marks).repartition("part").sortWithinPartitions("part")
+    sums = materialize(add_up(count_parts(meeting, shards)))
+    models = totals(sums)
+
+    nothing = lambda kind: F.lit(None).cast(kind)
+    replies = sums.filter("part >= 0").select(
+        "part", F.col("shard").alias("place"), nothing("long"), nothing("string"), "all", "good")
+    asked = source.select(
+        "part", F.lit(-1).cast("long").alias("place"), "doc_id", "text",
+        nothing("binary").alias("all"), nothing("binary").alias("good"))
     ddl = ("doc_id long, n_tokens long, target_loss double, background_loss double, "
            "score double")
     schema = arrow_schema(ddl)
 
     def run(stream):
-        own = shared.value
-        for piece in B.text_slices(stream):
-            row, *cells = tokens(piece)
-            rows = piece.rows.num_rows
-            count = np.bincount(row, minlength=rows)
-            with np.errstate(invalid="ignore"):
-                means = [np.bincount(row, own.losses(m, *cells), rows) / count for m in (1, 0)]
-            empty = count == 0
-            target, background = (pa.array(m, mask=empty) for m in means)
-            yield B.batch_of(schema, piece.rows.column(0), count, target, background,
-                             pa.array(means[0] - means[1], mask=empty))
-
-    return source.select("doc_id", "text").mapInArrow(run, ddl)
+        for _, held in runs(stream, "part"):
+            table = pa.Table.from_batches(held)
+            place = table.column("place").to_numpy()
+            own = table.filter(pa.array(place < 0)).combine_chunks().to_batches()
+            answers = table.filter(pa.array(place >= 0)).sort_by("place")
+            counts = [np.concatenate([np.zeros(0, U64)] + [
+                from_planes(x.as_buffer()) for x in answers.column(c)]).astype(np.float64)
+                for c in ("all", "good")]
+            del table, held, answers
+            keys = np.zeros(0, U64)
+            for piece in B.text_slices(own):
+                keys = np.union1d(keys, np.concatenate(token_keys(piece)[1:]))
+            for piece in B.text_slices(own):
+                row, word, head, bigram = token_keys(piece)
+                at = [np.searchsorted(keys, k) for k in (word, head, bigram)]
+                rows = piece.rows.num_rows
+                count = np.bincount(row, minlength=rows)
+                with np.errstate(invalid="ignore"):
+                    means = [np.bincount(row, models.losses(m, *(counts[m][i] for i in at)), rows)
+                             / count for m in (1, 0)]
+                empty = count == 0
+                target, background = (pa.array(m, mask=empty) for m in means)
+                yield B.batch_of(schema, piece.rows.column(2), count, target, background,
+                                 pa.array(means[0] - means[1], mask=empty))
+
+    return asked.union(replies).repartition("part").sortWithinPartitions("part").mapInArrow(run, ddl)
