@@ -50,6 +50,16 @@ def test_secrets(spark):
     assert secrets.find_secrets(frame(spark, [])).count() == 0
 
 
+def test_secrets_written_twice_do_not_hide_each_other(spark):
+    keys = ["Qm7ZxT9vKpL2sWcR4yUbN8dHfJ3gAeXo5kTi0PqE", "b8GyLw1RzVn6MjXs3CuDh9FaKe2QtOp7YiBx4ZmW"]
+    text = f"bearer {keys[0]} then the bearer {keys[1]} and again bearer {keys[0]} sent"
+    rows = [(i, f"{text} {'x' * i}") for i in range(30)] + [(50, text), (51, text)]
+    for row in secrets.find_secrets(frame(spark, rows)).collect():
+        assert [text[s.start:s.end] for s in row.spans if s.kind == "novel"] == [*keys, keys[0]]
+    around = [a for _, _, a in secrets.candidates(text, [])]
+    assert len(around) == 3 and not any(k[5:15] in a for a in around for k in keys)
+
+
 # -------------------------------------------------------------------------------- 3 join
 def linked(rows):
     sets = []

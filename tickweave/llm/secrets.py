@@ -34,6 +34,7 @@ SENSITIVE = re.compile(
     r"passw(?:or)?d|passphrase|secret|token|api[_-]?key|credential|authorization|bearer|private"
     r"[_-]?key|access[_-]?key|client[_-]?id|AKIA|-----BEGIN", re.IGNORECASE | re.ASCII)
 STRING = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
+INSIDE = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-")
 IDENTIFIER = re.compile(r"[A-Za-z_][A-Za-z0-9_]{2,}")
 
 REACH = 64              # characters between a sensitive word and a candidate
@@ -59,8 +60,11 @@ LONG_HEX = re.compile(r"[0-9a-f]{%d,}" % MIN_HEX)
 
 
 def candidates(text: str, base: list[tuple[int, int, str]]):
-    """Spans of long strings near sensitive words, and their surroundings without the strings."""
-    out, done = [], -1
+    """Spans of long strings near sensitive words, and their surroundings without the strings.
+
+    Surroundings hold no candidate, no base span and no other copy of a candidate's string.
+    """
+    spans, done = [], 0
     for word in SENSITIVE.finditer(text):
         low, high = max(0, word.start() - REACH), word.end() + REACH
         for m in STRING.finditer(text, max(low, done)):
@@ -69,9 +73,32 @@ def candidates(text: str, base: list[tuple[int, int, str]]):
             done = m.end()
             if any(start < m.end() and m.start() < end for start, end, _ in base):
                 continue
-            around = text[max(0, m.start() - AROUND):m.start()] + " " + text[m.end():m.end() + AROUND]
-            out.append((m.start(), m.end(), around))
-    return out
+            spans.append((m.start(), m.end()))
+    if not spans:
+        return []
+    strings = {text[start:end] for start, end in spans}
+    blanks = sorted(spans + [(start, end) for start, end, _ in base])
+    return [(start, end, surroundings(text, start, end, blanks, strings)) for start, end in spans]
+
+
+def surroundings(text: str, start: int, end: int, blanks, strings: set[str]) -> str:
+    """The text ``AROUND`` a span without ``blanks`` (by start) and copies of ``strings``."""
+    low, high = max(0, start - AROUND), min(len(text), end + AROUND)
+    # a string that the border cuts may be the rest of a copy
+    while 0 < low < start and text[low - 1] in INSIDE and text[low] in INSIDE:
+        low += 1
+    while end < high < len(text) and text[high] in INSIDE and text[high - 1] in INSIDE:
+        high -= 1
+    kept, at = [], low
+    for first, last in blanks:
+        if first >= high:
+            break
+        if last > at:
+            kept.append(text[at:max(at, first)])
+            at = last
+    kept.append(text[at:high])
+    around = STRING.sub(lambda m: " " if m.group() in strings else m.group(), " ".join(kept))
+    return around.replace(text[start:end], " ")
 
 
 class Novelty:
@@ -121,10 +148,10 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
 def identifier_dictionary(scanned: DataFrame) -> bytes:
     """The identifiers most used around candidates, the commonest last (nearest to the data).
 
-    Counted over all documents; the list that comes back ends at ``DICTIONARY_BYTES``, the
+    Counted over the distinct surroundings of all documents, so copies count once; the list that comes back ends at ``DICTIONARY_BYTES``, the
     dictionary's size.
     """
-    words = scanned.select(F.explode("candidates.around").alias("around")).select(
+    words = scanned.select(F.explode("candidates.around").alias("around")).distinct().select(
         F.explode(F.array_distinct(F.regexp_extract_all(
             "around", F.lit(IDENTIFIER.pattern), F.lit(0)))).alias("word"))
     ranked = words.groupBy("word").count().orderBy(F.desc("count"), "word").limit(
