@@ -60,6 +60,20 @@ def test_secrets_written_twice_do_not_hide_each_other(spark):
     assert len(around) == 3 and not any(k[5:15] in a for a in around for k in keys)
 
 
+def test_secrets_of_any_alphabet_and_place_are_whole(spark):
+    rng = __import__("random").Random(9)
+    full = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    keys = [("".join(rng.choices(letters, k=size)), gap) for letters, size, gap in (
+        (full, 40, 51), (full, 40, 29), ("0123456789ABCDEF", 80, 1), ("0123456789ABCDEF", 400, 1),
+        ("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", 1024, 1))]
+    rows = [(i, f"{k}{' ' * gap}token of the day") for i, (k, gap) in enumerate(keys)]
+    rows.append((90, "token " + "/some/path/of/words" * 9))
+    got = {r["doc_id"]: r["spans"] for r in secrets.find_secrets(frame(spark, rows)).collect()}
+    for i, (key, _) in enumerate(keys):
+        assert [(s.start, s.end, s.kind) for s in got[i]] == [(0, len(key), "novel")], i
+    assert got[90] == []
+
+
 # -------------------------------------------------------------------------------- 3 join
 def linked(rows):
     sets = []

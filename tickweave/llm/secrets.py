@@ -40,7 +40,14 @@ IDENTIFIER = re.compile(r"[A-Za-z_][A-Za-z0-9_]{2,}")
 REACH = 64              # characters between a sensitive word and a candidate
 AROUND = 256            # characters of surrounding text the compressor is primed with, each side
 DICTIONARY_BYTES = 16 << 10
-MIN_NOVELTY = 0.75      # marginal compressed bytes per byte
+MIN_NOVELTY = 0.75      # marginal compressed bytes per byte, of 6 bits of content
+SLACK = 0.97            # a sample of fewer symbols may cost that much less
+# fixed values: bits a character of strings that hold a digit and no other characters
+ALPHABETS = [(re.compile(expr), bits) for expr, bits in (
+    (r"[0-9]+", np.log2(10)), (r"[0-9A-F]+|[0-9a-f]+", 4.0), (r"[2-7A-Z]+|[2-7a-z]+", 5.0),
+    (r"[0-9A-Z]+|[0-9a-z]+", np.log2(36)))]
+DIGIT = re.compile(r"[0-9]")
+RUN = re.compile(r"[A-Za-z0-9]+")
 LEVEL = 3
 
 
@@ -67,7 +74,10 @@ def candidates(text: str, base: list[tuple[int, int, str]]):
     spans, done = [], 0
     for word in SENSITIVE.finditer(text):
         low, high = max(0, word.start() - REACH), word.end() + REACH
-        for m in STRING.finditer(text, max(low, done)):
+        first = max(low, done)
+        while first > done and text[first - 1] in INSIDE:   # a string that reaches into the window
+            first -= 1
+        for m in STRING.finditer(text, first):
             if m.start() > high:
                 break
             done = m.end()
@@ -101,6 +111,21 @@ def surroundings(text: str, start: int, end: int, blanks, strings: set[str]) ->
     return around.replace(text[start:end], " ")
 
 
+def least_novelty(string: str) -> float:
+    """The marginal cost a byte from which a string is novel: what its own alphabets can carry.
+
+    Each run of letters and digits has the smallest alphabet that it fits; runs without a digit may
+    be words, and they and the separators count as base64.
+    """
+    bits = 6.0 * len(string)
+    for run in RUN.findall(string):
+        if DIGIT.search(run):
+            own = next((b for expr, b in ALPHABETS if expr.fullmatch(run)), 6.0)
+            bits -= (6.0 - own) * len(run)
+    share = bits / (6.0 * len(string))
+    return MIN_NOVELTY * (share if share == 1.0 else share * SLACK)
+
+
 class Novelty:
     """Marginal compressed bytes of a string after its surroundings and the identifiers."""
 
@@ -185,7 +210,7 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 spans = [dict(x, novelty=None) for x in base]
                 for x in more:
                     cost = novelty.cost(x["string"], x["around"])
-                    if cost >= MIN_NOVELTY:
+                    if cost >= least_novelty(x["string"]):
                         spans.append({"start": x["start"], "end": x["end"], "kind": "novel",
                                       "novelty": cost})
                 rows.append(sorted(spans, key=lambda x: (x["start"], rank[x["kind"]])))
