@@ -267,6 +267,14 @@ def test_line_templates(spark):
     assert line_templates.drop_recurring_lines(frame(spark, [])).count() == 0
 
 
+def test_a_line_of_two_documents_recurs(spark):
+    passage = prose(__import__("random").Random(5), 60)
+    rows = [(1, f"one own line\n{passage}"), (2, f"{passage}\nanother own"), (3, "own too")]
+    got = line_templates.drop_recurring_lines(frame(spark, rows)).select(
+        "doc_id", "text", "n_dropped").collect()
+    assert {tuple(r) for r in got} == {(*rows[0], 0), (2, "another own", 1), (*rows[2], 0)}
+
+
 # -------------------------------------------------------------------------------- 7 winnowing
 def test_winnowing(spark):
     rows = corpus()

@@ -2,9 +2,10 @@
 
 A line is parsed to a fixed depth: its number of tokens, then its leading tokens, where a token that
 holds a digit or an ``@`` is a variable field. That is a leaf of the tree. Inside a leaf, lines that
-agree in at least three quarters of their tokens, position by position, share a template: the
-tokens are cut into quarters and each template leaves one quarter open (short lines have no open
-part). A template that occurs in several documents is dropped from all of them but the first.
+differ only inside one of their four quarters share a template: each template leaves one quarter
+open (short lines have no open part). Lines that agree in three quarters of their tokens but differ
+in two quarters do not meet. A template that occurs in two documents or more is dropped from all of
+them but the first.
 
 Leaves are counted first, one small row per line; only lines of leaves that recur go on, so prose
 leaves the plan early. Counts are summed before each shuffle, so a line that a third of all
@@ -23,7 +24,7 @@ from tickweave.llm.frames import NO_ID, arrow_schema, fresh, keyed_texts, materi
 
 DEPTH = 3          # leading tokens
 OPEN_FROM = 8      # tokens a line needs for a template with an open quarter
-MIN_DOCUMENTS = 3  # documents a template occurs in to be dropped
+MIN_DOCUMENTS = 2  # documents a template occurs in to be dropped
 U64 = np.uint64
 VARIABLE = B.byte_set((0x30, 0x39), (0x40, 0x40))
 FIELD = U64(0x2545F4914F6CDD1D)  # the code of every variable field
