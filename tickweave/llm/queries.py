@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickweave.llm import (
-    curves, language_id, line_templates, lm_scoring, lsh_forest, pieces, secrets, suffixes, superkmers, winnowing,
+    compression, curves, language_id, line_templates, lm_scoring, lsh_forest, pieces, secrets, suffixes,
+    superkmers, winnowing,
 )
 from tickweave.llm.frames import table
 from tickweave.llm.oracles import ORACLES
@@ -69,6 +70,13 @@ def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", language_id.held_out("doc_id").alias("held_out"), "lang_pred", "score")
 
 
+def op13_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    found = compression.score_quality(table(spark, folder, "documents"), table(spark, folder, "labels"))
+    return found.select(
+        "doc_id", language_id.held_out("doc_id").alias("held_out"), "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     import corpus_pipeline
     return corpus_pipeline.run(spark, folder)
@@ -86,6 +94,7 @@ QUERIES = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_sentencepiece": op9_sentencepiece,
     "op10_language_id": op10_language_id,
+    "op13_quality_classifier": op13_quality_classifier,
 }
 
 def all_queries() -> dict:
