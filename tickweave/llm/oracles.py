@@ -45,7 +45,45 @@ kept AS (SELECT doc_id, count(*) AS n_words, count(*) FILTER (gone) AS n_removed
 SELECT d.doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed,
   sha256(coalesce(kept.text, '')) AS kept_sha256 FROM documents d LEFT JOIN kept USING (doc_id)"""
 
+# CRC-32 by its definition: eight steps of the reversed polynomial give a table entry a byte value
+CRC_TABLE = """crc AS (SELECT list_transform(range(256), lambda b: list_reduce(range(8),
+  lambda c, i: xor(c >> 1, 3988292384 * (c & 1)), b)) AS t)"""
+
+
+def _crc(codes: str, state: str = "4294967295") -> str:
+    """The running CRC of a list of byte values (to be inverted at the end)."""
+    return f"list_reduce({codes}, lambda c, b: xor(t[1 + (xor(c, b) & 255)], c >> 8), {state})"
+
+
+PREFIX_TRIE = rf"""WITH {CRC_TABLE},
+turns AS (SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS txt,
+  row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS i
+  FROM conversations WHERE conv_id IS NOT NULL),
+counts AS (SELECT c, count(*) AS own, c - c % 20 AS base FROM turns GROUP BY c),
+plans AS (SELECT p.c, p.base, h, least(h, coalesce(b.own, 0)) AS taken, p.own FROM (SELECT *, xor({_crc(
+    "list_transform(string_split(CAST(c AS VARCHAR), ''), lambda x: CAST(ord(x) AS BIGINT))")}, 4294967295) % 4 AS h
+  FROM counts, crc) p LEFT JOIN counts b ON b.c = p.base),
+whole AS (SELECT p.c, i AS d, role, txt FROM plans p JOIN turns t ON t.c = p.base AND i <= taken
+  UNION ALL SELECT p.c, i - h + taken, role, txt FROM plans p JOIN turns t ON t.c = p.c AND i > h
+  UNION ALL SELECT c, 0, '', '' FROM plans),
+paths AS (SELECT c, d, md5(string_agg(md5(role) || md5(txt), '' ORDER BY d) OVER
+  (PARTITION BY c ORDER BY d ROWS UNBOUNDED PRECEDING)) AS k,
+  CASE WHEN d > 0 THEN len(regexp_extract_all(txt, '[^ 	-]+')) ELSE 0 END AS w,
+  max(d) OVER (PARTITION BY c) AS total FROM whole),
+nodes AS (SELECT k, d, min(c) AS rep, count(*) AS n, any_value(w) * (count(*) - 1) AS saved,
+  sha256(coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (d = total), '')) AS ends
+  FROM paths GROUP BY k, d),
+linked AS (SELECT n.*, up.k AS pk FROM nodes n LEFT JOIN paths up ON up.c = n.rep AND up.d = n.d - 1),
+kids AS (SELECT pk, count(*) AS n_children FROM linked WHERE pk IS NOT NULL GROUP BY pk),
+below AS (SELECT up.k, sum(n.saved) AS saved, count(*) FILTER (kids.n_children IS NULL) AS leaves
+  FROM nodes n LEFT JOIN kids ON kids.pk = n.k JOIN paths up ON up.c = n.rep AND up.d <= n.d GROUP BY up.k)
+SELECT l.rep AS conv_id, l.d AS depth, p.rep AS parent_conv_id, l.n AS n_convs,
+  coalesce(n_children, 0) AS n_children, leaves AS n_leaves, CAST(below.saved AS BIGINT) AS saved_tokens,
+  l.ends AS ends_sha256
+FROM linked l JOIN below ON below.k = l.k LEFT JOIN kids ON kids.pk = l.k LEFT JOIN nodes p ON p.k = l.pk"""
+
 ORACLES = {
     "op7_decontamination": DECONTAMINATION,
     "op8_substring_dedup": SUBSTRINGS,
+    "op12_prefix_trie": PREFIX_TRIE,
 }
