@@ -68,7 +68,8 @@ whole AS (SELECT p.c, i AS d, role, txt FROM plans p JOIN turns t ON t.c = p.bas
   UNION ALL SELECT c, 0, '', '' FROM plans),
 paths AS (SELECT c, d, md5(string_agg(md5(role) || md5(txt), '' ORDER BY d) OVER
   (PARTITION BY c ORDER BY d ROWS UNBOUNDED PRECEDING)) AS k,
-  CASE WHEN d > 0 THEN len(regexp_extract_all(txt, '[^ 	-]+')) ELSE 0 END AS w,
+  CASE WHEN d > 0 THEN len(regexp_extract_all(txt, '[^ 	-
+]+')) ELSE 0 END AS w,
   max(d) OVER (PARTITION BY c) AS total FROM whole),
 nodes AS (SELECT k, d, min(c) AS rep, count(*) AS n, any_value(w) * (count(*) - 1) AS saved,
   sha256(coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (d = total), '')) AS ends
@@ -82,8 +83,36 @@ SELECT l.rep AS conv_id, l.d AS depth, p.rep AS parent_conv_id, l.n AS n_convs,
   l.ends AS ends_sha256
 FROM linked l JOIN below ON below.k = l.k LEFT JOIN kids ON kids.pk = l.k LEFT JOIN nodes p ON p.k = l.pk"""
 
+# the states of a word's checksum go on from the state after "<doc_id>:"
+SPELLING = rf"""WITH RECURSIVE {CRC_TABLE},
+lowered AS (SELECT doc_id, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS txt
+  FROM documents WHERE text IS NOT NULL),
+runs AS (SELECT doc_id, run, count(*) AS times FROM (
+  SELECT doc_id, unnest(regexp_extract_all(txt, '[a-z\x{{C0}}-\x{{FF}}]+')) AS run FROM lowered)
+  WHERE length(run) >= 5 GROUP BY doc_id, run),
+checked AS (SELECT run, times, xor({_crc(
+    "flatten(list_transform(string_split(concat(doc_id, ':', run), ''), lambda x: CASE WHEN ord(x) < 128 "
+    "THEN [CAST(ord(x) AS BIGINT)] ELSE [195, CAST(ord(x) AS BIGINT) - 64] END))")}, 4294967295) AS h FROM runs, crc),
+words AS (SELECT word, CAST(sum(times) AS BIGINT) AS n FROM (SELECT times, CASE WHEN h % 97 = 0
+    THEN run[:h % length(run)] || run[h % length(run) + 2:] ELSE run END AS word FROM checked)
+  WHERE length(word) >= 5 GROUP BY word HAVING sum(times) >= 3),
+less AS (SELECT word, n, i, word[:i - 1] || word[i + 1:] AS rest
+  FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words)),
+pairs AS (SELECT a.word, b.word AS other, b.n AS m FROM less a JOIN less b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+  UNION SELECT a.word, b.word, b.n FROM less a JOIN words b ON a.rest = b.word
+  UNION SELECT b.word, a.word, a.n FROM less a JOIN words b ON a.rest = b.word),
+best AS (SELECT word, count(*) AS n_near, max(m) AS m FROM pairs GROUP BY word),
+formed AS (SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN best.m >= 2 * w.n THEN best.m END AS form_n,
+  CASE WHEN best.m >= 2 * w.n THEN (SELECT min(other) FROM pairs p WHERE p.word = w.word AND p.m = best.m) END AS form
+  FROM words w LEFT JOIN best USING (word)),
+ways AS (SELECT word, word AS root, 0 AS steps FROM formed
+  UNION ALL SELECT ways.word, form, steps + 1 FROM ways JOIN formed f ON f.word = ways.root WHERE form IS NOT NULL)
+SELECT word, form, root, n, n_near, form_n FROM formed JOIN (
+  SELECT word, arg_max(root, steps) AS root FROM ways GROUP BY word) USING (word)"""
+
 ORACLES = {
     "op7_decontamination": DECONTAMINATION,
     "op8_substring_dedup": SUBSTRINGS,
+    "op11_spelling_variants": SPELLING,
     "op12_prefix_trie": PREFIX_TRIE,
 }

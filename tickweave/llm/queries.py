@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tickweave.llm import (
     compression, curves, language_id, line_templates, lm_scoring, lsh_forest, pieces, prefix_trie, secrets,
-    suffixes, superkmers, winnowing,
+    spelling, suffixes, superkmers, winnowing,
 )
 from tickweave.llm.frames import table
 from tickweave.llm.oracles import ORACLES
@@ -70,6 +70,10 @@ def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", language_id.held_out("doc_id").alias("held_out"), "lang_pred", "score")
 
 
+def op11_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.spelling_variants(table(spark, folder, "documents"))
+
+
 def op12_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
     return prefix_trie.prefix_trie(table(spark, folder, "conversations"))
 
@@ -98,6 +102,7 @@ QUERIES = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_sentencepiece": op9_sentencepiece,
     "op10_language_id": op10_language_id,
+    "op11_spelling_variants": op11_spelling_variants,
     "op12_prefix_trie": op12_prefix_trie,
     "op13_quality_classifier": op13_quality_classifier,
 }
