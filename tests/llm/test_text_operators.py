@@ -144,8 +144,6 @@ def test_prefix_is_shortened_to_the_recall():
 # -------------------------------------------------------------------------------- 4 scoring
 def test_lm_scoring(spark):
     import math
-    import numpy as np
-    from tickweave.llm import batches
     rows = corpus(size=15)[:60]
     good = {i for i, _ in rows if i is not None and i % 2 == 0}
     labels = spark.createDataFrame(
@@ -153,32 +151,26 @@ def test_lm_scoring(spark):
         "doc_id long, quality int")
     got = lm_scoring.score_documents(wide(spark, rows), labels).collect()
 
-    def code(word):
-        raw = np.frombuffer(word.encode(), np.uint8)
-        return int(batches.find_words(raw, np.array([0, len(raw)]), batches.ALPHANUMERIC).code[0])
-
-    def cells(text):
-        codes = [int(lm_scoring.BOUNDARY)] + [code(w) for w in words(text)]
-        for v, w in zip(codes, codes[1:]):
-            mixed = int(batches.mix(np.array([(v * 0x9E3779B97F4A7C15 + w) % (1 << 64)], np.uint64))[0])
-            yield w % lm_scoring.WORDS, v % lm_scoring.WORDS, mixed % lm_scoring.BIGRAMS
+    def pairs_of(text):
+        found = words(text)
+        return list(zip([None, *found], found))
 
     counts = [(Counter(), Counter(), Counter()) for _ in range(2)]
     for ident, text in rows:
         for model in ((0, 1) if ident in good else (0,)):
-            for three in cells(text):
-                for own, cell in zip(counts[model], three):
-                    own[cell] += 1
+            for v, w in pairs_of(text):
+                for own, key in zip(counts[model], (w, v, (v, w))):
+                    own[key] += 1
+    size = max(lm_scoring.WORDS, len(counts[0][0]))
 
-    def loss(model, w, v, b):
+    def loss(model, v, w):
         single, heads, pairs = counts[model]
-        p = (single[w] + 1) / (sum(single.values()) + lm_scoring.WORDS)
-        # two bigrams may share a cell
-        return -math.log2(min(1, (pairs[b] + lm_scoring.MU * p) / (heads[v] + lm_scoring.MU)))
+        p = (single[w] + 1) / (sum(single.values()) + size)
+        return -math.log2((pairs[v, w] + lm_scoring.MU * p) / (heads[v] + lm_scoring.MU))
 
     expected = defaultdict(list)
     for ident, text in rows[:25]:
-        found = list(cells(text))
+        found = pairs_of(text)
         expected[ident].append([sum(loss(m, *c) for c in found) / len(found) for m in (1, 0)]
                                if found else None)
     by_id = defaultdict(list)
