@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from helpers import at, clean_rows, random_rows, secs, sliding
+from helpers import at, random_rows, secs, sliding
 from tickweave.operators import change, graph, hubs
 from tickweave.operators import results as R
 from tickweave.streaming import correlation as SC
@@ -47,45 +47,101 @@ def test_clamp_stream_equals_batch(spark, tmp_path):
     assert got == want
 
 
-def test_correlation_stream_equals_model(spark, tmp_path):
-    rows = random_rows(22, symbols=3, ticks=90)
-    write_files(tmp_path / "in", rows, 30)
-    out = str(tmp_path / "out")
-    run(SC.hy_correlation_stream(
-        tick_stream(spark, tmp_path / "in"), out, str(tmp_path / "ck"), "30 seconds", "10 seconds"))
-    got = {(r["id0"], r["id1"], secs(r["window_start"])): r["value"] for r in spark.read.parquet(out).collect()}
-    want = sliding(clean_rows(rows), 30, 10)
+def expected_closed(rows, size, advance, lateness, dedup=True):
+    """The model over ticks in time order, windows that the last watermark has reached."""
+    newest, seen, kept = None, set(), []
+    for order, (symbol, when, value) in sorted(enumerate(rows), key=lambda x: (x[1][1], x[0])):
+        if (symbol, when) not in seen:
+            seen.add((symbol, when))
+            kept.append((symbol, when, value))
+    last = max(t for _, t, _ in rows)
+    return {k: v for k, v in sliding(kept, size, advance).items() if k[2] + size <= last - lateness - 0.001}
+
+
+def stream_result(spark, out, kind=None):
+    table = spark.read.parquet(out)
+    if kind:
+        table = table.filter(F.col("kind") == kind)
+    rows = [(r["id0"], r["id1"], secs(r["window_start"]), r["value"]) for r in table.collect()]
+    assert len({r[:3] for r in rows}) == len(rows)
+    return {r[:3]: r[3] for r in rows}
+
+
+def same(got, want):
     assert got.keys() == want.keys() and len(want) > 5
     assert all(got[k] == pytest.approx(want[k], abs=1e-9) for k in want)
 
 
-def result_stream(spark, folder):
-    values = [0.2, 0.7, -0.9, 0.69, 0.1, -0.8, -0.801, -0.9, 0.0, 0.5]
-    rows = [(p, "z", at(i), v * (1 if p == "a" else .9)) for i, v in enumerate(values) for p in "ab"]
-    df = spark.createDataFrame(rows, "id0 string, id1 string, window_end timestamp_ntz, value double")
-    for part, (lo, hi) in enumerate([(0, 3), (3, 7), (7, 10)]):
-        df.filter((F.col("window_end") >= F.lit(at(lo))) & (F.col("window_end") < F.lit(at(hi)))).coalesce(1) \
-            .write.mode("append").parquet(str(folder))
-    stream = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(str(folder))
-    return df, stream
+@pytest.mark.parametrize("blocks", [1, 3])
+def test_correlation_stream_equals_model(spark, tmp_path, blocks):
+    """Eleven micro-batches with late ticks, a gap longer than a window and ticks at one time."""
+    rows = random_rows(22, symbols=4, ticks=70)
+    end = max(t for _, t, _ in rows)
+    rows += [(s, t + end + 95, v) for s, t, v in random_rows(24, symbols=4, ticks=40)]
+    write_files(tmp_path / "in", rows, 10)
+    first = min(t for _, t, _ in rows)
+    windows = SC.hy_correlation_stream(
+        tick_stream(spark, tmp_path / "in"), "30 seconds", "10 seconds", lateness="4 seconds", blocks=blocks,
+        origin=int((at(first) - at(0)).total_seconds() * 1e6) + 1_704_067_200_000_000)
+    query = ST.write_stream(windows, str(tmp_path / "out"), str(tmp_path / "ck"))
+    run(query)
+    assert query.lastProgress["batchId"] >= 10
+    same(stream_result(spark, str(tmp_path / "out")), expected_closed(rows, 30, 10, 4))
+
+
+def test_correlation_stream_goes_on_after_a_restart(spark, tmp_path):
+    import shutil
+    rows = random_rows(25, symbols=3, ticks=90)
+    write_files(tmp_path / "all", rows, 10)
+    (tmp_path / "in").mkdir()
+    names = sorted(p.name for p in (tmp_path / "all").iterdir())
+    first = min(t for _, t, _ in rows)
+    for part in (names[:4], names[4:5], names[5:]):
+        for name in part:
+            shutil.copy2(tmp_path / "all" / name, tmp_path / "in" / name)
+        windows = SC.hy_correlation_stream(
+            tick_stream(spark, tmp_path / "in"), "30 seconds", "10 seconds", lateness="4 seconds", blocks=2,
+            origin=first * 1_000_000 + 1_704_067_200_000_000)
+        run(ST.write_stream(windows, str(tmp_path / "out"), str(tmp_path / "ck")))
+    same(stream_result(spark, str(tmp_path / "out")), expected_closed(rows, 30, 10, 4))
+
+
+def test_correlation_stream_drops_what_is_too_late(spark, tmp_path):
+    rows = random_rows(26, symbols=3, ticks=60, late=False)
+    first, end = rows[0][1], rows[-1][1]
+    late = [("s0", first + 1, 500.0), ("s1", first + 2, 900.0)]
+    # the late ticks come in a file of their own after a file that has moved the watermark
+    write_files(tmp_path / "in", rows[:40] + late * 5 + rows[40:], 10)
+    windows = SC.hy_correlation_stream(
+        tick_stream(spark, tmp_path / "in"), "30 seconds", "10 seconds",
+        origin=first * 1_000_000 + 1_704_067_200_000_000)
+    run(ST.write_stream(windows, str(tmp_path / "out"), str(tmp_path / "ck")))
+    same(stream_result(spark, str(tmp_path / "out")), expected_closed(rows, 30, 10, 0))
 
 
 def test_correlation_stream_keeps_kinds_apart(spark, tmp_path):
-    """The last tick before the open windows is kept for each kind of a symbol."""
     rows = random_rows(23, symbols=2, ticks=90)
     write_files(tmp_path / "in", rows, 15)
     ticks = tick_stream(spark, tmp_path / "in")
     both = ticks.withColumn("kind", F.explode(F.array(F.lit("f"), F.lit("w")))).withColumn(
         "value", F.when(F.col("kind") == "f", F.col("value")).otherwise(200 - F.col("value"))).withColumn(
         "seq", F.col("seq") * 2 + (F.col("kind") == "w").cast("bigint"))
-    out = str(tmp_path / "out")
-    run(SC.hy_correlation_stream(both, out, str(tmp_path / "ck"), "30 seconds", "10 seconds"))
-    want = sliding(clean_rows(rows), 30, 10)
+    windows = SC.hy_correlation_stream(both, "30 seconds", "10 seconds", lateness="4 seconds",
+                                       origin=min(t for _, t, _ in rows) * 1_000_000 + 1_704_067_200_000_000)
+    run(ST.write_stream(windows, str(tmp_path / "out"), str(tmp_path / "ck")))
     for kind in "fw":
-        got = {(r["id0"], r["id1"], secs(r["window_start"])): r["value"]
-               for r in spark.read.parquet(out).filter(F.col("kind") == kind).collect()}
-        assert got.keys() == want.keys() and len(want) > 5
-        assert all(got[k] == pytest.approx(want[k], abs=1e-9) for k in want)
+        same(stream_result(spark, str(tmp_path / "out"), kind), expected_closed(rows, 30, 10, 4))
+
+
+def result_stream(spark, folder):
+    values = [0.2, 0.7, -0.9, 0.69, 0.1, -0.8, -0.801, -0.9, 0.0, 0.5]
+    rows = [(p, "z", at(i), v * (1 if p == "a" else .9)) for i, v in enumerate(values) for p in "ab"]
+    df = spark.createDataFrame(rows, "id0 string, id1 string, window_end timestamp_ntz, value double")
+    for part, (lo, hi) in enumerate([(0, 3), (3, 7), (7, 10)]):
+        df.filter((F.col("window_end") >= F.lit(at(lo))) & (F.col("window_end") < F.lit(at(hi)))).coalesce(1) \
+            .write.mode("append").parquet(str(folder))
+    stream = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(str(folder))
+    return df, stream
 
 
 def test_edge_changes_and_change_filter_streams_equal_batch(spark, tmp_path):

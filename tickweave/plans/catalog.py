@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tickweave.functions.cells import micros
 from tickweave.operators import change, correlation, entropy, graph, hubs, ordering, pairs, params
 from tickweave.operators import paths as path_ops
 from tickweave.operators import results, snapshots
@@ -16,6 +17,7 @@ from tickweave.session import materialize, pin_utc, shared_folder
 from tickweave.sources import logs
 from tickweave.sources import ticks as tick_source
 from tickweave.streaming.correlation import hy_correlation_stream as hy_correlation_stream_of
+from tickweave.streaming.ticks import write_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -274,14 +276,31 @@ def hy_correlation_sliding_spike(spark, folder):
     return windows.withColumn("value", F.when(F.col("value") == 0, F.lit(0.0)).otherwise(F.col("value")))
 
 
+ARRIVALS = 12          # micro-batches of a stream query at least
+ROWS_PER_ARRIVAL = 500_000
+
+
+def _arriving(df: DataFrame, folder: str) -> DataFrame:
+    """``df`` as a stream whose files arrive in time order, each a slice of it, one a micro-batch."""
+    spark = df.sparkSession
+    span = df.agg(F.min(micros("ts")).alias("lo"), F.max(micros("ts")).alias("hi"), F.count("ts").alias("n")).first()
+    slices = max(ARRIVALS, -(-span["n"] // ROWS_PER_ARRIVAL))
+    low, width = span["lo"] or 0, ((span["hi"] or 0) - (span["lo"] or 0)) // slices + 1
+    for i in range(slices):
+        part = df.filter((micros("ts") >= low + i * width) & (micros("ts") < low + (i + 1) * width))
+        part.coalesce(1).write.mode("append").parquet(folder)
+    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+
+
 @query
 def hy_correlation_stream(spark, folder):
-    """The events as a stream of ticks, windows written as they close."""
+    """The events as a stream of ticks in a dozen micro-batches, windows written as they close."""
     work = f"{shared_folder(spark)}/tickweave/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
-    v.ticks_type(spark, folder).write.parquet(f"{work}/in")
-    ticks = spark.readStream.schema(v.ticks_type(spark, folder).schema).parquet(f"{work}/in")
-    hy_correlation_stream_of(ticks, f"{work}/out", f"{work}/checkpoint", SIZE, ADVANCE, scale=100).awaitTermination()
-    return _rounded(spark.read.parquet(f"{work}/out").drop("batch"))
+    ticks = v.ticks_type(spark, folder)
+    origin = ticks.agg(F.min(micros("ts")).alias("lo")).first()["lo"] or 0
+    windows = hy_correlation_stream_of(_arriving(ticks, f"{work}/in"), SIZE, ADVANCE, origin=origin, scale=100)
+    write_stream(windows, f"{work}/out", f"{work}/checkpoint").awaitTermination()
+    return _rounded(spark.read.schema(windows.schema).parquet(f"{work}/out"))
 
 
 @query

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import re
 import tempfile
 import uuid
@@ -33,6 +34,25 @@ def pin_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def ship_code(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver has it.
+
+    On a cluster whose executors do not have the package, hand it over with ``addPyFile``.
+    """
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    worker_env = spark.sparkContext.environment
+    paths = [p for p in worker_env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        worker_env["PYTHONPATH"] = os.pathsep.join([*paths, root])
+
+
+def use_rocksdb(spark: SparkSession) -> None:
+    """Streams with processors of their own need the RocksDB state store; another choice stays."""
+    name, package = "spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming"
+    if "HDFSBackedStateStoreProvider" in (spark.conf.get(name, None) or "HDFSBackedStateStoreProvider"):
+        spark.conf.set(name, f"{package}.state.RocksDBStateStoreProvider")
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder for intermediate tables: ``spark.checkpoint.dir`` of the session.
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
@@ -75,59 +76,37 @@ def apply_per_batch(
     )
 
 
-class VersionedState:
-    """A small table per batch, so that a batch that runs again starts from the same state.
+def newest_written(spark: SparkSession, out: str, number: int) -> int | None:
+    """The newest ``ts`` that the batches before ``number`` have written below ``out``.
 
-    Three folders take turns. Call ``before`` first in every batch; ``save`` then never touches
-    the folder ``before`` read from.
+    Clamped times never fall, so the newest earlier batch with rows has it.
     """
-
-    SLOTS = 3
-
-    def __init__(self, spark: SparkSession, folder: str):
-        self.spark, self.folder, self._slot = spark, folder.rstrip("/"), self.SLOTS - 1
-
-    def _path(self, slot: int) -> str:
-        return f"{self.folder}/slot={slot}"
-
-    def before(self, batch: int) -> DataFrame | None:
-        """The state that the newest batch before ``batch`` left."""
-        newest, found = -1, None
-        for slot in range(self.SLOTS):
-            try:
-                state = self.spark.read.parquet(self._path(slot))
-            except AnalysisException as missing:
-                if missing.getCondition() != "PATH_NOT_FOUND":
-                    raise
-                continue  # not written yet
-            row = state.select("_batch").first()
-            if row and newest < row["_batch"] < batch:
-                newest, found, self._slot = row["_batch"], state.drop("_batch"), slot
-        return found
-
-    def save(self, batch: int, state: DataFrame) -> None:
-        state.withColumn("_batch", F.lit(batch)).write.mode("overwrite").parquet(
-            self._path((self._slot + 1) % self.SLOTS))
+    try:
+        written = spark.read.parquet(out)
+    except AnalysisException as missing:
+        if missing.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return None  # the first batch
+    batches = {int(n) for n in re.findall(r"/batch=(\d+)/", "\n".join(written.inputFiles()))}
+    earlier = [n for n in batches if n < number]
+    if not earlier:
+        return None
+    return written.filter(F.col("batch") == max(earlier)).agg(F.max(micros("ts")).alias("newest")).first()["newest"]
 
 
 def clamp_stream(ticks: DataFrame, out: str, checkpoint: str, **trigger) -> StreamingQuery:
     """The clamp policy: late ticks take the newest timestamp of all arrivals before them.
 
     The order spans all symbols, so a keyed state would hold the stream in one task. Each
-    micro-batch runs the batch operator instead, which splits the arrival order into cells, and
-    starts from the newest timestamp the batches before it reached.
+    micro-batch runs the batch operator instead, which splits the arrival order into cells and
+    carries one maximum between them; the maximum of the batches before is in the table itself. A
+    batch that runs again reads the same earlier batches and overwrites its own folder.
     """
-    state = VersionedState(ticks.sparkSession, f"{checkpoint}/newest")
-
     def run(batch: DataFrame, number: int) -> None:
         if batch.isEmpty():
             return
-        known = state.before(number)
-        floor = known.first()["newest"] if known is not None else None
-        clamped = clamp_out_of_order(batch, floor_micros=floor)
+        clamped = clamp_out_of_order(batch, floor_micros=newest_written(batch.sparkSession, out, number))
         clamped.write.mode("overwrite").parquet(f"{out}/batch={number}")
-        written = batch.sparkSession.read.parquet(f"{out}/batch={number}")
-        state.save(number, written.agg(F.max(micros("ts")).alias("newest")))
 
     return (
         ticks.writeStream.foreachBatch(run).option("checkpointLocation", f"{checkpoint}/query")
