@@ -9,12 +9,15 @@ candidate pairs stays proportional to the number of real overlaps.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickweave.functions.cells import Cells, from_micros, interval_micros, micros
-from tickweave.functions.ordered import explode_range, previous, row_numbers
+from tickweave.functions.ordered import explode_range, previous, row_numbers, running_max
 from tickweave.operators.pairs import block_sides, blocks_for, member_pairs, pair_tasks
+from tickweave.operators.params import with_parameter
 from tickweave.session import materialize
 
 
@@ -213,27 +216,47 @@ def hy_correlation_sliding(
     cells: Cells | None = None,
     first_window: int = 0,
     grid: tuple[int, int, int, int] | None = None,
+    size_log: DataFrame | None = None,
+    name: str = "windowSize",
 ) -> DataFrame:
     """Correlation per sliding window: ``(id0, id1, window_start, window_end, value)``.
 
     Window W uses the intervals with ``W <= end < W + size``. The windows that hold an overlap are
     a range; its product goes to the aligned parts of that range, and a window adds up the parts
     that hold it.
+
+    With a parameter log ``size_log(name, value, ts)`` the size, in seconds, changes while ticks
+    flow, and ``size`` holds before the first change. A window is closed, after all earlier ones, by
+    the first tick at or past its start plus the size in force at that tick, and holds every
+    interval from its start that ended before that tick. ``window_end`` uses that size.
     """
     keys = kind_keys(ticks)
     ticks = materialize(ticks.select(*keys, "symbol", "ts", "value"))
-    t0, size_us, advance_us, windows = grid or window_grid(ticks, size, advance)
+    if size_log is not None:
+        closings = window_closings(ticks, size, advance, size_log, name)
+        t0, advance_us, windows = closings.t0, interval_micros(advance), closings.windows
+    else:
+        t0, size_us, advance_us, windows = grid or window_grid(ticks, size, advance)
     intervals, symbols, rows, members = _numbered_intervals(ticks, cells, scale)
 
     offset = micros("end_ts") - t0
-    held = intervals.withColumns({
-        "k_lo": F.greatest(
-            F.floor((offset - size_us) / advance_us) + 1, F.lit(first_window)).cast("bigint"),
-        "k_hi": F.least(F.floor(offset / advance_us), F.lit(windows - 1)).cast("bigint"),
-    }).filter("k_lo <= k_hi")
+    if size_log is not None:
+        # windows that the tick at an interval's end, or one before it, has closed do not hold it
+        ends = closings.times.select(F.col("ts").alias("end_ts"), F.col("closed").alias("k_lo"))
+        held = intervals.join(ends, "end_ts")
+    else:
+        held = intervals.withColumn("k_lo", F.greatest(
+            F.floor((offset - size_us) / advance_us) + 1, F.lit(first_window)).cast("bigint"))
+    held = held.withColumn(
+        "k_hi", F.least(F.floor(offset / advance_us), F.lit(windows - 1)).cast("bigint")).filter("k_lo <= k_hi")
+    if size_log is not None:
+        held = materialize(held)
+        most = held.agg(F.max(F.col("k_hi") - F.col("k_lo")).alias("n")).first()["n"] or 0
+        levels = (most + 2).bit_length()
+    else:
+        levels = (size_us // advance_us + 2).bit_length()
 
     pair = [*keys, "s0", "s1"]
-    levels = (size_us // advance_us + 2).bit_length()
     squares = per_window(
         held.filter("delta != 0").select(
             *keys, "sid", "k_lo", "k_hi", (F.col("delta") * F.col("delta")).alias("ss")),
@@ -251,12 +274,56 @@ def hy_correlation_sliding(
     products = per_window(overlaps.filter("lo <= hi AND num != 0"), pair, "lo", "hi", "num", levels)
     summed = products.withColumn("norm", F.lit(None).cast("double")).unionByName(grid_rows).groupBy(
         *pair, "k").agg(F.sum("num").alias("num"), F.max("norm").alias("norm"))
-    return _named(summed.filter("norm IS NOT NULL"), symbols).select(
-        *keys, "id0", "id1",
-        from_micros(F.lit(t0) + F.col("k") * advance_us).alias("window_start"),
-        from_micros(F.lit(t0 + size_us) + F.col("k") * advance_us).alias("window_end"),
-        _correlation(F.col("num"), F.col("norm")).alias("value"),
-    )
+    found = _named(summed.filter("norm IS NOT NULL"), symbols)
+    start = F.lit(t0) + F.col("k") * advance_us
+    if size_log is not None:
+        found = found.join(closings.sizes, "k")
+        end = start + F.col("size")
+    else:
+        end = F.lit(t0 + size_us) + F.col("k") * advance_us
+    return found.select(
+        *keys, "id0", "id1", from_micros(start).alias("window_start"), from_micros(end).alias("window_end"),
+        _correlation(F.col("num"), F.col("norm")).alias("value"))
+
+
+@dataclass(frozen=True)
+class Closings:
+    """When windows of changing size close.
+
+    ``times(ts, closed)`` has the number of windows closed at or before every tick time, and
+    ``sizes(k, size)`` the size in force at the tick that closed window k, in microseconds.
+    """
+
+    t0: int
+    windows: int
+    times: DataFrame
+    sizes: DataFrame
+
+
+def window_closings(
+    ticks: DataFrame, size: str, advance: str, size_log: DataFrame, name: str = "windowSize",
+    cells: Cells | None = None,
+) -> Closings:
+    """The piecewise window grid of a parameter log.
+
+    A tick at t with size s in force can close the windows that start by t - s. Windows close in
+    order, so as many are closed by t as any tick up to t could: a running maximum, split by cells.
+    """
+    advance_us = interval_micros(advance)
+    instants = materialize(ticks.select("ts").distinct())
+    t0 = instants.agg(F.min(micros("ts")).alias("lo")).first()["lo"] or 0
+    sized = with_parameter(instants, size_log, name, interval_micros(size) / 1_000_000)
+    reached = sized.select("ts", micros("ts").alias("at"), F.round(F.col(name) * 1_000_000).cast("bigint").alias(
+        "size")).withColumn("reach", F.greatest(
+            F.floor((F.col("at") - F.col("size") - t0) / advance_us).cast("bigint") + 1, F.lit(0)))
+    cells = cells or Cells.fit(instants, micros("ts"))
+    closed = running_max(reached, [], ["at"], "reach", F.col("at"), cells, "closed")
+    times = materialize(previous(closed, [], ["at"], ["closed"], F.col("at"), cells))
+    windows = times.agg(F.max("closed").alias("n")).first()["n"] or 0
+    before = F.coalesce(F.col("prev.closed"), F.lit(0))
+    sizes = explode_range(times.select("size", before.alias("first"), (F.col("closed") - 1).alias("last")),
+                          F.col("first"), F.col("last"), "k").select("k", "size")
+    return Closings(t0, windows, times.select("ts", "closed"), sizes)
 
 
 def aligned_ranges(low: str, high: str, levels: int):

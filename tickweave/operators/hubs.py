@@ -7,12 +7,16 @@ included. ``edges`` is a directed adjacency ``(src, dst)``; symmetrize an undire
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickweave.functions.sizing import BROADCAST_ROWS
-from tickweave.operators.params import with_parameter
+from tickweave.functions.cells import Cells, from_micros, interval_micros, micros
+from tickweave.functions.ordered import as_of, last_known
+from tickweave.functions.sizing import BROADCAST_ROWS, broadcast_if_small
+from tickweave.operators.params import STEP_CHANGES, with_parameter
 from tickweave.session import materialize
 
 EDGES_PER_SALT = 100_000
@@ -330,15 +334,17 @@ def top_hubs(visits: DataFrame, k: int = 10) -> DataFrame:
 
 def top_hubs_windowed(
     updates: DataFrame, k: int = 10, every: str = "10 seconds", k_log: DataFrame | None = None,
-    name: str = "hubListSize",
+    name: str = "hubListSize", period_log: DataFrame | None = None, period_name: str = "windowSize",
 ) -> DataFrame:
     """The k best nodes per period among the nodes updated in it.
 
     With a parameter log ``k_log(name, value, ts)`` a list has the size in force at the end of its
-    period, and ``k`` holds before the first change.
+    period, and ``k`` holds before the first change. With ``period_log`` the length of the periods,
+    in seconds, changes as ``change_periods`` says.
     """
-    latest = updates.groupBy(F.window("ts", every).alias("w"), "node").agg(
-        F.max_by("visits", "seq").alias("visits"))
+    timed = updates.withColumn("w", F.window("ts", every)) if period_log is None else in_periods(
+        updates, change_periods(updates.sparkSession, period_log, every, period_name))
+    latest = timed.groupBy("w", "node").agg(F.max_by("visits", "seq").alias("visits"))
     most = k
     if k_log is not None:
         latest = materialize(latest)
@@ -354,6 +360,78 @@ def top_hubs_windowed(
         F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "rank", "node", "visits")
 
 
+PERIODS = "at long, prior long, first long, length long, until long"
+BEFORE_ALL = -(1 << 62)
+
+
+def period_stretch(at: int | None, prior: int, length: int, until: int | None) -> tuple[tuple, int]:
+    """One row of PERIODS and the last signal before ``until``.
+
+    ``prior`` is the last signal before ``at``. A signal comes at the first instant that is one
+    period in force after the last signal, so a shorter period can make it come at the change.
+    ``first`` is the next signal if no later change moves it; before any change signals lie on
+    multiples of the period, so there 0 stands for all of them.
+    """
+    first = 0 if at is None else max(at, prior + length)
+    last = prior
+    if until is not None and (at is None or first < until):
+        last = first + (until - 1 - first) // length * length
+    return (at, prior, first, length, until), last
+
+
+def change_periods(
+    spark, period_log: DataFrame, every: str, name: str = "windowSize", step_changes: int = STEP_CHANGES,
+) -> DataFrame:
+    """Stretches of equal period: ``at`` (null in the first), the last signal ``prior`` before it,
+    the ``first`` one from it on, the ``length`` of its periods and ``until``, all in microseconds.
+
+    Signals begin at the epoch with period ``every``. The log ``(name, value, ts)`` gives seconds and
+    holds from its time on; values that are null or not above 0 are no change. Where a signal lies
+    depends on all changes before, so the log is gone through in order, ``step_changes`` at a time
+    with one signal carried on; a log with more changes takes more steps, not more memory.
+    """
+    newest = F.max_by("value", "seq") if "seq" in period_log.columns else F.max("value")
+    changes = materialize(period_log.filter((F.col("name") == name) & (F.col("value") > 0)).groupBy(
+        micros("ts").alias("at")).agg(newest.alias("value")).select(
+        "at", F.round(F.col("value") * 1_000_000).cast("bigint").alias("length")).filter("length > 0"))
+    cells = Cells.fit(changes, F.col("at"), step_changes)
+    at, prior, length, tables = None, 0, interval_micros(every), []
+    for cell in range(cells.count):
+        rows = []
+        for change in changes.filter(cells.of(F.col("at")) == cell).orderBy("at").collect():
+            row, prior = period_stretch(at, prior, length, change["at"])
+            rows.append(row)
+            at, length = change["at"], change["length"]
+        tables.append(spark.createDataFrame(rows, PERIODS))
+    tables.append(spark.createDataFrame([period_stretch(at, prior, length, None)[0]], PERIODS))
+    stretches = materialize(reduce(DataFrame.unionByName, tables)).withColumn(
+        "order", F.coalesce("at", F.lit(BEFORE_ALL)))
+    # a change may come before the signal: then the next one is that of a later stretch
+    comes = F.when(F.col("at").isNull() | F.col("until").isNull() | (F.col("first") < F.col("until")), F.col("first"))
+    marked = stretches.withColumns({"comes": comes, "up": -F.col("order")})
+    return last_known(marked, [], ["up"], "comes", F.col("up"), Cells.fit(marked, F.col("up")), "next").select(
+        "order", "at", "prior", F.col("next").alias("first"), "length", "until")
+
+
+def in_periods(updates: DataFrame, stretches: DataFrame) -> DataFrame:
+    """Updates with the period ``w`` (start and end) they fall into."""
+    stretches = materialize(stretches)
+    following = stretches.select(F.col("at").alias("until"), F.col("first").alias("then"))
+    known = stretches.join(following, "until", "left").select(
+        F.col("order").alias("_stretch"), "at", "prior", "first", "length", "until", "then")
+    placed = as_of(updates.withColumn("order", micros("ts")), stretches.select("order", F.col("order").alias("_stretch")),
+                   [], ["order"], "_stretch", F.col("order"))
+    now = F.col("order")
+    early = F.col("at").isNotNull() & (now < F.col("first"))
+    start = F.col("first") + F.floor((now - F.col("first")) / F.col("length")).cast("bigint") * F.col("length")
+    whole = F.col("until").isNull() | (start + F.col("length") < F.col("until"))
+    end = F.when(early, F.col("first")).when(whole, start + F.col("length")).otherwise(F.col("then"))
+    period = F.struct(from_micros(F.when(early, F.col("prior")).otherwise(start)).alias("start"),
+                      from_micros(end).alias("end"))
+    kept = [F.col(f"l.{c}") for c in updates.columns]
+    return placed.alias("l").join(broadcast_if_small(known).alias("r"), "_stretch").select(*kept, period.alias("w"))
+
+
 def hub_list(ranked: DataFrame, keys: list[str]) -> DataFrame:
     """Ranked rows as one ``hubs`` array per key, best first (k entries at most)."""
     entries = F.array_sort(F.collect_list(F.struct("rank", "node")))

@@ -303,6 +303,14 @@ def hy_correlation_stream(spark, folder):
     return _rounded(spark.read.schema(windows.schema).parquet(f"{work}/out"))
 
 
+@query
+def hy_correlation_sliding_with_parameter(spark, folder):
+    """The window size changes while ticks flow."""
+    return _rounded(correlation.hy_correlation_sliding(
+        _clean(v.ticks_type(spark, folder)), SIZE, ADVANCE, scale=100,
+        size_log=v.size_log(spark, folder, 40, [12, 30, 48, 18, 96, 24])))
+
+
 @query
 def hy_correlation_late(spark, folder):
     """Clamp, de-duplicate and correlate a stream with late ticks."""
@@ -448,6 +456,14 @@ def top_hubs_windowed_with_parameter(spark, folder):
         v.visit_updates(spark, folder), 10, "6 hours", v.param_log(spark, folder))
 
 
+@query
+def top_hubs_windowed_with_period(spark, folder):
+    """The period of the hub timer and the list size change while updates flow."""
+    return hubs.top_hubs_windowed(
+        v.visit_updates(spark, folder), 10, "6 hours", v.param_log(spark, folder),
+        period_log=v.size_log(spark, folder, 20, [2, 10.5, 1, 30, 5]))
+
+
 # --- time travel ---------------------------------------------------------------------------------
 
 def _nation_history(spark, folder) -> DataFrame:

@@ -82,6 +82,28 @@ PARAMS = """plog AS (SELECT CASE WHEN event_id % 2 = 0 THEN 'correlationThreshol
     CASE WHEN event_id % 2 = 0 THEN (event_id % 20) / 100.0::DOUBLE ELSE CAST(event_id % 9 + 1 AS DOUBLE) END AS value,
     ts FROM events WHERE event_type = 'error')"""
 
+
+
+def _size_log(every: int, hours: list[float]) -> str:
+    steps = ", ".join(f"{h * 3600.0}::DOUBLE" for h in hours)
+    return f"""slog AS (SELECT ts, list_extract([{steps}], CAST(event_id // {every} % {len(hours)} + 1 AS INTEGER)) AS value
+    FROM events WHERE event_type = 'error' AND event_id % {every} = 3)"""
+
+
+# window k closes at the first tick that is its size of that moment past the window's start
+SIZED_WINDOWS = f"""{_size_log(40, [12, 30, 48, 18, 96, 24])},
+sized AS (SELECT t.ts, coalesce(p.value, 86400) AS s FROM (SELECT DISTINCT ts FROM ticks) t ASOF LEFT JOIN slog p ON t.ts >= p.ts),
+grid AS (SELECT unnest(generate_series(t0, t1, INTERVAL '6 hours')) AS w FROM (SELECT min(ts) AS t0, max(ts) AS t1 FROM ticks)),
+closing AS (SELECT w, min(ts) AS closes, arg_min(s, ts) AS s FROM grid JOIN sized ON epoch_us(ts) - CAST(s * 1000000 AS BIGINT) >= epoch_us(w) GROUP BY w),
+wss AS (SELECT w, symbol, sum(delta * delta) AS s FROM closing JOIN iv ON end_ts >= w AND end_ts < closes
+  GROUP BY w, symbol HAVING sum(delta * delta) > 0),
+wnum AS (SELECT w, id0, id1, sum(delta0 * delta1) AS n FROM closing JOIN ov
+  ON end_ts0 >= w AND end_ts0 < closes AND end_ts1 >= w AND end_ts1 < closes GROUP BY w, id0, id1)
+SELECT a.symbol AS id0, b.symbol AS id1, a.w AS window_start, a.w + to_microseconds(CAST(c.s * 1000000 AS BIGINT)) AS window_end,
+  round(greatest(least(coalesce(n, 0) / (sqrt(a.s) * sqrt(b.s)), 1.0), -1.0), 6) AS value
+FROM wss a JOIN wss b ON a.w = b.w AND a.symbol < b.symbol JOIN closing c ON c.w = a.w
+LEFT JOIN wnum ON wnum.w = a.w AND wnum.id0 = a.symbol AND wnum.id1 = b.symbol"""
+
 LINES = """lines AS (SELECT event_id AS seq, concat_ws(',', event_type,
     CASE WHEN event_id % 50 = 7 THEN '15/04/2016' ELSE strftime(ts, '%m/%d/%Y') END, strftime(ts, '%H:%M:%S'),
     CASE WHEN event_id % 50 = 11 THEN 'abc' ELSE CAST(value AS VARCHAR) END,
@@ -101,6 +123,21 @@ WINDOWED_VISITS = f"""{VISITS}, latest AS (
 ranked AS (SELECT *, row_number() OVER (PARTITION BY w ORDER BY visits DESC, node) AS rank FROM latest)"""
 
 
+# signal by signal: the next one is the earliest instant that is one period of its time past the last
+PERIOD_SIGNALS = f"""{_size_log(20, [2, 10.5, 1, 30, 5])},
+stretches AS (SELECT since, p, coalesce(lead(since) OVER (ORDER BY since), 9000000000000000000) AS until FROM (
+  SELECT -9000000000000000000 AS since, 21600000000 AS p UNION ALL
+  SELECT epoch_us(ts), CAST(max(value) * 1000000 AS BIGINT) FROM slog GROUP BY ts)),
+signals AS (SELECT epoch_us(min(ts)) // 21600000000 * 21600000000 AS t, epoch_us(max(ts)) AS stop FROM upd
+  UNION ALL SELECT (SELECT min(greatest(since, s.t + p)) FROM stretches WHERE greatest(since, s.t + p) < until), stop
+  FROM signals s WHERE t <= stop),
+spans AS (SELECT make_timestamp(t) AS w, make_timestamp(lead(t) OVER (ORDER BY t)) AS closes FROM signals),
+latest AS (SELECT w, closes, node, max_by(visits, seq) AS visits FROM upd ASOF JOIN spans ON upd.ts >= spans.w GROUP BY ALL),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY w ORDER BY visits DESC, node) AS rank FROM latest),
+sized AS (SELECT w, coalesce(p.value, 10) AS k FROM (SELECT DISTINCT w, closes FROM latest) d ASOF LEFT JOIN
+  (SELECT ts, value FROM plog WHERE name = 'hubListSize') p ON closes >= p.ts)"""
+
+
 def _draw(use: str) -> str:
     """The walk's uniform draw: 52 bits of an MD5."""
     return (f"(CAST('0x' || md5('7,{use},' || walk_id || ',0,' || step)[1:13] AS BIGINT) "
@@ -305,6 +342,7 @@ def all_oracles() -> dict[str, str]:
               CASE WHEN event_id % 509 = 7 THEN value * 1e6 ELSE value END AS cents FROM events),
             {INTERVALS}, {OVERLAPS}, {_windows('1 day', '6 hours')} SELECT * REPLACE (CASE WHEN value = 0 THEN 0.0::DOUBLE ELSE value END AS value) FROM win""",
         "hy_correlation_stream": f"WITH {TYPE_WINDOWS} SELECT * FROM win",
+        "hy_correlation_sliding_with_parameter": f"WITH {TYPE_TICKS}, {INTERVALS}, {OVERLAPS}, {SIZED_WINDOWS}",
         "hy_correlation_late": f"WITH {LATE_TICKS}, {INTERVALS}, {OVERLAPS}, {_windows('2 days', '12 hours')} SELECT * FROM win",
         "pairwise_measure": f"WITH {TYPE_TICKS}, {INTERVALS}, {OVERLAPS}, {_windows('5 days', '1 day')} SELECT * FROM win",
         "sample_basic_windows": f"WITH {USER_TICKS}, {_samples('6 hours', '')} SELECT symbol, g, value FROM smp",
@@ -371,6 +409,9 @@ def all_oracles() -> dict[str, str]:
             ks AS (SELECT w, k FROM sized)
             SELECT w AS window_start, w + INTERVAL 6 HOUR AS window_end,
             CAST(rank AS INTEGER) AS rank, node, visits FROM ranked JOIN ks USING (w) WHERE rank <= k""",
+        "top_hubs_windowed_with_period": f"""WITH RECURSIVE {VISITS}, {PARAMS}, {PERIOD_SIGNALS}
+            SELECT w AS window_start, closes AS window_end, CAST(rank AS INTEGER) AS rank, node, visits
+            FROM ranked JOIN sized USING (w) WHERE rank <= k""",
         "snapshot_at": f"WITH {SNAPSHOT} SELECT query_id, start_ts, v0, v1 FROM snap",
         "snapshot_before_history": f"""WITH {NATION_SPANS}, q AS (SELECT DISTINCT
               date_trunc('quarter', o_orderdate)::TIMESTAMP AS s FROM orders)

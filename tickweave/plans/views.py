@@ -69,6 +69,15 @@ def param_log(spark, folder) -> DataFrame:
         "ts", e.alias("seq"))
 
 
+def size_log(spark, folder, every: int, hours: list[float]) -> DataFrame:
+    """Changes of ``windowSize`` in seconds at every so-many-th of the error events."""
+    e = F.col("event_id")
+    steps = F.array(*[F.lit(h * 3600.0) for h in hours])
+    return table(spark, folder, "events").filter((F.col("event_type") == "error") & (e % every == 3)).select(
+        F.lit("windowSize").alias("name"), F.element_at(steps, (F.floor(e / every) % len(hours) + 1).cast("int")).alias("value"),
+        "ts", e.alias("seq"))
+
+
 def visit_updates(spark, folder) -> DataFrame:
     return table(spark, folder, "events").select(
         F.col("user_id").cast("string").alias("node"),
