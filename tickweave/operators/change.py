@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tickweave.functions.cells import Cells, micros
-from tickweave.session import materialize
+from tickweave.session import materialize, ship_code
 
 
 def moved_positions(values: np.ndarray, last: float | None, rel: float) -> tuple[list[int], float | None]:
@@ -36,20 +36,22 @@ def emit_on_change(
 ) -> DataFrame:
     """Rows whose value differs from the last remembered one by more than ``rel``.
 
-    A zero is remembered but not emitted. The filter is sequential per key, so a long key is cut
+    A zero is remembered but not emitted. Null and NaN values are neither: their rows are left out
+    first. Rows of a key with equal ``order`` count from the smallest value up. The filter is sequential per key, so a long key is cut
     into cells: each cell runs with the last value its predecessor ended on, and only cells whose
     predecessor ended differently run again. It stops when nothing changes, so the rows are those
     of one sequential pass.
     """
     position = micros(order) if df.schema[order].dataType.typeName().startswith("timestamp") else F.col(order)
-    df = materialize(df)
+    ship_code(df.sparkSession)
+    df = materialize(df.filter(F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double"))))
     cells = cells or Cells.fit(df, position)
     chunked = df.withColumn("_cell", cells.of(position).cast("int"))
     groups, columns, schema = [*keys, "_cell"], df.columns, df.schema
 
     def filtered(with_start: DataFrame) -> DataFrame:
         def keep(pdf: pd.DataFrame) -> pd.DataFrame:
-            pdf = pdf.sort_values(order, kind="stable")
+            pdf = pdf.sort_values([order, value], kind="stable")
             start = pdf["_start"].iloc[0]
             moved, _ = moved_positions(
                 pdf[value].to_numpy(), None if pd.isna(start) else float(start), rel)
@@ -67,7 +69,7 @@ def emit_on_change(
 
     def ends(with_start: DataFrame) -> DataFrame:
         def last_value(pdf: pd.DataFrame) -> pd.DataFrame:
-            pdf = pdf.sort_values(order, kind="stable")
+            pdf = pdf.sort_values([order, value], kind="stable")
             start = pdf["_start"].iloc[0]
             _, last = moved_positions(
                 pdf[value].to_numpy(), None if pd.isna(start) else float(start), rel)

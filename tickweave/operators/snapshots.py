@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -48,14 +51,17 @@ def points_in_spans(
 def snapshot_at(edge_intervals: DataFrame, queries: DataFrame, at: str = "start_ts") -> DataFrame:
     """Edges alive at each query's instant: ``(query columns, v0, v1)``.
 
-    A query whose graph is empty has one row with null ids.
+    A query whose graph is empty has one row with null ids; so has one without an instant. Other
+    columns of a query may be null.
     """
-    asked = [c for c in queries.columns]
+    asked = list(queries.columns)
     alive = materialize(points_in_spans(
         queries, micros(at), edge_intervals, micros("valid_from"), micros("valid_to")
     ).select(*asked, "v0", "v1"))
     nothing = [F.lit(None).cast(alive.schema[v].dataType).alias(v) for v in ("v0", "v1")]
-    empty = queries.join(alive.select(*asked).distinct(), asked, "left_anti")
+    answered = alive.select(*asked).distinct().alias("a")
+    same = reduce(and_, [F.col(f"q.`{c}`").eqNullSafe(F.col(f"a.`{c}`")) for c in asked])
+    empty = queries.alias("q").join(answered, same, "left_anti")
     return alive.unionByName(empty.select(*asked, *nothing))
 
 

@@ -352,6 +352,15 @@ def emit_on_change(spark, folder):
     return change.emit_on_change(rows, ["id0", "id1"], "window_end", rel=0.2)
 
 
+@query
+def emit_on_change_nulls(spark, folder):
+    """Results that are missing, the first of a pair among them, are no values."""
+    missing = F.hour("window_end") >= 18
+    rows = _type_windows(spark, folder).select(
+        "id0", "id1", "window_end", F.when(~missing, F.col("value")).alias("value"))
+    return change.emit_on_change(rows, ["id0", "id1"], "window_end", rel=0.2)
+
+
 # --- dynamic graph and hubs ----------------------------------------------------------------------
 
 @query
@@ -475,6 +484,15 @@ def snapshot_at(spark, folder):
     return snapshots.snapshot_at(_nation_history(spark, folder), v.instant_queries(spark, folder))
 
 
+@query
+def snapshot_with_ticket(spark, folder):
+    """Queries with an optional column that most of them leave null."""
+    asked = v.instant_queries(spark, folder).withColumn(
+        "start_ts", F.col("start_ts") - F.expr("INTERVAL 8 MONTH")).withColumn(
+        "ticket", F.when(F.month("start_ts") == 5, F.concat(F.lit("t"), "query_id")))
+    return snapshots.snapshot_at(_nation_history(spark, folder), asked)
+
+
 @query
 def snapshot_before_history(spark, folder):
     """Instants before the first edge have an answer too: the empty graph."""

@@ -359,6 +359,16 @@ def all_oracles() -> dict[str, str]:
                 abs(n.value - last) > 0.2::DOUBLE * abs(last)
               FROM steps s JOIN num_rows n ON n.id0 = s.id0 AND n.id1 = s.id1 AND n.rn = s.rn + 1)
             SELECT id0, id1, window_end, value FROM steps WHERE hit AND value <> 0""",
+        "emit_on_change_nulls": f"""WITH RECURSIVE {TYPE_WINDOWS},
+            num_rows AS (SELECT id0, id1, window_end, value,
+              row_number() OVER (PARTITION BY id0, id1 ORDER BY window_end) AS rn FROM win WHERE hour(window_end) < 18),
+            steps AS (SELECT id0, id1, window_end, value, rn, value AS last, true AS hit FROM num_rows WHERE rn = 1
+              UNION ALL
+              SELECT n.id0, n.id1, n.window_end, n.value, n.rn,
+                CASE WHEN abs(n.value - last) > 0.2::DOUBLE * abs(last) THEN n.value ELSE last END,
+                abs(n.value - last) > 0.2::DOUBLE * abs(last)
+              FROM steps s JOIN num_rows n ON n.id0 = s.id0 AND n.id1 = s.id1 AND n.rn = s.rn + 1)
+            SELECT id0, id1, window_end, value FROM steps WHERE hit AND value <> 0""",
         "canonical_edge": """SELECT event_id, least(event_type, CAST(user_id AS VARCHAR)) AS v0,
             greatest(event_type, CAST(user_id AS VARCHAR)) AS v1 FROM events""",
         "edge_changes": f"WITH {TYPE_WINDOWS}, {_changes('win', '0.08', 'ev')} SELECT * FROM ev",
@@ -413,6 +423,12 @@ def all_oracles() -> dict[str, str]:
             SELECT w AS window_start, closes AS window_end, CAST(rank AS INTEGER) AS rank, node, visits
             FROM ranked JOIN sized USING (w) WHERE rank <= k""",
         "snapshot_at": f"WITH {SNAPSHOT} SELECT query_id, start_ts, v0, v1 FROM snap",
+        "snapshot_with_ticket": f"""WITH {NATION_SPANS}, q AS (SELECT query_id, s AS start_ts,
+              CASE WHEN month(s) = 5 THEN 't' || query_id END AS ticket FROM (
+                SELECT DISTINCT strftime(date_trunc('quarter', o_orderdate), '%Y-%m') AS query_id,
+                  date_trunc('quarter', o_orderdate)::TIMESTAMP - INTERVAL 8 MONTH AS s FROM orders))
+            SELECT query_id, start_ts, ticket, v0, v1 FROM q LEFT JOIN spans
+              ON valid_from <= start_ts AND (valid_to IS NULL OR start_ts < valid_to)""",
         "snapshot_before_history": f"""WITH {NATION_SPANS}, q AS (SELECT DISTINCT
               date_trunc('quarter', o_orderdate)::TIMESTAMP AS s FROM orders)
             SELECT strftime(s, '%Y-%m') AS query_id, s - INTERVAL 3 YEAR AS start_ts, v0, v1 FROM q LEFT JOIN spans

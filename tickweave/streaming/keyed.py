@@ -12,6 +12,13 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from tickweave.operators.change import moved_positions
 from tickweave.operators.graph import canonical_edge
+from tickweave.session import ship_code, use_rocksdb
+
+
+def prepared(spark) -> None:
+    """What a stream with a processor of this package needs of its session."""
+    ship_code(spark)
+    use_rocksdb(spark)
 
 
 class _Crossing(StatefulProcessor):
@@ -35,6 +42,7 @@ class _Crossing(StatefulProcessor):
 
 def edge_changes_stream(results: DataFrame, threshold: float = 0.7, time: str = "window_end") -> DataFrame:
     """Add/delete events of a stream of pairwise results."""
+    prepared(results.sparkSession)
     v0, v1 = canonical_edge("id0", "id1")
     flags = results.filter(F.col("value").isNotNull()).select(
         v0.alias("v0"), v1.alias("v1"), F.col(time).cast("timestamp").alias("ts"),
@@ -55,7 +63,7 @@ class _Moved(StatefulProcessor):
         self.state = handle.getValueState("last", T.StructType([T.StructField("last", T.DoubleType())]))
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timer_values) -> Iterator[pd.DataFrame]:
-        batch = pd.concat(list(rows)).sort_values(self.order, kind="stable")
+        batch = pd.concat(list(rows)).sort_values([self.order, self.value], kind="stable")
         last = self.state.get()[0] if self.state.exists() else None
         moved, last = moved_positions(batch[self.value].to_numpy(), last, self.rel)
         if last is not None:
@@ -70,7 +78,12 @@ class _Moved(StatefulProcessor):
 def emit_on_change_stream(
     df: DataFrame, keys: list[str], order: str, value: str = "value", rel: float = 0.01
 ) -> DataFrame:
-    """Rows of a stream whose value moved by more than ``rel`` since the last remembered one."""
+    """Rows of a stream whose value moved by more than ``rel`` since the last remembered one.
+
+    Nulls, NaN and ties are treated as in ``emit_on_change``.
+    """
+    prepared(df.sparkSession)
+    df = df.filter(F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double")))
     return df.groupBy(*keys).transformWithStateInPandas(
         statefulProcessor=_Moved(order, value, rel), outputStructType=df.schema,
         outputMode="Append", timeMode="None")
@@ -99,6 +112,7 @@ def filter_members_stream(rows: DataFrame, commands: DataFrame, keys: list[str])
 
     A command takes part in the micro-batch it arrives in and in all later ones.
     """
+    prepared(rows.sparkSession)
     both = rows.withColumn("is_add", F.lit(None).cast("boolean")).unionByName(
         commands.select(*keys, "ts", "is_add"), allowMissingColumns=True)
     return both.groupBy(*keys).transformWithStateInPandas(
