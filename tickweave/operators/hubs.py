@@ -214,6 +214,7 @@ def update_walks(
     stop: float = 0.2,
     seed: int = 7,
     cut_every: int = 8,
+    gen: int | None = None,
 ) -> DataFrame:
     """Keep stored walks valid after ``changes(src, dst, is_add)`` without starting over.
 
@@ -222,7 +223,9 @@ def update_walks(
     left; a walk that dangled at a node with new edges resumes. Each walk is cut at its first
     such step and walked on from there. Walks that meet no changed node are only copied. A node
     without live edges keeps its ``walks`` starts, each a walk of one visit. Give every update its
-    own ``seed``, or its draws repeat those of the one before.
+    own ``seed``, or its draws repeat those of the one before. What is walked anew is of generation
+    ``gen``, by default one more than the walk's last. ``WalkStore`` does the same at the cost of the
+    walks that change; this rewrites them all.
     """
     before = materialize(edges_before.select("src", "dst").distinct())
     wanted = materialize(changes.select("src", "dst", "is_add"))
@@ -261,7 +264,7 @@ def update_walks(
     cuts = materialize(
         met.withColumn("reason", reason).filter("reason IS NOT NULL")
         .groupBy("walk_id").agg(F.min("step").alias("cut"), F.min_by("reason", "step").alias("reason"),
-             (F.max("last_gen") + 1).alias("next_gen")))
+             (F.lit(gen) if gen is not None else F.max("last_gen") + 1).alias("next_gen")))
 
     marked = walk_rows.join(cuts, "walk_id", "left")
     kept = marked.filter("cut IS NULL OR step <= cut")

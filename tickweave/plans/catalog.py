@@ -12,6 +12,7 @@ from tickweave.functions.cells import micros
 from tickweave.operators import change, correlation, entropy, graph, hubs, ordering, pairs, params
 from tickweave.operators import paths as path_ops
 from tickweave.operators import results, snapshots
+from tickweave.operators.walk_store import WalkStore
 from tickweave.plans import views as v
 from tickweave.session import materialize, pin_utc, shared_folder
 from tickweave.sources import logs
@@ -427,6 +428,19 @@ def update_walks(spark, folder):
     return hubs.visit_counts(hubs.update_walks(walks, edges, changes, seed=8))
 
 
+@query
+def update_walks_incremental(spark, folder):
+    """The same update as a delta of stored walks."""
+    events = v.nation_events(spark, folder)
+    last = events.agg(F.max("ts").alias("ts")).first()["ts"]
+    before = graph.edge_intervals(events.filter(F.col("ts") < last)).filter("valid_to IS NULL")
+    changes = graph.symmetrize(events.filter(F.col("ts") == last)).select("src", "dst", "is_add")
+    work = f"{shared_folder(spark)}/tickweave/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
+    store = WalkStore(spark, work, buckets=16).create(graph.symmetrize(before).select("src", "dst"))
+    store.update(changes, 1)
+    return store.visit_counts()
+
+
 @query
 def update_walks_checks(spark, folder):
     """Per node after two updates (the last month's changes, then undone): its walks' starts,

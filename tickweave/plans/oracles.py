@@ -138,9 +138,9 @@ sized AS (SELECT w, coalesce(p.value, 10) AS k FROM (SELECT DISTINCT w, closes F
   (SELECT ts, value FROM plog WHERE name = 'hubListSize') p ON closes >= p.ts)"""
 
 
-def _draw(use: str) -> str:
+def _draw(use: str, seed: int = 7, gen: str = "0") -> str:
     """The walk's uniform draw: 52 bits of an MD5."""
-    return (f"(CAST('0x' || md5('7,{use},' || walk_id || ',0,' || step)[1:13] AS BIGINT) "
+    return (f"(CAST('0x' || md5('{seed},{use},' || walk_id || ',' || {gen} || ',' || step)[1:13] AS BIGINT) "
             "/ 4503599627370496.0::DOUBLE)")
 
 
@@ -401,6 +401,46 @@ def all_oracles() -> dict[str, str]:
                 AND i = least(CAST(floor({_draw('edge')} * walk.d) AS BIGINT), walk.d - 1)
               JOIN deg ON deg.src = dst WHERE {_draw('stop')} >= 0.2)
             SELECT node, count(*) AS visits FROM walk GROUP BY node""",
+        **dict.fromkeys(("update_walks", "update_walks_incremental"), f"""WITH RECURSIVE {NATION_EVENTS},
+            last_ts AS (SELECT max(ts) AS t FROM ev),
+            was AS (SELECT v0, v1 FROM ev, last_ts WHERE ts < t GROUP BY v0, v1 HAVING arg_max(is_add, ts)),
+            old AS (SELECT v0 AS src, v1 AS dst FROM was UNION ALL SELECT v1, v0 FROM was),
+            chg AS (SELECT v0 AS src, v1 AS dst, is_add FROM ev, last_ts WHERE ts = t
+              UNION ALL SELECT v1, v0, is_add FROM ev, last_ts WHERE ts = t),
+            now AS (SELECT src, dst FROM old UNION SELECT src, dst FROM chg WHERE is_add
+              EXCEPT SELECT src, dst FROM chg WHERE NOT is_add),
+            added AS (SELECT src, dst, row_number() OVER (PARTITION BY src ORDER BY dst) - 1 AS j FROM (
+              SELECT src, dst FROM chg WHERE is_add EXCEPT SELECT src, dst FROM old)),
+            idx AS (SELECT src, dst, row_number() OVER (PARTITION BY src ORDER BY dst) - 1 AS i FROM old),
+            nidx AS (SELECT src, dst, row_number() OVER (PARTITION BY src ORDER BY dst) - 1 AS i FROM now),
+            deg AS (SELECT src, count(*) AS d FROM old GROUP BY src),
+            ndeg AS (SELECT src, count(*) AS d FROM now GROUP BY src),
+            walk AS (SELECT src || '#' || r AS walk_id, 0 AS step, src AS node, d FROM deg, range(10) t(r)
+              UNION ALL
+              SELECT walk_id, step + 1, dst, deg.d FROM walk JOIN idx ON idx.src = node
+                AND i = least(CAST(floor({_draw('edge')} * walk.d) AS BIGINT), walk.d - 1)
+              JOIN deg ON deg.src = dst WHERE {_draw('stop')} >= 0.2),
+            hops AS (SELECT *, lead(node) OVER (PARTITION BY walk_id ORDER BY step) AS next_node FROM walk),
+            met AS (SELECT walk_id, step, node, coalesce(n.d, 0) AS nd, coalesce(g.gained, 0) AS gained,
+                EXISTS (SELECT 1 FROM chg c WHERE NOT c.is_add AND c.src = node AND c.dst = next_node) AS broken,
+                next_node IS NOT NULL AND {_draw('reroute', 8)} * coalesce(n.d, 0) < coalesce(g.gained, 0) AS through
+              FROM hops LEFT JOIN ndeg n ON n.src = node
+              LEFT JOIN (SELECT src, count(*) AS gained FROM added GROUP BY src) g ON g.src = node
+              WHERE node IN (SELECT src FROM chg)),
+            cut AS (SELECT * FROM met WHERE broken OR through QUALIFY row_number() OVER (PARTITION BY walk_id ORDER BY step) = 1),
+            turned AS (SELECT walk_id, step, coalesce(a.dst, n.dst) AS dst FROM cut
+              LEFT JOIN nidx n ON broken AND n.src = node AND n.i = CAST(floor({_draw('edge', 8, '1')} * nd) AS BIGINT)
+              LEFT JOIN added a ON NOT broken AND a.src = node AND a.j = CAST(floor({_draw('edge', 8, '1')} * gained) AS BIGINT)),
+            begun AS (SELECT walk_id, 1 AS gen, step + 1 AS step, dst AS node FROM turned WHERE dst IS NOT NULL
+              UNION ALL SELECT src || '#' || r, 0, 0, src FROM (SELECT DISTINCT src FROM added WHERE src NOT IN (SELECT src FROM old)), range(10) t(r)),
+            anew AS (SELECT walk_id, gen, step, node, coalesce(d, 0) AS d FROM begun LEFT JOIN ndeg ON src = node
+              UNION ALL
+              SELECT walk_id, gen, step + 1, dst, coalesce(n.d, 0) FROM anew JOIN nidx ON nidx.src = node
+                AND i = least(CAST(floor({_draw('edge', 8, 'gen')} * anew.d) AS BIGINT), anew.d - 1)
+              LEFT JOIN ndeg n ON n.src = dst WHERE {_draw('stop', 8, 'gen')} >= 0.2)
+            SELECT node, count(*) AS visits FROM (
+              SELECT w.node FROM walk w LEFT JOIN cut USING (walk_id) WHERE cut.step IS NULL OR w.step <= cut.step
+              UNION ALL SELECT node FROM anew) GROUP BY node"""),
         "update_walks_checks": f"""WITH {NATION_SPANS}, last_ts AS (SELECT max(ts) AS t FROM ev)
             SELECT DISTINCT v AS node, CAST(10 AS BIGINT) AS starts, CAST(0 AS BIGINT) AS duplicates,
               CAST(0 AS BIGINT) AS dead_hops FROM (
