@@ -133,6 +133,32 @@ def test_correlation_stream_keeps_kinds_apart(spark, tmp_path):
         same(stream_result(spark, str(tmp_path / "out"), kind), expected_closed(rows, 30, 10, 4))
 
 
+@pytest.mark.parametrize("blocks,lateness", [(1, 0), (3, 4)])
+def test_transfer_entropy_stream_equals_batch(spark, tmp_path, blocks, lateness):
+    from tickweave.operators.entropy import transfer_entropy_sliding
+    from tickweave.streaming.entropy import transfer_entropy_stream
+
+    rows = random_rows(41, symbols=3, ticks=110, late=lateness > 0)
+    rows += [("new", t, v) for _, t, v in rows[-50:]]
+    rows.sort(key=lambda r: r[1] // 30)
+    if not lateness:
+        rows.sort(key=lambda r: r[1])
+    write_files(tmp_path / "in", rows, 16)
+    late = f"{max(lateness, 30 if lateness else 0)} seconds"
+    found = transfer_entropy_stream(tick_stream(spark, tmp_path / "in"), "2 seconds", 6, 8, lateness=late, blocks=blocks)
+    query = ST.write_stream(found, str(tmp_path / "out"), str(tmp_path / "ck"))
+    run(query)
+    assert query.lastProgress["batchId"] >= 8
+    ticks = spark.createDataFrame([(s, at(t), float(v), i) for i, (s, t, v) in enumerate(rows)],
+                                  "symbol string, ts timestamp_ntz, value double, seq bigint")
+    closed = at(max(t for _, t, _ in rows) - (30 if lateness else 0) - 0.001)
+    want = {(r["id0"], r["id1"], r["window_end"]): r["value"]
+            for r in transfer_entropy_sliding(ticks, "2 seconds", 6, 8).collect() if r["window_end"] <= closed}
+    got = [((r["id0"], r["id1"], r["window_end"]), r["value"]) for r in spark.read.parquet(str(tmp_path / "out")).collect()]
+    assert len(dict(got)) == len(got)
+    same(dict(got), want)
+
+
 def result_stream(spark, folder):
     values = [0.2, 0.7, -0.9, 0.69, 0.1, -0.8, -0.801, -0.9, 0.0, 0.5]
     rows = [(p, "z", at(i), v * (1 if p == "a" else .9)) for i, v in enumerate(values) for p in "ab"]

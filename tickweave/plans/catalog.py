@@ -18,6 +18,7 @@ from tickweave.session import materialize, pin_utc, shared_folder
 from tickweave.sources import logs
 from tickweave.sources import ticks as tick_source
 from tickweave.streaming.correlation import hy_correlation_stream as hy_correlation_stream_of
+from tickweave.streaming.entropy import transfer_entropy_stream as transfer_entropy_stream_of
 from tickweave.streaming.ticks import write_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -325,6 +326,15 @@ def pairwise_measure(spark, folder):
         _clean(v.ticks_type(spark, folder)), "correlation", size="5 days", advance="1 day", scale=100))
 
 
+@query
+def transfer_entropy_stream(spark, folder):
+    """Sliding transfer entropy as basic windows close, in a dozen micro-batches."""
+    work = f"{shared_folder(spark)}/tickweave/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
+    found = transfer_entropy_stream_of(_arriving(v.ticks_type(spark, folder), f"{work}/in"), "6 hours")
+    write_stream(found, f"{work}/out", f"{work}/checkpoint").awaitTermination()
+    return _rounded(spark.read.schema(found.schema).parquet(f"{work}/out"))
+
+
 # --- transfer entropy ----------------------------------------------------------------------------
 
 @query

@@ -349,6 +349,8 @@ def all_oracles() -> dict[str, str]:
         "discretize": f"WITH {TYPE_TICKS}, {_samples('1 hour', '')}, {RANGES} SELECT * FROM binned",
         "transfer_entropy": f"WITH {HOURLY_TE} SELECT * FROM tr",
         "transfer_entropy_sliding": f"WITH {SLIDING_TE} SELECT * FROM slid",
+        "transfer_entropy_stream": f"""WITH {SLIDING_TE} SELECT * FROM slid
+            WHERE epoch_ms(window_end) < (SELECT epoch_ms(max(ts)) FROM ticks)""",
         "emit_on_change": f"""WITH RECURSIVE {TYPE_WINDOWS},
             num_rows AS (SELECT id0, id1, window_end, value,
               row_number() OVER (PARTITION BY id0, id1 ORDER BY window_end) AS rn FROM win),
