@@ -182,6 +182,53 @@ def test_edge_changes_and_change_filter_streams_equal_batch(spark, tmp_path):
     assert sorted(map(tuple, spark.read.parquet(str(tmp_path / "moved")).collect())) == sorted(map(tuple, want.collect()))
 
 
+def test_edge_changes_with_a_threshold_that_changes(spark, tmp_path):
+    """Results and changes come in files of their own, a few seconds out of order."""
+    import random
+    from tickweave.operators.params import with_parameter
+
+    rng = random.Random(9)
+    rows = [(f"p{rng.randrange(3)}", f"q{rng.randrange(3)}", at(t), rng.uniform(-1, 1)) for t in range(120) for _ in range(3)]
+    rows += [("p0", "q0", at(t), None) for t in (5, 50)]
+    df = spark.createDataFrame(rows, "id0 string, id1 string, window_end timestamp_ntz, value double")
+    changes = [(15, 0.3), (40, 0.9), (40, 0.5), (77, 0.1), (78, 0.8)]
+    log = spark.createDataFrame([("correlationThreshold", v, at(t), i) for i, (t, v) in enumerate(changes)]
+                                + [("hubListSize", 0.0, at(30), 90), ("correlationThreshold", None, at(60), 91)],
+                                "name string, value double, ts timestamp_ntz, seq bigint")
+    for i in range(0, 120, 10):
+        late = F.when(F.col("value") > 0.9, 4).otherwise(0)
+        moved = df.withColumn("_at", F.unix_seconds(F.col("window_end").cast("timestamp")) - 1_704_067_200 + late)
+        moved.filter((F.col("_at") >= i) & (F.col("_at") < (i + 10 if i < 110 else 999))).drop("_at").coalesce(1) \
+            .write.mode("append").parquet(str(tmp_path / "in"))
+        log.filter((F.col("ts") >= F.lit(at(i))) & (F.col("ts") < F.lit(at(i + 10)))).coalesce(1) \
+            .write.mode("append").parquet(str(tmp_path / "log"))
+
+    def read(frame, name):
+        return spark.readStream.schema(frame.schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / name))
+
+    found = keyed.edge_changes_with_parameter_stream(
+        read(df, "in"), read(log, "log"), default=0.7, lateness="15 seconds", shares=3)
+    run(ST.write_stream(found, str(tmp_path / "out"), str(tmp_path / "ck")))
+    sized = with_parameter(df, log, "correlationThreshold", 0.7, "window_end")
+    closed = at(119 - 15 - 0.001)
+    want = [tuple(r) for r in graph.edge_changes(sized, "correlationThreshold").collect() if r["ts"] <= closed]
+    assert sorted(map(tuple, spark.read.parquet(str(tmp_path / "out")).collect())) == sorted(want) and len(want) > 40
+
+
+def test_drop_repeated_stream_equals_batch(spark, tmp_path):
+    from tickweave.operators.ordering import drop_repeated_records
+
+    rows = [(s, t, v) for t in range(12) for s, v in [("a", 1), ("a", 1)] * 2] + [("b", 12 + i // 3, i // 7) for i in range(40)]
+    rows = [(s, 0, v) for s, _, v in rows]
+    write_files(tmp_path / "in", rows, 8)     # several files repeat one record throughout
+    run(ST.drop_repeated_stream(tick_stream(spark, tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "ck")))
+    got = sorted((r["seq"], r["symbol"], r["value"]) for r in spark.read.parquet(str(tmp_path / "out")).collect())
+    whole = spark.createDataFrame([(s, at(t), float(v), 1, i) for i, (s, t, v) in enumerate(rows)],
+                                  "symbol string, ts timestamp_ntz, value double, volume int, seq bigint")
+    want = sorted((r["seq"], r["symbol"], r["value"]) for r in drop_repeated_records(whole).collect())
+    assert got == want and len(want) < 12
+
+
 def test_windowed_reports_equal_batch(spark, tmp_path):
     rows = [(f"n{i % 5}", 10 * i, i) for i in range(40)]
     write_files(tmp_path / "in", rows, 10)

@@ -19,6 +19,7 @@ from tickweave.sources import logs
 from tickweave.sources import ticks as tick_source
 from tickweave.streaming.correlation import hy_correlation_stream as hy_correlation_stream_of
 from tickweave.streaming.entropy import transfer_entropy_stream as transfer_entropy_stream_of
+from tickweave.streaming.keyed import edge_changes_with_parameter_stream
 from tickweave.streaming.ticks import write_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -282,14 +283,14 @@ ARRIVALS = 12          # micro-batches of a stream query at least
 ROWS_PER_ARRIVAL = 500_000
 
 
-def _arriving(df: DataFrame, folder: str) -> DataFrame:
+def _arriving(df: DataFrame, folder: str, time: str = "ts") -> DataFrame:
     """``df`` as a stream whose files arrive in time order, each a slice of it, one a micro-batch."""
-    spark = df.sparkSession
-    span = df.agg(F.min(micros("ts")).alias("lo"), F.max(micros("ts")).alias("hi"), F.count("ts").alias("n")).first()
+    spark, at = df.sparkSession, micros(time)
+    span = df.agg(F.min(at).alias("lo"), F.max(at).alias("hi"), F.count(time).alias("n")).first()
     slices = max(ARRIVALS, -(-span["n"] // ROWS_PER_ARRIVAL))
     low, width = span["lo"] or 0, ((span["hi"] or 0) - (span["lo"] or 0)) // slices + 1
     for i in range(slices):
-        part = df.filter((micros("ts") >= low + i * width) & (micros("ts") < low + (i + 1) * width))
+        part = df.filter((at >= low + i * width) & (at < low + (i + 1) * width))
         part.coalesce(1).write.mode("append").parquet(folder)
     return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(folder)
 
@@ -401,6 +402,17 @@ def edge_changes_with_parameter(spark, folder):
     return graph.edge_changes(windows, "correlationThreshold")
 
 
+@query
+def edge_changes_stream_with_parameter(spark, folder):
+    """The same on streams of results and of threshold changes, as far as both have come."""
+    work = f"{shared_folder(spark)}/tickweave/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
+    windows = _arriving(materialize(_type_windows(spark, folder)), f"{work}/windows", "window_end")
+    changes = _arriving(v.param_log(spark, folder), f"{work}/changes")
+    found = edge_changes_with_parameter_stream(windows, changes, lateness="2 days")
+    write_stream(found, f"{work}/out", f"{work}/checkpoint").awaitTermination()
+    return spark.read.schema(found.schema).parquet(f"{work}/out")
+
+
 @query
 def edge_intervals(spark, folder):
     return graph.edge_intervals(v.nation_events(spark, folder))

@@ -381,6 +381,11 @@ def all_oracles() -> dict[str, str]:
             SELECT win.*, coalesce(p.value, 0.7) AS t FROM win ASOF LEFT JOIN
               (SELECT ts, value FROM plog WHERE name = 'correlationThreshold') p ON win.window_end >= p.ts),
             {_changes('lim', 't', 'ev')} SELECT * FROM ev""",
+        "edge_changes_stream_with_parameter": f"""WITH {TYPE_WINDOWS}, {PARAMS}, lim AS (
+            SELECT win.*, coalesce(p.value, 0.7) AS t FROM win ASOF LEFT JOIN
+              (SELECT ts, value FROM plog WHERE name = 'correlationThreshold') p ON win.window_end >= p.ts),
+            {_changes('lim', 't', 'ev')} SELECT * FROM ev WHERE epoch_ms(ts) < -172800000 + (
+              SELECT greatest((SELECT epoch_ms(max(window_end)) FROM win), (SELECT epoch_ms(max(ts)) FROM plog WHERE name = 'correlationThreshold')))""",
         "edge_intervals": f"WITH {NATION_SPANS} SELECT * FROM spans",
         "vertex_first_seen": f"""WITH {NATION_EVENTS} SELECT v, min(ts) AS first_seen FROM (
             SELECT v0 AS v, ts FROM ev WHERE is_add UNION ALL SELECT v1, ts FROM ev WHERE is_add) GROUP BY v""",

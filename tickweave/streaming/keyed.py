@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import pandas as pd
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+from tickweave.functions.cells import from_micros, interval_micros, micros
 from tickweave.operators.change import moved_positions
 from tickweave.operators.graph import canonical_edge
 from tickweave.session import ship_code, use_rocksdb
@@ -53,6 +55,117 @@ def edge_changes_stream(results: DataFrame, threshold: float = 0.7, time: str =
         outputMode="Append", timeMode="None")
 
 
+class _Thresholds(StatefulProcessor):
+    """A share of the pairs with the threshold changes that hold for all of them.
+
+    ``pending`` has results newer than the watermark, ``present`` the edges that exist, ``changes``
+    the thresholds from the one in force at the watermark on.
+    """
+
+    def __init__(self, default: float):
+        self.default = default
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        pair = "v0 string, v1 string"
+        self.pending = handle.getMapState("pending", pair, "at array<long>, value array<double>")
+        self.present = handle.getMapState("present", pair, "present boolean")
+        self.changes = handle.getValueState("changes", "at array<long>, seq array<long>, value array<double>")
+        self.timer = handle.getValueState("timer", "at long")
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        earliest = None
+        for chunk in rows:
+            news = chunk[chunk["v0"].isna()]
+            if len(news):
+                old = self.changes.get() if self.changes.exists() else ([], [], [])
+                merged = sorted(zip([*old[0], *news["at"].tolist()], [*old[1], *news["seq"].tolist()],
+                                    [*old[2], *news["value"].tolist()]))
+                self.changes.update(tuple(list(x) for x in zip(*merged)))
+            results = chunk[chunk["v0"].notna()]
+            for pair, part in results.groupby(["v0", "v1"], sort=False):
+                old = self.pending.getValue(pair) if self.pending.containsKey(pair) else ([], [])
+                self.pending.updateValue(pair, ([*old[0], *part["at"].tolist()], [*old[1], *part["value"].tolist()]))
+                first = int(part["at"].min())
+                earliest = first if earliest is None else min(first, earliest)
+        if earliest is not None:
+            self.wake(earliest)
+        return iter(())
+
+    def wake(self, at: int) -> None:
+        wanted = -(at // -1000)
+        known = int(self.timer.get()[0]) if self.timer.exists() else None
+        if known is None or wanted < known:
+            if known is not None:
+                self.handle.deleteTimer(known)
+            self.handle.registerTimer(wanted)
+            self.timer.update((wanted,))
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        reached = timerValues.getCurrentWatermarkInMs() * 1000
+        self.timer.clear()
+        known = self.changes.get() if self.changes.exists() else ([], [], [])
+        times, limits = list(known[0]), [self.default, *known[2]]
+        out, later = [], []
+        for pair, (at, value) in list(self.pending.iterator()):
+            above: dict[int, bool] = {}
+            for t, v in zip(at, value):
+                if t <= reached:
+                    # the changes at the result's own time hold already; several results count as one
+                    above[t] = above.get(t, False) or v >= limits[bisect_right(times, t)]
+            present = bool(self.present.getValue(pair)[0]) if self.present.containsKey(pair) else False
+            for t in sorted(above):
+                if above[t] != present:
+                    present = above[t]
+                    out.append((*pair, t, present))
+            self.present.updateValue(pair, (present,))
+            rest = [(t, v) for t, v in zip(at, value) if t > reached]
+            if rest:
+                self.pending.updateValue(pair, tuple(list(x) for x in zip(*rest)))
+                later.append(min(t for t, _ in rest))
+            else:
+                self.pending.removeKey(pair)
+        keep = max(0, bisect_right(times, reached) - 1)
+        if keep:
+            self.changes.update(tuple(list(x)[keep:] for x in known))
+        if later:
+            self.wake(min(later))
+        if out:
+            yield pd.DataFrame(out, columns=["v0", "v1", "at", "is_add"])
+
+    def close(self) -> None:
+        pass
+
+
+def edge_changes_with_parameter_stream(
+    results: DataFrame, param_log: DataFrame, name: str = "correlationThreshold", default: float = 0.7,
+    time: str = "window_end", lateness: str = "0 seconds", shares: int = 16,
+) -> DataFrame:
+    """``edge_changes`` of a stream of pairwise results whose threshold changes by a stream
+    ``param_log(name, value, ts, seq)``.
+
+    A change holds for results at or after its time, the last of several at one time. Pairs are
+    dealt to ``shares`` by a hash and every change goes to all of them. A result counts once the
+    newest time of either stream, less ``lateness`` and a millisecond, has reached its own; rows
+    that come later than that are dropped.
+    """
+    prepared(results.sparkSession)
+    v0, v1 = canonical_edge("id0", "id1")
+    pairs = results.filter(F.col("value").isNotNull()).select(
+        v0.alias("v0"), v1.alias("v1"), F.col(time).cast("timestamp").alias("ts"), F.lit(0).cast("long").alias("seq"),
+        F.abs("value").alias("value"), F.pmod(F.xxhash64(v0, v1), F.lit(shares)).cast("int").alias("share"))
+    nobody = F.lit(None).cast("string")
+    news = param_log.filter((F.col("name") == name) & F.col("value").isNotNull()).select(
+        nobody.alias("v0"), nobody.alias("v1"), F.col("ts").cast("timestamp").alias("ts"),
+        F.col("seq").cast("long").alias("seq"), F.col("value").cast("double").alias("value"),
+        F.explode(F.sequence(F.lit(0), F.lit(shares - 1))).alias("share"))
+    both = pairs.unionByName(news).withWatermark("ts", f"{interval_micros(lateness) // 1000 + 1} milliseconds")
+    found = both.withColumn("at", micros("ts")).groupBy("share").transformWithStateInPandas(
+        statefulProcessor=_Thresholds(float(default)),
+        outputStructType="v0 string, v1 string, at long, is_add boolean", outputMode="Append", timeMode="EventTime")
+    return found.select("v0", "v1", from_micros("at").alias("ts"), "is_add")
+
+
 class _Moved(StatefulProcessor):
     """Keeps the last remembered value."""
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tickweave.functions.cells import micros
-from tickweave.operators.ordering import clamp_out_of_order
+from tickweave.operators.ordering import clamp_out_of_order, drop_repeated_records
 from tickweave.sources.ticks import parsed_ticks
 
 
@@ -76,11 +76,8 @@ def apply_per_batch(
     )
 
 
-def newest_written(spark: SparkSession, out: str, number: int) -> int | None:
-    """The newest ``ts`` that the batches before ``number`` have written below ``out``.
-
-    Clamped times never fall, so the newest earlier batch with rows has it.
-    """
+def newest_batch(spark: SparkSession, out: str, number: int) -> DataFrame | None:
+    """The rows of the newest batch before ``number`` that has written any below ``out``."""
     try:
         written = spark.read.parquet(out)
     except AnalysisException as missing:
@@ -88,10 +85,45 @@ def newest_written(spark: SparkSession, out: str, number: int) -> int | None:
             raise
         return None  # the first batch
     batches = {int(n) for n in re.findall(r"/batch=(\d+)/", "\n".join(written.inputFiles()))}
-    earlier = [n for n in batches if n < number]
-    if not earlier:
-        return None
-    return written.filter(F.col("batch") == max(earlier)).agg(F.max(micros("ts")).alias("newest")).first()["newest"]
+    for earlier in sorted((n for n in batches if n < number), reverse=True):
+        rows = written.filter(F.col("batch") == earlier).drop("batch")
+        if not rows.isEmpty():
+            return rows
+    return None
+
+
+def newest_written(spark: SparkSession, out: str, number: int) -> int | None:
+    """The newest ``ts`` that the batches before ``number`` have written below ``out``.
+
+    Clamped times never fall, so the newest earlier batch has it.
+    """
+    before = newest_batch(spark, out, number)
+    return None if before is None else before.agg(F.max(micros("ts")).alias("newest")).first()["newest"]
+
+
+def drop_repeated_stream(records: DataFrame, out: str, checkpoint: str, **trigger) -> StreamingQuery:
+    """Drop records equal to the one that arrived just before them (``seq``), over all micro-batches.
+
+    The last record of the batches before equals the last one they kept, so it is in the table that
+    the stream writes; each micro-batch runs the batch operator behind that one row. ``seq`` rises
+    from batch to batch.
+    """
+    def run(batch: DataFrame, number: int) -> None:
+        if batch.isEmpty():
+            return
+        before = newest_batch(batch.sparkSession, out, number)
+        last = before.orderBy(F.desc("seq")).limit(1).select(*batch.columns) if before is not None else None
+        row = last.first() if last is not None else None
+        kept = drop_repeated_records(batch if row is None else last.unionByName(batch))
+        if row is not None:
+            kept = kept.filter(F.col("seq") > row["seq"])
+        # a batch of nothing but repetitions writes no rows and leaves the newest batch as it is
+        kept.write.mode("overwrite").parquet(f"{out}/batch={number}")
+
+    return (
+        records.writeStream.foreachBatch(run).option("checkpointLocation", f"{checkpoint}/query")
+        .trigger(**(trigger or {"availableNow": True})).start()
+    )
 
 
 def clamp_stream(ticks: DataFrame, out: str, checkpoint: str, **trigger) -> StreamingQuery:
