@@ -232,6 +232,24 @@ def test_result_lines(spark):
         "te,te_replay_response,3,a,b,")
 
 
+def test_replay_of_stored_results_reads_what_is_asked_for(spark, tmp_path):
+    rows = [(f"a{i % 7}", f"b{i % 5}", at(3600 * i), float(i)) for i in range(24 * 20)]
+    df = spark.createDataFrame(rows, RESULTS)
+    path = str(tmp_path / "stored")
+    results.store_results(df, path, buckets=8)
+    asked = spark.createDataFrame(
+        [(1, at(3600 * 30), at(3600 * 90), ["a1", "b2", "a1"]), (2, at(3600 * 50), at(3600 * 52), ["b0"]),
+         (1, at(0), at(3600 * 3), ["a0"]), (3, at(3600 * 60), at(3600 * 40), ["a2"]), (4, at(0), at(9), [])],
+        "ticket int, start_ts timestamp_ntz, end_ts timestamp_ntz, players array<string>")
+    want = sorted((t, r[0], r[1], r[2], r[3]) for t, lo, hi, names in map(tuple, asked.collect())
+                  for r in rows if lo <= r[2] <= hi and {r[0], r[1]} & set(names))
+    found = results.replay_stored(spark, path, asked, buckets=8)
+    assert sorted(map(tuple, found.collect())) == want and len(want) > 20
+    assert sorted(map(tuple, results.replay_selection(df, asked).collect())) == want
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruning" in plan and "players" not in plan
+
+
 def test_replay_lists_a_result_once_per_ticket(spark):
     df = spark.createDataFrame([("a", "b", at(5), 1.0), ("a", "c", at(50), 1.0)], RESULTS)
     asked = spark.createDataFrame([(1, at(0), at(10), ["b", "a"]), (2, at(0), at(99), ["c"])],

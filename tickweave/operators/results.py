@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tickweave.functions.ordered import explode_range
 from tickweave.functions.sizing import broadcast_if_small
 from tickweave.functions.text import format_instant, six_decimals
+from tickweave.session import materialize
 
 # fixed values: the prefixes of the result lines (``f``, ``w``, ``te``, ``hubList``, ``focusPip``,
 # ``snapshots`` and their second fields) and the text "No path" are the wire format
@@ -92,22 +94,72 @@ def throughput(df: DataFrame, time: str = "ts", every: str = "60 seconds") -> Da
     ).select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "tuples_per_sec")
 
 
+PLAYER_BUCKETS = 32
+WRITERS = 4            # tasks that share one day and bucket
+
+
+def _sides(results: DataFrame) -> DataFrame:
+    """Each result once for each of its two ids, as ``_player``; ``_side`` says which one it is."""
+    return results.withColumn("_s", F.explode(F.array(
+        F.struct(F.col("id0").alias("player"), F.lit(0).alias("side")),
+        F.struct(F.col("id1").alias("player"), F.lit(1).alias("side"))))).select(
+        *results.columns, F.col("_s.player").alias("_player"), F.col("_s.side").alias("_side"))
+
+
+def _asked(requests: DataFrame) -> DataFrame:
+    """One row per request and player; ``_request`` numbers the requests."""
+    numbered = materialize(requests.withColumn("_request", F.monotonically_increasing_id()))
+    return materialize(numbered.filter("start_ts <= end_ts").select(
+        "_request", "ticket", "start_ts", "end_ts", F.explode(F.array_distinct("players")).alias("_player")))
+
+
+def _once_per_request(found: DataFrame, asked: DataFrame, columns: list[str]) -> DataFrame:
+    """Keep a result that both of its ids are asked for on its first side only."""
+    first = asked.select("_request", F.col("_player").alias("id0")).distinct()
+    second = found.filter("_side = 1").join(broadcast_if_small(first), ["_request", "id0"], "left_anti")
+    return found.filter("_side = 0").select("ticket", *columns).unionByName(second.select("ticket", *columns))
+
+
 def replay_selection(results: DataFrame, requests: DataFrame, time: str = "window_end") -> DataFrame:
     """Stored results of each request's period and players, tagged with its ticket.
 
-    A result qualifies when either id is asked for, and appears once per ticket.
+    A result qualifies when either id is asked for, and appears once per request.
+    """
+    asked = _asked(requests)
+    found = _sides(results).join(
+        broadcast_if_small(asked).alias("a"), ["_player"]).filter(
+        (F.col(time) >= F.col("a.start_ts")) & (F.col(time) <= F.col("a.end_ts")))
+    return _once_per_request(found, asked, results.columns)
+
+
+def store_results(
+    results: DataFrame, path: str, time: str = "window_end", buckets: int = PLAYER_BUCKETS, mode: str = "append",
+) -> None:
+    """Results for replay, partitioned by day (since the epoch) and player bucket, sorted by player.
+
+    A result is stored once for each of its ids, so a request reads the days and buckets it asks for.
+    """
+    rows = _sides(results).withColumns({
+        "_day": F.unix_date(F.to_date(time)), "_bucket": F.pmod(F.xxhash64("_player"), F.lit(buckets)).cast("int")})
+    rows = rows.repartition("_day", "_bucket", F.pmod(F.xxhash64("id0", "id1"), F.lit(WRITERS)))
+    rows.sortWithinPartitions("_day", "_bucket", "_player", time).write.mode(mode).partitionBy("_day", "_bucket").parquet(path)
+
+
+def replay_stored(
+    spark: SparkSession, path: str, requests: DataFrame, time: str = "window_end", buckets: int = PLAYER_BUCKETS,
+) -> DataFrame:
+    """``replay_selection`` of what ``store_results`` wrote.
+
+    Requests become rows of (day, bucket, player); a join on the partition columns lets Spark prune
+    the scan by them at run time.
     """
-    asked = requests.select(
-        "ticket", "start_ts", "end_ts", "players", F.explode(F.array_distinct("players")).alias("_player"))
-    sides = results.withColumn("_side", F.explode(F.array(
-        F.struct(F.col("id0").alias("player"), F.lit(0).alias("other")),
-        F.struct(F.col("id1").alias("player"), F.lit(1).alias("other")))))
-    return (
-        sides.join(
-            broadcast_if_small(asked),
-            (F.col("_side.player") == F.col("_player"))
-            & (F.col(time) >= F.col("start_ts")) & (F.col(time) <= F.col("end_ts")))
-        # an answer reached through both ids is kept on the first side only
-        .filter("_side.other = 0 OR NOT array_contains(players, id0)")
-        .select("ticket", *results.columns)
-    )
+    stored = spark.read.parquet(path)
+    columns = [c for c in stored.columns if not c.startswith("_")]
+    asked = _asked(requests)
+    days = explode_range(
+        asked, F.unix_date(F.to_date("start_ts")), F.unix_date(F.to_date("end_ts")), "_day").withColumns({
+            "_day": F.col("_day").cast("int"), "_bucket": F.pmod(F.xxhash64("_player"), F.lit(buckets)).cast("int")})
+    found = stored.join(
+        broadcast_if_small(days.filter("start_ts <= end_ts")).alias("a"), ["_day", "_bucket", "_player"]).filter(
+        (F.col(time) >= F.col("a.start_ts")) & (F.col(time) <= F.col("a.end_ts")))
+    return _once_per_request(found, asked, columns)

@@ -621,6 +621,15 @@ def replay_selection(spark, folder):
         "ticket", "id0", "id1", "window_end", "value")
 
 
+@query
+def replay_stored(spark, folder):
+    """The same from results stored by day and player."""
+    path = f"{shared_folder(spark)}/tickweave/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
+    results.store_results(v.nation_results(spark, folder), path, buckets=4)
+    return _rounded(results.replay_stored(spark, path, v.replay_requests(spark, folder), buckets=4)).select(
+        "ticket", "id0", "id1", "window_end", "value")
+
+
 @query
 def with_parameter(spark, folder):
     return params.with_parameter(

@@ -511,9 +511,9 @@ def all_oracles() -> dict[str, str]:
         "throughput": """SELECT date_trunc('minute', ts)::TIMESTAMP AS window_start,
             date_trunc('minute', ts)::TIMESTAMP + INTERVAL 1 MINUTE AS window_end,
             round(count(*) / 60.0::DOUBLE, 6) AS tuples_per_sec FROM events GROUP BY 1, 2""",
-        "replay_selection": f"""WITH {NATION}, {REQUESTS} SELECT ticket, id0, id1, window_end, round(value, 6) AS value
+        **dict.fromkeys(("replay_selection", "replay_stored"), f"""WITH {NATION}, {REQUESTS} SELECT ticket, id0, id1, window_end, round(value, 6) AS value
             FROM nr JOIN req ON window_end BETWEEN start_ts AND end_ts
-            AND (list_contains(players, id0) OR list_contains(players, id1))""",
+            AND (list_contains(players, id0) OR list_contains(players, id1))"""),
         **dict.fromkeys(("with_parameter", "with_parameter_merged"), f"""WITH {TYPE_TICKS}, {PARAMS}
             SELECT seq, ticks.ts, coalesce(p.value, 0.7) AS "correlationThreshold" FROM ticks ASOF LEFT JOIN
               (SELECT ts, value FROM plog WHERE name = 'correlationThreshold') p ON ticks.ts >= p.ts"""),
