@@ -252,6 +252,27 @@ def test_windowed_reports_equal_batch(spark, tmp_path):
     assert sorted((r["window_start"], r["rank"], r["node"]) for r in ranked.collect()) == sorted(want)
 
 
+@pytest.mark.parametrize("shares", [1, 5])
+def test_ranked_hub_lists_equal_batch(spark, tmp_path, shares):
+    import random
+
+    rng = random.Random(8)
+    rows = [(f"n{rng.randrange(25)}", t, rng.randrange(40)) for t in sorted(rng.randrange(0, 400) for _ in range(300))]
+    write_files(tmp_path / "in", rows, 30)
+    updates = tick_stream(spark, tmp_path / "in").select(
+        F.col("symbol").alias("node"), F.col("value").cast("bigint").alias("visits"), "ts", "seq")
+    log = spark.createDataFrame([("hubListSize", 2.0, at(100), 1), ("hubListSize", 5.0, at(200), 2)],
+                                "name string, value double, ts timestamp_ntz, seq bigint")
+    found = keyed.top_hubs_ranked_stream(updates, 3, "20 seconds", "5 seconds", log, shares=shares)
+    run(ST.write_stream(found, str(tmp_path / "out"), str(tmp_path / "ck")))
+    stored = spark.createDataFrame([(n, v, at(t), i) for i, (n, t, v) in enumerate(rows)],
+                                   "node string, visits bigint, ts timestamp_ntz, seq bigint")
+    closed = at(rows[-1][1] - 5)
+    want = [tuple(r) for r in hubs.top_hubs_windowed(stored, 3, "20 seconds", log).collect() if r["window_end"] <= closed]
+    got = spark.read.parquet(str(tmp_path / "out")).select("window_start", "window_end", "rank", "node", "visits").collect()
+    assert sorted(map(tuple, got)) == sorted(want) and len(want) > 40
+
+
 def test_dedup_stream(spark, tmp_path):
     rows = [("a", 1, 1), ("a", 1, 2), ("b", 1, 3), ("a", 2, 4), ("a", 2, 5)]
     write_files(tmp_path / "in", rows, 2)

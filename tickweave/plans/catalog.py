@@ -19,7 +19,7 @@ from tickweave.sources import logs
 from tickweave.sources import ticks as tick_source
 from tickweave.streaming.correlation import hy_correlation_stream as hy_correlation_stream_of
 from tickweave.streaming.entropy import transfer_entropy_stream as transfer_entropy_stream_of
-from tickweave.streaming.keyed import edge_changes_with_parameter_stream
+from tickweave.streaming.keyed import edge_changes_with_parameter_stream, top_hubs_ranked_stream
 from tickweave.streaming.ticks import write_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -501,6 +501,17 @@ def top_hubs_windowed_with_parameter(spark, folder):
         v.visit_updates(spark, folder), 10, "6 hours", v.param_log(spark, folder))
 
 
+@query
+def top_hubs_stream(spark, folder):
+    """Ranked hub lists as periods close, in a dozen micro-batches."""
+    work = f"{shared_folder(spark)}/tickweave/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
+    found = top_hubs_ranked_stream(
+        _arriving(v.visit_updates(spark, folder), f"{work}/in"), 3, "6 hours", "1 hour")
+    write_stream(found, f"{work}/out", f"{work}/checkpoint").awaitTermination()
+    start, end = (F.col(c).cast("timestamp_ntz").alias(c) for c in ("window_start", "window_end"))
+    return spark.read.schema(found.schema).parquet(f"{work}/out").select(start, end, "rank", "node", "visits")
+
+
 @query
 def top_hubs_windowed_with_period(spark, folder):
     """The period of the hub timer and the list size change while updates flow."""

@@ -459,6 +459,9 @@ def all_oracles() -> dict[str, str]:
             FROM l ORDER BY rank LIMIT 10""",
         "top_hubs_windowed": f"""WITH {WINDOWED_VISITS} SELECT w AS window_start, w + INTERVAL 6 HOUR AS window_end,
             CAST(rank AS INTEGER) AS rank, node, visits FROM ranked WHERE rank <= 3""",
+        "top_hubs_stream": f"""WITH {WINDOWED_VISITS} SELECT w AS window_start, w + INTERVAL 6 HOUR AS window_end,
+            CAST(rank AS INTEGER) AS rank, node, visits FROM ranked
+            WHERE rank <= 3 AND w + INTERVAL 6 HOUR <= (SELECT max(upd.ts) FROM upd) - INTERVAL 1 HOUR""",
         "top_hubs_windowed_with_parameter": f"""WITH {WINDOWED_VISITS}, {PARAMS}, periods AS (
             SELECT DISTINCT w, w + INTERVAL 6 HOUR AS closes FROM latest),
             sized AS (SELECT w, coalesce(p.value, 10) AS k FROM periods ASOF LEFT JOIN

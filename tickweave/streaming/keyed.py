@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import heapq
 from bisect import bisect_right
 from collections.abc import Iterator
 
@@ -12,8 +13,10 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from tickweave.functions.cells import from_micros, interval_micros, micros
+from tickweave.functions.sizing import at_most
 from tickweave.operators.change import moved_positions
 from tickweave.operators.graph import canonical_edge
+from tickweave.operators.params import STEP_CHANGES, with_parameter
 from tickweave.session import ship_code, use_rocksdb
 
 
@@ -235,8 +238,7 @@ def filter_members_stream(rows: DataFrame, commands: DataFrame, keys: list[str])
 def top_hubs_stream(updates: DataFrame, every: str = "10 seconds", lateness: str = "10 seconds") -> DataFrame:
     """The latest count of every node per closed period.
 
-    Spark streams have no rank per window: rank each closed period with ``rank_hubs``, e.g. inside
-    ``foreachBatch``; the heavy part, one row per node and period, is done here.
+    ``top_hubs_ranked_stream`` goes on from here to ranked lists.
     """
     return (
         updates.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", lateness)
@@ -246,6 +248,63 @@ def top_hubs_stream(updates: DataFrame, every: str = "10 seconds", lateness: str
     )
 
 
+class _Best(StatefulProcessor):
+    """The best ``k`` of a key's rows, kept in a heap while they pass; all of them come at once."""
+
+    def __init__(self, names: list[str]):
+        self.names = names
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        pass
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        best: list[tuple] = []
+        size, window = 0, None
+        for chunk in rows:
+            if not len(chunk):
+                continue
+            window = chunk["window_end"].iloc[0]
+            size = int(chunk["k"].iloc[0])
+            best = heapq.nsmallest(size, [*best, *zip((-chunk["visits"]).tolist(), chunk["node"].tolist())])
+        if best:
+            yield pd.DataFrame({
+                "window_start": key[0], "window_end": window, "k": size, "rank": range(1, len(best) + 1),
+                "node": [node for _, node in best], "visits": [-visits for visits, _ in best]})[self.names]
+
+    def close(self) -> None:
+        pass
+
+
+def top_hubs_ranked_stream(
+    updates: DataFrame, k: int = 10, every: str = "10 seconds", lateness: str = "10 seconds",
+    k_log: DataFrame | None = None, name: str = "hubListSize", shares: int = 16,
+) -> DataFrame:
+    """``top_hubs_windowed`` as periods close: ``(window_start, window_end, rank, node, visits)``.
+
+    The latest counts of a closed period come in one micro-batch. Nodes are dealt to ``shares`` by a
+    hash, each share passes its ``k`` best on, and those are ranked by period; no task sees more than
+    a share of a period's nodes. ``k_log`` is a stored parameter log of at most ``STEP_CHANGES``
+    changes of the list size.
+    """
+    prepared(updates.sparkSession)
+    latest = top_hubs_stream(updates, every, lateness).withColumn("k", F.lit(float(k)))
+    if k_log is not None:
+        if not at_most(k_log, STEP_CHANGES):
+            raise ValueError(f"a stream takes at most {STEP_CHANGES} parameter changes")
+        latest = with_parameter(latest.drop("k"), k_log, name, float(k), "window_end").withColumnRenamed(name, "k")
+    schema = "window_start timestamp, window_end timestamp, k int, rank int, node string, visits long"
+    names = [part.strip().split(" ")[0] for part in schema.split(",")]
+    sized = latest.select("window_start", "window_end", F.col("k").cast("int").alias("k"), "node",
+                          F.col("visits").cast("long").alias("visits"),
+                          F.pmod(F.xxhash64("node"), F.lit(shares)).cast("int").alias("share"))
+
+    def best(rows: DataFrame, *keys: str) -> DataFrame:
+        return rows.groupBy(*keys).transformWithStateInPandas(
+            statefulProcessor=_Best(names), outputStructType=schema, outputMode="Append", timeMode="None")
+
+    return best(best(sized, "window_start", "share"), "window_start").drop("k")
+
+
 def rank_hubs(latest: DataFrame, k: int = 10) -> DataFrame:
     """The k best nodes of each closed period."""
     from pyspark.sql import Window
