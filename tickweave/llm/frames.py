@@ -3,29 +3,16 @@
 from __future__ import annotations
 
 import hashlib
-import os
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickweave.session import materialize
+from tickweave.session import materialize, ship_code
 
 NO_ID = -(1 << 63)
 
 
-def ship_code(spark: SparkSession) -> None:
-    """Let Python workers import this package from where the driver has it.
-
-    On a cluster whose executors do not have the package, hand it over with ``addPyFile``.
-    """
-    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
-    worker_env = spark.sparkContext.environment
-    paths = [p for p in worker_env.get("PYTHONPATH", "").split(os.pathsep) if p]
-    if root not in paths:
-        worker_env["PYTHONPATH"] = os.pathsep.join([*paths, root])
-
-
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     ship_code(spark)
     return spark.read.parquet(f"{folder}/{name}.parquet")
@@ -81,4 +68,4 @@ def quoted(name: str) -> Column:
 
 
 __all__ = ["NO_ID", "arrow_schema", "fresh", "keyed_texts", "list_array", "materialize", "quoted", "sha256",
-           "table"]
+           "ship_code", "table"]
