@@ -161,7 +161,7 @@ def test_lm_scoring(spark):
             for v, w in pairs_of(text):
                 for own, key in zip(counts[model], (w, v, (v, w))):
                     own[key] += 1
-    size = max(lm_scoring.WORDS, len(counts[0][0]))
+    size = len(counts[0][0])
 
     def loss(model, v, w):
         single, heads, pairs = counts[model]
@@ -203,7 +203,7 @@ def test_lm_scoring_counts_every_word_and_bigram_alone(spark, monkeypatch):
             w = words(text)
             for own, found in zip(counts[model], (w, [None, *w][:-1] if w else [], zip([None, *w], w))):
                 own.update(found)
-    size = max(lm_scoring.WORDS, len(counts[0][0]))
+    size = len(counts[0][0])
     for ident, text in rows:
         w, losses = words(text), []
         for single, heads, pairs in counts[::-1]:
@@ -219,6 +219,20 @@ def test_lm_scoring_counts_every_word_and_bigram_alone(spark, monkeypatch):
     assert len(got) == len(rows)
 
 
+def test_lm_scoring_of_an_id_that_repeats(spark, monkeypatch):
+    from pyspark.sql import functions as F
+    rows = [(7, f"one of many words {i % 500}") for i in range(20000)] + [(8, "words of one"), (7, None)]
+    labels = spark.createDataFrame([(7, 1), (8, 0)], "doc_id long, quality int")
+    monkeypatch.setattr(lm_scoring, "PART_BYTES", 1 << 12)
+    got = lm_scoring.score_documents(frame(spark, rows), labels)
+    found = got.groupBy("doc_id", "n_tokens").agg(F.count("*").alias("n")).collect()
+    assert {(r["doc_id"], r["n_tokens"]): r["n"] for r in found} == {(7, 5): 20000, (8, 3): 1, (7, 0): 1}
+    # every row of the id is target, so the target model has seen its bigrams as often as all have
+    sides = got.filter("doc_id = 7 and n_tokens = 5").agg(
+        F.max(F.abs("score")).alias("most"), F.countDistinct("score").alias("kinds")).first()
+    assert sides["most"] < 0.01 and sides["kinds"] >= 1
+
+
 # -------------------------------------------------------------------------------- 5 lines
 def template_keys(line):
     tokens = ["<*>" if re.search("[0-9@]", w) else w for w in spaced(line)]

@@ -5,16 +5,18 @@ models of the same form over one vocabulary, and a bigram's estimate is smoothed
 
     p(w | v) = (c(v, w) + MU * p(w)) / (c(v) + MU),    p(w) = (c(w) + 1) / (n + V),
 
-where V is the number of distinct words of all documents, ``WORDS`` at least. Every token's loss
+where V is the number of distinct words of all documents. Every token's loss
 under the target less its loss under the background is averaged over a document: low scores look
 like the target.
 
-Counts are exact: words, words as predecessors and bigrams are keys of 64 bits, and no two share a
-count but by a collision of whole hashes. Documents are dealt by id into parts of about
-``PART_BYTES`` of text. A part sends each distinct key once with its own counts, so a bigram that
-every document has is one entry a part; keys meet in shards, a range of hashes each, and every part
-gets the sums of its keys back, in their order. No table of counts passes through the driver or is
-held whole by a task: what comes back are three totals.
+Counts are exact: words and bigrams are keys of 64 bits, and no two share a count but by a collision
+of whole hashes. A word precedes another as often as it occurs, less the documents that it ends, so
+c(v) needs no keys of its own, only a count of ends beside that of the word. Documents are dealt by
+id and text into parts of about ``PART_BYTES`` of text. A part sends each distinct key once with its
+own counts, so a bigram that every document has is one entry a part; keys meet in shards, a range of
+hashes each of about ``SHARD_BYTES`` of text, and every part gets the sums of its keys back, in their
+order. No table of counts passes through the driver or is held whole by a task: what comes back are
+three totals.
 """
 
 from __future__ import annotations
@@ -27,14 +29,13 @@ from pyspark.sql import functions as F
 from tickweave.llm import batches as B
 from tickweave.llm.frames import NO_ID, arrow_schema, keyed_texts, materialize
 
-WORDS = 1 << 17           # the least size of the vocabulary
 MU = 16.0
 PART_BYTES = 4 << 20      # text of one part
-SHARDS = 1 << 10          # hash ranges for each SHARDS_BYTES of text
-SHARDS_BYTES = 64 << 30
+SHARD_BYTES = 4 << 20     # text whose keys a shard gets, on average
+MIN_SHARDS = 64
 U64 = np.uint64
 BOUNDARY = U64(0x51ED270B9F1C7A35)   # the word before the first of a document
-BIGRAM, WORD, HEAD = range(3)        # the lowest two bits of a key
+BIGRAM, WORD, START = range(3)       # the lowest two bits of a key
 STEP = U64(0x9E3779B97F4A7C15)
 
 
@@ -42,17 +43,24 @@ def token_keys(piece: B.Slice):
     """Row and keys (word, word before, bigram) of every token of a slice."""
     words = B.find_words(piece.data, piece.offsets, B.ALPHANUMERIC, lower=True)
     row = np.repeat(np.arange(len(words.counts)), words.counts)
+    first = words.first[:-1][words.counts > 0]
     before = np.empty_like(words.code)
     before[1:] = words.code[:-1]
-    before[words.first[:-1][words.counts > 0]] = BOUNDARY
-    return (row, kind_key(B.mix(words.code + U64(1)), WORD), kind_key(B.mix(before + U64(2)), HEAD),
-            kind_key(B.mix(before * STEP + words.code), BIGRAM))
+    before[first] = BOUNDARY
+    word = kind_key(B.mix(words.code + U64(1)), WORD)
+    head = np.empty_like(word)
+    head[1:] = word[:-1]
+    head[first] = START_KEY
+    return row, word, head, kind_key(B.mix(before * STEP + words.code), BIGRAM)
 
 
 def kind_key(code: np.ndarray, kind: int) -> np.ndarray:
     return code & ~U64(3) | U64(kind)
 
 
+START_KEY = kind_key(BOUNDARY, START)
+
+
 def shard_of(keys: np.ndarray, shards: int) -> np.ndarray:
     """Shards are ranges: keys in their order are in the order of shards."""
     return ((keys >> U64(32)) * U64(shards) >> U64(32)).astype(np.int64)
@@ -69,7 +77,7 @@ def from_planes(data: bytes) -> np.ndarray:
 
 
 def added(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct keys in their order and the sums of their two counts."""
+    """Distinct keys in their order and the sums of their counts (models x keys)."""
     order = np.argsort(keys, kind="stable")
     keys = keys[order]
     fresh = np.ones(len(keys), bool)
@@ -97,22 +105,38 @@ def runs(stream, column: str):
         yield int(value), held
 
 
+def slice_counts(piece: B.Slice, labelled: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys of a slice; occurrences in all and good documents, ends of all and good ones."""
+    row, word, _, bigram = token_keys(piece)
+    good = np.isin(np.asarray(piece.rows.column(2)), labelled)
+    last = np.flatnonzero(np.append(row[1:] != row[:-1], True)[:len(row)])
+    ending = good[row[last]]
+    found = np.concatenate([word, bigram, np.full(len(last), START_KEY)])
+    of_good = np.concatenate([good[row], good[row], ending]).astype(np.int64)
+    keys, counts = added(found, np.stack([np.ones(len(found), np.int64), of_good]))
+    ends = np.zeros_like(counts)
+    at = np.searchsorted(keys, word[last])
+    np.add.at(ends[0], at, 1)
+    np.add.at(ends[1], at, ending)
+    return keys, np.concatenate([counts, ends])
+
+
+COUNTS = ("all", "good", "all_ends", "good_ends")
+
+
 def count_parts(texts: DataFrame, shards: int) -> DataFrame:
-    """``shard, part, keys, all, good``: distinct keys of each part with its counts."""
-    ddl = "shard long, part long, keys binary, all binary, good binary"
+    """``shard, part, keys`` and ``COUNTS``: distinct keys of each part with its counts."""
+    ddl = "shard long, part long, keys binary, " + ", ".join(f"{c} binary" for c in COUNTS)
     schema = arrow_schema(ddl)
 
     def run(stream):
         for part, held in runs(stream, "part"):
-            keys, counts, waiting, size = np.zeros(0, U64), np.zeros((2, 0), np.int64), [], 0
+            none = np.zeros(0, U64), np.zeros((len(COUNTS), 0), np.int64)
+            (keys, counts), waiting, size = none, [], 0
             labelled = np.concatenate([
                 np.asarray(b.column(2))[np.asarray(b.column(1)) == 0] for b in held])
             for piece in B.text_slices(held):
-                row, *found = token_keys(piece)
-                good = np.isin(np.asarray(piece.rows.column(2)), labelled)[row]
-                found = np.concatenate(found)
-                waiting.append(added(found, np.stack(
-                    [np.ones(len(found), np.int64), np.tile(good, 3).astype(np.int64)])))
+                waiting.append(slice_counts(piece, labelled))
                 size += len(waiting[-1][0])
                 if size > 1 << 20:   # a part of very long texts
                     keys, counts = together([(keys, counts), *waiting])
@@ -126,7 +150,7 @@ def count_parts(texts: DataFrame, shards: int) -> DataFrame:
                 yield B.batch_of(
                     schema, [int(own[a]) for a, _ in some], [part] * len(some),
                     [planes(keys[a:b]) for a, b in some],
-                    *([planes(counts[m, a:b]) for a, b in some] for m in range(2)))
+                    *([planes(row[a:b]) for a, b in some] for row in counts))
 
     return texts.mapInArrow(run, ddl)
 
@@ -137,11 +161,11 @@ def together(several) -> tuple[np.ndarray, np.ndarray]:
 
 
 def add_up(counted: DataFrame) -> DataFrame:
-    """``part, shard, all, good``: the sums over all parts of each part's keys, in their order.
+    """``part, shard`` and ``COUNTS``: the sums over all parts of each part's keys, in their order.
 
     One more row per shard, of part -1, has the shard's distinct words and tokens of both models.
     """
-    ddl = "part long, shard long, all binary, good binary"
+    ddl = "part long, shard long, " + ", ".join(f"{c} binary" for c in COUNTS)
     schema = arrow_schema(ddl)
 
     def run(stream):
@@ -152,20 +176,20 @@ def add_up(counted: DataFrame) -> DataFrame:
             borders = np.concatenate([[0], np.cumsum([len(x) for x in packed])])
             own = np.concatenate(packed)
             counts = np.stack([np.concatenate([from_planes(x.as_buffer()) for x in table.column(c)])
-                               for c in ("all", "good")]).astype(np.int64)
+                               for c in COUNTS]).astype(np.int64)
             del table, packed, held
             keys, sums = added(own, counts)
             del counts
             word = keys & U64(3) == U64(WORD)
-            tokens = sums[:, word].sum(axis=1)
+            tokens = sums[:2, word].sum(axis=1)
             yield B.batch_of(schema, [-1], [shard], [planes(np.array([word.sum(), tokens[0]]))],
-                             [planes(tokens[1:])])
+                             [planes(tokens[1:])], [b""], [b""])
             for first in range(0, len(parts), 256):
                 spans = [(p, borders[i], borders[i + 1])
                          for i, p in enumerate(parts[first:first + 256], first)]
                 at = [np.searchsorted(keys, own[a:b]) for _, a, b in spans]
                 yield B.batch_of(schema, [p for p, _, _ in spans], [shard] * len(spans),
-                                 *([planes(sums[m, i]) for i in at] for m in range(2)))
+                                 *([planes(row[i]) for i in at] for row in sums))
 
     return counted.repartition("shard").sortWithinPartitions("shard").mapInArrow(run, ddl)
 
@@ -174,7 +198,7 @@ class Models:
     """Vocabulary size and tokens of both models, and the loss of a token from its counts."""
 
     def __init__(self, words: int, tokens: tuple[int, int]):
-        self.words, self.tokens = max(WORDS, words), tokens
+        self.words, self.tokens = words, tokens
 
     def losses(self, model: int, word, head, bigram) -> np.ndarray:
         """Negative log2 probability of each token."""
@@ -206,30 +230,32 @@ def score_documents(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
     Losses are bits per token; ``score`` is their difference (target less background). The target
     are documents that some label row marks with 1. Words are maximal runs of ASCII letters and
     digits and non-ASCII characters, A-Z lowered. A text without words, or null, has no tokens and
-    null losses; a null id is kept and never labelled. Without any target document the target model
-    is uniform and scores only mirror the background.
+    null losses; a null id is kept and never labelled. Rows that repeat an id count each by itself,
+    all of them as target if the id is marked; repeated rows count as often as they occur and get
+    equal results. Without any target document the target model is uniform and scores only mirror
+    the background.
     """
     source = keyed_texts(docs, id_col, text_col)
     size = source.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
-    parts, shards = size // PART_BYTES + 1, SHARDS * (size // SHARDS_BYTES + 1)
-    dealt = lambda value: F.pmod(F.xxhash64(value), F.lit(parts)).alias("part")
-    # a null id has no label, so such rows need not meet
-    source = source.select(dealt(F.when(F.col("_id") == NO_ID, F.col("_h")).otherwise(
-        F.col("_id"))), "_id", "doc_id", "text")
-    texts = source.select("part", F.lit(1).alias("kind"), "_id", "text")
+    parts, shards = size // PART_BYTES + 1, max(MIN_SHARDS, size // SHARD_BYTES + 1)
+    # by id and text, so that rows which repeat an id do not meet in one part
+    dealt = F.pmod(F.xxhash64("_id", "_h"), F.lit(parts)).alias("part")
+    texts = source.select(dealt, F.lit(1).alias("kind"), "_id", "text")
     good = labels.filter(F.col(f"`{label_col}`") == 1).select(
         F.col(f"`{id_col}`").cast("long").alias("_id")).filter(F.col("_id") > NO_ID).distinct()
-    marks = good.select(dealt(F.col("_id")), F.lit(0), "_id", F.lit(None).cast("string"))
+    # every part that has a labelled id hears of it
+    marks = source.select("_id", dealt).distinct().join(good.hint("merge"), "_id", "left_semi").select(
+        "part", F.lit(0), "_id", F.lit(None).cast("string"))
     meeting = texts.union(marks).repartition("part").sortWithinPartitions("part")
     sums = materialize(add_up(count_parts(meeting, shards)))
     models = totals(sums)
 
     nothing = lambda kind: F.lit(None).cast(kind)
     replies = sums.filter("part >= 0").select(
-        "part", F.col("shard").alias("place"), nothing("long"), nothing("string"), "all", "good")
+        "part", F.col("shard").alias("place"), nothing("long"), nothing("string"), *COUNTS)
     asked = source.select(
-        "part", F.lit(-1).cast("long").alias("place"), "doc_id", "text",
-        nothing("binary").alias("all"), nothing("binary").alias("good"))
+        dealt, F.lit(-1).cast("long").alias("place"), "doc_id", "text",
+        *(nothing("binary").alias(c) for c in COUNTS))
     ddl = ("doc_id long, n_tokens long, target_loss double, background_loss double, "
            "score double")
     schema = arrow_schema(ddl)
@@ -242,19 +268,21 @@ def score_documents(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
             answers = table.filter(pa.array(place >= 0)).sort_by("place")
             counts = [np.concatenate([np.zeros(0, U64)] + [
                 from_planes(x.as_buffer()) for x in answers.column(c)]).astype(np.float64)
-                for c in ("all", "good")]
+                for c in COUNTS]
+            heads = [counts[m] - counts[m + 2] for m in range(2)]
             del table, held, answers
             keys = np.zeros(0, U64)
             for piece in B.text_slices(own):
-                keys = np.union1d(keys, np.concatenate(token_keys(piece)[1:]))
+                keys = np.union1d(keys, np.concatenate(token_keys(piece)[1:]))   # starts are heads
             for piece in B.text_slices(own):
                 row, word, head, bigram = token_keys(piece)
                 at = [np.searchsorted(keys, k) for k in (word, head, bigram)]
                 rows = piece.rows.num_rows
                 count = np.bincount(row, minlength=rows)
                 with np.errstate(invalid="ignore"):
-                    means = [np.bincount(row, models.losses(m, *(counts[m][i] for i in at)), rows)
-                             / count for m in (1, 0)]
+                    means = [np.bincount(row, models.losses(
+                        m, counts[m][at[0]], heads[m][at[1]], counts[m][at[2]]), rows) / count
+                        for m in (1, 0)]
                 empty = count == 0
                 target, background = (pa.array(m, mask=empty) for m in means)
                 yield B.batch_of(schema, piece.rows.column(2), count, target, background,
