@@ -406,12 +406,60 @@ def test_language_id(spark):
 
 def test_network_tables_agree():
     import numpy as np
-    network = language_id.train([t for _, t, g in languages() if t and g],
+    network = language_id.train([t.encode()[:256] for _, t, g in languages() if t and g],
                                 [g for _, t, g in languages() if t and g])
     windows = np.random.default_rng(0).integers(0, 64, (20, language_id.WINDOW)).astype(np.uint8)
     assert np.allclose(network.responses(windows)[0], network.fast()(windows), atol=1e-4)
 
 
+def test_language_id_is_the_plain_convolution(spark):
+    import numpy as np
+    rows = [r for r in languages(8) if r[1] and re.search("[a-zé]", r[1])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    network = language_id.fit(docs)
+    got = {r["text"]: (r["lang_pred"], r["score"]) for r in language_id.predict(docs, network).collect()}
+
+    def chances(window):
+        pooled = []
+        for width in language_id.WIDTHS:
+            sums = [sum(network.filters[width][j][window[at + j]] for j in range(width))
+                    for at in range(len(window) - width + 1)]
+            pooled.append(np.max(sums, axis=0))
+        score = np.maximum(np.concatenate(pooled) + network.bias, 0) @ network.weights + network.offset
+        return np.exp(score - score.max()) / np.exp(score - score.max()).sum()
+
+    for _, text, _ in rows[:9] + rows[-1:]:
+        raw = list(language_id.TABLE[list(text.encode()[:40000])])
+        total = 0
+        for at in range(0, len(raw), language_id.WINDOW):
+            share = min(language_id.WINDOW, len(raw) - at)
+            low = max(0, min(at, len(raw) - language_id.WINDOW))   # the last one is moved back
+            window = raw[low:low + language_id.WINDOW]
+            total = total + share * chances(window + [0] * (language_id.WINDOW - len(window)))
+        total = total / len(raw)
+        assert got[text][0] == network.languages[int(total.argmax())]
+        assert abs(got[text][1] - total.max()) < 1e-3
+
+
+def test_language_id_learns_from_repeated_rows_and_cuts_long_texts(spark):
+    from pyspark.sql import functions as F
+    one = "schung derung keit ß und ung sch der " * 4
+    rows = [(i, t, g) for i, t, g in languages() if g == "en" and t]
+    ident = next(i for i in range(10**6, 10**6 + 9) if __import__("zlib").crc32(str(i).encode()) % 3 != 1)
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").union(
+        spark.range(5000).select(F.lit(ident), F.lit(one), F.lit("de"))).union(
+        spark.range(1).select(F.lit(ident), F.repeat(F.lit("eau ç qu oux "), 1 << 22), F.lit("fr")))
+    network = language_id.fit(docs)
+    assert network.languages == ["de", "en", "fr"]
+    got = language_id.predict(docs.filter("length(text) < 1000000"), network)
+    assert got.filter("lang = 'de' and lang_pred = 'de'").count() == 5000
+    cut = spark.createDataFrame([("a" * 256 + "é" * 512 + "z",), ("kurz",)], "t string").select(
+        language_id.training_windows(F.col("t")).alias("w")).collect()
+    raw = ("a" * 256 + "é" * 512 + "z").encode()
+    assert [bytes(w) for w in cut[0]["w"]] == [raw[at:at + 256] for at in (0, 341, 683, 1025)]
+    assert [bytes(w) for w in cut[1]["w"]] == [b"kurz"]
+
+
 def test_language_id_without_labels(spark):
     docs = spark.createDataFrame([(1, "abc", None)], "doc_id long, text string, lang string")
     assert language_id.fit(docs) is None

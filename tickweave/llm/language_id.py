@@ -25,7 +25,7 @@ WINDOW = 256
 WIDTHS = (2, 3, 4)
 FILTERS = 8                # per width
 CLASSES = 64
-SAMPLE_PER_LANGUAGE = 400  # labelled documents the network is fitted on, per language
+SAMPLE_PER_LANGUAGE = 400  # distinct labelled texts the network is fitted on, per language
 WINDOWS_PER_DOCUMENT = 4   # training windows of each of them, spread over the whole text
 MAX_LANGUAGES = 200        # bound of the output layer
 EPOCHS = 6
@@ -116,25 +116,27 @@ def windows_of(classes: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.nd
     return np.where(inside, classes[np.minimum(at, len(classes) - 1)], 0).astype(np.uint8)
 
 
-def train(texts: list[str], labels: list[str], seed: int = 7) -> Network | None:
-    """Fit the network by mini-batch Adam; equal inputs give an equal network."""
+def training_windows(text: Column) -> Column:
+    """Up to WINDOWS_PER_DOCUMENT windows of WINDOW bytes, spread over the whole text."""
+    raw = F.encode(text, "utf-8")
+    room = F.greatest(F.lit(0), F.octet_length(text) - WINDOW)
+    steps = F.least(F.lit(WINDOWS_PER_DOCUMENT - 1), F.floor(room / WINDOW).cast("int"))
+    return F.transform(F.sequence(F.lit(0), steps), lambda k: F.substring(
+        raw, F.coalesce(F.floor(room.cast("long") * k / F.nullif(steps, F.lit(0))), F.lit(0)).cast("int")
+        + 1, F.lit(WINDOW)))
+
+
+def train(pieces: list[bytes], labels: list[str], seed: int = 7) -> Network | None:
+    """Fit the network to windows of bytes by mini-batch Adam; equal inputs give an equal network."""
     languages = sorted(set(labels))
     if not languages:
         return None
     rng = np.random.default_rng(seed)
-    rows, target = [], []
-    for text, label in zip(texts, labels):
-        raw = TABLE[np.frombuffer(text.encode(), np.uint8)]
-        if not len(raw):
-            continue
-        room = max(0, len(raw) - WINDOW)
-        count = min(WINDOWS_PER_DOCUMENT, 1 + room // WINDOW)
-        starts = np.linspace(0, room, count).astype(np.int64)
-        rows.append(windows_of(raw, starts, np.full(count, len(raw))))
-        target += [languages.index(label)] * count
-    if not rows:
-        return None
-    windows, target = np.concatenate(rows), np.array(target)
+    windows = np.zeros((len(pieces), WINDOW), np.uint8)   # what a window lacks is spaces
+    for row, piece in zip(windows, pieces):
+        row[:len(piece)] = TABLE[np.frombuffer(piece, np.uint8)]
+    place = {language: i for i, language in enumerate(languages)}
+    target = np.array([place[label] for label in labels])
     # every language weighs the same
     weight = 1.0 / np.bincount(target, minlength=len(languages))[target]
     weight *= len(weight) / weight.sum()
@@ -191,22 +193,27 @@ def held_out(id_col: str) -> Column:
 
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         lang_col: str = "lang") -> Network | None:
-    """Train on about SAMPLE_PER_LANGUAGE documents of each of at most MAX_LANGUAGES languages.
+    """Train on about SAMPLE_PER_LANGUAGE texts of each of at most MAX_LANGUAGES languages.
 
-    Only rows that are not held out, with id, text and language, are eligible. A row is in the
-    sample if the hash of its id falls below the share that its language needs, so no language
-    has to come together anywhere; the sample's size is bounded by the two parameters.
+    Only rows that are not held out, with id, language and a text that is not empty, are eligible.
+    Equal texts of a language are one, however many rows and ids they have. A text is in the sample
+    if its hash falls below the share that its language needs, so no language has to come together
+    anywhere, and a language of fewer texts gives them all. Windows are cut in the tasks: the driver
+    gets at most WINDOWS_PER_DOCUMENT windows of each text, whatever its length.
     """
-    rows = docs.filter(~held_out(id_col)).select(
-        quoted(id_col).cast("long").alias("id"), quoted(text_col).alias("text"),
-        quoted(lang_col).alias("lang")).filter("id is not null and lang is not null")
-    counts = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES)
+    rows = docs.filter(~held_out(id_col)).filter(quoted(id_col).cast("long").isNotNull()).select(
+        quoted(text_col).cast("string").alias("text"), quoted(lang_col).alias("lang"),
+        F.xxhash64(quoted(text_col).cast("string")).alias("h")).filter(
+        "lang is not null and octet_length(text) > 0")
+    counts = rows.select("lang", "h").distinct().groupBy("lang").count().orderBy(
+        F.desc("count"), "lang").limit(MAX_LANGUAGES)
     share = counts.select("lang", (F.lit(SAMPLE_PER_LANGUAGE) / F.col("count")).alias("share"))
-    place = F.pmod(F.xxhash64("id"), F.lit(1 << 30)) / F.lit(1 << 30)
-    sample = rows.filter("text is not null").join(F.broadcast(share), "lang").filter(
-        place < F.col("share")).select("id", "lang", "text").collect()
-    sample = sorted({(r["id"], r["lang"], r["text"]) for r in sample})
-    return train([text for _, _, text in sample], [lang for _, lang, _ in sample])
+    place = F.pmod("h", F.lit(1 << 30)) / F.lit(1 << 30)
+    sample = rows.join(F.broadcast(share), "lang").filter(place < F.col("share")).select(
+        "lang", "h", training_windows(F.col("text")).alias("windows")).distinct().collect()
+    sample = sorted((r["h"], r["lang"], [bytes(w) for w in r["windows"]]) for r in sample)
+    return train([w for _, _, windows in sample for w in windows],
+                 [lang for _, lang, windows in sample for _ in windows])
 
 
 def predict(docs: DataFrame, network: Network | None, text_col: str = "text",
@@ -214,7 +221,8 @@ def predict(docs: DataFrame, network: Network | None, text_col: str = "text",
     """Append the predicted language and its probability (0 for ``und``).
 
     Every window of the whole text counts with its share of the bytes. A null text or one without a
-    letter is ``und``; so is everything when nothing could be learned.
+    letter is ``und``; so is everything when nothing could be learned. Equal texts get equal results
+    and every row is kept, repeated ones too.
     """
     ship_code(docs.sparkSession)
     has_letter = F.coalesce(quoted(text_col).rlike(r"\p{L}"), F.lit(False))
