@@ -60,6 +60,37 @@ def test_secrets_written_twice_do_not_hide_each_other(spark):
     assert len(around) == 3 and not any(k[5:15] in a for a in around for k in keys)
 
 
+def plain_candidates(text, base):
+    """Whole strings that start in reach of a sensitive word or reach into it, less base spans."""
+    found = []
+    for m in re.finditer(r"[A-Za-z0-9+/_=-]{16,}", text):
+        near = any(w.start() - secrets.REACH < m.end() and m.start() <= w.end() + secrets.REACH
+                   for w in secrets.SENSITIVE.finditer(text))
+        if near and not any(a < m.end() and m.start() < b for a, b, _ in base):
+            found.append(m.span())
+    return found
+
+
+def test_secrets_of_a_long_text_take_linear_time():
+    import random
+    import time
+    rng = random.Random(3)
+    key = lambda n: "".join(rng.choices("QWERTZUIOPqwertzuiop0123456789", k=n))
+    text = " ".join(f"bearer {key(24)} and token={key(20)} {prose(rng, rng.randrange(60))} "
+                    f"{key(30)} or secret {key(40)}" for _ in range(40))
+    base = secrets.base_spans(text)
+    found = secrets.candidates(text, base)
+    assert [(start, end) for start, end, _ in found] == plain_candidates(text, base)
+    for start, end, around in found:   # nothing of a candidate or a base span is left around it
+        low, high = max(0, start - secrets.AROUND), end + secrets.AROUND
+        assert not any(text[a:b] in around for a, b, _ in found)
+        assert not any(low <= a and b <= high and text[a:b] in around for a, b, _ in base)
+    for long in (text * 1000, "the token of " * 10**6):
+        started = time.monotonic()
+        secrets.candidates(long, secrets.base_spans(long))
+        assert time.monotonic() - started < 40
+
+
 def test_secrets_of_any_alphabet_and_place_are_whole(spark):
     rng = __import__("random").Random(9)
     full = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"

@@ -10,6 +10,8 @@ carries, and is reported as a span of kind ``novel``.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -71,28 +73,41 @@ def candidates(text: str, base: list[tuple[int, int, str]]):
 
     Surroundings hold no candidate, no base span and no other copy of a candidate's string.
     """
-    spans, done = [], 0
+    spans, done, ahead = [], 0, 0   # no string starts between the last one and ``ahead``
+    starts = [start for start, _, _ in base]
+    reached = list(accumulate((end for _, end, _ in base), max))   # the furthest end so far
     for word in SENSITIVE.finditer(text):
         low, high = max(0, word.start() - REACH), word.end() + REACH
+        if ahead > high:
+            continue
         first = max(low, done)
         while first > done and text[first - 1] in INSIDE:   # a string that reaches into the window
             first -= 1
         for m in STRING.finditer(text, first):
             if m.start() > high:
+                ahead = m.start()
                 break
             done = m.end()
-            if any(start < m.end() and m.start() < end for start, end, _ in base):
+            before = bisect_left(starts, m.end())
+            if before and reached[before - 1] > m.start():   # meets a base span
                 continue
             spans.append((m.start(), m.end()))
+        else:
+            break   # no more strings
     if not spans:
         return []
     strings = {text[start:end] for start, end in spans}
     blanks = sorted(spans + [(start, end) for start, end, _ in base])
-    return [(start, end, surroundings(text, start, end, blanks, strings)) for start, end in spans]
+    reached = list(accumulate((end for _, end in blanks), max))
+    return [(start, end, surroundings(text, start, end, blanks, reached, strings))
+            for start, end in spans]
 
 
-def surroundings(text: str, start: int, end: int, blanks, strings: set[str]) -> str:
-    """The text ``AROUND`` a span without ``blanks`` (by start) and copies of ``strings``."""
+def surroundings(text: str, start: int, end: int, blanks, reached, strings: set[str]) -> str:
+    """The text ``AROUND`` a span without ``blanks`` (by start) and copies of ``strings``.
+
+    ``reached`` has the furthest end of the blanks up to each, so those before the text are skipped.
+    """
     low, high = max(0, start - AROUND), min(len(text), end + AROUND)
     # a string that the border cuts may be the rest of a copy
     while 0 < low < start and text[low - 1] in INSIDE and text[low] in INSIDE:
@@ -100,9 +115,7 @@ def surroundings(text: str, start: int, end: int, blanks, strings: set[str]) ->
     while end < high < len(text) and text[high] in INSIDE and text[high - 1] in INSIDE:
         high -= 1
     kept, at = [], low
-    for first, last in blanks:
-        if first >= high:
-            break
+    for first, last in blanks[bisect_right(reached, low):bisect_left(blanks, (high,))]:
         if last > at:
             kept.append(text[at:max(at, first)])
             at = last
@@ -173,8 +186,8 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
 def identifier_dictionary(scanned: DataFrame) -> bytes:
     """The identifiers most used around candidates, the commonest last (nearest to the data).
 
-    Counted over the distinct surroundings of all documents, so copies count once; the list that comes back ends at ``DICTIONARY_BYTES``, the
-    dictionary's size.
+    Counted over the distinct surroundings of all documents, so copies count once; the list that
+    comes back ends at ``DICTIONARY_BYTES``, the dictionary's size.
     """
     words = scanned.select(F.explode("candidates.around").alias("around")).distinct().select(
         F.explode(F.array_distinct(F.regexp_extract_all(
