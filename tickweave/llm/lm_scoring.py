@@ -31,7 +31,7 @@ from tickweave.llm.frames import NO_ID, arrow_schema, keyed_texts, materialize
 
 MU = 16.0
 PART_BYTES = 4 << 20      # text of one part
-SHARD_BYTES = 4 << 20     # text whose keys a shard gets, on average
+SHARD_BYTES = 1 << 20     # text whose keys a shard gets, on average; its keys take 2 to 4 MB
 MIN_SHARDS = 64
 U64 = np.uint64
 BOUNDARY = U64(0x51ED270B9F1C7A35)   # the word before the first of a document
@@ -121,6 +121,23 @@ def slice_counts(piece: B.Slice, labelled: np.ndarray) -> tuple[np.ndarray, np.n
     return keys, np.concatenate([counts, ends])
 
 
+def packed_counts(keys, counts, spans) -> list[list[bytes]]:
+    """The columns ``COUNTS`` of some spans of keys; only words have ends."""
+    word = keys & U64(3) == U64(WORD)
+    return [[planes(row[a:b][word[a:b]] if m >= 2 else row[a:b]) for a, b in spans]
+            for m, row in enumerate(counts)]
+
+
+def unpacked_counts(keys: np.ndarray, columns) -> np.ndarray:
+    """Counts x keys from the columns ``COUNTS`` of all spans, in their order."""
+    word = keys & U64(3) == U64(WORD)
+    out = np.zeros((len(COUNTS), len(keys)), np.int64)
+    for m, column in enumerate(columns):
+        own = [from_planes(x.as_buffer()) for x in column]
+        out[m, word if m >= 2 else slice(None)] = np.concatenate([np.zeros(0, U64), *own])
+    return out
+
+
 COUNTS = ("all", "good", "all_ends", "good_ends")
 
 
@@ -150,7 +167,7 @@ def count_parts(texts: DataFrame, shards: int) -> DataFrame:
                 yield B.batch_of(
                     schema, [int(own[a]) for a, _ in some], [part] * len(some),
                     [planes(keys[a:b]) for a, b in some],
-                    *([planes(row[a:b]) for a, b in some] for row in counts))
+                    *packed_counts(keys, counts, some))
 
     return texts.mapInArrow(run, ddl)
 
@@ -175,8 +192,7 @@ def add_up(counted: DataFrame) -> DataFrame:
             packed = [from_planes(x.as_buffer()) for x in table.column("keys")]
             borders = np.concatenate([[0], np.cumsum([len(x) for x in packed])])
             own = np.concatenate(packed)
-            counts = np.stack([np.concatenate([from_planes(x.as_buffer()) for x in table.column(c)])
-                               for c in COUNTS]).astype(np.int64)
+            counts = unpacked_counts(own, [table.column(c) for c in COUNTS])
             del table, packed, held
             keys, sums = added(own, counts)
             del counts
@@ -184,12 +200,14 @@ def add_up(counted: DataFrame) -> DataFrame:
             tokens = sums[:2, word].sum(axis=1)
             yield B.batch_of(schema, [-1], [shard], [planes(np.array([word.sum(), tokens[0]]))],
                              [planes(tokens[1:])], [b""], [b""])
-            for first in range(0, len(parts), 256):
-                spans = [(p, borders[i], borders[i + 1])
-                         for i, p in enumerate(parts[first:first + 256], first)]
-                at = [np.searchsorted(keys, own[a:b]) for _, a, b in spans]
-                yield B.batch_of(schema, [p for p, _, _ in spans], [shard] * len(spans),
-                                 *([planes(row[i]) for i in at] for row in sums))
+            for first in range(0, len(parts), 64):
+                some = range(first, min(first + 64, len(parts)))
+                low, high = borders[some[0]], borders[some[-1] + 1]
+                asked = own[low:high]
+                yield B.batch_of(
+                    schema, [parts[i] for i in some], [shard] * len(some),
+                    *packed_counts(asked, sums[:, np.searchsorted(keys, asked)],
+                                   [(borders[i] - low, borders[i + 1] - low) for i in some]))
 
     return counted.repartition("shard").sortWithinPartitions("shard").mapInArrow(run, ddl)
 
@@ -266,14 +284,12 @@ def score_documents(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
             place = table.column("place").to_numpy()
             own = table.filter(pa.array(place < 0)).combine_chunks().to_batches()
             answers = table.filter(pa.array(place >= 0)).sort_by("place")
-            counts = [np.concatenate([np.zeros(0, U64)] + [
-                from_planes(x.as_buffer()) for x in answers.column(c)]).astype(np.float64)
-                for c in COUNTS]
-            heads = [counts[m] - counts[m + 2] for m in range(2)]
-            del table, held, answers
             keys = np.zeros(0, U64)
             for piece in B.text_slices(own):
                 keys = np.union1d(keys, np.concatenate(token_keys(piece)[1:]))   # starts are heads
+            counts = unpacked_counts(keys, [answers.column(c) for c in COUNTS]).astype(np.float64)
+            heads = counts[:2] - counts[2:]
+            del table, held, answers
             for piece in B.text_slices(own):
                 row, word, head, bigram = token_keys(piece)
                 at = [np.searchsorted(keys, k) for k in (word, head, bigram)]
