@@ -250,6 +250,14 @@ def test_lm_scoring_counts_every_word_and_bigram_alone(spark, monkeypatch):
     assert len(got) == len(rows)
 
 
+def test_planes_take_the_bytes_their_values_need():
+    import numpy as np
+    for values, width in (([], 1), ([0], 1), ([255, 3], 1), ([256, 0, 7], 2), ([(1 << 64) - 1, 5], 8)):
+        packed = lm_scoring.planes(np.array(values, np.uint64))
+        assert len(packed) == 1 + width * len(values)
+        assert lm_scoring.from_planes(packed).tolist() == values
+
+
 def test_lm_scoring_of_an_id_that_repeats(spark, monkeypatch):
     from pyspark.sql import functions as F
     rows = [(7, f"one of many words {i % 500}") for i in range(20000)] + [(8, "words of one"), (7, None)]

@@ -67,13 +67,18 @@ def shard_of(keys: np.ndarray, shards: int) -> np.ndarray:
 
 
 def planes(values: np.ndarray) -> bytes:
-    """64-bit values with all first bytes before all second ones, which compresses well."""
-    return np.ascontiguousarray(values, U64).view(np.uint8).reshape(-1, 8).T.tobytes()
+    """The bytes the largest value needs, then all first bytes before all second ones, and so on."""
+    width = max(1, (int(values.max(initial=0)).bit_length() + 7) // 8)
+    raw = np.ascontiguousarray(values, "<u8").view(np.uint8).reshape(-1, 8)
+    return bytes([width]) + raw[:, :width].T.tobytes()
 
 
 def from_planes(data: bytes) -> np.ndarray:
-    raw = np.frombuffer(data, np.uint8).reshape(8, -1)
-    return np.ascontiguousarray(raw.T).view(U64).ravel()
+    raw = np.frombuffer(data, np.uint8)
+    width = int(raw[0])
+    out = np.zeros(((len(raw) - 1) // width, 8), np.uint8)
+    out[:, :width] = raw[1:].reshape(width, -1).T
+    return out.view("<u8").ravel()
 
 
 def added(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
