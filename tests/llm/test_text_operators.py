@@ -277,10 +277,13 @@ def template_keys(line):
     tokens = ["<*>" if re.search("[0-9@]", w) else w for w in spaced(line)]
     n = len(tokens)
     cuts = [n * q // 4 for q in range(5)]
+    if set(tokens) == {"<*>"}:
+        return [("bare", *spaced(line))]
     keys = [("all", *tokens)] if n else []
     if n >= 8:
         keys += [(q, n, tuple(tokens[:3]), tuple(tokens[:cuts[q]]), tuple(tokens[cuts[q + 1]:]))
-                 for q in range(4)]
+                 for q in range(4)
+                 if set(tokens[:3] + tokens[:cuts[q]] + tokens[cuts[q + 1]:]) != {"<*>"}]
     return keys
 
 
@@ -301,7 +304,7 @@ def test_line_templates(spark):
     for ident, text in LINES:
         lines = [] if text is None else text.split("\n")
         kept = [x for x in lines if not any(
-            len(found[k]) >= 3 and min(found[k]) != (low(ident), text) for k in template_keys(x))]
+            len(found[k]) >= 2 and min(found[k]) != (low(ident), text) for k in template_keys(x))]
         expected[ident, None if text is None else "\n".join(kept), len(lines),
                  len(lines) - len(kept)] += 1
     got = line_templates.drop_recurring_lines(wide(spark, LINES))
@@ -312,6 +315,27 @@ def test_line_templates(spark):
     assert line_templates.drop_recurring_lines(frame(spark, [])).count() == 0
 
 
+def test_lines_of_fields_only_recur_only_as_they_are(spark):
+    rows = [(1, "8 42 3\nown one"), (2, "9 40 3\nown two"), (3, "8 42 3\nown three"),
+            (4, "1 2 3 4 5 6 7 8 nine"), (5, "2 3 4 5 6 7 8 9 ten"), (6, "7"), (7, "8")]
+    got = {r["doc_id"]: r["n_dropped"] for r in
+           line_templates.drop_recurring_lines(frame(spark, rows)).collect()}
+    assert got == {1: 0, 2: 0, 3: 1, 4: 0, 5: 0, 6: 0, 7: 0}
+
+
+def test_boilerplate_is_no_copy(spark):
+    import random
+    block = prose(random.Random(1), 80)
+    own = {i: prose(random.Random(100 + i), 50) for i in range(5)}
+    rows = [(i, f"{block}\n{own[i]}") for i in range(5)]
+    other = "\n".join(prose(random.Random(200 + i), 20) for i in range(5))
+    rows += [(10, other), (11, other), (12, other + "\nand a line of its own")]
+    got = {r["doc_id"]: r["text"] for r in line_templates.drop_recurring_lines(
+        frame(spark, rows), leave_copies=0.5).collect()}
+    assert got[0] == rows[0][1] and all(got[i] == own[i] for i in range(1, 5))
+    assert [got[i] for i in (10, 11, 12)] == [t for _, t in rows[5:]]
+
+
 def test_a_line_of_two_documents_recurs(spark):
     passage = prose(__import__("random").Random(5), 60)
     rows = [(1, f"one own line\n{passage}"), (2, f"{passage}\nanother own"), (3, "own too")]

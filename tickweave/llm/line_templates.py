@@ -4,8 +4,9 @@ A line is parsed to a fixed depth: its number of tokens, then its leading tokens
 holds a digit or an ``@`` is a variable field. That is a leaf of the tree. Inside a leaf, lines that
 differ only inside one of their four quarters share a template: each template leaves one quarter
 open (short lines have no open part). Lines that agree in three quarters of their tokens but differ
-in two quarters do not meet. A template that occurs in two documents or more is dropped from all of
-them but the first.
+in two quarters do not meet. A template needs a constant token: a line of fields only is its own
+template, and an open quarter beside fields only is none. A template that occurs in two documents or
+more is dropped from all of them but the first.
 
 Leaves are counted first, one small row per line; only lines of leaves that recur go on, so prose
 leaves the plan early. Counts are summed before each shuffle, so a line that a third of all
@@ -50,14 +51,27 @@ def parse_lines(piece: B.Slice):
     filled = size > 0
     low, size, row, number = words.first[:-1][filled], size[filled], row[filled], number[filled]
     count = size.astype(U64) * U64(0x9E3779B97F4A7C15)
-    leaf = B.mix(roll.ranges(low, low + np.minimum(size, DEPTH)) + count)
+    lead = low + np.minimum(size, DEPTH)
+    fixed = np.concatenate([[0], np.cumsum(codes != FIELD)])   # constant tokens before each
+    constants = fixed[low + size] - fixed[low]
+    bare = np.flatnonzero(constants == 0)                      # fields only: the tokens as they are
+    plain = B.Rolling(words.code) if len(bare) else None
+
+    def key(end):
+        hashed = roll.ranges(low, end) + count
+        if plain:
+            hashed[bare] = plain.ranges(low[bare], end[bare]) + count[bare]
+        return B.mix(hashed)
+
+    leaf = key(lead)
     templates = np.zeros((len(low), 5), U64)
-    templates[:, 0] = B.mix(roll.ranges(low, low + size) + count)
+    templates[:, 0] = key(low + size)
     cuts = [low + size * q // 4 for q in range(5)]
     long = size >= OPEN_FROM
     for q in range(4):   # quarter q is open
         rest = roll.ranges(low, cuts[q]) * U64(3) + roll.ranges(cuts[q + 1], cuts[4]) + U64(q)
-        templates[:, q + 1] = np.where(long, B.mix(rest + leaf), U64(0))
+        kept = constants - fixed[cuts[q + 1]] + fixed[cuts[q]] + fixed[lead] - fixed[low]
+        templates[:, q + 1] = np.where(long & (kept > 0), B.mix(rest + leaf), U64(0))
     return row, number, size, leaf, templates
 
 
@@ -111,25 +125,52 @@ def recurring_lines(docs: DataFrame, min_documents: int, leave_copies: float | N
     templates = materialize(
         templates.filter(F.col("documents") >= min_documents).select("template", "first"))
     drops = uses.join(templates, "template").filter(F.struct(*key) != F.col("first")).select(
-        *key, "line", "tokens", "total").distinct()
-    found = drops.groupBy(*key).agg(F.array_sort(F.collect_set("line")).alias("lines"),
-                                    F.sum("tokens").alias("tokens"), F.first("total").alias("total"))
+        *key, "first", "line", "tokens", "total").distinct()
     if leave_copies is not None:
-        found = found.filter(F.col("tokens") <= F.col("total") * leave_copies)
+        drops = materialize(drops)
+    found = drops.select(*key, "line", "tokens").distinct().groupBy(*key).agg(
+        F.array_sort(F.collect_set("line")).alias("lines"), F.sum("tokens").alias("lost"))
+    if leave_copies is not None:
+        found = materialize(found)
+        copies = copies_of_one(drops, found, lines.select(*key, "total").distinct(), leave_copies)
+        found = found.join(copies, key, "left_anti")
     return found.select(*key, "lines")
 
 
+def copies_of_one(drops: DataFrame, found: DataFrame, totals: DataFrame, share: float) -> DataFrame:
+    """``_id, _h`` of the documents that are copies of the one that has most of their lines first.
+
+    Of two documents only what third ones do not have before counts. They are copies if the tokens
+    that they share are at least ``share`` of the tokens of both together.
+    """
+    key = ["_id", "_h"]
+    lost = found.select(*key, "lost")
+    held = drops.groupBy(*key, "first").agg(F.sum("tokens").alias("held"), F.max("total").alias("total"))
+    most = held.groupBy(*key).agg(F.min(F.struct(-F.col("held"), "first", "total")).alias("most")).select(
+        *key, (-F.col("most.col1")).alias("held"), F.col("most.first").alias("first"), "most.total")
+    pairs = most.join(lost, key).select(
+        *key, "held", (F.col("total") - F.col("lost") + F.col("held")).alias("own"),
+        F.col("first._id").alias("f_id"), F.col("first._h").alias("f_h"))
+    firsts = totals.join(lost, key, "left").select(
+        F.col("_id").alias("f_id"), F.col("_h").alias("f_h"),
+        (F.col("total") - F.coalesce("lost", F.lit(0))).alias("f_own"))
+    shared = F.least("held", "f_own")
+    return pairs.join(firsts, ["f_id", "f_h"]).filter(
+        shared >= share * (F.col("own") + F.col("f_own") - shared)).select(*key)
+
+
 def drop_recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                          min_documents: int = MIN_DOCUMENTS,
-                         leave_copies: float | None = None) -> DataFrame:
+                         leave_copies: float | None = None, lines_out: str = "n_lines",
+                         dropped_out: str = "n_dropped") -> DataFrame:
     """``docs`` with ``text`` less its recurring lines, and ``n_lines`` and ``n_dropped`` appended.
 
     The document that has a template first (smallest id, null below all, then text hash) keeps it.
-    Rows equal in id and text are one document. With ``leave_copies``, a document that would lose
-    more than that share of its tokens is taken for a copy of another and left whole, for a
-    document-level dedup to judge. Lines without tokens stay. A null text stays null with no
-    lines; an empty one has one empty line. Other columns are kept; columns named ``n_lines`` or
-    ``n_dropped`` are replaced.
+    Rows equal in id and text are one document. With ``leave_copies``, a document that shares that
+    part of its tokens or more with the document that has its lines first (``copies_of_one``) is left
+    whole, for a document-level dedup to judge. Lines without tokens stay. A null text stays null
+    with no lines; an empty one has one empty line. Other columns are kept; columns with the names
+    of the two counts (``lines_out``, ``dropped_out``) are replaced.
     """
     found = recurring_lines(keyed_texts(docs, id_col, text_col), min_documents, leave_copies)
     text = F.col(f"`{text_col}`").cast("string")
@@ -137,13 +178,13 @@ def drop_recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str
     key_id, key_h, drop = fresh(docs.columns, "_key_id", "_key_h", "_drop")
     found = found.select(F.col("_id").alias(key_id), F.col("_h").alias(key_h),
                          F.col("lines").alias(drop))
-    joined = docs.drop("n_lines", "n_dropped").join(
+    joined = docs.drop(lines_out, dropped_out).join(
         found, (ident == F.col(key_id)) & (F.xxhash64(text) == F.col(key_h)), "left")
     parts = F.split(text, "\n", -1)
     kept = F.array_join(F.filter(
         parts, lambda _, i: ~F.array_contains(drop, i)), "\n")
     columns = [F.when(F.col(drop).isNull(), text).otherwise(kept).alias(c) if c == text_col
-               else F.col(f"`{c}`") for c in docs.columns if c not in ("n_lines", "n_dropped")]
+               else F.col(f"`{c}`") for c in docs.columns if c not in (lines_out, dropped_out)]
     return joined.select(
-        *columns, F.when(text.isNull(), 0).otherwise(F.size(parts)).cast("long").alias("n_lines"),
-        F.when(F.col(drop).isNull(), 0).otherwise(F.size(drop)).cast("long").alias("n_dropped"))
+        *columns, F.when(text.isNull(), 0).otherwise(F.size(parts)).cast("long").alias(lines_out),
+        F.when(F.col(drop).isNull(), 0).otherwise(F.size(drop)).cast("long").alias(dropped_out))
