@@ -15,7 +15,7 @@ from tickweave.llm.frames import NO_ID, fresh, materialize, table
 
 #: the least averaged probability of the predicted language that is accepted
 MIN_LANGUAGE_SCORE = 0.5
-#: a document that would lose more of its tokens is a copy and left to the join that follows
+#: a document that shares this part of its tokens with one before it is left to the join that follows
 COPY_SHARE = 0.5
 
 
@@ -30,8 +30,10 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines that recur across documents stay in the first of them only."""
-    cleaned = line_templates.drop_recurring_lines(docs, leave_copies=COPY_SHARE)
-    changed = F.col("n_dropped") > 0
+    lines, dropped = fresh(docs.columns, "_lines", "_dropped")
+    cleaned = line_templates.drop_recurring_lines(
+        docs, leave_copies=COPY_SHARE, lines_out=lines, dropped_out=dropped)
+    changed = F.col(dropped) > 0
     columns = [F.when(changed, F.length("text")).otherwise(F.col(c)).cast("long").alias(c)
                if c == "n_chars" else F.col(f"`{c}`") for c in docs.columns]
     return cleaned.select(*columns)
