@@ -250,6 +250,34 @@ def test_replay_of_stored_results_reads_what_is_asked_for(spark, tmp_path):
     assert "dynamicpruning" in plan and "players" not in plan
 
 
+def test_replay_of_many_long_requests_broadcasts_no_days(spark, tmp_path):
+    """400 requests of a year make far more days than the bytes of their table tell."""
+    df = spark.createDataFrame([(f"a{i % 3}", "b", at(86400 * 30 * i), float(i)) for i in range(12)], RESULTS)
+    path = str(tmp_path / "stored")
+    results.store_results(df, path, buckets=2)
+    asked = spark.range(400).selectExpr(
+        "id AS ticket", "TIMESTAMP_NTZ '2024-01-01 00:00:00' AS start_ts",
+        "TIMESTAMP_NTZ '2024-12-31 00:00:00' AS end_ts", "array('a1', 'b', concat('x', id)) AS players")
+    made = []
+    keep = results.materialize
+    results.materialize = lambda rows: made.append(keep(rows)) or made[-1]
+    try:
+        found = results.replay_stored(spark, path, asked, buckets=2)
+    finally:
+        results.materialize = keep
+    assert found.count() == 400 * 12
+    assert max(rows.count() for rows in made) <= 400 * 3 * 12
+
+
+def test_a_side_that_is_not_small_is_shuffled(spark):
+    from tickweave.functions.sizing import broadcast_if_small
+
+    side = spark.range(20).withColumnRenamed("id", "k")
+    for rows, broadcast in ((20, True), (19, False)):
+        plan = spark.range(9).selectExpr("id AS k").join(broadcast_if_small(side, rows), "k")
+        assert ("BroadcastHashJoin" in plan._jdf.queryExecution().executedPlan().toString()) == broadcast
+
+
 def test_replay_lists_a_result_once_per_ticket(spark):
     df = spark.createDataFrame([("a", "b", at(5), 1.0), ("a", "c", at(50), 1.0)], RESULTS)
     asked = spark.createDataFrame([(1, at(0), at(10), ["b", "a"]), (2, at(0), at(99), ["c"])],

@@ -14,5 +14,9 @@ def at_most(df: DataFrame, rows: int) -> bool:
 
 
 def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast only for a side checked to be small; otherwise leave it to AQE."""
-    return F.broadcast(df) if at_most(df, rows) else df
+    """Hint a broadcast only for a side checked to be small; a larger one is shuffled.
+
+    Left to itself Spark would go by the estimated bytes, and rows made from a small compressed table
+    (one a day of a long period, say) may be many more than these bytes tell.
+    """
+    return F.broadcast(df) if at_most(df, rows) else df.hint("merge")

@@ -96,6 +96,7 @@ def throughput(df: DataFrame, time: str = "ts", every: str = "60 seconds") -> Da
 
 PLAYER_BUCKETS = 32
 WRITERS = 4            # tasks that share one day and bucket
+DAYS_PER_TASK = 1_000_000
 
 
 def _sides(results: DataFrame) -> DataFrame:
@@ -150,16 +151,21 @@ def replay_stored(
 ) -> DataFrame:
     """``replay_selection`` of what ``store_results`` wrote.
 
-    Requests become rows of (day, bucket, player); a join on the partition columns lets Spark prune
-    the scan by them at run time.
+    Requests become rows of (day, bucket, player) for the days that are stored. The days and buckets
+    asked for, no more than there are folders, let Spark prune the scan at run time.
     """
     stored = spark.read.parquet(path)
     columns = [c for c in stored.columns if not c.startswith("_")]
+    folder = ["_day", "_bucket"]
     asked = _asked(requests)
-    days = explode_range(
-        asked, F.unix_date(F.to_date("start_ts")), F.unix_date(F.to_date("end_ts")), "_day").withColumns({
-            "_day": F.col("_day").cast("int"), "_bucket": F.pmod(F.xxhash64("_player"), F.lit(buckets)).cast("int")})
-    found = stored.join(
-        broadcast_if_small(days.filter("start_ts <= end_ts")).alias("a"), ["_day", "_bucket", "_player"]).filter(
+    first, last = F.unix_date(F.to_date("start_ts")), F.unix_date(F.to_date("end_ts"))
+    length = asked.agg(F.sum((last - first + 1).cast("bigint")).alias("n")).first()["n"] or 0
+    tasks = min(int(spark.conf.get("spark.sql.shuffle.partitions")), length // DAYS_PER_TASK + 1)
+    placed = asked.withColumn("_bucket", F.pmod(F.xxhash64("_player"), F.lit(buckets)).cast("int"))
+    days = explode_range(placed.repartition(tasks), first, last, "_day").withColumn("_day", F.col("_day").cast("int"))
+    days = materialize(days.join(broadcast_if_small(stored.select(*folder).distinct()), folder, "left_semi"))
+    folders = days.filter("start_ts <= end_ts").select(*folder).distinct()
+    found = stored.join(broadcast_if_small(folders), folder, "left_semi").join(
+        broadcast_if_small(days).alias("a"), [*folder, "_player"]).filter(
         (F.col(time) >= F.col("a.start_ts")) & (F.col(time) <= F.col("a.end_ts")))
     return _once_per_request(found, asked, columns)
