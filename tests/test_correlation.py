@@ -125,6 +125,41 @@ def test_many_blocks_give_the_same_correlation(spark, monkeypatch):
     assert all(got[k] == pytest.approx(want[k], abs=1e-9) for k in want)
 
 
+@pytest.mark.parametrize("block,span,gap", [(3, 10**6, None), (3, 40, None), (100, 25, None), (4, 30, 17)])
+def test_blocks_and_spans_of_whole_sums(spark, monkeypatch, block, span, gap):
+    """Sums of pairs in their blocks' task, over one or several spans, with and without missing values."""
+    rows = random_rows(13, symbols=11, ticks=240)
+    frame = clean_frame(spark, rows)
+    clean = clean_rows(rows)
+    if gap:
+        frame = frame.withColumn("value", F.when(F.col("value") % gap != 0, F.col("value")))
+    monkeypatch.setattr(C, "SERIES_PER_BLOCK", block)
+    monkeypatch.setattr(C, "INTERVALS_PER_GROUP", span)
+    got = values(C.hy_correlation(frame))
+    present = [(s, b, e, d) for s, b, e, d in intervals_of(clean)]
+    if gap:
+        value = {(s, t): v for s, t, v in clean}
+        present = [r for r in present if value[r[0], r[1]] % gap and value[r[0], r[2]] % gap]
+    want = correlations(present)
+    assert got.keys() == want.keys()
+    assert all(got[k] == pytest.approx(want[k], abs=1e-9) for k in want)
+
+
+def test_sums_of_one_block_pair_are_not_shuffled(spark):
+    rows = [(f"s{i % 40}", i, 100 + i * 7 % 11) for i in range(400)]
+    plan = C.hy_correlation(ticks_frame(spark, rows))._jdf.queryExecution().executedPlan().toString()
+    assert "id0" not in "".join(line for line in plan.splitlines() if "Exchange" in line)
+
+
+def test_an_infinite_price_spoils_its_own_pairs_only(spark):
+    rows = sorted([("a", i, float("inf") if i == 4 else 100 + i % 3) for i in range(9)]
+                  + [("b", i + 0.5, 100 + i % 4) for i in range(9)] + [("c", i + 0.2, 100 + i % 5) for i in range(9)],
+                  key=lambda r: r[1])
+    with_a, without = (values(C.hy_correlation(ticks_frame(spark, [r for r in rows if r[0] in names])))
+                       for names in ("abc", "bc"))
+    assert with_a["b", "c"] == without["b", "c"]
+
+
 def test_unknown_measure(spark):
     with pytest.raises(ValueError):
         C.pairwise_measure(ticks_frame(spark, [("a", 0, 1)]), "nope")
