@@ -113,6 +113,19 @@ def test_symbol_pairs_cover_each_pair_once(spark):
     assert sorted(got) == [(a, b) for i, a in enumerate(names) for b in names[i + 1:]]
 
 
+def test_tasks_of_symbol_pairs_follow_the_pairs(spark, monkeypatch):
+    """The bytes of the names tell nothing of the pairs, so they must not size the tasks."""
+    from tickweave.operators import pairs
+
+    monkeypatch.setattr(pairs, "PAIRS_PER_TASK", 4_000)
+    monkeypatch.setattr(pairs, "BLOCK_NAMES", 16)
+    symbols = spark.range(300).selectExpr("'s' || id AS symbol").unionByName(
+        spark.createDataFrame([("s1",), (None,)], "symbol string"))
+    got = symbol_pairs(symbols)
+    assert got.rdd.getNumPartitions() == 300 * 300 // 4_000
+    assert got.distinct().count() == got.count() == 300 * 299 // 2 and got.filter("id0 >= id1").isEmpty()
+
+
 def test_many_blocks_give_the_same_correlation(spark, monkeypatch):
     from tickweave.operators import pairs
 
