@@ -1,3 +1,4 @@
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -309,3 +310,72 @@ def test_batch_operator_per_micro_batch(spark, tmp_path):
     run(ST.apply_per_batch(tick_stream(spark, tmp_path / "in"), format_web, str(tmp_path / "out"), str(tmp_path / "ck")))
     got = [r["line"] for r in spark.read.parquet(str(tmp_path / "out")).collect()]
     assert len(got) == 9 and "w,a,01/01/2024,00:00:03,3.0" in got
+
+
+class Held:
+    """State and timers of a processor outside a stream; ``writes`` counts updates."""
+
+    def __init__(self):
+        self.values, self.writes = {}, 0
+
+    def getMapState(self, *_):
+        return Held()
+
+    getValueState = getMapState
+
+    def exists(self):
+        return None in self.values
+
+    def get(self):
+        return self.values[None]
+
+    def containsKey(self, key):
+        return key in self.values
+
+    def getValue(self, key):
+        return self.values[key]
+
+    def updateValue(self, key, value):
+        self.values[key] = value
+        self.writes += 1
+
+    def update(self, value):
+        self.updateValue(None, value)
+
+    def registerTimer(self, _):
+        pass
+
+    deleteTimer = registerTimer
+
+
+def test_state_is_written_once_a_batch_however_many_chunks_come():
+    ticks = pd.DataFrame({"block": 0, "symbol": "a", "at": range(100), "seq": range(100), "value": 1.0})
+    pair = SC._BlockPair(0, 1000, 10)
+    pair.init(Held())
+    list(pair.handleInputRows((0, 0), iter([ticks[i:i + 10] for i in range(0, 100, 10)]), None))
+    assert pair.series.writes == 1 and list(pair.series.values[0, "a", 0][0]) == list(range(100))
+    news = pd.DataFrame({"v0": None, "v1": None, "at": range(100, 0, -1), "seq": range(100), "value": 0.5})
+    limits = keyed._Thresholds(0.7)
+    limits.init(Held())
+    list(limits.handleInputRows((0,), iter([news[i:i + 10] for i in range(0, 100, 10)]), None))
+    assert limits.changes.writes == 1 and limits.changes.values[None][0] == list(range(1, 101))
+
+
+def test_arrivals_read_their_table_twice_however_many_there_are(spark, tmp_path):
+    from tickweave.plans import catalog
+
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    ticks = spark.createDataFrame([(at(i * 60), i) for i in range(240)] + [(None, -1)], "ts timestamp_ntz, n int")
+    stream = catalog._arriving(ticks.mapInArrow(counted, ticks.schema), str(tmp_path / "in"))
+    assert stream.isStreaming and read.value <= 2 * 241
+    files = sorted((tmp_path / "in").glob("*.parquet"), key=lambda f: f.stat().st_mtime)
+    parts = [sorted(r["n"] for r in spark.read.parquet(str(f)).collect()) for f in files]
+    assert len(parts) == catalog.ARRIVALS and sum(parts, []) == list(range(240))
+    catalog._arriving(ticks.filter("false"), str(tmp_path / "none"))
+    assert spark.read.schema(ticks.schema).parquet(str(tmp_path / "none")).isEmpty()

@@ -77,13 +77,14 @@ class _BlockPair(StatefulProcessor):
         self.progress = handle.getValueState("progress", "next long, timer long")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timer_values) -> Iterator[pd.DataFrame]:
+        # a bucket is read and written once a micro-batch, not once for each of its Arrow batches
+        arrived = [chunk for chunk in rows if len(chunk)]
         earliest = None
-        for chunk in rows:
-            at = chunk["at"].to_numpy(np.int64)
-            if not len(at):
-                continue
-            earliest = at.min() if earliest is None else min(earliest, at.min())
-            parts = chunk.assign(bucket=at // self.size).groupby(["block", "symbol", "bucket"], sort=False)
+        if arrived:
+            batch = pd.concat(arrived)
+            at = batch["at"].to_numpy(np.int64)
+            earliest = at.min()
+            parts = batch.assign(bucket=at // self.size).groupby(["block", "symbol", "bucket"], sort=False)
             for (block, symbol, bucket), part in parts:
                 self.store((int(block), symbol, int(bucket)), part["at"].to_numpy(np.int64),
                            part["seq"].to_numpy(np.int64), part["value"].to_numpy(float))

@@ -77,15 +77,18 @@ class _Thresholds(StatefulProcessor):
         self.timer = handle.getValueState("timer", "at long")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        # the changes and a pair's results are read and written once a micro-batch, not for each Arrow batch
+        arrived = [chunk for chunk in rows if len(chunk)]
         earliest = None
-        for chunk in rows:
-            news = chunk[chunk["v0"].isna()]
+        if arrived:
+            batch = pd.concat(arrived)
+            news = batch[batch["v0"].isna()]
             if len(news):
                 old = self.changes.get() if self.changes.exists() else ([], [], [])
                 merged = sorted(zip([*old[0], *news["at"].tolist()], [*old[1], *news["seq"].tolist()],
                                     [*old[2], *news["value"].tolist()]))
                 self.changes.update(tuple(list(x) for x in zip(*merged)))
-            results = chunk[chunk["v0"].notna()]
+            results = batch[batch["v0"].notna()]
             for pair, part in results.groupby(["v0", "v1"], sort=False):
                 old = self.pending.getValue(pair) if self.pending.containsKey(pair) else ([], [])
                 self.pending.updateValue(pair, ([*old[0], *part["at"].tolist()], [*old[1], *part["value"].tolist()]))
