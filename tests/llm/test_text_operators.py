@@ -403,6 +403,52 @@ def test_streaming_search_commits_the_whole_paths():
         assert model.stream(raw) == model.short_path(raw.decode())
 
 
+def slice_of(texts):
+    import numpy as np
+    raw = [t.encode() for t in texts]
+    return (np.frombuffer(b"".join(raw), np.uint8),
+            np.concatenate([[0], np.cumsum([len(t) for t in raw])]).astype(np.int64))
+
+
+def test_remembered_stretches_are_small():
+    import tracemalloc
+    model = pieces.model_of(pieces.MODEL)
+    data, offsets = slice_of([f"{i:x}ing" for i in range(20_000)])
+    pieces.encode_slice(model, pieces.Remembered(), data, offsets)    # fills what the model keeps
+    tracemalloc.start()
+    known = pieces.Remembered()
+    pieces.encode_slice(model, known, data, offsets)
+    held = tracemalloc.get_traced_memory()[0]
+    tracemalloc.stop()
+    assert len(known.young) + len(known.old) == 20_000
+    assert held < 80 * 20_000
+
+
+def test_remembered_stretches_give_the_searched_ids():
+    import random
+    rng = random.Random(6)
+    model = pieces.model_of(pieces.MODEL)
+    for size in (2, 7, 1000):                                          # generations change often
+        known = pieces.Remembered(size)
+        for _ in range(8):
+            texts = [" ".join(rng.choices(["the", "tion", "wh", "é", "日本", "x" * 90, "a-b", " "],
+                                          k=rng.randrange(0, 9))) for _ in range(6)]
+            ids, borders, _, _ = pieces.encode_slice(model, known, *slice_of(texts))
+            for i, text in enumerate(texts):
+                assert ids[borders[i]:borders[i + 1]].tolist() == model.encode(text)
+            assert len(known.young) <= max(1, size // 2)
+
+
+def test_equal_codes_of_different_stretches():
+    import numpy as np
+    model = pieces.model_of(pieces.MODEL)
+    known, code = pieces.Remembered(), np.array([7], np.uint64)
+    for word in (b" the", b" tha", b" then", b" the"):
+        data = np.frombuffer(word, np.uint8)
+        ids, counts = known.encode(model, code, data, word, np.array([0]), np.array([len(word)]))
+        assert ids.tolist() == model.search(word.replace(b" ", pieces.SPACE)) and counts[0] == len(ids)
+
+
 def test_unigram_search_is_the_best_path():
     import random
     rng = random.Random(4)

@@ -33,7 +33,6 @@ NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 BPE = 2
 KEPT_STRETCHES = 500_000   # stretches a worker remembers
 SHORT = 64                 # bytes
-SLICE = 4 << 20
 
 
 def proto_fields(data: bytes):
@@ -271,24 +270,97 @@ class Model:
         return np.frombuffer(b"".join(words), np.uint8), borders
 
 
+class Stretches:
+    """Stretches and their ids in flat arrays, ordered by a 64-bit code of the stretch."""
+
+    def __init__(self):
+        self.codes, self.entry = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        self.text, self.text_ends = np.zeros(0, np.uint8), np.zeros(1, np.int64)
+        self.ids, self.id_ends = np.zeros(0, np.int32), np.zeros(1, np.int64)
+
+    def __len__(self):
+        return len(self.codes)
+
+    def find(self, codes: np.ndarray, data: np.ndarray, start: np.ndarray, end: np.ndarray):
+        """The entry of each stretch ``data[start:end]``, -1 if there is none with the same bytes."""
+        found = np.full(len(codes), -1)
+        if not len(self):
+            return found
+        at = np.minimum(np.searchsorted(self.codes, codes), len(self) - 1)
+        entry, sizes = self.entry[at], end - start
+        same = np.flatnonzero((self.codes[at] == codes)
+                              & (self.text_ends[entry + 1] - self.text_ends[entry] == sizes))
+        if len(same):
+            sizes, entry = sizes[same], entry[same]
+            differs = self.text[B.ragged(self.text_ends[entry], sizes)] != data[
+                B.ragged(start[same], sizes)]
+            equal = ~np.logical_or.reduceat(differs, np.cumsum(sizes) - sizes)
+            found[same[equal]] = entry[equal]
+        return found
+
+    def ids_of(self, entry: np.ndarray):
+        """Ids of some entries, one after another, and their numbers."""
+        counts = self.id_ends[entry + 1] - self.id_ends[entry]
+        return self.ids[B.ragged(self.id_ends[entry], counts)], counts
+
+    def add(self, codes, text, text_sizes, ids, id_counts) -> None:
+        """Entries whose codes ascend; a code that is there already is found by its former entry."""
+        number = len(self.text_ends) - 1 + np.arange(len(codes))
+        at = np.searchsorted(self.codes, codes, "right")
+        self.codes, self.entry = np.insert(self.codes, at, codes), np.insert(self.entry, at, number)
+        self.text, self.ids = np.concatenate([self.text, text]), np.concatenate([self.ids, ids])
+        self.text_ends = np.append(self.text_ends, self.text_ends[-1] + np.cumsum(text_sizes))
+        self.id_ends = np.append(self.id_ends, self.id_ends[-1] + np.cumsum(id_counts))
+
+
 class Remembered:
-    """Ids of the stretches used lately: two generations, the older one is dropped when full."""
+    """Ids of the stretches used lately: two generations, the older one is dropped when full.
+
+    A worker keeps it from task to task, so it is held in arrays: about 50 bytes a stretch.
+    """
 
     def __init__(self, size: int = KEPT_STRETCHES):
-        self.size, self.young, self.old = size // 2, {}, {}
+        self.size, self.young, self.old = size // 2, Stretches(), Stretches()
 
-    def get(self, stretch: bytes) -> bytes | None:
-        ids = self.young.get(stretch)
-        if ids is None:
-            ids = self.old.get(stretch)
-            if ids is not None:
-                self.put(stretch, ids)
-        return ids
+    def encode(self, model: Model, codes, data: np.ndarray, raw: bytes, start, end):
+        """Ids of the stretches ``data[start:end]``, one after another, and their numbers.
 
-    def put(self, stretch: bytes, ids: bytes) -> None:
-        if len(self.young) >= self.size:
-            self.old, self.young = self.young, {}
-        self.young[stretch] = ids
+        ``codes`` ascend. What is not known yet is searched.
+        """
+        parts, counts = [], np.zeros(len(codes), np.int64)
+        young = self.young.find(codes, data, start, end)
+        old = np.full(len(codes), -1)
+        rest = np.flatnonzero(young < 0)
+        old[rest] = self.old.find(codes[rest], data, start[rest], end[rest])
+        order = [np.flatnonzero(young >= 0), np.flatnonzero(old >= 0), rest[old[rest] < 0]]
+        for known, entry, rows in ((self.young, young, order[0]), (self.old, old, order[1])):
+            ids, counts[rows] = known.ids_of(entry[rows])
+            parts.append(ids)
+        searched = [model.search(raw[low:high].replace(b" ", SPACE))
+                    for low, high in zip(start[order[2]].tolist(), end[order[2]].tolist())]
+        counts[order[2]] = [len(s) for s in searched]
+        parts.append(np.fromiter((i for s in searched for i in s), np.int32))
+        # the parts follow one another; ids go back to the order of the codes
+        rows = np.concatenate(order)
+        begin = np.empty(len(codes), np.int64)
+        begin[rows] = np.cumsum(counts[rows]) - counts[rows]
+        ids = np.concatenate(parts)[B.ragged(begin, counts)]
+        fresh = (young < 0) & (end - start <= SHORT)
+        self.put(codes[fresh], data, start[fresh], end[fresh],
+                 ids[np.repeat(fresh, counts)], counts[fresh])
+        return ids, counts
+
+    def put(self, codes, data, start, end, ids, counts) -> None:
+        """Remember short stretches in portions that fit the generation."""
+        id_ends, low = np.concatenate([[0], np.cumsum(counts)]), 0
+        while low < len(codes):
+            if len(self.young) >= self.size:
+                self.old, self.young = self.young, Stretches()
+            high = min(len(codes), low + max(1, self.size - len(self.young)))
+            sizes = end[low:high] - start[low:high]
+            self.young.add(codes[low:high], data[B.ragged(start[low:high], sizes)], sizes,
+                           ids[id_ends[low]:id_ends[high]], counts[low:high])
+            low = high
 
 
 _loaded: dict[str, Model] = {}
@@ -324,18 +396,8 @@ def encode_slice(model: Model, known: Remembered, data: np.ndarray, offsets: np.
     start = np.flatnonzero(fresh)
     end = np.append(start[1:], len(data))
     codes = B.Rolling(B.BYTE_CODES[data]).ranges(start, end)
-    _, example, kind = np.unique(codes, return_index=True, return_inverse=True)
-    stretches = []
-    for low, high in zip(start[example].tolist(), end[example].tolist()):
-        stretch = raw[low:high]
-        ids = known.get(stretch)
-        if ids is None:
-            ids = np.array(model.search(stretch.replace(b" ", SPACE)), np.int32).tobytes()
-            if high - low <= SHORT:
-                known.put(stretch, ids)
-        stretches.append(ids)
-    flat = np.frombuffer(b"".join(stretches), np.int32)
-    sizes = np.array([len(s) // 4 for s in stretches])
+    codes, example, kind = np.unique(codes, return_index=True, return_inverse=True)
+    flat, sizes = known.encode(model, codes, data, raw, start[example], end[example])
     begin = np.cumsum(sizes) - sizes
     counts = sizes[kind]
     out = flat[B.ragged(begin[kind], counts)]
@@ -364,7 +426,7 @@ def encode(docs: DataFrame, text_col: str = "text", model_path: str = MODEL) ->
             names = [f"c{i}" for i in range(batch.num_columns)]
             names[where] = "text"
             renamed = pa.RecordBatch.from_arrays(batch.columns, names=names)
-            for piece in B.text_slices(iter([renamed]), limit=SLICE):
+            for piece in B.text_slices(iter([renamed])):
                 data, offsets = without_marks(piece)
                 ids, borders, marked, places = encode_slice(model, known, data, offsets)
                 same = decodes(ids, borders, words, word_borders, marked, places)
