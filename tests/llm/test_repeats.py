@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 
 from tests.llm.texts import corpus, frame, spaced, wide
-from tickweave.llm import batches, suffixes, superkmers
+from tickweave.llm import batches, repeats, suffixes, superkmers
 
 
 def key(ident):
@@ -65,6 +65,32 @@ def test_bytes(spark, large):
     assert Counter(map(tuple, got)) == removed_bytes(rows)
 
 
+@pytest.mark.parametrize("large", [3, 700, 3000])
+def test_parts_of_large_buckets(spark, large, monkeypatch):
+    """A passage amid different texts: few rows for its windows, whatever the bucket's size."""
+    import random
+    from tests.llm.texts import prose
+    rng = random.Random(9)
+    passages = [prose(rng, n)[:size] for n, size in ((90, 330), (90, 420), (200, 900))]
+    rows = [(i, prose(rng, rng.randrange(60, 90)) + passages[i % 3] + prose(rng, rng.randrange(60, 90)))
+            for i in range(60)]
+    rows += [(100 + i, rows[i][1][:700] + "?" + rows[i][1][701:]) for i in range(20)] + rows[:2]
+    sent, written = [], repeats.materialize
+
+    def watched(df):
+        out = written(df)
+        if "core" in out.columns and "place" in out.columns:
+            sent.append(out)
+        return out
+
+    monkeypatch.setattr(repeats, "materialize", watched)
+    got = suffixes.remove_repeats(frame(spark, rows), bucket_windows=large, digest=True).collect()
+    assert Counter(map(tuple, got)) == removed_bytes(rows)
+    counts = sent[0].selectExpr("count(core) as parts", "sum(if(core is null, 0, windows)) as windows",
+                                "count(*) as rows").first()
+    assert counts["parts"] > 0 and counts["windows"] > 12 * counts["parts"]
+
+
 def test_bytes_kept(spark):
     rows = corpus(size=5)
     got = suffixes.remove_repeats(frame(spark, rows)).collect()
