@@ -164,6 +164,18 @@ def test_sums_of_one_block_pair_are_not_shuffled(spark):
     assert "id0" not in "".join(line for line in plan.splitlines() if "Exchange" in line)
 
 
+def test_a_block_is_shuffled_once_whatever_it_meets(spark, monkeypatch):
+    """Blocks meet by reading each other's partition; no row is copied for each block that it meets."""
+    monkeypatch.setattr(C, "SERIES_PER_BLOCK", 4)
+    rows = [(f"s{i % 40}", i, 100 + i * 7 % 11) for i in range(400)]
+    found = C.hy_correlation(ticks_frame(spark, rows))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" in plan and "Generate" not in plan
+    want = correlations(intervals_of(rows))
+    got = values(found)
+    assert got.keys() == want.keys() and all(got[k] == pytest.approx(want[k], abs=1e-9) for k in want)
+
+
 def test_an_infinite_price_spoils_its_own_pairs_only(spark):
     rows = sorted([("a", i, float("inf") if i == 4 else 100 + i % 3) for i in range(9)]
                   + [("b", i + 0.5, 100 + i % 4) for i in range(9)] + [("c", i + 0.2, 100 + i % 5) for i in range(9)],
