@@ -1,3 +1,4 @@
+import numpy as np
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
@@ -216,6 +217,77 @@ def test_edge_changes_with_a_threshold_that_changes(spark, tmp_path):
     assert sorted(map(tuple, spark.read.parquet(str(tmp_path / "out")).collect())) == sorted(want) and len(want) > 40
 
 
+class Stored(dict):
+    """Map or value state in memory."""
+
+    getValue, updateValue, containsKey = dict.__getitem__, dict.__setitem__, dict.__contains__
+    removeKey, iterator = dict.pop, dict.items
+
+    def exists(self):
+        return None in self
+
+    def get(self, key=None):
+        return self[key]
+
+    def update(self, value):
+        self[None] = value
+
+
+class Handle:
+    def __init__(self):
+        self.states, self.timers = {}, set()
+
+    def state(self, name, *schema):
+        return self.states.setdefault(name, Stored())
+
+    getMapState = getValueState = state
+
+    def registerTimer(self, at):
+        self.timers.add(at)
+
+    def deleteTimer(self, at):
+        self.timers.discard(at)
+
+
+class Watermark:
+    def __init__(self, at):
+        self.at = at
+
+    def getCurrentWatermarkInMs(self):
+        return self.at
+
+
+def test_changes_go_where_no_results_wait_for_them():
+    """A share without pairs must not collect the whole log; of one time the last change counts."""
+    share, handle = keyed._Thresholds(0.7, 1_000_000), Handle()
+    share.init(handle)
+    kept = []
+    for batch in range(30):
+        at = [batch * 10_000_000 + i * 20_000 for i in range(500)] * 2
+        share.handleInputRows((0,), iter([pd.DataFrame({
+            "v0": None, "v1": None, "at": at, "seq": range(1000), "value": [i / 1000 for i in range(1000)]})]),
+            Watermark(max(0, batch * 10_000 - 2_000)))
+        kept.append(sum(len(share.known(place)) for place in share.places()))
+    assert max(kept) <= 700 and kept[-1] >= 500
+    last = 29 * 10_000_000
+    assert share.limits(np.array([last, last + 19_999, last + 20_000])).tolist() == [0.5, 0.5, 0.501]
+
+
+def test_streams_read_together_arrive_in_step(spark, tmp_path):
+    """A stretch without rows, or more rows on one side, must not let one stream run ahead."""
+    from tickweave.plans import catalog
+
+    few = spark.createDataFrame([(at(t),) for t in (0, 1, 2, 90, 100)], "ts timestamp_ntz")
+    many = spark.createDataFrame([(at(t),) for t in range(101)], "ts timestamp_ntz")
+    files = []
+    for name, frame in (("few", few), ("many", many)):
+        catalog._arriving(frame, str(tmp_path / name), slices=10)
+        parts = sorted((tmp_path / name).glob("*.parquet"), key=lambda p: p.stat().st_mtime_ns)
+        files.append([sorted(secs(r["ts"]) for r in spark.read.parquet(str(p)).collect()) for p in parts])
+    assert [len(f) for f in files] == [10, 10] and files[0][0] == [0, 1, 2] and files[0][5] == []
+    assert all(max(a) <= max(b) for a, b in zip(*files) if a)
+
+
 def test_drop_repeated_stream_equals_batch(spark, tmp_path):
     from tickweave.operators.ordering import drop_repeated_records
 

@@ -281,25 +281,35 @@ def hy_correlation_sliding_spike(spark, folder):
 
 ARRIVALS = 12          # micro-batches of a stream query at least
 ROWS_PER_ARRIVAL = 500_000
+STATE_PARTITIONS = 16  # of a stream's state at most
 
 
-def _arriving(df: DataFrame, folder: str, time: str = "ts") -> DataFrame:
+def _slices(df: DataFrame, time: str = "ts") -> int:
+    return max(ARRIVALS, -(-df.agg(F.count(time).alias("n")).first()["n"] // ROWS_PER_ARRIVAL))
+
+
+def _arriving(
+    df: DataFrame, folder: str, time: str = "ts", slices: int | None = None, rows: int = ROWS_PER_ARRIVAL
+) -> DataFrame:
     """``df`` as a stream whose files arrive in time order, each a slice of it, one a micro-batch.
 
     Slices are dealt out in one pass; each is then read and written alone, so that files come in order.
+    Streams that are read together need equal ``slices``, or one would run ahead of the other; they
+    then have a file for each of them, if need be an empty one.
     """
     spark, at = df.sparkSession, micros(time)
     span = df.agg(F.min(at).alias("lo"), F.max(at).alias("hi"), F.count(time).alias("n")).first()
-    arrivals = max(ARRIVALS, -(-span["n"] // ROWS_PER_ARRIVAL))
+    arrivals = slices or max(ARRIVALS, -(-span["n"] // rows))
     low, width = span["lo"] or 0, ((span["hi"] or 0) - (span["lo"] or 0)) // arrivals + 1
     dealt = f"{folder}-dealt"
     numbered = df.filter(at.isNotNull()).withColumn("_slice", F.floor((at - low) / width).cast("int"))
     numbered.write.partitionBy("_slice").parquet(dealt)
-    slices = spark.read.schema(numbered.schema).parquet(dealt)
-    filled = sorted(row["_slice"] for row in slices.select("_slice").distinct().collect())
-    for i in filled or [0]:
-        part = slices.filter(F.col("_slice") == i).drop("_slice")
-        part.coalesce(1).write.mode("append").parquet(folder)
+    written = spark.read.schema(numbered.schema).parquet(dealt)
+    filled = sorted(row["_slice"] for row in written.select("_slice").distinct().collect())
+    for i in range(slices) if slices else filled or [0]:
+        part = written.filter(F.col("_slice") == i).drop("_slice")
+        # small row groups, so that several tasks can read one file
+        part.coalesce(1).write.mode("append").option("parquet.block.size", 1 << 20).parquet(folder)
     return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(folder)
 
 
@@ -414,10 +424,12 @@ def edge_changes_with_parameter(spark, folder):
 def edge_changes_stream_with_parameter(spark, folder):
     """The same on streams of results and of threshold changes, as far as both have come."""
     work = f"{shared_folder(spark)}/tickweave/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
-    windows = _arriving(materialize(_type_windows(spark, folder)), f"{work}/windows", "window_end")
-    changes = _arriving(v.param_log(spark, folder), f"{work}/changes")
+    results, log = materialize(_type_windows(spark, folder)), v.param_log(spark, folder)
+    slices = max(_slices(results, "window_end"), _slices(log))
+    windows = _arriving(results, f"{work}/windows", "window_end", slices)
+    changes = _arriving(log, f"{work}/changes", slices=slices)
     found = edge_changes_with_parameter_stream(windows, changes, lateness="2 days")
-    write_stream(found, f"{work}/out", f"{work}/checkpoint").awaitTermination()
+    write_stream(found, f"{work}/out", f"{work}/checkpoint", partitions=STATE_PARTITIONS).awaitTermination()
     return spark.read.schema(found.schema).parquet(f"{work}/out")
 
 

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import heapq
-from bisect import bisect_right
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -58,46 +60,92 @@ def edge_changes_stream(results: DataFrame, threshold: float = 0.7, time: str =
         outputMode="Append", timeMode="None")
 
 
+CHANGE_STRETCH = 1_000_000  # microseconds at least
+CHANGE = np.dtype([("at", np.int64), ("seq", np.int64), ("value", np.float64)])
+
+
 class _Thresholds(StatefulProcessor):
     """A share of the pairs with the threshold changes that hold for all of them.
 
     ``pending`` has results newer than the watermark, ``present`` the edges that exist, ``changes``
-    the thresholds from the one in force at the watermark on.
+    the thresholds from the one in force at the watermark on: arrays in time order, one for each
+    stretch of ``width`` microseconds, so that no step holds more than a stretch of them.
     """
 
-    def __init__(self, default: float):
-        self.default = default
+    def __init__(self, default: float, width: int):
+        self.default, self.width = default, width
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         pair = "v0 string, v1 string"
         self.pending = handle.getMapState("pending", pair, "at array<long>, value array<double>")
         self.present = handle.getMapState("present", pair, "present boolean")
-        self.changes = handle.getValueState("changes", "at array<long>, seq array<long>, value array<double>")
+        self.changes = handle.getMapState("changes", "stretch long", "rows binary")
         self.timer = handle.getValueState("timer", "at long")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         # the changes and a pair's results are read and written once a micro-batch, not for each Arrow batch
-        arrived = [chunk for chunk in rows if len(chunk)]
+        changes, results = [], []
+        for chunk in rows:
+            if len(chunk):
+                changed = chunk["v0"].isna()
+                news = np.empty(int(changed.sum()), CHANGE)
+                for name in CHANGE.names:
+                    news[name] = chunk.loc[changed, name]
+                changes.append(news)
+                results.append(chunk.loc[~changed, ["v0", "v1", "at", "value"]])
         earliest = None
-        if arrived:
-            batch = pd.concat(arrived)
-            news = batch[batch["v0"].isna()]
-            if len(news):
-                old = self.changes.get() if self.changes.exists() else ([], [], [])
-                merged = sorted(zip([*old[0], *news["at"].tolist()], [*old[1], *news["seq"].tolist()],
-                                    [*old[2], *news["value"].tolist()]))
-                self.changes.update(tuple(list(x) for x in zip(*merged)))
-            results = batch[batch["v0"].notna()]
-            for pair, part in results.groupby(["v0", "v1"], sort=False):
+        if results:
+            self.store(np.concatenate(changes))
+            for pair, part in pd.concat(results).groupby(["v0", "v1"], sort=False):
                 old = self.pending.getValue(pair) if self.pending.containsKey(pair) else ([], [])
                 self.pending.updateValue(pair, ([*old[0], *part["at"].tolist()], [*old[1], *part["value"].tolist()]))
                 first = int(part["at"].min())
                 earliest = first if earliest is None else min(first, earliest)
         if earliest is not None:
             self.wake(earliest)
+        # without results that wait for the watermark nothing else would ever let changes go
+        watermark = timerValues.getCurrentWatermarkInMs()
+        if not self.timer.exists() or int(self.timer.get()[0]) > watermark:
+            self.forget(watermark * 1000)
         return iter(())
 
+    def store(self, news: np.ndarray) -> None:
+        """Merge changes into their stretches; of several at one time the last one counts."""
+        news = np.sort(news, order=CHANGE.names)
+        stretches = news["at"] // self.width
+        for part in np.split(news, np.flatnonzero(np.diff(stretches)) + 1) if len(news) else ():
+            place = (int(part["at"][0] // self.width),)
+            if self.changes.containsKey(place):
+                part = np.sort(np.concatenate((self.known(place), part)), order=CHANGE.names)
+            last = np.r_[part["at"][1:] != part["at"][:-1], True]
+            self.changes.updateValue(place, (part[last].tobytes(),))
+
+    def known(self, place: tuple) -> np.ndarray:
+        return np.frombuffer(bytes(self.changes.getValue(place)[0]), CHANGE)
+
+    def places(self) -> list[tuple]:
+        return sorted((int(place[0]),) for place in self.changes.keys())
+
+    def forget(self, reached: int) -> None:
+        """Drop the stretches before the one that has the change in force at ``reached``."""
+        started = [place for place in self.places() if place[0] * self.width <= reached]
+        if started and self.known(started[-1])["at"][0] > reached:
+            started.pop()
+        for place in started[:-1]:
+            self.changes.removeKey(place)
+
+    def limits(self, times: np.ndarray) -> np.ndarray:
+        """The threshold at each of ``times``, which rise; a change at a time holds for it already."""
+        found = np.full(len(times), self.default)
+        for place in self.places() if len(times) else ():
+            if place[0] * self.width > times[-1]:
+                break
+            part = self.known(place)
+            since = np.searchsorted(times, part["at"][0], "left")
+            found[since:] = part["value"][np.searchsorted(part["at"], times[since:], "right") - 1]
+        return found
+
     def wake(self, at: int) -> None:
         wanted = -(at // -1000)
         known = int(self.timer.get()[0]) if self.timer.exists() else None
@@ -110,15 +158,16 @@ class _Thresholds(StatefulProcessor):
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         reached = timerValues.getCurrentWatermarkInMs() * 1000
         self.timer.clear()
-        known = self.changes.get() if self.changes.exists() else ([], [], [])
-        times, limits = list(known[0]), [self.default, *known[2]]
+        waiting = list(self.pending.iterator())
+        times = np.unique(np.array([t for _, (at, _) in waiting for t in at if t <= reached], np.int64))
+        limits = dict(zip(times.tolist(), self.limits(times).tolist()))
         out, later = [], []
-        for pair, (at, value) in list(self.pending.iterator()):
+        for pair, (at, value) in waiting:
             above: dict[int, bool] = {}
             for t, v in zip(at, value):
                 if t <= reached:
                     # the changes at the result's own time hold already; several results count as one
-                    above[t] = above.get(t, False) or v >= limits[bisect_right(times, t)]
+                    above[t] = above.get(t, False) or v >= limits[t]
             present = bool(self.present.getValue(pair)[0]) if self.present.containsKey(pair) else False
             for t in sorted(above):
                 if above[t] != present:
@@ -131,9 +180,7 @@ class _Thresholds(StatefulProcessor):
                 later.append(min(t for t, _ in rest))
             else:
                 self.pending.removeKey(pair)
-        keep = max(0, bisect_right(times, reached) - 1)
-        if keep:
-            self.changes.update(tuple(list(x)[keep:] for x in known))
+        self.forget(reached)
         if later:
             self.wake(min(later))
         if out:
@@ -167,7 +214,7 @@ def edge_changes_with_parameter_stream(
         F.explode(F.sequence(F.lit(0), F.lit(shares - 1))).alias("share"))
     both = pairs.unionByName(news).withWatermark("ts", f"{interval_micros(lateness) // 1000 + 1} milliseconds")
     found = both.withColumn("at", micros("ts")).groupBy("share").transformWithStateInPandas(
-        statefulProcessor=_Thresholds(float(default)),
+        statefulProcessor=_Thresholds(float(default), max(CHANGE_STRETCH, interval_micros(lateness) // 32)),
         outputStructType="v0 string, v1 string, at long, is_add boolean", outputMode="Append", timeMode="EventTime")
     return found.select("v0", "v1", from_micros("at").alias("ts"), "is_add")
 

@@ -50,12 +50,26 @@ def throughput_stream(ticks: DataFrame, every: str = "60 seconds", lateness: str
     )
 
 
-def write_stream(df: DataFrame, path: str, checkpoint: str, fmt: str = "parquet", **trigger) -> StreamingQuery:
-    """Exactly-once delivery to files."""
-    return (
-        df.writeStream.format(fmt).option("path", path).option("checkpointLocation", checkpoint)
-        .trigger(**(trigger or {"availableNow": True})).start()
-    )
+def write_stream(
+    df: DataFrame, path: str, checkpoint: str, fmt: str = "parquet", partitions: int | None = None, **trigger
+) -> StreamingQuery:
+    """Exactly-once delivery to files.
+
+    ``partitions`` bounds the partitions of the stream's state, which every micro-batch opens and
+    commits one by one; the session's own number is for tables.
+    """
+    spark, name = df.sparkSession, "spark.sql.shuffle.partitions"
+    usual = spark.conf.get(name)
+    if partitions:
+        spark.conf.set(name, str(min(partitions, int(usual))))
+    try:
+        return (
+            df.writeStream.format(fmt).option("path", path).option("checkpointLocation", checkpoint)
+            .trigger(**(trigger or {"availableNow": True})).start()
+        )
+    finally:
+        if partitions:  # the stream has its own copy of the settings by now
+            spark.conf.set(name, usual)
 
 
 def apply_per_batch(
