@@ -288,6 +288,19 @@ def test_streams_read_together_arrive_in_step(spark, tmp_path):
     assert all(max(a) <= max(b) for a, b in zip(*files) if a)
 
 
+def test_ranking_needs_no_state_and_state_has_few_partitions(spark, tmp_path):
+    rows = [(f"n{i % 5}", 10 * i, i) for i in range(40)]
+    write_files(tmp_path / "in", rows, 20)
+    updates = tick_stream(spark, tmp_path / "in").select(
+        F.col("symbol").alias("node"), F.col("value").cast("bigint").alias("visits"), "ts", "seq")
+    usual = spark.conf.get("spark.sql.shuffle.partitions")
+    query = ST.write_stream(keyed.top_hubs_ranked_stream(updates, 2, "60 seconds"), str(tmp_path / "out"),
+                            str(tmp_path / "ck"), partitions=2)
+    run(query)
+    assert [op["numShufflePartitions"] for op in query.lastProgress["stateOperators"]] == [2]
+    assert spark.conf.get("spark.sql.shuffle.partitions") == usual
+
+
 def test_drop_repeated_stream_equals_batch(spark, tmp_path):
     from tickweave.operators.ordering import drop_repeated_records
 

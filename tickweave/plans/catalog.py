@@ -526,8 +526,8 @@ def top_hubs_stream(spark, folder):
     """Ranked hub lists as periods close, in a dozen micro-batches."""
     work = f"{shared_folder(spark)}/tickweave/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
     found = top_hubs_ranked_stream(
-        _arriving(v.visit_updates(spark, folder), f"{work}/in"), 3, "6 hours", "1 hour")
-    write_stream(found, f"{work}/out", f"{work}/checkpoint").awaitTermination()
+        _arriving(v.visit_updates(spark, folder), f"{work}/in", rows=4 * ROWS_PER_ARRIVAL), 3, "6 hours", "1 hour")
+    write_stream(found, f"{work}/out", f"{work}/checkpoint", partitions=STATE_PARTITIONS).awaitTermination()
     start, end = (F.col(c).cast("timestamp_ntz").alias(c) for c in ("window_start", "window_end"))
     return spark.read.schema(found.schema).parquet(f"{work}/out").select(start, end, "rank", "node", "visits")
 

@@ -298,31 +298,39 @@ def top_hubs_stream(updates: DataFrame, every: str = "10 seconds", lateness: str
     )
 
 
-class _Best(StatefulProcessor):
-    """The best ``k`` of a key's rows, kept in a heap while they pass; all of them come at once."""
-
-    def __init__(self, names: list[str]):
-        self.names = names
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        pass
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        best: list[tuple] = []
-        size, window = 0, None
-        for chunk in rows:
-            if not len(chunk):
-                continue
-            window = chunk["window_end"].iloc[0]
-            size = int(chunk["k"].iloc[0])
-            best = heapq.nsmallest(size, [*best, *zip((-chunk["visits"]).tolist(), chunk["node"].tolist())])
-        if best:
-            yield pd.DataFrame({
-                "window_start": key[0], "window_end": window, "k": size, "rank": range(1, len(best) + 1),
-                "node": [node for _, node in best], "visits": [-visits for visits, _ in best]})[self.names]
-
-    def close(self) -> None:
-        pass
+HUBS = "window_start timestamp, window_end timestamp, k int, rank int, node string, visits long"
+HUB_COLUMNS = [part.split(" ")[0] for part in HUBS.split(", ")]
+
+
+def _best(ranked: bool):
+    """For ``mapInArrow``: the best ``k`` rows of each period in a partition, as batches pass. With
+    ``ranked`` they get their ranks, because a period then has all of its rows in one partition."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best: dict[tuple, list] = {}
+        kinds = None
+        for batch in batches:
+            kinds = kinds or {name: batch.schema.field(name).type for name in HUB_COLUMNS if name != "rank"}
+            for start in pc.unique(batch["window_start"]):
+                part = batch.filter(pc.equal(batch["window_start"], start))
+                period, size = (start, part["window_end"][0]), part["k"][0].as_py()
+                visits = pc.fill_null(part["visits"], np.iinfo(np.int64).min).to_numpy()
+                if 0 < size < len(visits):
+                    part = part.filter(pa.array(visits >= np.partition(visits, -size)[-size]))
+                # as in a window by falling visits and node: no count comes last, no name first
+                rows = [(v is None, -(v or 0), node is not None, node or "", v, node)
+                        for v, node in zip(part["visits"].to_pylist(), part["node"].to_pylist())]
+                best[period] = size, heapq.nsmallest(size, [*best.get(period, (size, []))[1], *rows], key=lambda r: r[:4])
+        for (start, end), (size, rows) in best.items():
+            if rows:
+                columns = {
+                    "window_start": [start] * len(rows), "window_end": [end] * len(rows), "k": [size] * len(rows),
+                    "node": [r[5] for r in rows], "visits": [r[4] for r in rows]}
+                arrays = {name: pa.array([x.as_py() if isinstance(x, pa.Scalar) else x for x in column], kinds[name])
+                          for name, column in columns.items()}
+                arrays["rank"] = pa.array(range(1, len(rows) + 1) if ranked else [0] * len(rows), pa.int32())
+                yield pa.RecordBatch.from_arrays([arrays[name] for name in HUB_COLUMNS], names=HUB_COLUMNS)
+
+    return run
 
 
 def top_hubs_ranked_stream(
@@ -331,10 +339,10 @@ def top_hubs_ranked_stream(
 ) -> DataFrame:
     """``top_hubs_windowed`` as periods close: ``(window_start, window_end, rank, node, visits)``.
 
-    The latest counts of a closed period come in one micro-batch. Nodes are dealt to ``shares`` by a
-    hash, each share passes its ``k`` best on, and those are ranked by period; no task sees more than
-    a share of a period's nodes. ``k_log`` is a stored parameter log of at most ``STEP_CHANGES``
-    changes of the list size.
+    The latest counts of a closed period come in one micro-batch, so ranking them needs no state. Each
+    partition of the counts passes its ``k`` best of a period on, and periods are dealt to ``shares``
+    tasks that rank those; no task sees more than a partition of a period's nodes. ``k_log`` is a
+    stored parameter log of at most ``STEP_CHANGES`` changes of the list size.
     """
     prepared(updates.sparkSession)
     latest = top_hubs_stream(updates, every, lateness).withColumn("k", F.lit(float(k)))
@@ -342,17 +350,10 @@ def top_hubs_ranked_stream(
         if not at_most(k_log, STEP_CHANGES):
             raise ValueError(f"a stream takes at most {STEP_CHANGES} parameter changes")
         latest = with_parameter(latest.drop("k"), k_log, name, float(k), "window_end").withColumnRenamed(name, "k")
-    schema = "window_start timestamp, window_end timestamp, k int, rank int, node string, visits long"
-    names = [part.strip().split(" ")[0] for part in schema.split(",")]
     sized = latest.select("window_start", "window_end", F.col("k").cast("int").alias("k"), "node",
-                          F.col("visits").cast("long").alias("visits"),
-                          F.pmod(F.xxhash64("node"), F.lit(shares)).cast("int").alias("share"))
-
-    def best(rows: DataFrame, *keys: str) -> DataFrame:
-        return rows.groupBy(*keys).transformWithStateInPandas(
-            statefulProcessor=_Best(names), outputStructType=schema, outputMode="Append", timeMode="None")
-
-    return best(best(sized, "window_start", "share"), "window_start").drop("k")
+                          F.col("visits").cast("long").alias("visits"))
+    kept = sized.mapInArrow(_best(False), HUBS).repartition(shares, "window_start")
+    return kept.mapInArrow(_best(True), HUBS).drop("k")
 
 
 def rank_hubs(latest: DataFrame, k: int = 10) -> DataFrame:
