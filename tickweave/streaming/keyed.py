@@ -302,33 +302,35 @@ HUBS = "window_start timestamp, window_end timestamp, k int, rank int, node stri
 HUB_COLUMNS = [part.split(" ")[0] for part in HUBS.split(", ")]
 
 
-def _best(ranked: bool):
-    """For ``mapInArrow``: the best ``k`` rows of each period in a partition, as batches pass. With
-    ``ranked`` they get their ranks, because a period then has all of its rows in one partition."""
+def _best(*keys: str):
+    """For ``mapInArrow``: the best ``k`` rows of each group with equal ``keys``, kept while batches
+    pass; a group has all of its rows in one partition."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        best: dict[tuple, list] = {}
+        best: dict[tuple, tuple] = {}
         kinds = None
         for batch in batches:
             kinds = kinds or {name: batch.schema.field(name).type for name in HUB_COLUMNS if name != "rank"}
-            for start in pc.unique(batch["window_start"]):
-                part = batch.filter(pc.equal(batch["window_start"], start))
-                period, size = (start, part["window_end"][0]), part["k"][0].as_py()
-                visits = pc.fill_null(part["visits"], np.iinfo(np.int64).min).to_numpy()
-                if 0 < size < len(visits):
+            groups = pa.Table.from_batches([batch]).group_by(list(keys)).aggregate([]).to_pylist()
+            for group in groups:
+                part = batch
+                for name in keys:
+                    part = part.filter(pc.equal(part[name], pa.scalar(group[name], part[name].type)))
+                key = tuple(group[name] for name in keys)
+                size, rows = part["k"][0].as_py(), best.get(key, (0, 0, []))[2]
+                if not part["visits"].null_count and 0 < size < len(part) and all(v == v for v, _ in rows):
+                    visits = part["visits"].to_numpy()
                     part = part.filter(pa.array(visits >= np.partition(visits, -size)[-size]))
-                # as in a window by falling visits and node: no count comes last, no name first
-                rows = [(v is None, -(v or 0), node is not None, node or "", v, node)
-                        for v, node in zip(part["visits"].to_pylist(), part["node"].to_pylist())]
-                best[period] = size, heapq.nsmallest(size, [*best.get(period, (size, []))[1], *rows], key=lambda r: r[:4])
-        for (start, end), (size, rows) in best.items():
+                # a missing count is NaN, as in a pandas column
+                found = [(float("nan") if v is None else -v, node)
+                         for v, node in zip(part["visits"].to_pylist(), part["node"].to_pylist())]
+                best[key] = size, part["window_end"][0].as_py(), heapq.nsmallest(size, [*rows, *found])
+        for key, (size, end, rows) in sorted(best.items(), key=lambda group: group[0]):
             if rows:
-                columns = {
-                    "window_start": [start] * len(rows), "window_end": [end] * len(rows), "k": [size] * len(rows),
-                    "node": [r[5] for r in rows], "visits": [r[4] for r in rows]}
-                arrays = {name: pa.array([x.as_py() if isinstance(x, pa.Scalar) else x for x in column], kinds[name])
-                          for name, column in columns.items()}
-                arrays["rank"] = pa.array(range(1, len(rows) + 1) if ranked else [0] * len(rows), pa.int32())
-                yield pa.RecordBatch.from_arrays([arrays[name] for name in HUB_COLUMNS], names=HUB_COLUMNS)
+                n, visits = len(rows), [-v if v == v else None for v, _ in rows]
+                columns = [[key[0]] * n, [end] * n, [size] * n, range(1, n + 1), [node for _, node in rows], visits]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(column, kinds.get(name, pa.int32())) for name, column in zip(HUB_COLUMNS, columns)],
+                    names=HUB_COLUMNS)
 
     return run
 
@@ -339,10 +341,10 @@ def top_hubs_ranked_stream(
 ) -> DataFrame:
     """``top_hubs_windowed`` as periods close: ``(window_start, window_end, rank, node, visits)``.
 
-    The latest counts of a closed period come in one micro-batch, so ranking them needs no state. Each
-    partition of the counts passes its ``k`` best of a period on, and periods are dealt to ``shares``
-    tasks that rank those; no task sees more than a partition of a period's nodes. ``k_log`` is a
-    stored parameter log of at most ``STEP_CHANGES`` changes of the list size.
+    The latest counts of a closed period come in one micro-batch, so ranking them needs no state. Nodes
+    are dealt to ``shares`` by a hash, each share passes its ``k`` best on, and those are ranked by
+    period; no task sees more than a share of a period's nodes. ``k_log`` is a stored parameter log of
+    at most ``STEP_CHANGES`` changes of the list size.
     """
     prepared(updates.sparkSession)
     latest = top_hubs_stream(updates, every, lateness).withColumn("k", F.lit(float(k)))
@@ -351,9 +353,13 @@ def top_hubs_ranked_stream(
             raise ValueError(f"a stream takes at most {STEP_CHANGES} parameter changes")
         latest = with_parameter(latest.drop("k"), k_log, name, float(k), "window_end").withColumnRenamed(name, "k")
     sized = latest.select("window_start", "window_end", F.col("k").cast("int").alias("k"), "node",
-                          F.col("visits").cast("long").alias("visits"))
-    kept = sized.mapInArrow(_best(False), HUBS).repartition(shares, "window_start")
-    return kept.mapInArrow(_best(True), HUBS).drop("k")
+                          F.col("visits").cast("long").alias("visits"),
+                          F.pmod(F.xxhash64("node"), F.lit(shares)).cast("int").alias("share"))
+
+    def best(rows: DataFrame, *keys: str) -> DataFrame:
+        return rows.repartition(*keys).mapInArrow(_best(*keys), HUBS)
+
+    return best(best(sized, "window_start", "share"), "window_start").drop("k")
 
 
 def rank_hubs(latest: DataFrame, k: int = 10) -> DataFrame:
