@@ -60,7 +60,6 @@ def edge_changes_stream(results: DataFrame, threshold: float = 0.7, time: str =
         outputMode="Append", timeMode="None")
 
 
-CHANGE_STRETCH = 1_000_000  # microseconds at least
 CHANGE = np.dtype([("at", np.int64), ("seq", np.int64), ("value", np.float64)])
 
 
@@ -68,19 +67,18 @@ class _Thresholds(StatefulProcessor):
     """A share of the pairs with the threshold changes that hold for all of them.
 
     ``pending`` has results newer than the watermark, ``present`` the edges that exist, ``changes``
-    the thresholds from the one in force at the watermark on: arrays in time order, one for each
-    stretch of ``width`` microseconds, so that no step holds more than a stretch of them.
+    the thresholds from the one in force at the watermark on, in time order.
     """
 
-    def __init__(self, default: float, width: int):
-        self.default, self.width = default, width
+    def __init__(self, default: float):
+        self.default = default
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         pair = "v0 string, v1 string"
         self.pending = handle.getMapState("pending", pair, "at array<long>, value array<double>")
         self.present = handle.getMapState("present", pair, "present boolean")
-        self.changes = handle.getMapState("changes", "stretch long", "rows binary")
+        self.changes = handle.getValueState("changes", "at array<long>, seq array<long>, value array<double>")
         self.timer = handle.getValueState("timer", "at long")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
@@ -96,7 +94,6 @@ class _Thresholds(StatefulProcessor):
                 results.append(chunk.loc[~changed, ["v0", "v1", "at", "value"]])
         earliest = None
         if results:
-            self.store(np.concatenate(changes))
             for pair, part in pd.concat(results).groupby(["v0", "v1"], sort=False):
                 old = self.pending.getValue(pair) if self.pending.containsKey(pair) else ([], [])
                 self.pending.updateValue(pair, ([*old[0], *part["at"].tolist()], [*old[1], *part["value"].tolist()]))
@@ -105,46 +102,31 @@ class _Thresholds(StatefulProcessor):
         if earliest is not None:
             self.wake(earliest)
         # without results that wait for the watermark nothing else would ever let changes go
-        watermark = timerValues.getCurrentWatermarkInMs()
-        if not self.timer.exists() or int(self.timer.get()[0]) > watermark:
-            self.forget(watermark * 1000)
+        watermark = timerValues.getCurrentWatermarkInMs() if timerValues else 0
+        idle = not self.timer.exists() or int(self.timer.get()[0]) > watermark
+        if changes:
+            self.store(np.concatenate(changes), watermark * 1000 if idle else 0)
         return iter(())
 
-    def store(self, news: np.ndarray) -> None:
-        """Merge changes into their stretches; of several at one time the last one counts."""
-        news = np.sort(news, order=CHANGE.names)
-        stretches = news["at"] // self.width
-        for part in np.split(news, np.flatnonzero(np.diff(stretches)) + 1) if len(news) else ():
-            place = (int(part["at"][0] // self.width),)
-            if self.changes.containsKey(place):
-                part = np.sort(np.concatenate((self.known(place), part)), order=CHANGE.names)
-            last = np.r_[part["at"][1:] != part["at"][:-1], True]
-            self.changes.updateValue(place, (part[last].tobytes(),))
-
-    def known(self, place: tuple) -> np.ndarray:
-        return np.frombuffer(bytes(self.changes.getValue(place)[0]), CHANGE)
-
-    def places(self) -> list[tuple]:
-        return sorted((int(place[0]),) for place in self.changes.keys())
-
-    def forget(self, reached: int) -> None:
-        """Drop the stretches before the one that has the change in force at ``reached``."""
-        started = [place for place in self.places() if place[0] * self.width <= reached]
-        if started and self.known(started[-1])["at"][0] > reached:
-            started.pop()
-        for place in started[:-1]:
-            self.changes.removeKey(place)
+    def known(self) -> np.ndarray:
+        columns = self.changes.get() if self.changes.exists() else ([], [], [])
+        found = np.empty(len(columns[0]), CHANGE)
+        for name, column in zip(CHANGE.names, columns):
+            found[name] = column
+        return found
+
+    def store(self, news: np.ndarray, reached: int) -> None:
+        """Merge changes, of several at one time the last; those before the one in force at ``reached`` go."""
+        merged = np.sort(np.concatenate((self.known(), news)), order=CHANGE.names)
+        merged = merged[np.r_[merged["at"][1:] != merged["at"][:-1], True]] if len(merged) else merged
+        kept = merged[max(0, int(np.searchsorted(merged["at"], reached, "right")) - 1):]
+        if len(news) or len(kept) < len(merged):
+            self.changes.update(tuple(kept[name].tolist() for name in CHANGE.names))
 
     def limits(self, times: np.ndarray) -> np.ndarray:
-        """The threshold at each of ``times``, which rise; a change at a time holds for it already."""
-        found = np.full(len(times), self.default)
-        for place in self.places() if len(times) else ():
-            if place[0] * self.width > times[-1]:
-                break
-            part = self.known(place)
-            since = np.searchsorted(times, part["at"][0], "left")
-            found[since:] = part["value"][np.searchsorted(part["at"], times[since:], "right") - 1]
-        return found
+        """The threshold at each of ``times``; a change at a time holds for it already."""
+        known = self.known()
+        return np.r_[self.default, known["value"]][np.searchsorted(known["at"], times, "right")]
 
     def wake(self, at: int) -> None:
         wanted = -(at // -1000)
@@ -180,7 +162,7 @@ class _Thresholds(StatefulProcessor):
                 later.append(min(t for t, _ in rest))
             else:
                 self.pending.removeKey(pair)
-        self.forget(reached)
+        self.store(np.empty(0, CHANGE), reached)
         if later:
             self.wake(min(later))
         if out:
@@ -214,7 +196,7 @@ def edge_changes_with_parameter_stream(
         F.explode(F.sequence(F.lit(0), F.lit(shares - 1))).alias("share"))
     both = pairs.unionByName(news).withWatermark("ts", f"{interval_micros(lateness) // 1000 + 1} milliseconds")
     found = both.withColumn("at", micros("ts")).groupBy("share").transformWithStateInPandas(
-        statefulProcessor=_Thresholds(float(default), max(CHANGE_STRETCH, interval_micros(lateness) // 32)),
+        statefulProcessor=_Thresholds(float(default)),
         outputStructType="v0 string, v1 string, at long, is_add boolean", outputMode="Append", timeMode="EventTime")
     return found.select("v0", "v1", from_micros("at").alias("ts"), "is_add")
 
